@@ -89,11 +89,13 @@ def path_ext(p) -> Column:
     return F.regexp_extract(col(p), r"(\.[^./]*)$", 1)
 
 
-def relative_key(p, root: str) -> Column:
-    """Path relative to ``root`` (object key on upload); NULL when outside it."""
-    root = root.rstrip("/") + "/"
+def relative_key(p, root) -> Column:
+    """Path relative to ``root`` (object key on upload); NULL when outside it.
+
+    ``root`` is a fixed string or a column (a per-row root)."""
+    prefix = F.lit(root.rstrip("/") + "/") if isinstance(root, str) else F.concat(col(root), F.lit("/"))
     p = col(p)
-    return F.when(p.startswith(root), p.substr(len(root) + 1, 2_147_483_647))
+    return F.when(p.startswith(prefix), F.substr(p, F.length(prefix) + 1))
 
 
 def paper_id_stem(name) -> Column:

@@ -64,6 +64,32 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str,
             .drop("_prev", "_first", "_carry", SLICE))
 
 
+def change_runs(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "run",
+                n: int | None = None) -> DataFrame:
+    """Run id (1-based) that grows each time ``value`` differs from the row before.
+
+    One slicing pass: per slice, a window gives the changes inside the slice; a
+    table with one row per slice (first value, last value, change count) gives
+    the changes at slice borders and the offsets of earlier slices.
+    """
+    s = sliced(df, keys, order, n)
+    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    prev = F.lag(value, 1).over(w)
+    local = (s.withColumn("_chg", F.coalesce((prev != F.col(value)).cast("long"), F.lit(0)))
+             .withColumn("_lc", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    edges = (local.groupBy(*keys, SLICE)
+             .agg(F.min_by(F.col(value), F.struct(*order)).alias("_fv"),
+                  F.max_by(F.col(value), F.struct(*order)).alias("_lv"),
+                  F.sum("_chg").alias("_n")))
+    ws = Window.partitionBy(*keys).orderBy(SLICE)
+    edges = edges.withColumn("_fc", F.coalesce((F.lag("_lv", 1).over(ws) != F.col("_fv")).cast("long"), F.lit(0)))
+    edges = edges.withColumn("_off", F.coalesce(
+        F.sum(F.col("_n") + F.col("_fc")).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (local.join(edges.select(*keys, SLICE, "_fc", "_off"), [*keys, SLICE])
+            .withColumn(out, F.lit(1) + F.col("_off") + F.col("_fc") + F.col("_lc"))
+            .drop("_chg", "_lc", "_fc", "_off", SLICE))
+
+
 def run_ids(df: DataFrame, keys: list[str], order: list[str], breaks: Column, out: str,
             n: int | None = None) -> DataFrame:
     """Gaps and islands: rows between two break rows share a run id (the count of breaks so far)."""
@@ -71,7 +97,7 @@ def run_ids(df: DataFrame, keys: list[str], order: list[str], breaks: Column, ou
 
 
 def concat_in_order(df: DataFrame, keys: list[str], order: str, text: str, sep: str, out: str,
-                    chunk: int = 4096) -> DataFrame:
+                    chunk: int = 4096, count_out: str | None = None) -> DataFrame:
     """Join ``text`` of each group in ``order`` with ``sep``, pre-joined in chunks.
 
     The first aggregation joins chunks of ``chunk`` consecutive positions with a
@@ -80,10 +106,12 @@ def concat_in_order(df: DataFrame, keys: list[str], order: str, text: str, sep:
     """
     part = (df.withColumn("_chunk", F.floor(F.col(order) / chunk))
             .groupBy(*keys, "_chunk")
-            .agg(F.min(order).alias("_first"),
+            .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_cnt"),
                  F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), F.col(text)))),
                                           lambda x: x[text]), sep).alias("_piece")))
-    return (part.groupBy(*keys)
-            .agg(F.min("_first").alias(order),
-                 F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_chunk", "_piece"))),
-                                          lambda x: x["_piece"]), sep).alias(out)))
+    aggs = [F.min("_first").alias(order),
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_chunk", "_piece"))),
+                                     lambda x: x["_piece"]), sep).alias(out)]
+    if count_out:
+        aggs.append(F.sum("_cnt").alias(count_out))
+    return part.groupBy(*keys).agg(*aggs)
