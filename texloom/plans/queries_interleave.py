@@ -1 +1,229 @@
-"""(filled in below)"""
+"""Interleaved text/figure queries (variants B, C, D and the normal form) and run
+operators over conversation turns."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import latex as L
+from ..functions import text as T
+from ..operators import assets as A
+from ..operators import figures as FG
+from ..operators import tokens as TK
+from . import fixtures as fx
+from .catalog import register
+from .queries_figures import FIELDS_SQL, FIGS_SQL
+from .queries_text import TOKENS_SQL
+from .sqlkit import clean_sql, q
+
+PID_NORM = "replace(paper_id, '.', '_')"
+BASENAME = "regexp_extract({x}, '([^/]*)$', 1)"
+
+
+def _name_sql(x: str, jpeg: bool) -> str:
+    base = f"{PID_NORM} || '_' || {BASENAME.format(x=x)}"
+    return f"regexp_replace({base}, '\\.[^./]*$', '') || '.jpeg'" if jpeg else base
+
+
+def _cap(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, {q(L.CAPTION_RE2)}) THEN regexp_extract({x}, {q(L.CAPTION_RE2)}, 1) END"
+
+
+def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = True, dedupe_names: bool = False,
+              dedupe_adjacent: bool = False) -> str:
+    """DuckDB CTEs ending in ``final(paper_id, tex_path, pos, kind, text, image_ref, name, caption, label)``:
+    the same items as ``operators.tokens.interleave``, built with windows over token rows."""
+    rules = T.CLEAN_RULES_FULL if clean == "full" else T.CLEAN_RULES_SHORT
+    cols = "paper_id, tex_path, c, sub"
+    parts = [
+        f"SELECT {cols}, 0 AS k, 'text' AS kind, {clean_sql('raw', rules)} AS text, NULL AS image_ref, "
+        "NULL AS name, NULL AS caption, NULL AS label FROM raw WHERE rkind = 'run'",
+        f"SELECT {cols}, 0, 'text', regexp_extract(raw, {q(L.SECTION)}, 1), NULL, NULL, NULL, NULL "
+        "FROM raw WHERE rkind = 'section'",
+    ]
+    img = f"regexp_extract(raw, {q(L.INCLUDEGRAPHICS)}, 1)"
+    lab = f"CASE WHEN regexp_matches(raw, {q(L.LABEL)}) THEN regexp_extract(raw, {q(L.LABEL)}, 1) END"
+    if figures == "figure":
+        parts.append(f"SELECT {cols}, 0, 'figure', NULL, nullif({img}, ''), NULL, {_cap('raw')}, {lab} "
+                     "FROM raw WHERE rkind = 'figure'")
+    elif figures == "first_image":
+        parts.append(f"SELECT {cols}, 0, 'figure', NULL, {img}, {_name_sql(img, False)}, {_cap('raw')}, {lab} "
+                     f"FROM raw WHERE rkind = 'figure' AND {img} <> ''")
+    elif figures == "images":
+        cat = "list_concat(" + ", ".join(f"regexp_extract_all(raw, {q(p)}, 1)"
+                                         for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX)) + ")"
+        imgs = f"list_filter({cat}, lambda x, i: x <> '' AND NOT list_contains({cat}[1:i-1], x))"
+        cap = f"CASE WHEN regexp_matches(raw, {q(L.CAPTION_RE2)}) THEN {clean_sql(_cap('raw'), T.CLEAN_RULES_FULL)} END"
+        parts.append(
+            f"SELECT {cols}, k, 'image', NULL, image_ref, {_name_sql('image_ref', True)}, cap, NULL FROM "
+            f"(SELECT {cols}, unnest({imgs}) AS image_ref, unnest(range(len({imgs}))) AS k, {cap} AS cap "
+            "FROM raw WHERE rkind = 'figure') fi")
+    if standalone:
+        sp = "regexp_extract(raw, '\\{([^{}]*)\\}$', 1)"
+        parts.append(f"SELECT {cols}, 0, 'image', NULL, {sp}, {_name_sql(sp, figures == 'images')}, NULL, NULL "
+                     "FROM raw WHERE rkind = 'image'")
+    ctes = [
+        "g AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER "
+        "(PARTITION BY paper_id, tex_path ORDER BY pos ROWS UNBOUNDED PRECEDING) AS c FROM ktoks)",
+        "raw AS (SELECT paper_id, tex_path, c, 1 AS sub, 'run' AS rkind, string_agg(token, '' ORDER BY pos) AS raw "
+        "FROM g WHERE kind = 'text' GROUP BY paper_id, tex_path, c "
+        "UNION ALL SELECT paper_id, tex_path, c, 0, kind, token FROM g WHERE kind <> 'text')",
+        "it0 AS (" + " UNION ALL ".join(parts) + ")",
+        "it1 AS (SELECT *, row_number() OVER (PARTITION BY paper_id, tex_path ORDER BY c, sub, k) AS ipos FROM it0 "
+        "WHERE NOT (kind = 'text' AND (text IS NULL OR text = '')))",
+    ]
+    cur = "it1"
+    if dedupe_names:
+        ctes.append(f"it2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, tex_path, "
+                    f"CASE WHEN kind = 'image' THEN name END ORDER BY ipos) AS rn FROM {cur}) "
+                    "WHERE kind <> 'image' OR rn = 1)")
+        cur = "it2"
+    if dedupe_adjacent:
+        ctes.append(f"it3 AS (SELECT * FROM (SELECT *, lag(kind) OVER w AS pk, lag(text) OVER w AS pt FROM {cur} "
+                    "WINDOW w AS (PARTITION BY paper_id, tex_path ORDER BY ipos)) "
+                    "WHERE NOT (kind = 'text' AND pk IS NOT NULL AND pk = 'text' AND pt = text))")
+        cur = "it3"
+    ctes += [
+        f"mm AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER (PARTITION BY paper_id, tex_path "
+        f"ORDER BY ipos ROWS UNBOUNDED PRECEDING) AS m FROM {cur})",
+        "merged AS (SELECT paper_id, tex_path, m, 1 AS sub2, 'text' AS kind, string_agg(text, ' ' ORDER BY ipos) AS text, "
+        "NULL AS image_ref, NULL AS name, NULL AS caption, NULL AS label FROM mm WHERE kind = 'text' "
+        "GROUP BY paper_id, tex_path, m UNION ALL SELECT paper_id, tex_path, m, 0, kind, text, image_ref, name, "
+        "caption, label FROM mm WHERE kind <> 'text')",
+        "final AS (SELECT paper_id, tex_path, row_number() OVER (PARTITION BY paper_id, tex_path ORDER BY m, sub2) - 1 "
+        "AS pos, kind, text, image_ref, name, caption, label FROM merged)",
+    ]
+    return ", ".join(ctes)
+
+
+def _items_query(select: str, extra_views=(), **policy) -> str:
+    base = fx.with_views("", "tex_docs", *extra_views).rstrip()
+    return f"{base}, {TOKENS_SQL}, {items_sql(**policy)} {select}"
+
+
+# ----------------------------------------------------------------- normal form
+@register("interleaved_items", _items_query(
+    "SELECT paper_id, tex_path, pos, kind, text, image_ref, caption, label FROM final"))
+def interleaved_items(spark, sf_dir):
+    """Every document as reading-order items: merged cleaned text, figures (first
+    image, raw caption, label) and stand-alone images."""
+    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"))
+    return TK.item_rows(docs).select("paper_id", "tex_path", "pos", "kind", "text", "image_ref", "caption", "label")
+
+
+# ----------------------------------------------------------------- B: three arrays
+B_POLICY = dict(clean="full", figures="images", standalone=True, dedupe_names=True)
+
+
+def arrays_record(items) -> F.Column:
+    """``{texts, images, captions}``: texts and images aligned (one NULL each), captions one per image."""
+    return F.to_json(F.struct(
+        F.transform(items, lambda x: x["text"]).alias("texts"),
+        F.transform(items, lambda x: x["name"]).alias("images"),
+        F.transform(F.filter(items, lambda x: x["kind"] == "image"), lambda x: x["caption"]).alias("captions")))
+
+
+@register("interleaved_arrays", _items_query(
+    "SELECT paper_id, tex_path, to_json(struct_pack(texts := list(text ORDER BY pos), "
+    "images := list(CASE WHEN kind = 'image' THEN name END ORDER BY pos), "
+    "captions := list(caption ORDER BY pos) FILTER (WHERE kind = 'image'))) AS record FROM final f "
+    "GROUP BY paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
+    "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.paper_id = f.paper_id AND x.tex_path = f.tex_path "
+    "AND x.kind = 'image' AND NOT EXISTS (SELECT 1 FROM members m WHERE m.paper_id = x.paper_id "
+    "AND m.member_path = x.image_ref))", extra_views=("members",), **B_POLICY))
+def interleaved_arrays(spark, sf_dir):
+    """Variant B: per document, texts/images/captions arrays; documents without images are not
+    written, and one missing image file drops the document."""
+    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
+    docs = docs.where(F.exists("items", lambda x: x["kind"] == "image"))
+    refs = docs.select("paper_id", "tex_path", F.explode(F.filter("items", lambda x: x["kind"] == "image"))
+                       .alias("it")).select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
+    ok = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep")
+    bad = ok.where(~F.col("resolved")).select("paper_id", "tex_path").distinct()
+    docs = docs.join(bad, ["paper_id", "tex_path"], "left_anti")
+    return docs.select("paper_id", "tex_path", arrays_record(F.col("items")).alias("record"))
+
+
+# ----------------------------------------------------------------- C: mixed JSON list
+C_POLICY = dict(clean="short", figures="first_image", standalone=False, dedupe_adjacent=True)
+
+
+def mixed_list_json(items) -> F.Column:
+    """``["text", ["FIGURE:", "name"], ...]`` as JSON text (a mixed array has no Spark type)."""
+    frag = F.transform(items, lambda x: F.when(x["kind"] == "text", F.regexp_replace(
+        F.to_json(F.array(x["text"])), r"^\[|\]$", "")).otherwise(F.to_json(F.array(F.lit("FIGURE:"), x["name"]))))
+    return F.concat(F.lit("["), F.array_join(frag, ","), F.lit("]"))
+
+
+@register("interleaved_list", _items_query(
+    "SELECT paper_id, tex_path, '[' || string_agg(CASE WHEN kind = 'text' THEN to_json(text) "
+    "ELSE to_json(['FIGURE:', name]) END, ',' ORDER BY pos) || ']' AS record FROM final "
+    "GROUP BY paper_id, tex_path", **C_POLICY))
+def interleaved_list(spark, sf_dir):
+    """Variant C: per document, a JSON list of texts (short chain, adjacent duplicates dropped,
+    runs merged) and ``["FIGURE:", name]`` pairs; empty documents are not written."""
+    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **C_POLICY)
+    docs = docs.where(F.size("items") > 0)
+    return docs.select("paper_id", "tex_path", mixed_list_json(F.col("items")).alias("record"))
+
+
+# ----------------------------------------------------------------- D: segments + figures
+@register("interleaved_segments", fx.with_views("", "tex_docs", "members").rstrip() + (
+    f", figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}), "
+    "ord AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index FROM ff), "
+    "okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND EXISTS (SELECT 1 FROM members m "
+    "WHERE m.paper_id = o.paper_id AND m.member_path = o.image_ref)), "
+    "segs AS (SELECT paper_id, tex_path, unnest(s) AS text, unnest(range(len(s))) AS seg FROM "
+    "(SELECT paper_id, tex_path, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
+    "FROM tex_docs) x) "
+    "SELECT s.paper_id, s.tex_path, s.seg, regexp_replace(s.text, '^\\s+|\\s+$', '', 'g') AS text, "
+    "CASE WHEN f.fig_index IS NOT NULL THEN replace(s.paper_id, '.', '_') || '_' || cast(f.fig_index AS string) "
+    "|| '.png' END AS image, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_label THEN f.label ELSE '' END "
+    "AS label, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_caption THEN f.caption ELSE '' END AS caption "
+    "FROM segs s LEFT JOIN okf f ON f.paper_id = s.paper_id AND f.tex_path = s.tex_path AND f.pos = s.seg"))
+def interleaved_segments(spark, sf_dir):
+    """Variant D's ``full`` list, per document: text segments between figures, each followed by
+    its figure's image/label/caption when the figure has an image whose file exists."""
+    docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
+    segs = TK.split_on_figures(docs)
+    figs = FG.figure_fields(FG.extract_figures(docs)).select(
+        "paper_id", "tex_path", "pos", "image_ref", "caption", "has_caption", "label", "has_label")
+    figs = A.figure_ordinal(figs)
+    figs = A.resolve_assets(FG.require_image(figs), fx.members(spark, sf_dir), policy="drop")
+    figs = figs.select("paper_id", "tex_path", "pos",
+                       A.asset_name_indexed("paper_id", "fig_index").alias("image"),
+                       F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
+                       F.when(F.col("has_caption"), F.col("caption")).otherwise(F.lit("")).alias("caption"))
+    return TK.zip_segments(segs, figs).select("paper_id", "tex_path", "seg", "text", "image", "label", "caption")
+
+
+# ----------------------------------------------------------------- runs over conversation turns
+SIDE_SQL = "CASE WHEN role = 'assistant' THEN 'response' ELSE 'prompt' END"
+
+
+def _turns(spark, sf_dir, *cols):
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", *cols)
+    return c.withColumn("side", F.expr(SIDE_SQL))
+
+
+@register("adjacent_dedupe",
+          "SELECT conv_id, turn, side FROM (SELECT conv_id, turn, side, lag(side) OVER "
+          f"(PARTITION BY conv_id ORDER BY turn) AS prev FROM (SELECT *, {SIDE_SQL} AS side FROM conversations) s) c "
+          "WHERE prev IS NULL OR prev <> side")
+def adjacent_dedupe(spark, sf_dir):
+    """Drop a turn whose side (prompt: system/user, response: assistant) equals the previous turn's."""
+    c = _turns(spark, sf_dir).select("conv_id", "turn", "side")
+    return TK.dedupe_adjacent_text(c, ["conv_id"], ["turn"], "side")
+
+
+@register("merge_adjacent_text",
+          "SELECT conv_id, run, side, min(turn) AS first_turn, count(*) AS n_items, "
+          "string_agg(text, ' ' ORDER BY turn) AS text FROM (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> side "
+          "THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM "
+          "(SELECT conv_id, turn, side, text, lag(side) OVER (PARTITION BY conv_id ORDER BY turn) AS prev "
+          f"FROM (SELECT *, {SIDE_SQL} AS side FROM conversations) s) a) b GROUP BY conv_id, run, side")
+def merge_adjacent_text(spark, sf_dir):
+    """Consecutive turns of the same side merged into one text, in turn order (gaps and islands)."""
+    c = _turns(spark, sf_dir, "text")
+    return TK.merge_adjacent_text(c, ["conv_id"], "turn", "text", "side").select(
+        "conv_id", "run", "side", "first_turn", "n_items", "text")
