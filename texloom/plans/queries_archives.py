@@ -1 +1,102 @@
-"""(filled in below)"""
+"""Archive queries: members, errors, decoded ``.tex``, the figure plan from archives,
+incremental ingestion, input listing."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources import archives as S
+from ..streaming.ingest import ingest_incremental
+from . import archive_fixture as AF
+from . import fixtures as fx
+from . import variants as V
+from .catalog import register
+from .queries_figures import FIELDS_SQL, FIGS_SQL
+
+ARCH_SQL = AF.ARCHIVE_PATH
+DOCS_SQL = f"SELECT *, {ARCH_SQL} AS archive FROM ({fx.TEX_DOCS_SQL}) t"
+
+
+def _members(spark, sf_dir):
+    return S.with_paper_id(S.expand_archive(AF.packed_archives(spark, sf_dir)))
+
+
+@register("archive_members", (
+    f"WITH d AS ({DOCS_SQL}), f AS (SELECT archive, doc_id, tex_path AS member_path, strlen(content) + "
+    f"CASE WHEN {AF.BAD_UTF8} THEN 1 ELSE 0 END AS length FROM d "
+    + "".join(f"UNION ALL SELECT archive, doc_id, {p}, 4 + strlen({p}) FROM d WHERE {c} " for c, p in AF.DOC_FILES)
+    + f") SELECT archive, member_path, length FROM f WHERE NOT ({AF.BROKEN_TAR})"))
+def archive_members(spark, sf_dir):
+    """Every archive expanded into its member files (path and size)."""
+    m = S.expand_archive(AF.packed_archives(spark, sf_dir))
+    return m.where(F.col("error").isNull()).select("archive", "member_path", "length")
+
+
+@register("archive_errors", (
+    f"WITH d AS ({DOCS_SQL}) SELECT paper_id, 'expand' AS stage, archive AS path FROM d WHERE {AF.BROKEN_TAR} "
+    f"UNION ALL SELECT paper_id, 'decode', archive || '!' || tex_path FROM d WHERE {AF.BAD_UTF8}"))
+def archive_errors(spark, sf_dir):
+    """The errors table: archives that are not tars and ``.tex`` files that are not UTF-8."""
+    m = _members(spark, sf_dir)
+    return S.errors_of(m, S.read_tex(m)).select("paper_id", "stage", "path")
+
+
+@register("failed_archives", f"WITH d AS ({DOCS_SQL}) SELECT archive FROM d WHERE {AF.BROKEN_TAR}")
+def failed_archives(spark, sf_dir):
+    """Distinct archives that could not be opened."""
+    m = _members(spark, sf_dir)
+    return S.failed_archives(S.errors_of(m, S.read_tex(m)))
+
+
+@register("archive_tex", (
+    f"WITH d AS ({DOCS_SQL}) SELECT paper_id, archive, tex_path, content FROM d "
+    f"WHERE NOT ({AF.BROKEN_TAR}) AND NOT ({AF.BAD_UTF8})"))
+def archive_tex(spark, sf_dir):
+    """``.tex`` members decoded (strict UTF-8, universal newlines); undecodable ones excluded."""
+    return S.read_tex(_members(spark, sf_dir)).where(F.col("content").isNotNull())
+
+
+PAIRS_FROM_ARCHIVES_SQL = (
+    f"WITH tex_docs AS (SELECT * FROM ({fx.TEX_DOCS_SQL}) t WHERE NOT ({AF.BROKEN_TAR}) AND NOT ({AF.BAD_UTF8})), "
+    f"members AS ({fx.MEMBERS_SQL}), figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}) "
+    "SELECT f.paper_id, f.tex_path, f.pos, replace(f.paper_id, '.', '_') || '_' || "
+    "regexp_extract(f.image_ref, '([^/]*)$', 1) AS image_filename, f.caption FROM ff f "
+    "WHERE f.image_ref <> '' AND f.has_caption AND length(f.caption) > 0 "
+    "AND EXISTS (SELECT 1 FROM members m WHERE m.paper_id = f.paper_id AND m.member_path = f.image_ref)")
+
+
+@register("archive_figure_pairs", PAIRS_FROM_ARCHIVES_SQL)
+def archive_figure_pairs(spark, sf_dir):
+    """Variant A end to end from archives: expand, decode, figures, captions, file check, names."""
+    members = V.expand_members(AF.packed_archives(spark, sf_dir))
+    return V.figure_caption_records(members).select("paper_id", "tex_path", "pos", "image_filename", "caption")
+
+
+@register("ingest_incremental", PAIRS_FROM_ARCHIVES_SQL)
+def ingest_incremental_query(spark, sf_dir):
+    """The archive plan as an available-now stream, run twice: v1 archives first, then v2
+    archives added later; the second run takes only the new files."""
+    root = AF.shared_scratch(spark, "ingest")
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    packed = AF.packed_archives(spark, sf_dir)
+
+    def process(batch):
+        members = V.expand_members(batch, checkpoint=False)
+        return V.figure_caption_records(members).select("paper_id", "tex_path", "pos", "image_filename", "caption")
+
+    for version in ("v1", "v2"):
+        AF.write_archive_files(packed.where(F.col("path").endswith(f"{version}.tar.gz")), src)
+        ingest_incremental(spark, src, out, ckpt, process)
+    return spark.read.parquet(out).drop("batch")
+
+
+@register("count_inputs", "SELECT count(*) AS n_inputs FROM documents")
+def count_inputs(spark, sf_dir):
+    """Number of listed input archives."""
+    return AF.packed_archives(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_inputs"))
+
+
+@register("limit_inputs", f"WITH d AS ({DOCS_SQL}) SELECT archive AS path FROM d ORDER BY path LIMIT 500")
+def limit_inputs(spark, sf_dir):
+    """The first 500 input archives by path (the reference's listing cap, made deterministic)."""
+    return S.limit_inputs(AF.packed_archives(spark, sf_dir).select("path"), 500)
