@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import latex as L
+from .rows import explode_pos
 
 
 def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] = ("paper_id", "tex_path"),
                     pos: str = "pos", body: str = "body") -> DataFrame:
     """``(keep..., pos, body)``: every figure environment, ``pos`` 0-based in document order."""
-    return (docs.select(*keep, F.posexplode(L.figure_bodies(content)).alias(pos, body))
-            .withColumn(pos, F.col(pos).cast("long")))
+    return explode_pos(docs, keep, L.figure_bodies(content), pos, body)
 
 
 def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 SLICE = "_slice"
 
 
@@ -25,9 +27,15 @@ def _n_slices(df: DataFrame, n: int | None) -> int:
 def sliced(df: DataFrame, keys: list[str], order: list[str], n: int | None = None) -> DataFrame:
     """Range-partition on ``keys + order`` and tag each row with its slice id.
 
-    Rows of one group are contiguous in order across consecutive slices.
+    Rows of one group are contiguous in order across consecutive slices. The
+    result is checkpointed: every helper reads it twice (per-row window and
+    per-slice totals), and range bounds come from sampling, so two separate
+    evaluations above a shuffle could cut slices differently. A checkpoint fixes
+    the slice of every row once, and a lost executor re-reads it instead of
+    re-running the plan above.
     """
-    return df.repartitionByRange(_n_slices(df, n), *keys, *order).withColumn(SLICE, F.spark_partition_id())
+    return materialize(df.repartitionByRange(_n_slices(df, n), *keys, *order)
+                       .withColumn(SLICE, F.spark_partition_id()))
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | Column, out: str,

@@ -19,6 +19,7 @@ from ..functions import latex as L
 from ..functions import text as T
 from . import ordered
 from .assets import asset_name_prefixed
+from .rows import explode_pos
 
 NUL = "\x00"
 ITEM_FIELDS = ("kind", "text", "image_ref", "name", "caption", "label")
@@ -28,9 +29,7 @@ ITEM_FIELDS = ("kind", "text", "image_ref", "name", "caption", "label")
 def token_rows(docs: DataFrame, content: str = "content", keep=("paper_id", "tex_path")) -> DataFrame:
     """``(keep..., pos, token, kind)``: the document body tiled into tokens."""
     body = T.document_body(content)
-    return (docs.select(*keep, F.posexplode(L.tokens(body)).alias("pos", "token"))
-            .withColumn("pos", F.col("pos").cast("long"))
-            .withColumn("kind", L.token_kind(F.col("token"))))
+    return explode_pos(docs, keep, L.tokens(body), "pos", "token").withColumn("kind", L.token_kind(F.col("token")))
 
 
 def concat_tex(docs: DataFrame, keys=("paper_id",), path: str = "tex_path", content: str = "content") -> DataFrame:
@@ -51,11 +50,21 @@ def _item(kind, text=None, image_ref=None, name=None, caption=None, label=None)
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v).cast("string")).alias(k) for k, v in vals.items()])
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` (a one-element ``transform``).
+
+    Catalyst inlines a column defined by ``withColumn`` at every place it is
+    used; used inside a lambda it would be recomputed per element. A lambda
+    variable is evaluated once, so each stage below binds its input this way.
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def _raw_parts(body: Column) -> Column:
     """Alternating raw text runs (even index) and structural tokens (odd index)."""
-    marked = F.transform(L.tokens(body), lambda t: F.when(L.token_kind(t) == "text", t)
-                         .otherwise(F.concat(F.lit(NUL), t, F.lit(NUL))))
-    return F.split(F.array_join(marked, ""), NUL, -1)
+    return let(L.tokens(body), lambda toks: F.split(F.array_join(F.transform(
+        toks, lambda t: F.when(L.token_kind(t) == "text", t).otherwise(F.concat(F.lit(NUL), t, F.lit(NUL)))), ""),
+        NUL, -1))
 
 
 def _nz(c: Column) -> Column:
@@ -78,8 +87,8 @@ def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: b
                        lambda x: x["image_ref"] != "")
     elif figures == "images":
         clean_cap = F.when(L.has_caption(p), T.clean_text(L.caption(p), "full"))
-        fig = F.transform(L.all_images(p), lambda img: _item(
-            F.lit("image"), image_ref=img, name=asset_name_prefixed(paper_id, img, jpeg=True), caption=clean_cap))
+        fig = let(clean_cap, lambda cc: F.transform(L.all_images(p), lambda img: _item(
+            F.lit("image"), image_ref=img, name=asset_name_prefixed(paper_id, img, jpeg=True), caption=cc)))
     else:
         raise ValueError(figures)
     img_path = L.image_token_path(p)
@@ -99,14 +108,31 @@ def merge_text_items(items: Column) -> Column:
 
     Encodes the array as one string (texts inline, other items as their index
     between NUL marks), splits it, and rebuilds the items: linear in the items.
+    ``items`` should be a lambda variable (see ``let``): it is read per element.
     """
     enc = F.array_join(F.transform(items, lambda x, i: F.when(x["kind"] == "text", F.concat(F.lit(" "), x["text"]))
                                    .otherwise(F.concat(F.lit(NUL), i.cast("string"), F.lit(NUL)))), "")
-    parts = F.split(enc, NUL, -1)
-    rebuilt = F.transform(parts, lambda p, j: F.when(
+    return F.flatten(F.transform(F.split(enc, NUL, -1), lambda p, j: F.when(
         j % 2 == 0, F.filter(F.array(_item(F.lit("text"), text=F.substr(p, F.lit(2)))), lambda _: p != ""))
-        .otherwise(F.array(F.element_at(items, p.cast("int") + 1))))
-    return F.flatten(rebuilt)
+        .otherwise(F.array(F.element_at(items, p.cast("int") + 1)))))
+
+
+def _drop_empty_text(items: Column) -> Column:
+    return F.filter(items, lambda x: ~((x["kind"] == "text") & (x["text"].isNull() | (x["text"] == ""))))
+
+
+def _first_per_name(items: Column) -> Column:
+    """Keep the first image item per output name."""
+    return let(F.transform(items, lambda x: x["name"]), lambda names: F.filter(
+        items, lambda x, i: (x["kind"] != "image") | (F.array_position(names, x["name"]) == i + 1)))
+
+
+def _drop_adjacent_duplicates(items: Column) -> Column:
+    """Drop a text item equal to the item just before it (compared with the input, so a run of n leaves 1)."""
+    def prev(i):
+        return F.element_at(items, F.greatest(i, F.lit(1)))
+    return F.filter(items, lambda x, i: ~((i > 0) & (x["kind"] == "text") & (prev(i)["kind"] == "text")
+                                          & (prev(i)["text"] == x["text"])))
 
 
 def interleave(docs: DataFrame, content: str = "content", paper_id: str = "paper_id", clean: str = "full",
@@ -122,29 +148,29 @@ def interleave(docs: DataFrame, content: str = "content", paper_id: str = "paper
     items; ``dedupe_names`` keeps the first image per output name;
     ``dedupe_adjacent`` drops a text equal to the text just before it. Empty
     texts are dropped, then adjacent texts are merged with a space.
+
+    Each document is processed inside its own row: no shuffle.
     """
     body = F.regexp_replace(T.document_body(content), NUL, "")
     pid = F.col(paper_id)
-    df = docs.withColumn("_parts", _raw_parts(body))
-    df = df.withColumn("_items", F.flatten(F.transform(
-        "_parts", lambda p, i: _items_of_part(p, i, clean, figures, standalone, pid))))
-    df = df.withColumn("_items", F.filter("_items", lambda x: ~((x["kind"] == "text")
-                                                               & (x["text"].isNull() | (x["text"] == "")))))
+    raw = F.flatten(F.transform(_raw_parts(body), lambda p, i: _items_of_part(p, i, clean, figures, standalone, pid)))
+    stages = [_drop_empty_text]
     if dedupe_names:
-        names = F.transform("_items", lambda x: x["name"])
-        df = df.withColumn("_items", F.filter("_items", lambda x, i: (x["kind"] != "image")
-                                              | (F.array_position(names, x["name"]) == i + 1)))
+        stages.append(_first_per_name)
     if dedupe_adjacent:
-        prev = lambda i: F.element_at(F.col("_items"), F.greatest(i, F.lit(1)))
-        df = df.withColumn("_items", F.filter("_items", lambda x, i: ~(
-            (i > 0) & (x["kind"] == "text") & (prev(i)["kind"] == "text") & (prev(i)["text"] == x["text"]))))
-    return df.withColumn(out, merge_text_items(F.col("_items"))).drop("_parts", "_items")
+        stages.append(_drop_adjacent_duplicates)
+    stages.append(merge_text_items)
+
+    def run(value: Column, rest: list) -> Column:
+        return value if not rest else let(value, lambda v: run(rest[0](v), rest[1:]))
+
+    return docs.withColumn(out, run(raw, stages))
 
 
 def item_rows(df: DataFrame, keep=("paper_id", "tex_path"), items: str = "items") -> DataFrame:
     """One row per item with its 0-based position."""
-    return (df.select(*keep, F.posexplode(items).alias("pos", "_it"))
-            .select(*keep, F.col("pos").cast("long").alias("pos"), *[F.col("_it")[f].alias(f) for f in ITEM_FIELDS]))
+    rows = explode_pos(df, keep, F.col(items), "pos", "_it")
+    return rows.select(*keep, "pos", *[F.col("_it")[f].alias(f) for f in ITEM_FIELDS])
 
 
 # ----------------------------------------------------------------- segments (variant D)
@@ -153,8 +179,8 @@ FIGURE_SPAN = r"(?s)\\begin\{figure\}.*?\\end\{figure\}"
 
 def split_on_figures(docs: DataFrame, content: str = "content", keep=("paper_id", "tex_path")) -> DataFrame:
     """Text between figures, outer whitespace stripped: ``(keep..., seg, text)``; n figures give n+1 segments."""
-    return (docs.select(*keep, F.posexplode(F.split(F.col(content), FIGURE_SPAN, -1)).alias("seg", "text"))
-            .select(*keep, F.col("seg").cast("long").alias("seg"), T.strip_ws("text").alias("text")))
+    segs = explode_pos(docs, keep, F.split(F.col(content), FIGURE_SPAN, -1), "seg", "text")
+    return segs.select(*keep, "seg", T.strip_ws("text").alias("text"))
 
 
 def zip_segments(segments: DataFrame, figures: DataFrame, keys=("paper_id", "tex_path")) -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import latex as L
 from ..functions.text import asset_kind, clean_text, paper_id_normalize, rewrite_extension
 from ..operators import assets as A
 from ..operators import figures as FG
+from ..operators.rows import explode_pos, explode_values
 from . import fixtures as fx
 from .catalog import register
 from .sqlkit import clean_sql, q
@@ -127,9 +128,9 @@ def figure_images_all(spark, sf_dir):
     """Variant B's figure images: every image command of a figure, distinct, named
     ``{id}_{stem}.jpeg``, first per output name in a document, caption cleaned (NULL when absent)."""
     figs = FG.figure_all_images(_figures(spark, sf_dir))
-    imgs = figs.select("paper_id", "tex_path", "pos", "caption", "has_caption",
-                       F.posexplode("image_refs").alias("img_pos", "image_ref"))
-    imgs = imgs.withColumn("img_pos", F.col("img_pos").cast("long")).withColumn(
+    imgs = explode_pos(figs, ["paper_id", "tex_path", "pos", "caption", "has_caption"], F.col("image_refs"),
+                       "img_pos", "image_ref")
+    imgs = imgs.withColumn(
         "out_name", A.asset_name_prefixed("paper_id", "image_ref", jpeg=True))
     imgs = A.dedupe_output_images(imgs.select("paper_id", "tex_path", "pos", "img_pos", "image_ref", "out_name",
                                               "caption", "has_caption"))
@@ -151,9 +152,9 @@ def docs_all_assets_present(spark, sf_dir):
     """Variant B's all-or-nothing rule: documents whose every image reference resolves,
     with the number of references."""
     docs = fx.tex_docs(spark, sf_dir)
-    refs = docs.select("paper_id", "tex_path", F.explode(F.concat(
+    refs = explode_values(docs, ["paper_id", "tex_path"], F.concat(
         *[F.regexp_extract_all("content", F.lit("(?s)" + p), F.lit(1)) for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX)]
-    )).alias("image_ref"))
+    ), "image_ref")
     ok_refs = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="all_or_nothing")
     counts = ok_refs.groupBy("paper_id", "tex_path").agg(F.count("image_ref").alias("n_refs"))
     bad = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep").where(~F.col("resolved")) \

@@ -10,6 +10,8 @@ from ..functions import text as T
 from ..operators import assets as A
 from ..operators import figures as FG
 from ..operators import tokens as TK
+from ..operators.rows import explode_values
+from ..session import materialize
 from . import fixtures as fx
 from .catalog import register
 from .queries_figures import FIELDS_SQL, FIGS_SQL
@@ -135,9 +137,10 @@ def interleaved_arrays(spark, sf_dir):
     """Variant B: per document, texts/images/captions arrays; documents without images are not
     written, and one missing image file drops the document."""
     docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
-    docs = docs.where(F.exists("items", lambda x: x["kind"] == "image"))
-    refs = docs.select("paper_id", "tex_path", F.explode(F.filter("items", lambda x: x["kind"] == "image"))
-                       .alias("it")).select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
+    # The items feed both the file check and the output: computed once, lineage cut.
+    docs = materialize(docs.where(F.exists("items", lambda x: x["kind"] == "image")))
+    refs = explode_values(docs, ["paper_id", "tex_path"], F.filter("items", lambda x: x["kind"] == "image"), "it")
+    refs = refs.select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
     ok = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep")
     bad = ok.where(~F.col("resolved")).select("paper_id", "tex_path").distinct()
     docs = docs.join(bad, ["paper_id", "tex_path"], "left_anti")

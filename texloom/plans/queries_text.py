@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import latex as L
 from ..functions import text as T
 from ..operators import tokens as TK
-from ..operators import ordered
+from ..operators.rows import explode_pos
 from . import fixtures as fx
 from .catalog import register
 from .sqlkit import clean_sql, q
@@ -97,8 +97,8 @@ def page_keys(spark, sf_dir):
 def strip_braces(spark, sf_dir):
     """Image arguments as written (``{path}``) with the braces stripped."""
     args = F.regexp_extract_all("content", F.lit(r"\\includegraphics" + L._OPT + r"(\{[^{}]*\})"), F.lit(1))
-    d = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", F.posexplode(args).alias("pos", "arg"))
-    return d.select("paper_id", "tex_path", "arg", F.col("pos").cast("long").alias("pos"),
+    d = explode_pos(fx.tex_docs(spark, sf_dir), ["paper_id", "tex_path"], args, "pos", "arg")
+    return d.select("paper_id", "tex_path", "arg", "pos",
                     T.strip_braces("arg").alias("path"))
 
 
