@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_balanced
+
 BS = "chr(92)"
 NL = "chr(10)"
 
@@ -72,7 +74,7 @@ def _base_cols() -> list[str]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_balanced(spark, f"{sf_dir}/documents.parquet")
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:

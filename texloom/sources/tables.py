@@ -1,0 +1,35 @@
+"""Reading the input tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _row_groups(files: list[str]) -> int:
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+    total = 0
+    for f in files:
+        if f.startswith("file:") and not f.startswith("file://"):
+            f = "file://" + f[len("file:"):]
+        filesystem, path = pafs.FileSystem.from_uri(f)
+        with filesystem.open_input_file(path) as fh:
+            total += pq.ParquetFile(fh).metadata.num_row_groups
+    return total
+
+
+def read_balanced(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, spread over all cores when its layout cannot be.
+
+    A scan task reads whole row groups, so a table with fewer row groups than
+    cores leaves cores idle for the CPU-heavy per-document work (regex, archive
+    codecs). Only then are rows dealt round-robin to one partition per core (a
+    small shuffle of a small table). A large table has more files than cores and
+    is returned as scanned: no shuffle.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= cores or _row_groups(files) >= cores:
+        return df
+    return df.repartition(cores)
