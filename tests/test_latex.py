@@ -39,6 +39,14 @@ def test_too_deep_caption_goes_to_errors(spark):
     assert rows.first().caption == ""
 
 
+def test_strip_comments_option(spark):
+    tex = "% \\begin{figure}\\includegraphics{c.png}\\end{figure}\n50\\% \\begin{figure}\\includegraphics{k.png}\\end{figure}"
+    d = docs(spark, tex)
+    assert FG.extract_figures(d).count() == 2
+    kept = FG.figure_fields(FG.extract_figures(d, strip_comments=True)).collect()
+    assert [r.image_ref for r in kept] == ["k.png"]
+
+
 def test_figure_star_and_missing_parts(spark):
     tex = (r"\begin{figure*}\includegraphics{w.png}\end{figure*}"
            r"\begin{figure}\caption{no image}\end{figure}"

@@ -63,6 +63,15 @@ TOKEN = "(?s)" + TOKEN_RE2
 
 
 # ---------------------------------------------------------------- columns
+COMMENT = r"(?m)(?<!\\)%.*$"
+
+
+def strip_comments(content) -> Column:
+    """Drop ``%`` comments (an escaped ``\\%`` stays), so a commented-out figure is
+    not extracted. Optional: the reference's parser behaviour here is not pinned down."""
+    return F.regexp_replace(col(content), COMMENT, "")
+
+
 def figure_bodies(content) -> Column:
     """Bodies of all ``figure`` environments (not ``figure*``), in order."""
     return F.regexp_extract_all(col(content), lit_re(FIGURE), F.lit(1))

@@ -14,9 +14,11 @@ from .rows import explode_pos
 
 
 def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] = ("paper_id", "tex_path"),
-                    pos: str = "pos", body: str = "body") -> DataFrame:
-    """``(keep..., pos, body)``: every figure environment, ``pos`` 0-based in document order."""
-    return explode_pos(docs, keep, L.figure_bodies(content), pos, body)
+                    pos: str = "pos", body: str = "body", strip_comments: bool = False) -> DataFrame:
+    """``(keep..., pos, body)``: every figure environment, ``pos`` 0-based in document order.
+    ``strip_comments`` removes ``%`` comments first (off by default)."""
+    text = L.strip_comments(content) if strip_comments else F.col(content)
+    return explode_pos(docs, keep, L.figure_bodies(text), pos, body)
 
 
 def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:
