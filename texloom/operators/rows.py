@@ -24,3 +24,14 @@ def explode_pos(df: DataFrame, keep, arr: Column, pos: str = "pos", value: str =
 def explode_values(df: DataFrame, keep, arr: Column, value: str = "value") -> DataFrame:
     """``(keep..., value)``: one row per element (NULL elements kept)."""
     return explode_pos(df, keep, arr, "_pos", value).drop("_pos")
+
+
+def where_computed(df: DataFrame, keep, value: Column, name: str, cond) -> DataFrame:
+    """``(keep..., name)`` for the rows where ``cond(value)`` holds, computing ``value`` once.
+
+    A plain ``withColumn(name, value).where(cond)`` is rewritten by Catalyst into
+    a filter evaluated below the projection, which computes ``value`` a second
+    time. Here the test runs on a zero-or-one element array and the row is
+    produced by a generator, which the filter cannot pass.
+    """
+    return explode_pos(df, keep, F.filter(F.array(value), cond), "_keep", name).drop("_keep")

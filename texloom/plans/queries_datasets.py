@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import assets as A
 from ..operators import datasets as D
 from ..operators import tokens as TK
-from ..operators.rows import explode_values
+from ..operators.rows import explode_values, where_computed
 from ..session import materialize
 from . import fixtures as fx
 from .catalog import register
@@ -60,7 +60,8 @@ def append_arrays(spark, sf_dir):
     """Variant B's append: a paper's arrays from its first file, extended by its second file."""
     docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
     # The items feed both the file check and the output: computed once, lineage cut.
-    docs = materialize(docs.where(F.exists("items", lambda x: x["kind"] == "image")))
+    docs = materialize(where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items",
+                                      lambda it: F.exists(it, lambda x: x["kind"] == "image")))
     refs = explode_values(docs, ["paper_id", "tex_path"], F.filter("items", lambda x: x["kind"] == "image"), "it")
     refs = refs.select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
     bad = (A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep").where(~F.col("resolved"))

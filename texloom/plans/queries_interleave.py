@@ -10,7 +10,7 @@ from ..functions import text as T
 from ..operators import assets as A
 from ..operators import figures as FG
 from ..operators import tokens as TK
-from ..operators.rows import explode_values
+from ..operators.rows import explode_values, where_computed
 from ..session import materialize
 from . import fixtures as fx
 from .catalog import register
@@ -138,7 +138,8 @@ def interleaved_arrays(spark, sf_dir):
     written, and one missing image file drops the document."""
     docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
     # The items feed both the file check and the output: computed once, lineage cut.
-    docs = materialize(docs.where(F.exists("items", lambda x: x["kind"] == "image")))
+    docs = materialize(where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items",
+                                      lambda it: F.exists(it, lambda x: x["kind"] == "image")))
     refs = explode_values(docs, ["paper_id", "tex_path"], F.filter("items", lambda x: x["kind"] == "image"), "it")
     refs = refs.select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
     ok = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep")
@@ -166,8 +167,8 @@ def interleaved_list(spark, sf_dir):
     """Variant C: per document, a JSON list of texts (short chain, adjacent duplicates dropped,
     runs merged) and ``["FIGURE:", name]`` pairs; empty documents are not written."""
     docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **C_POLICY)
-    docs = docs.where(F.size("items") > 0)
-    return docs.select("paper_id", "tex_path", mixed_list_json(F.col("items")).alias("record"))
+    return where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items", lambda it: F.size(it) > 0) \
+        .select("paper_id", "tex_path", mixed_list_json(F.col("items")).alias("record"))
 
 
 # ----------------------------------------------------------------- D: segments + figures
