@@ -1,0 +1,49 @@
+"""End-to-end runs of the five variants from an archive folder, with resume."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from texloom.plans import archive_fixture as AF
+from texloom.plans import variants as V
+from texloom.plans.queries_archives import archive_figure_pairs
+
+from .conftest import SF_SMALL
+
+
+def test_variant_runs_and_resume(spark, scratch):
+    root = scratch + "/raw"
+    packed = AF.packed_archives(spark, SF_SMALL)
+    AF.write_archive_files(packed, root)
+
+    V.run_figure_captions(spark, root, scratch + "/A", match="path", n_buckets=4)
+    a = spark.read.parquet(scratch + "/A/figures")
+    expected = archive_figure_pairs(spark, SF_SMALL).count()
+    assert a.count() == expected > 0
+    assets = spark.read.parquet(scratch + "/A/assets")
+    assert assets.select("out_name").distinct().count() == a.select("image_filename").distinct().count()
+    errors = spark.read.parquet(scratch + "/A/errors")
+    assert set(r.stage for r in errors.collect()) <= {"expand", "decode"} and errors.count() > 0
+    V.run_figure_captions(spark, root, scratch + "/A", match="path", n_buckets=4)   # rerun: nothing new
+    assert spark.read.parquet(scratch + "/A/figures").count() == expected
+
+    V.run_labeled_figures(spark, root, scratch + "/E", n_buckets=4)
+    e = spark.read.parquet(scratch + "/E/papers")
+    assert e.count() > 0 and e.where(F.exists("records", lambda r: r["image_filename"].isNull())).count() > 0
+
+    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4)
+    b = spark.read.parquet(scratch + "/B/papers").collect()
+    for r in b:
+        assert len(r.texts) == len(r.images)
+        assert len(r.captions) == sum(x is not None for x in r.images)
+
+    V.run_interleaved_lists(spark, root, scratch + "/C", glob="*.tar.gz", n_buckets=4)
+    c = spark.read.parquet(scratch + "/C/documents").collect()
+    assert c and all(isinstance(json.loads(r.record), list) for r in c)
+
+    V.run_interleaved_full(spark, root, scratch + "/D", n_buckets=4)
+    d = spark.read.parquet(scratch + "/D/papers").collect()
+    first = json.loads(d[0].full)
+    assert "text" in first[0] and all(set(x) in ({"text"}, {"image", "label", "caption"}) for x in first)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings for a local run. On a cluster size ``spark.sql.shuffle.partitions``
@@ -64,12 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
 
-    Used after the expensive Python step (archive expansion) so that later
-    stages and lost executors never re-run it. Without a checkpoint folder the
-    frame is returned unchanged (recomputed on reuse, still correct).
+    Used after the expensive Python step (archive expansion) and wherever a
+    frame is read twice and must give the same rows both times. Without a
+    checkpoint folder the frame is persisted (memory, then disk) and counted
+    once: both readers see the same blocks, and a lost block is rebuilt from the
+    same shuffle output.
     """
     if ensure_checkpoint_dir(df.sparkSession) is None:
-        return df
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+        return kept
     return df.checkpoint(eager=True)
 
 
