@@ -25,7 +25,7 @@ BINARY_FILE_STRUCT = T.StructType([
 
 def ingest_incremental(spark: SparkSession, source_dir: str, output_dir: str, checkpoint_dir: str,
                        process: Callable[[DataFrame], DataFrame], glob: str = "*.gz",
-                       max_files_per_batch: int = 1000, fmt: str = "parquet") -> int:
+                       max_files_per_batch: int = 10000, fmt: str = "parquet") -> int:
     """Run ``process`` over archives in ``source_dir`` that earlier runs did not take.
 
     Returns the number of micro-batches run.
