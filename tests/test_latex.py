@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from texloom.operators import figures as FG
 from texloom.operators import tokens as TK
 
-BS = "\\"
-
-
 def docs(spark, *contents):
     return spark.createDataFrame([("2301.00001", f"d{i}.tex", c) for i, c in enumerate(contents)],
                                  "paper_id string, tex_path string, content string")
@@ -120,4 +115,3 @@ def test_tokens_tile_the_body(spark):
     kinds = [(r.kind, r.token) for r in rows if r.kind != "text"]
     assert kinds == [("section", r"\section{T}"), ("image", r"\includegraphics[w]{p.png}"),
                      ("figure", r"\begin{figure}q\end{figure}")]
-    assert F  # keeps the import used

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import latex as L
-from ..functions.text import asset_kind, clean_text, paper_id_normalize, rewrite_extension
+from ..functions.text import CLEAN_RULES_FULL, asset_kind, clean_text, rewrite_extension
 from ..operators import assets as A
 from ..operators import figures as FG
 from ..operators.rows import explode_pos, explode_values
 from . import fixtures as fx
 from .catalog import register
 from .sqlkit import clean_sql, q
-from ..functions.text import CLEAN_RULES_FULL
 
 # ----------------------------------------------------------------- oracle parts
 FIGS_SQL = ("SELECT paper_id, tex_path, " + "unnest(f) AS body, unnest(range(len(f))) AS pos FROM "
