@@ -5,7 +5,8 @@ task; a paper or conversation holding a third of all rows would then run in a
 single task. These helpers split every group into contiguous, ordered slices
 with a range shuffle on ``(group, order)`` (sampled bounds cut a hot group into
 many slices), run the window per slice, and repair the slice borders with a
-small table that has one row per slice.
+table of the groups that cross a border: at most two per slice, so it is
+broadcast with a bound that does not grow with the data.
 """
 
 from __future__ import annotations
@@ -38,6 +39,24 @@ def sliced(df: DataFrame, keys: list[str], order: list[str], n: int | None = Non
                        .withColumn(SLICE, F.spark_partition_id()))
 
 
+def _border_groups(s: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups that open or close some slice: at most two per slice.
+
+    Slices hold contiguous ranges of ``(keys, order)``, so only such a group can
+    continue from one slice into the next; every other group sits inside one
+    slice and needs no repair. The result has at most ``2 * n_slices`` rows
+    whatever the data size, which is what makes the broadcasts below safe.
+    """
+    k = F.struct(*keys)
+    ends = s.groupBy(SLICE).agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
+    return ends.select(F.explode(F.array("lo", "hi")).alias("k")).select("k.*").distinct()
+
+
+def _border_rows(s: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``s`` whose group is a border group (broadcast semi-join, bounded side)."""
+    return s.join(F.broadcast(_border_groups(s, keys)), keys, "left_semi")
+
+
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | Column, out: str,
                 inclusive: bool = True, n: int | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over earlier rows of the group (and this row when ``inclusive``)."""
@@ -47,10 +66,11 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | C
         Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = s.withColumn("_local", F.coalesce(F.sum("_v").over(upto), F.lit(0)))
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (s.groupBy(*keys, SLICE).agg(F.sum("_v").alias("_tot"))
+    offsets = (_border_rows(s, keys).groupBy(*keys, SLICE).agg(F.sum("_v").alias("_tot"))
                .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0))).drop("_tot"))
-    return (local.join(offsets, [*keys, SLICE])
-            .withColumn(out, F.col("_local") + F.col("_off")).drop("_v", "_local", "_off", SLICE))
+    return (local.join(F.broadcast(offsets), [*keys, SLICE], "left")
+            .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
+            .drop("_v", "_local", "_off", SLICE))
 
 
 def row_number(df: DataFrame, keys: list[str], order: list[str], out: str, n: int | None = None) -> DataFrame:
@@ -64,10 +84,10 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str,
     s = sliced(df, keys, order, n)
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
     local = s.withColumn("_prev", F.lag(value, 1).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    last = (s.groupBy(*keys, SLICE)
+    last = (_border_rows(s, keys).groupBy(*keys, SLICE)
             .agg(F.max_by(F.col(value), F.struct(*order)).alias("_last")))
     carry = last.withColumn("_carry", F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(SLICE))).drop("_last")
-    return (local.join(carry, [*keys, SLICE])
+    return (local.join(F.broadcast(carry), [*keys, SLICE], "left")
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev")))
             .drop("_prev", "_first", "_carry", SLICE))
 
@@ -77,15 +97,16 @@ def change_runs(df: DataFrame, keys: list[str], order: list[str], value: str, ou
     """Run id (1-based) that grows each time ``value`` differs from the row before.
 
     One slicing pass: per slice, a window gives the changes inside the slice; a
-    table with one row per slice (first value, last value, change count) gives
-    the changes at slice borders and the offsets of earlier slices.
+    table with one row per border group and slice (first value, last value,
+    change count) gives the changes at slice borders and the offsets of earlier
+    slices.
     """
     s = sliced(df, keys, order, n)
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
     prev = F.lag(value, 1).over(w)
     local = (s.withColumn("_chg", F.coalesce((prev != F.col(value)).cast("long"), F.lit(0)))
              .withColumn("_lc", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    edges = (local.groupBy(*keys, SLICE)
+    edges = (_border_rows(local, keys).groupBy(*keys, SLICE)
              .agg(F.min_by(F.col(value), F.struct(*order)).alias("_fv"),
                   F.max_by(F.col(value), F.struct(*order)).alias("_lv"),
                   F.sum("_chg").alias("_n")))
@@ -93,8 +114,9 @@ def change_runs(df: DataFrame, keys: list[str], order: list[str], value: str, ou
     edges = edges.withColumn("_fc", F.coalesce((F.lag("_lv", 1).over(ws) != F.col("_fv")).cast("long"), F.lit(0)))
     edges = edges.withColumn("_off", F.coalesce(
         F.sum(F.col("_n") + F.col("_fc")).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(edges.select(*keys, SLICE, "_fc", "_off"), [*keys, SLICE])
-            .withColumn(out, F.lit(1) + F.col("_off") + F.col("_fc") + F.col("_lc"))
+    return (local.join(F.broadcast(edges.select(*keys, SLICE, "_fc", "_off")), [*keys, SLICE], "left")
+            .withColumn(out, F.lit(1) + F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_fc"), F.lit(0))
+                        + F.col("_lc"))
             .drop("_chg", "_lc", "_fc", "_off", SLICE))
 
 

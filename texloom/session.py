@@ -20,7 +20,10 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast a join side only when its measured runtime size is under the bound.
+    # Broadcast a join side only when its measured runtime size is under the bound: no
+    # broadcast from planner estimates (file sizes are not a bound on decoded rows); AQE
+    # converts a join after the small side's shuffle stage has been measured.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
