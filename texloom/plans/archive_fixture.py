@@ -38,10 +38,10 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in pdf.itertuples(index=False):
             tex = r.content.encode("utf-8") + (b"\xe9" if r.bad_utf8 else b"")
             if r.broken:
-                data = gzip.compress(tex, mtime=0)
+                data = gzip.compress(tex, compresslevel=6, mtime=0)
             else:
                 buf = io.BytesIO()
-                with tarfile.open(fileobj=buf, mode="w:gz", format=tarfile.PAX_FORMAT) as tar:
+                with tarfile.open(fileobj=buf, mode="w:gz", format=tarfile.PAX_FORMAT, compresslevel=6) as tar:
                     for name, body in [(r.tex_path, tex)] + [(f, b"IMG:" + f.encode()) for f in r.files]:
                         info = tarfile.TarInfo(name)
                         info.size = len(body)

@@ -74,7 +74,7 @@ def _base_cols() -> list[str]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_balanced(spark, f"{sf_dir}/documents.parquet")
+    return read_balanced(spark, f"{sf_dir}/documents.parquet", key="doc_id")
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:

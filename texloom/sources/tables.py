@@ -18,14 +18,15 @@ def _row_groups(files: list[str]) -> int:
     return total
 
 
-def read_balanced(spark: SparkSession, path: str) -> DataFrame:
+def read_balanced(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """A Parquet table, spread over all cores when its layout cannot be.
 
     A scan task reads whole row groups, so a table with fewer row groups than
     cores leaves cores idle for the CPU-heavy per-document work (regex, archive
-    codecs). Only then are rows dealt round-robin to one partition per core (a
-    small shuffle of a small table). A large table has more files than cores and
-    is returned as scanned: no shuffle.
+    codecs). Only then are rows spread to one partition per core (a small shuffle
+    of a small table): hashed on ``key`` when given, which needs no local sort,
+    else round-robin. A large table has more files than cores and is returned as
+    scanned: no shuffle.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
@@ -39,4 +40,4 @@ def read_balanced(spark: SparkSession, path: str) -> DataFrame:
             return df
     except Exception:  # noqa: BLE001  (footers unreadable from the driver: keep the scan as is)
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, key) if key else df.repartition(cores)
