@@ -13,20 +13,11 @@ from ..functions import latex as L
 from .rows import explode_pos
 
 
-def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] = ("paper_id", "tex_path"),
-                    pos: str = "pos", body: str = "body", strip_comments: bool = False) -> DataFrame:
-    """``(keep..., pos, body)``: every figure environment, ``pos`` 0-based in document order.
-    ``strip_comments`` removes ``%`` comments first (off by default)."""
-    text = L.strip_comments(content) if strip_comments else F.col(content)
-    return explode_pos(docs, keep, L.figure_bodies(text), pos, body)
+FIELDS = ("image_ref", "has_image", "caption", "has_caption", "caption_unparsed", "label", "has_label")
 
 
-def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``image_ref`` (first includegraphics, '' if none), ``has_image``, ``caption``,
-    ``has_caption``, ``caption_unparsed``, ``label`` and ``has_label``."""
-    b = F.col(body)
-    return figs.select(
-        "*",
+def _fields(b) -> list:
+    return [
         L.first_image(b).alias("image_ref"),
         b.rlike(L.INCLUDEGRAPHICS).alias("has_image"),
         L.caption(b).alias("caption"),
@@ -34,7 +25,32 @@ def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:
         L.caption_unparsed(b).alias("caption_unparsed"),
         L.label(b).alias("label"),
         L.has_label(b).alias("has_label"),
-    )
+    ]
+
+
+def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] = ("paper_id", "tex_path"),
+                    pos: str = "pos", body: str = "body", strip_comments: bool = False) -> DataFrame:
+    """``(keep..., pos, body, <fields>)``: every figure environment, ``pos`` 0-based in document
+    order, with its fields (``image_ref`` = first includegraphics or '', ``has_image``,
+    ``caption``, ``has_caption``, ``caption_unparsed``, ``label``, ``has_label``).
+
+    The fields are computed inside the array, before the rows are generated: a later
+    filter on them (``require_*``) then cannot be pushed below the generator and
+    re-run the regexes. ``strip_comments`` removes ``%`` comments first (off by default).
+    """
+    text = L.strip_comments(content) if strip_comments else F.col(content)
+    arr = F.transform(L.figure_bodies(text),
+                      lambda bd, i: F.struct(i.cast("long").alias(pos), bd.alias(body), *_fields(bd)))
+    rows = explode_pos(docs, keep, arr, "_i", "_f")
+    return rows.select(*keep, *[F.col("_f")[c].alias(c) for c in (pos, body, *FIELDS)])
+
+
+def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:
+    """Add the figure fields to rows holding a figure ``body`` (already present after
+    ``extract_figures``)."""
+    if all(c in figs.columns for c in FIELDS):
+        return figs
+    return figs.select("*", *_fields(F.col(body)))
 
 
 def figure_all_images(figs: DataFrame, body: str = "body", out: str = "image_refs") -> DataFrame:
