@@ -48,10 +48,11 @@ def _doc_arrays_sql() -> str:
 
 
 @register("append_arrays", _items_query(
-    ", " + _doc_arrays_sql() + " SELECT coalesce(o.paper_id, n.paper_id) AS paper_id, to_json(struct_pack("
+    ", " + _doc_arrays_sql() + " SELECT coalesce(o.paper_id, n.paper_id) AS paper_id, cast(to_json(struct_pack("
     "texts := list_concat(coalesce(o.texts, []::VARCHAR[]), coalesce(n.texts, []::VARCHAR[])), "
     "images := list_concat(coalesce(o.images, []::VARCHAR[]), coalesce(n.images, []::VARCHAR[])), "
-    "captions := list_concat(coalesce(o.captions, []::VARCHAR[]), coalesce(n.captions, []::VARCHAR[])))) AS record "
+    "captions := list_concat(coalesce(o.captions, []::VARCHAR[]), coalesce(n.captions, []::VARCHAR[])))) AS VARCHAR) "
+    "AS record "
     "FROM (SELECT * FROM doc_arrays WHERE tex_path = 'main.tex') o FULL OUTER JOIN "
     "(SELECT * FROM doc_arrays WHERE tex_path <> 'main.tex') n ON o.paper_id = n.paper_id",
     extra_views=("members",), **B_POLICY).replace("FROM final , doc_arrays", "FROM final, doc_arrays")
@@ -78,8 +79,8 @@ def append_arrays(spark, sf_dir):
 
 
 @register("collect_records", _with(
-    "SELECT paper_id, count(*) AS n_records, to_json(list(struct_pack(image := image, label := label, "
-    "caption := caption) ORDER BY fig_index)) AS record FROM (SELECT o.paper_id, o.fig_index, "
+    "SELECT paper_id, count(*) AS n_records, cast(to_json(list(struct_pack(image := image, label := label, "
+    "caption := caption) ORDER BY fig_index)) AS VARCHAR) AS record FROM (SELECT o.paper_id, o.fig_index, "
     "replace(o.paper_id, '.', '_') || '_' || cast(o.fig_index AS string) || '.png' AS image, "
     "CASE WHEN o.has_label THEN o.label ELSE '' END AS label, CASE WHEN o.has_caption THEN o.caption ELSE '' END "
     "AS caption FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index "

@@ -126,9 +126,9 @@ def arrays_record(items) -> F.Column:
 
 
 @register("interleaved_arrays", _items_query(
-    "SELECT paper_id, tex_path, to_json(struct_pack(texts := list(text ORDER BY pos), "
+    "SELECT paper_id, tex_path, cast(to_json(struct_pack(texts := list(text ORDER BY pos), "
     "images := list(CASE WHEN kind = 'image' THEN name END ORDER BY pos), "
-    "captions := list(caption ORDER BY pos) FILTER (WHERE kind = 'image'))) AS record FROM final f "
+    "captions := list(caption ORDER BY pos) FILTER (WHERE kind = 'image'))) AS VARCHAR) AS record FROM final f "
     "GROUP BY paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
     "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.paper_id = f.paper_id AND x.tex_path = f.tex_path "
     "AND x.kind = 'image' AND NOT EXISTS (SELECT 1 FROM members m WHERE m.paper_id = x.paper_id "
@@ -221,7 +221,7 @@ def adjacent_dedupe(spark, sf_dir):
 
 
 @register("merge_adjacent_text",
-          "SELECT conv_id, run, side, min(turn) AS first_turn, count(*) AS n_items, "
+          "SELECT conv_id, cast(run AS BIGINT) AS run, side, min(turn) AS first_turn, count(*) AS n_items, "
           "string_agg(text, ' ' ORDER BY turn) AS text FROM (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> side "
           "THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM "
           "(SELECT conv_id, turn, side, text, lag(side) OVER (PARTITION BY conv_id ORDER BY turn) AS prev "
