@@ -33,8 +33,10 @@ def test_variant_runs_and_resume(spark, scratch):
     e = spark.read.parquet(scratch + "/E/papers")
     assert e.count() > 0 and e.where(F.exists("records", lambda r: r["image_filename"].isNull())).count() > 0
 
-    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4)
-    b = spark.read.parquet(scratch + "/B/papers").collect()
+    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")
+    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")   # rerun: nothing new
+    b = spark.read.json(scratch + "/B/papers").collect()
+    assert len(b) == len({r.paper_id for r in b})
     for r in b:
         assert len(r.texts) == len(r.images)
         assert len(r.captions) == sum(x is not None for x in r.images)

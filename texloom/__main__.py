@@ -34,12 +34,16 @@ def main(argv=None) -> None:
     p.add_argument("out", help="output folder")
     p.add_argument("--glob", default=None, help="archive name pattern (default per variant)")
     p.add_argument("--buckets", type=int, default=64)
+    p.add_argument("--format", default="parquet", choices=["parquet", "json"],
+                   help="record format of the per-paper / per-file outputs (not used by 'figures')")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"texloom-{a.variant}").getOrCreate()
     ensure_checkpoint_dir(spark)
     kwargs = {"n_buckets": a.buckets}
     if a.glob:
         kwargs["glob"] = a.glob
+    if a.variant != "figures":
+        kwargs["fmt"] = a.format
     RUNNERS[a.variant](spark, a.root, a.out, **kwargs)
 
 
