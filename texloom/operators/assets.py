@@ -1,10 +1,10 @@
 """Figure files: resolution against archive members, output names, manifests.
 
 Resolution is an equi-join on ``(paper_id, path)``; both sides carry only keys
-and short strings (never file bytes), so the shuffle is small. Spark picks a
-broadcast only when the member side's measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime), else a
-sort-merge join; AQE splits skewed partitions of the figure side.
+and short strings (never file bytes), so the shuffle is small. With AQE the
+join becomes a broadcast only after the member side has been measured under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, else it stays sort-merge;
+AQE also splits skewed partitions of the figure side.
 """
 
 from __future__ import annotations
@@ -51,18 +51,24 @@ def resolve_assets(figs: DataFrame, members: DataFrame, policy: str = "drop", re
     raise ValueError(f"unknown policy {policy!r}")
 
 
+# Output file-name formats. "{paper id with . as _}_{base name}",
+# the same with the extension replaced by ".jpeg", and "{paper id with . as _}_{ordinal}.png".
+JPEG_EXT = ".jpeg"
+INDEXED_EXT = ".png"
+
+
 def asset_name_prefixed(paper_id, path, jpeg: bool = False) -> Column:
     """``{id}_{basename}``; with ``jpeg`` the extension becomes ``.jpeg``."""
     pid = paper_id if isinstance(paper_id, Column) else F.col(paper_id)
     name = F.concat(paper_id_normalize(pid), F.lit("_"), path_basename(path))
-    return F.concat(path_stem(name), F.lit(".jpeg")) if jpeg else name
+    return F.concat(path_stem(name), F.lit(JPEG_EXT)) if jpeg else name
 
 
 def asset_name_indexed(paper_id, index) -> Column:
     """``{id}_{i}.png``."""
     pid = paper_id if isinstance(paper_id, Column) else F.col(paper_id)
     idx = index if isinstance(index, Column) else F.col(index)
-    return F.concat(paper_id_normalize(pid), F.lit("_"), idx.cast("string"), F.lit(".png"))
+    return F.concat(paper_id_normalize(pid), F.lit("_"), idx.cast("string"), F.lit(INDEXED_EXT))
 
 
 def dedupe_output_images(df: DataFrame, keys: tuple[str, ...] = ("paper_id", "tex_path"), name: str = "out_name",

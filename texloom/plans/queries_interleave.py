@@ -152,10 +152,14 @@ def interleaved_arrays(spark, sf_dir):
 C_POLICY = dict(clean="short", figures="first_image", standalone=False, dedupe_adjacent=True)
 
 
+# Fixed value: the marker that tags a figure entry in variant C's list.
+FIGURE_MARK = "FIGURE:"
+
+
 def mixed_list_json(items) -> F.Column:
     """``["text", ["FIGURE:", "name"], ...]`` as JSON text (a mixed array has no Spark type)."""
     frag = F.transform(items, lambda x: F.when(x["kind"] == "text", F.regexp_replace(
-        F.to_json(F.array(x["text"])), r"^\[|\]$", "")).otherwise(F.to_json(F.array(F.lit("FIGURE:"), x["name"]))))
+        F.to_json(F.array(x["text"])), r"^\[|\]$", "")).otherwise(F.to_json(F.array(F.lit(FIGURE_MARK), x["name"]))))
     return F.concat(F.lit("["), F.array_join(frag, ","), F.lit("]"))
 
 
