@@ -19,24 +19,20 @@ from ..session import materialize
 SLICE = "_slice"
 
 
-def _n_slices(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def sliced(df: DataFrame, keys: list[str], order: list[str], n: int | None = None) -> DataFrame:
     """Range-partition on ``keys + order`` and tag each row with its slice id.
 
-    Rows of one group are contiguous in order across consecutive slices. The
-    result is checkpointed: every helper reads it twice (per-row window and
+    Rows of one group are contiguous in order across consecutive slices. Without
+    ``n`` the count starts at ``spark.sql.shuffle.partitions`` and AQE may merge
+    small neighbouring slices (merging keeps them contiguous). The result is
+    checkpointed: every helper reads it twice (per-row window and
     per-slice totals), and range bounds come from sampling, so two separate
     evaluations above a shuffle could cut slices differently. A checkpoint fixes
     the slice of every row once, and a lost executor re-reads it instead of
     re-running the plan above.
     """
-    return materialize(df.repartitionByRange(_n_slices(df, n), *keys, *order)
-                       .withColumn(SLICE, F.spark_partition_id()))
+    ranged = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
+    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _border_groups(s: DataFrame, keys: list[str]) -> DataFrame:
