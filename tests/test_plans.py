@@ -41,3 +41,15 @@ def test_document_level_queries_do_not_hash_shuffle(spark):
 def test_no_static_broadcast_of_unbounded_sides(spark):
     _, phys = plans(spark, "figure_records_resolved")
     assert "BroadcastHashJoin" not in phys   # decided by AQE on measured sizes, not by estimates
+
+
+def test_read_balanced_spreads_only_small_layouts(spark, scratch):
+    from texloom.sources.tables import read_balanced
+    small = read_balanced(spark, SF_SMALL + "/documents.parquet", key="doc_id")
+    assert "Exchange hashpartitioning(doc_id" in small._jdf.queryExecution().executedPlan().toString()
+    cores = spark.sparkContext.defaultParallelism
+    many = scratch + "/many"
+    spark.read.parquet(SF_SMALL + "/documents.parquet").repartition(cores * 5).write.parquet(many)
+    big = read_balanced(spark, many, key="doc_id")
+    assert "Exchange" not in big._jdf.queryExecution().executedPlan().toString()
+    assert big.count() == small.count()
