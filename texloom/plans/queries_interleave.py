@@ -13,6 +13,7 @@ from ..operators import tokens as TK
 from ..operators.rows import explode_values, where_computed
 from ..session import materialize
 from . import fixtures as fx
+from ..operators.rows import explode_pos
 from .catalog import register
 from .queries_figures import FIELDS_SQL, FIGS_SQL
 from .queries_text import TOKENS_SQL
@@ -194,15 +195,50 @@ def interleaved_segments(spark, sf_dir):
     its figure's image/label/caption when the figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
     segs = TK.split_on_figures(docs)
+    figs = _d_figures(docs, fx.members(spark, sf_dir))
+    return TK.zip_segments(segs, figs).select("paper_id", "tex_path", "seg", "text", "image", "label", "caption")
+
+
+def _d_figures(docs, members):
+    """Variant D's figure records: first image required and present; paper-level ordinal names."""
     figs = FG.figure_fields(FG.extract_figures(docs)).select(
         "paper_id", "tex_path", "pos", "image_ref", "caption", "has_caption", "label", "has_label")
     figs = A.figure_ordinal(figs)
-    figs = A.resolve_assets(FG.require_image(figs), fx.members(spark, sf_dir), policy="drop")
-    figs = figs.select("paper_id", "tex_path", "pos",
+    figs = A.resolve_assets(FG.require_image(figs), members, policy="drop")
+    return figs.select("paper_id", "tex_path", "pos",
                        A.asset_name_indexed("paper_id", "fig_index").alias("image"),
                        F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
                        F.when(F.col("has_caption"), F.col("caption")).otherwise(F.lit("")).alias("caption"))
-    return TK.zip_segments(segs, figs).select("paper_id", "tex_path", "seg", "text", "image", "label", "caption")
+
+
+D_FULL_SQL = fx.with_views("", "tex_docs", "members").rstrip() + (
+    f", figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}), "
+    "ord AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index FROM ff), "
+    "okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND EXISTS (SELECT 1 FROM members m "
+    "WHERE m.paper_id = o.paper_id AND m.member_path = o.image_ref)), "
+    "pc AS (SELECT paper_id, string_agg(content, '' ORDER BY tex_path) AS content FROM tex_docs GROUP BY paper_id), "
+    "segs AS (SELECT paper_id, unnest(s) AS text, unnest(range(len(s))) AS seg FROM "
+    "(SELECT paper_id, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
+    "FROM pc) x) "
+    "SELECT s.paper_id, s.seg, regexp_replace(s.text, '^\\s+|\\s+$', '', 'g') AS text, "
+    "CASE WHEN f.fig_index IS NOT NULL THEN replace(s.paper_id, '.', '_') || '_' || cast(f.fig_index AS string) "
+    "|| '.png' END AS image, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_label THEN f.label ELSE '' END "
+    "AS label, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_caption THEN f.caption ELSE '' END AS caption "
+    "FROM segs s LEFT JOIN okf f ON f.paper_id = s.paper_id AND f.fig_index = s.seg")
+
+
+@register("interleaved_full", D_FULL_SQL)
+def interleaved_full(spark, sf_dir):
+    """Variant D's ``full`` list over the concatenation of each paper's files: text segments
+    between figure environments (the last segment of a file runs on into the next file), each
+    followed by its figure's image/label/caption when that figure has an image whose file exists."""
+    docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
+    rows = TK.zip_segments(TK.raw_segments(docs), _d_figures(docs, fx.members(spark, sf_dir)))
+    per = rows.groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct(
+        "tex_path", "seg", "text", "closes", "image", "label", "caption"))).alias("rows"))
+    items = per.select("paper_id", TK.stitch_segments(F.col("rows")).alias("items"))
+    return explode_pos(items, ["paper_id"], F.col("items"), "seg", "it").select(
+        "paper_id", "seg", "it.text", "it.image", "it.label", "it.caption")
 
 
 # ----------------------------------------------------------------- runs over conversation turns
