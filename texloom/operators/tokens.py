@@ -187,9 +187,32 @@ def raw_segments(docs: DataFrame, content: str = "content", keep=("paper_id", "t
     """``(keep..., seg, text, closes)``: segments as cut (not stripped); ``closes`` is true when a
     figure environment follows the segment in its file (every segment but the last)."""
     arr = let(F.split(F.regexp_replace(F.col(content), NUL, ""), FIGURE_SPAN, -1), lambda a: F.transform(
-        a, lambda s, i: F.struct(i.cast("long").alias("seg"), s.alias("text"), (i < F.size(a) - 1).alias("closes"))))
+        a, lambda s, i: F.struct(i.cast("long").alias("seg"), s.alias("text"), (i < F.size(a) - 1).alias("closes"),
+                                 F.size(a).cast("long").alias("n_segs"))))
     rows = explode_pos(docs, keep, arr, "_i", "_s")
-    return rows.select(*keep, "_s.seg", "_s.text", "_s.closes")
+    return rows.select(*keep, "_s.seg", "_s.text", "_s.closes", "_s.n_segs")
+
+
+def paper_segments(segs: DataFrame) -> DataFrame:
+    """``(paper_id, seg, text)``: the segments of each paper's concatenated files, without
+    gathering a paper in one task.
+
+    Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper
+    (a skew-safe running sum over one row per file). Segments inside a file are
+    complete as they are; only a file's first and last segments can join with
+    neighbouring files, so only those are grouped, on ``(paper_id, seg)``.
+    """
+    files = segs.where(F.col("seg") == 0).select("paper_id", "tex_path", (F.col("n_segs") - 1).alias("n_figs"))
+    offs = ordered.running_sum(files, ["paper_id"], ["tex_path"], "n_figs", "off", inclusive=False)
+    s = (segs.join(offs.select("paper_id", "tex_path", "off"), ["paper_id", "tex_path"])
+         .withColumn("g", F.col("off") + F.col("seg")))
+    edge = (F.col("seg") == 0) | (F.col("seg") == F.col("n_segs") - 1)
+    inner = s.where(~edge).select("paper_id", F.col("g").alias("seg"), "text")
+    joined = (s.where(edge).groupBy("paper_id", "g")
+              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tex_path", "seg", "text"))),
+                                            lambda x: x["text"]), "").alias("text")))
+    return inner.unionByName(joined.select("paper_id", F.col("g").alias("seg"), "text")) \
+        .withColumn("text", T.strip_ws("text"))
 
 
 def stitch_segments(rows: Column, fields=("image", "label", "caption")) -> Column:

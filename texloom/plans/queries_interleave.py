@@ -13,7 +13,6 @@ from ..operators import tokens as TK
 from ..operators.rows import explode_values, where_computed
 from ..session import materialize
 from . import fixtures as fx
-from ..operators.rows import explode_pos
 from .catalog import register
 from .queries_figures import FIELDS_SQL, FIGS_SQL
 from .queries_text import TOKENS_SQL
@@ -205,7 +204,7 @@ def _d_figures(docs, members):
         "paper_id", "tex_path", "pos", "image_ref", "caption", "has_caption", "label", "has_label")
     figs = A.figure_ordinal(figs)
     figs = A.resolve_assets(FG.require_image(figs), members, policy="drop")
-    return figs.select("paper_id", "tex_path", "pos",
+    return figs.select("paper_id", "tex_path", "pos", "fig_index",
                        A.asset_name_indexed("paper_id", "fig_index").alias("image"),
                        F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
                        F.when(F.col("has_caption"), F.col("caption")).otherwise(F.lit("")).alias("caption"))
@@ -233,12 +232,10 @@ def interleaved_full(spark, sf_dir):
     between figure environments (the last segment of a file runs on into the next file), each
     followed by its figure's image/label/caption when that figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
-    rows = TK.zip_segments(TK.raw_segments(docs), _d_figures(docs, fx.members(spark, sf_dir)))
-    per = rows.groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct(
-        "tex_path", "seg", "text", "closes", "image", "label", "caption"))).alias("rows"))
-    items = per.select("paper_id", TK.stitch_segments(F.col("rows")).alias("items"))
-    return explode_pos(items, ["paper_id"], F.col("items"), "seg", "it").select(
-        "paper_id", "seg", "it.text", "it.image", "it.label", "it.caption")
+    segs = TK.paper_segments(TK.raw_segments(docs))
+    figs = _d_figures(docs, fx.members(spark, sf_dir)).select(
+        "paper_id", F.col("fig_index").alias("seg"), "image", "label", "caption")
+    return segs.join(figs, ["paper_id", "seg"], "left").select("paper_id", "seg", "text", "image", "label", "caption")
 
 
 # ----------------------------------------------------------------- runs over conversation turns
