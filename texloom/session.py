@@ -28,6 +28,8 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Delete a query's checkpoint files once its frames are garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
 }
