@@ -49,3 +49,13 @@ def test_variant_runs_and_resume(spark, scratch):
     d = spark.read.parquet(scratch + "/D/papers").collect()
     first = json.loads(d[0].full)
     assert "text" in first[0] and all(set(x) in ({"text"}, {"image", "label", "caption"}) for x in first)
+
+
+def test_command_line_entry(spark, scratch):
+    from texloom.__main__ import main
+    root = scratch + "/raw"
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL).where(F.col("path").endswith("v1.tar.gz")), root)
+    main(["lists", root, scratch + "/C", "--format", "json", "--buckets", "2", "--glob", "*.tar.gz"])
+    rows = spark.read.json(scratch + "/C/documents").collect()
+    assert rows and all(json.loads(r.record) for r in rows)
+    assert {r.bucket for r in rows} <= {0, 1}
