@@ -27,14 +27,26 @@ def append_arrays(old: DataFrame, new: DataFrame, key: str = "paper_id",
                            for f in fields])
 
 
-def collect_records(df: DataFrame, keys, order, fields, out: str = "records") -> DataFrame:
-    """All records of a group as one array of structs, sorted by ``order``.
+# Most items one output row (part) of a per-paper list holds: no group grows with the data.
+PART_SIZE = 256
 
-    One value per group (the reference writes one file per paper); the list is
-    built with a map-side partial aggregate before the shuffle.
+
+def collect_records(df: DataFrame, keys, order, fields, out: str = "records", part_by: str | None = None,
+                    part_size: int = PART_SIZE) -> DataFrame:
+    """Records of a group as arrays of structs sorted by ``order``, in bounded parts.
+
+    With ``part_by`` (a 0-based ordinal within the group) the records go to parts
+    ``part = part_by div part_size``: one row per ``(keys, part)``, each part at most
+    ``part_size`` records, so a huge group is spread over many tasks and rows; the
+    group's list is its parts in ``part`` order. Without it, one row per group
+    (only for groups known to be small).
     """
     order, fields = list(order), list(fields)
+    grp = list(keys)
+    if part_by is not None:
+        df = df.withColumn("part", F.floor(F.col(part_by) / part_size).cast("long"))
+        grp.append("part")
     lst = F.sort_array(F.collect_list(F.struct(*order, *fields)))
-    return (df.groupBy(*keys)
+    return (df.groupBy(*grp)
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.transform(lst, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(out)))

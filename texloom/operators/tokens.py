@@ -32,16 +32,23 @@ def token_rows(docs: DataFrame, content: str = "content", keep=("paper_id", "tex
     return explode_pos(docs, keep, L.tokens(body), "pos", "token").withColumn("kind", L.token_kind(F.col("token")))
 
 
-def concat_tex(docs: DataFrame, keys=("paper_id",), path: str = "tex_path", content: str = "content") -> DataFrame:
-    """All files of a paper joined in path order, no separator; one row per paper.
-
-    The result is one value per paper, so a paper must fit in a row; the list is
-    built with a map-side partial aggregate before the shuffle.
+def concat_tex(docs: DataFrame, keys=("paper_id",), path: str = "tex_path", content: str = "content",
+               part_size: int = 256) -> DataFrame:
+    """A paper's files joined in path order, no separator, in bounded parts.
+
+    Each file gets its 0-based rank in the paper (skew-safe, over keys only) and
+    files go to parts of ``part_size`` consecutive files: one row per
+    ``(paper, part)`` with ``n_files``, ``first_file`` (rank of its first file) and
+    the joined ``content``. The paper's text is its parts in ``part`` order; no row
+    or task ever holds a whole large paper.
     """
-    parts = F.sort_array(F.collect_list(F.struct(F.col(path), F.col(content))))
-    return (docs.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n_files"),
-                 F.array_join(F.transform(parts, lambda x: x[content]), "").alias(content)))
+    ranks = ordered.row_number(docs.select(*keys, path), list(keys), [path], "_rank")
+    ranked = docs.join(ranks, [*keys, path]).withColumn("_rank", F.col("_rank") - 1)
+    ranked = ranked.withColumn("part", F.floor(F.col("_rank") / part_size).cast("long"))
+    files = F.sort_array(F.collect_list(F.struct(F.col("_rank"), F.col(content))))
+    return (ranked.groupBy(*keys, "part")
+            .agg(F.count(F.lit(1)).alias("n_files"), F.min("_rank").alias("first_file"),
+                 F.array_join(F.transform(files, lambda x: x[content]), "").alias(content)))
 
 
 # ----------------------------------------------------------------- in-row interleave

@@ -79,18 +79,19 @@ def append_arrays(spark, sf_dir):
 
 
 @register("collect_records", _with(
-    "SELECT paper_id, count(*) AS n_records, cast(to_json(list(struct_pack(image := image, label := label, "
+    "SELECT paper_id, cast(floor(fig_index / 256) AS BIGINT) AS part, count(*) AS n_records, "
+    "cast(to_json(list(struct_pack(image := image, label := label, "
     "caption := caption) ORDER BY fig_index)) AS VARCHAR) AS record FROM (SELECT o.paper_id, o.fig_index, "
     "replace(o.paper_id, '.', '_') || '_' || cast(o.fig_index AS string) || '.png' AS image, "
     "CASE WHEN o.has_label THEN o.label ELSE '' END AS label, CASE WHEN o.has_caption THEN o.caption ELSE '' END "
     "AS caption FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index "
     "FROM ff) o WHERE o.image_ref <> '' AND EXISTS (SELECT 1 FROM members m WHERE m.paper_id = o.paper_id "
-    "AND m.member_path = o.image_ref)) r GROUP BY paper_id", "members"))
+    "AND m.member_path = o.image_ref)) r GROUP BY paper_id, part", "members"))
 def collect_records(spark, sf_dir):
-    """Variant D's image_caption file per paper: its records as one JSON list, in figure order."""
+    """Variant D's image_caption list per paper, in figure order, as JSON parts of at most 256 records."""
     recs = figure_records_d(spark, sf_dir)
-    per = D.collect_records(recs, ["paper_id"], ["fig_index"], ["image", "label", "caption"])
-    return per.select("paper_id", "n_records", F.to_json("records").alias("record"))
+    per = D.collect_records(recs, ["paper_id"], ["fig_index"], ["image", "label", "caption"], part_by="fig_index")
+    return per.select("paper_id", "part", "n_records", F.to_json("records").alias("record"))
 
 
 # Records with an ``image`` field holding base64 bytes, none, or a path (not base64).

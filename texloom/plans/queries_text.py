@@ -142,8 +142,10 @@ def standalone_images(spark, sf_dir):
 
 # ----------------------------------------------------------------- concatenation
 @register("paper_concat_tex", fx.with_views(
-    "SELECT paper_id, count(*) AS n_files, string_agg(content, '' ORDER BY tex_path) AS content "
-    "FROM tex_docs GROUP BY paper_id", "tex_docs"))
+    "SELECT paper_id, part, count(*) AS n_files, min(r) AS first_file, string_agg(content, '' ORDER BY r) AS content "
+    "FROM (SELECT paper_id, content, r, cast(floor(r / 256) AS BIGINT) AS part FROM (SELECT paper_id, content, "
+    "row_number() OVER (PARTITION BY paper_id ORDER BY tex_path) - 1 AS r FROM tex_docs) a) b "
+    "GROUP BY paper_id, part", "tex_docs"))
 def paper_concat_tex(spark, sf_dir):
-    """All ``.tex`` files of a paper joined in path order (variants D and E read this)."""
+    """All ``.tex`` files of a paper joined in path order, in parts of at most 256 files."""
     return TK.concat_tex(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"))
