@@ -119,17 +119,12 @@ def test_tokens_tile_the_body(spark):
                      ("figure", r"\begin{figure}q\end{figure}")]
 
 
-def test_stitch_segments_across_files(spark):
+def test_paper_segments_across_files(spark):
     fig = "\\begin{figure}\\includegraphics{%s}\\end{figure}"
     d = spark.createDataFrame([("p", "a.tex", "A0 " + fig % "x.png" + " A1"),
                                ("p", "b.tex", " B0 "),
                                ("p", "c.tex", "C0" + fig % "gone.png" + "C1")],
                               "paper_id string, tex_path string, content string")
-    segs = TK.raw_segments(d)
-    figs = spark.createDataFrame([("p", "a.tex", 0, "p_0.png")], "paper_id string, tex_path string, pos long, image string")
-    rows = TK.zip_segments(segs, figs)
-    per = rows.groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct("tex_path", "seg", "text", "closes",
-                                                                             "image"))).alias("rows"))
-    got = per.select(TK.stitch_segments(F.col("rows"), fields=("image",)).alias("s")).first().s
-    # The figure in c.tex was dropped but still splits the text; a.tex's tail runs into b.tex and c.tex.
-    assert [(x.text, x.image) for x in got] == [("A0", "p_0.png"), ("A1 B0 C0", None), ("C1", None)]
+    got = sorted((r.seg, r.text) for r in TK.paper_segments(TK.raw_segments(d)).collect())
+    # a.tex's tail runs into b.tex and c.tex; every figure environment splits, valid or not.
+    assert got == [(0, "A0"), (1, "A1 B0 C0"), (2, "C1")]

@@ -36,7 +36,7 @@ def test_variant_runs_and_resume(spark, scratch):
     V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")
     V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")   # rerun: nothing new
     b = spark.read.json(scratch + "/B/papers").collect()
-    assert len(b) == len({r.paper_id for r in b})
+    assert len(b) == len({(r.paper_id, r.part) for r in b})
     for r in b:
         assert len(r.texts) == len(r.images)
         assert len(r.captions) == sum(x is not None for x in r.images)
@@ -46,9 +46,10 @@ def test_variant_runs_and_resume(spark, scratch):
     assert c and all(isinstance(json.loads(r.record), list) for r in c)
 
     V.run_interleaved_full(spark, root, scratch + "/D", n_buckets=4)
-    d = spark.read.parquet(scratch + "/D/papers").collect()
+    d = spark.read.parquet(scratch + "/D/full").collect()
     first = json.loads(d[0].full)
     assert "text" in first[0] and all(set(x) in ({"text"}, {"image", "label", "caption"}) for x in first)
+    assert spark.read.parquet(scratch + "/D/image_caption").count() > 0
 
 
 def test_command_line_entry(spark, scratch):

@@ -222,30 +222,6 @@ def paper_segments(segs: DataFrame) -> DataFrame:
         .withColumn("text", T.strip_ws("text"))
 
 
-def stitch_segments(rows: Column, fields=("image", "label", "caption")) -> Column:
-    """Segments of a paper's files, in path order, as the segments of their concatenation.
-
-    ``rows`` is a sorted array of ``struct(text, closes, <fields>)``: the text between
-    two figure environments of the concatenation is the texts of the rows up to
-    and including the next row with ``closes`` (the last segment of a file runs
-    on into the next file). Returns ``array<struct(text, <fields>)>`` where the
-    fields are those of the figure that ends the segment (NULL after the last one).
-    Linear: rows are joined into one string with the closing row's index between
-    NUL marks, then split.
-    """
-    def run(r):
-        enc = F.array_join(F.transform(r, lambda x, i: F.concat(
-            x["text"], F.when(x["closes"], F.concat(F.lit(NUL), i.cast("string"), F.lit(NUL))).otherwise(F.lit("")))), "")
-        return let(F.split(enc, NUL, -1), lambda parts: F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / 2).cast("int")),
-            lambda k: F.struct(
-                T.strip_ws(F.element_at(parts, k * 2 + 1)).alias("text"),
-                *[F.when(k * 2 + 2 <= F.size(parts),
-                         F.element_at(r, F.element_at(parts, k * 2 + 2).cast("int") + 1)[f]).alias(f)
-                  for f in fields])))
-    return let(rows, run)
-
-
 def zip_segments(segments: DataFrame, figures: DataFrame, keys=("paper_id", "tex_path")) -> DataFrame:
     """Segment ``i`` followed by figure ``i`` (when that figure survived its filters)."""
     f = figures.withColumnRenamed("pos", "seg")
