@@ -123,3 +123,17 @@ def test_base64_and_asset_export(spark, scratch):
     assert spark.read.parquet(scratch + "/assets").first().out_name == "p_a.png"
     keys = SD.relative_keys(spark, local_path(root))
     assert [r.key for r in keys.collect()] == ["p_a.png"]
+
+
+def test_per_paper_outputs_in_bounded_parts(spark):
+    from texloom.operators import tokens as TK
+    docs = spark.createDataFrame([("p", f"f{i:02d}.tex", f"<{i}>") for i in range(7)] + [("q", "a.tex", "x")],
+                                 "paper_id string, tex_path string, content string")
+    parts = {(r.paper_id, r.part): (r.n_files, r.first_file, r.content)
+             for r in TK.concat_tex(docs, part_size=3).collect()}
+    assert parts == {("p", 0): (3, 0, "<0><1><2>"), ("p", 1): (3, 3, "<3><4><5>"), ("p", 2): (1, 6, "<6>"),
+                     ("q", 0): (1, 0, "x")}
+    recs = spark.createDataFrame([("p", i, f"r{i}") for i in range(5)], "paper_id string, idx long, v string")
+    got = {r.part: [x.v for x in r.records] for r in
+           D.collect_records(recs, ["paper_id"], ["idx"], ["v"], part_by="idx", part_size=2).collect()}
+    assert got == {0: ["r0", "r1"], 1: ["r2", "r3"], 2: ["r4"]}
