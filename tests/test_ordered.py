@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from texloom.operators import ordered
@@ -87,3 +89,21 @@ def test_concat_in_order_chunks(spark):
     df = spark.createDataFrame([(1, i, str(i)) for i in range(50)], "k long, pos long, s string")
     r = ordered.concat_in_order(df, ["k"], "pos", "s", ",", "out", chunk=7, count_out="n").first()
     assert r.out == ",".join(str(i) for i in range(50)) and r.n == 50 and r.pos == 0
+
+GROUPS = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 60), st.sampled_from("ab")), min_size=1, max_size=80,
+                  unique_by=lambda r: (r[0], r[1]))
+
+
+@settings(max_examples=8, deadline=None)
+@given(GROUPS)
+def test_random_groups_match_python(spark, data):
+    df = spark.createDataFrame([(g, t, v, f"{g}.{t}") for g, t, v in data], "g long, t long, v string, text string")
+    sums = {(r.g, r.t): r.rs for r in ordered.running_sum(df, ["g"], ["t"], F.length("text"), "rs", n=3).collect()}
+    runs = {(r.g, r.t): r.run for r in ordered.change_runs(df, ["g"], ["t"], "v", "run", n=3).collect()}
+    acc, last, run = {}, {}, {}
+    for g, t, v in sorted(data):
+        acc[g] = acc.get(g, 0) + len(f"{g}.{t}")
+        assert sums[(g, t)] == acc[g]
+        run[g] = 1 if g not in last else run[g] + (last[g] != v)
+        assert runs[(g, t)] == run[g]
+        last[g] = v
