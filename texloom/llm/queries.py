@@ -11,6 +11,7 @@ from . import (  # noqa: F401  (each module registers its query)
     jaccard_join,
     source_mix,
     topk_search,
+    toxicity,
     url_filter,
     warc,
 )
