@@ -8,7 +8,6 @@ number per place in the word, mixed with the word's length.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +17,17 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 4 << 20
 
 
-@lru_cache
+_TABLES: list = []  # made once in a worker
+
+
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(is a separator, number of a byte with A-Z as a-z, number of a place)."""
+    if not _TABLES:
+        _TABLES.append(_tables())
+    return _TABLES[0]
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20240229)
     sep = np.zeros(256, bool)
     sep[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
