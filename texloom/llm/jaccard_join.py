@@ -45,7 +45,7 @@ from ._components import components
 NEED, OF = 75, 100
 N_WORDS = 5
 #: Shingles of a block at most (one set at least).
-BLOCK = 1 << 17
+BLOCK = 1 << 15
 #: Factor between neighbouring length ranges: linked sets lie in one range or in neighbours.
 STEP = OF / NEED
 
