@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (  # noqa: F401  (each module registers its query)
     chat_format,
+    decontaminate,
     jaccard_join,
     source_mix,
     topk_search,
