@@ -11,6 +11,7 @@ from . import (  # noqa: F401  (each module registers its query)
     decontaminate,
     jaccard_join,
     source_mix,
+    suffix_dedup,
     topk_search,
     toxicity,
     url_filter,
