@@ -10,6 +10,7 @@ from . import (  # noqa: F401  (each module registers its query)
     chat_format,
     decontaminate,
     jaccard_join,
+    lm_score,
     source_mix,
     suffix_dedup,
     topk_search,
