@@ -61,19 +61,19 @@ def linked(overlap: int, n: int, m: int) -> bool:
 
 # 1. classes --------------------------------------------------------------------------------------------------
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (hash of the set, 0 if empty) for rows doc_id, text."""
+def document_sets(docs: DataFrame, row: str = "doc_id") -> DataFrame:
+    """doc_id, a key of the row, n_shingles, class (hash of the set, 0 if empty) for rows doc_id, text and the key."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, rows = batch.column(0), batch.column(1)
             for first, data, offsets in W.texts(batch, "text"):
                 items, before = W.shingle_sets(*W.words(data, offsets), N_WORDS)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(offsets) - 1), pa.array(np.diff(before).astype(np.int64)),
-                     pa.array(W.set_hashes(items, before).view(np.int64))], ["doc_id", "n_shingles", "class"])
+                    [ids.slice(first, len(offsets) - 1), rows.slice(first, len(offsets) - 1), pa.array(np.diff(before).astype(np.int64)),
+                     pa.array(W.set_hashes(items, before).view(np.int64))], ["doc_id", "row", "n_shingles", "class"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(sets, "doc_id long, n_shingles long, class long"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).cast("long").alias("row"), "text")
+            .mapInArrow(sets, "doc_id long, row long, n_shingles long, class long"))
 
 
 # 2. shared shingles ------------------------------------------------------------------------------------------
@@ -424,10 +424,9 @@ def _link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # 5. result ---------------------------------------------------------------------------------------------------
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links for rows doc_id, text."""
+def _linked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """class, root, links of other classes' documents, copies, first (smallest id) of all classes."""
     spark = docs.sparkSession
-    ids = cut(document_sets(docs))
     classes = (ids.filter("class <> 0").groupBy("class")
                .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first")))
     folder = new_folder(spark, "sets")
@@ -437,8 +436,22 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     found = cut(tasks.repartition("task").sortWithinPartitions("task").mapInPandas(_link, "class long, links long, tie long"))
     roots = components(found.select(F.col("class").alias("a"), F.col("tie").alias("b")))
     summed = found.groupBy("class").agg(F.sum("links").alias("links"))
-    known = (classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-             .withColumn("root", F.coalesce("root", "class")).join(summed, "class", "left"))
+    return (classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+            .withColumn("root", F.coalesce("root", "class")).join(summed, "class", "left"))
+
+
+def jaccard_groups(docs: DataFrame, row: str) -> DataFrame:
+    """doc_id, the key of the row, component (a number per group of linked rows, null without words) for rows doc_id,
+    text and a key."""
+    ids = cut(document_sets(docs, row))
+    known = _linked(docs, ids).select("class", F.col("root").alias("component"))
+    return ids.join(known, "class", "left").select("doc_id", F.col("row").alias(row), "component")
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for rows doc_id, text."""
+    ids = cut(document_sets(docs))
+    known = _linked(docs, ids)
     least = known.groupBy("root").agg(F.min("first").alias("least"))
     labels = (known.join(least, "root")
               .select("class", F.col("least").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
