@@ -4,7 +4,8 @@ A document belongs to one or more sources. Documents are aggregated by their mem
 network has one node per pattern and per source. A pattern offers its words ``max_repeat`` times, the r-th
 copy at cost ``(r - 1) ** 2`` (convex, so first copies go first), to each of its sources; a source takes its
 target. The flow of a pattern says how many whole copies all of its documents get and how many words more;
-those are taken by documents in a seeded order, whole documents until the rest is closest to the target.
+those are taken by documents in a seeded order, whole documents while they fit; what then is missing or too much is evened
+out by up to ``ROUNDS`` documents whose sizes are closest to it.
 
 The flow network is as large as the number of distinct patterns, not of documents; it is solved on the
 driver, and more than ``max_patterns`` patterns are refused with an error (merge small sources first).
@@ -14,8 +15,8 @@ range of a pattern that holds the end of its extra copy is put in order row by r
 of all documents is never gathered.
 
 Defined results: a null text has size 0, a document of size 0 takes 0 words, and a null source is a source
-of its own, the last one. Rows that repeat are documents of their own; equal rows fall on the same place of
-the seeded order and are taken or left in a fixed order of their copies. An empty table gives no rows.
+of its own, the last one. Rows that repeat are documents of their own, and each is taken or left. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ from ._catalog import register
 from ._cluster import cut, read_table
 
 BINS = 1 << 14
+#: Single documents per pattern that may get a copy more or less, to come closer to the target than whole steps of the
+#: seeded order do.
+ROUNDS = 6
 
 
 def word_count(text: Column) -> Column:
@@ -140,18 +144,19 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
     base = cut(docs.drop("copies", "taken", "source_size", "target")
                .withColumn("_pattern", F.to_json(F.array_sort(F.array_distinct(F.col(sources)))))
                .withColumn("_draw", drawn)
-               .withColumn("_bin", F.pmod(F.shiftright("_draw", 20), F.lit(BINS)).cast("int")))
+               .withColumn("_bin", F.pmod(F.shiftright("_draw", 20), F.lit(BINS)).cast("int"))
+               .withColumn("_row", F.monotonically_increasing_id()))
     sums = base.groupBy("_pattern", "_bin").agg(F.sum(size).alias("_words"))
     rows = sums.groupBy("_pattern").agg(F.sum("_words").alias("w")).orderBy("_pattern").limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
         raise ValueError(f"over {max_patterns} membership patterns; merge small sources first")
-    given, sizes, targets = mix_plan([(r["_pattern"], r["w"]) for r in rows], max_repeat)
+    words = [(r["_pattern"], r["w"]) for r in rows]
+    given, sizes, targets = mix_plan(words, max_repeat)
     plan = []
-    for r in rows:
-        words, flow = r["w"], given[r["_pattern"]]
-        first = source_order(json.loads(r["_pattern"]))[0]
-        whole = min(flow // words, max_repeat) if words else 0
-        plan.append((r["_pattern"], whole, flow - whole * words, sizes[first], float(targets[first])))
+    for pattern, offered in words:
+        first = source_order(json.loads(pattern))[0]
+        whole = min(given[pattern] // offered, max_repeat) if offered else 0
+        plan.append((pattern, whole, given[pattern] - whole * offered, sizes[first], float(targets[first])))
     schema = T.StructType([T.StructField("_pattern", T.StringType()), T.StructField("_whole", T.LongType()),
                            T.StructField("_rest", T.LongType()), T.StructField("source_size", T.LongType()),
                            T.StructField("target", T.DoubleType())])
@@ -161,20 +166,53 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
             .withColumn("_cum", F.sum("_words").over(up_to)).filter("_cum > _rest")
             .groupBy("_pattern").agg(F.min_by(F.struct("_bin", (F.col("_cum") - F.col("_words")).alias("before")), "_bin").alias("_e"))
             .select("_pattern", F.col("_e._bin").alias("_edge"), F.col("_e.before").alias("_before")))
-    all_rows = (base.join(F.broadcast(planned), "_pattern")
-                .join(F.broadcast(edge), "_pattern", "left"))  # a row per pattern again
-    inside = Window.partitionBy("_pattern").orderBy("_draw", key, size).rowsBetween(Window.unboundedPreceding, 0)
-    at_edge = (all_rows.filter(F.col("_bin") == F.col("_edge"))
-               .withColumn("_ahead", F.col("_before") + F.sum(size).over(inside) - F.col(size))
-               .withColumn("_more", (2 * (F.col("_rest") - F.col("_ahead")) >= F.col(size)).cast("long")).drop("_ahead"))
-    others = (all_rows.filter(F.col("_edge").isNull() | (F.col("_bin") != F.col("_edge")))
-              .withColumn("_more", ((F.col("_bin") < F.col("_edge")) & (F.col("_rest") > 0)).cast("long")))
-    mixed = others.unionByName(at_edge).withColumn("copies", F.col("_whole") + F.coalesce("_more", F.lit(0)))
+    placed = (base.join(F.broadcast(planned), "_pattern")
+              .join(F.broadcast(edge), "_pattern", "left"))  # a row per pattern again
+    inside = Window.partitionBy("_pattern").orderBy("_draw", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    at_edge = (placed.filter(F.col("_bin") == F.col("_edge"))
+               .withColumn("_more", F.col("_before") + F.sum(size).over(inside) <= F.col("_rest")))
+    others = (placed.filter(F.col("_edge").isNull() | (F.col("_bin") != F.col("_edge")))
+              .withColumn("_more", F.coalesce(F.col("_bin") < F.col("_edge"), F.lit(False)) & (F.col("_rest") > 0)))
+    drawn_rows = cut(others.unionByName(at_edge)
+                     .withColumn("_copies", F.col("_whole") + F.col("_more").cast("long")))
+    turned = _changes(spark, _closer(drawn_rows, size, {p: given[p] for p, _ in words}, max_repeat))
+    mixed = (drawn_rows.join(F.broadcast(turned), "_row", "left")
+             .withColumn("copies", F.col("_copies") + F.coalesce("_turn", F.lit(0))))
     return (mixed.withColumn("taken", F.col("copies") * F.col(size))
             .select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("copies", "taken", "source_size", "target")],
                     "source_size", "target", "copies", "taken"))
 
 
+def _changes(spark: SparkSession, turns: Mapping[int, int]) -> DataFrame:
+    """Copies more or less of single rows: ROUNDS rows per pattern at most."""
+    return spark.createDataFrame(list(turns.items()), "_row long, _turn long")
+
+
+def _closer(rows: DataFrame, size: str, given: Mapping[str, int], max_repeat: int) -> dict[int, int]:
+    """Copies more or less of single rows that bring the patterns closer to their words: in each round, of each pattern,
+    one copy of the row whose size is closest to what is missing or too much."""
+    gaps = {r["_pattern"]: given[r["_pattern"]] - r["w"] for r in
+            rows.groupBy("_pattern").agg(F.sum(F.col("_copies") * F.col(size)).alias("w")).collect()}
+    turns: dict[int, int] = {}
+    for _ in range(ROUNDS):
+        gaps = {p: g for p, g in gaps.items() if g}
+        if not gaps:
+            break
+        open_ = rows.sparkSession.createDataFrame(list(gaps.items()), "_pattern string, _gap long")
+        now = F.col("_copies") + F.coalesce("_turn", F.lit(0))
+        can = F.when(F.col("_gap") > 0, now < max_repeat).otherwise(now > 0)
+        off = F.abs(F.abs("_gap") - F.col(size))
+        best = (rows.join(F.broadcast(open_), "_pattern").join(F.broadcast(_changes(rows.sparkSession, turns)), "_row", "left")
+                .filter(can & (F.col(size) > 0) & (off < F.abs("_gap"))).groupBy("_pattern")
+                .agg(F.min(F.struct(off.alias("off"), "_draw", "_row", F.col(size).alias("size"))).alias("b")).collect())
+        done, gaps = gaps, {}
+        for r in best:
+            sign = 1 if done[r["_pattern"]] > 0 else -1
+            turns[r["b"]["_row"]] = turns.get(r["b"]["_row"], 0) + sign
+            gaps[r["_pattern"]] = done[r["_pattern"]] - sign * r["b"]["size"]
+    return turns
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken for a table of documents."""
     sized = docs.select("doc_id", F.array("source").alias("sources"), word_count(F.col("text")).alias("size"))
