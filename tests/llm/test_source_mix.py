@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+from itertools import product
+
+from texloom.llm import source_mix as M
+
+from .helpers import docs_table, words
+
+
+def _run(spark, rows):
+    return M.mixed_documents(docs_table(spark, rows)).collect()
+
+
+def test_targets_and_taken(spark):
+    r = random.Random(8)
+    rows = [(k, " ".join(["w"] * r.randint(0, 30)), r.choice(["b", "a", "Z", None, "é"])) for k in range(600)]
+    rows += [(1000 + k, "x y z", "tiny") for k in range(3)]
+    got = _run(spark, rows)
+    size = {i: len(words(t)) for i, t, _ in rows}
+    source = {i: s for i, _, s in rows}
+    sums = {}
+    for i, n in size.items():
+        sums[source[i]] = sums.get(source[i], 0) + n
+    want = M.target_words(sums)
+    assert abs(sum(want.values()) - sum(sums.values())) < 1e-6
+    assert all(t <= 3 * sums[s] + 1e-9 for s, t in want.items()) and want["tiny"] == 27
+    taken = {}
+    for r in got:
+        assert r["size"] == size[r["doc_id"]] and r["source_size"] == sums[source[r["doc_id"]]]
+        assert abs(r["target"] - want[source[r["doc_id"]]]) < 1e-9 and 0 <= r["taken"] <= 3 * r["size"]
+        taken[source[r["doc_id"]]] = taken.get(source[r["doc_id"]], 0) + r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 1 for s in want)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, _run(spark, rows)))
+
+
+def test_order_of_sources():
+    assert M.source_order([None, "b", "Z", "é", "a"]) == ["Z", "a", "b", "é", None]
+    assert M.target_words({"a": 100, "b": 100, None: 100}) == {"a": 50.0, "b": 100.0, None: 150.0}
+
+
+def test_odd_tables(spark):
+    from pyspark.sql import functions as F
+    assert _run(spark, []) == []
+    assert [tuple(r) for r in _run(spark, [(1, None, None)])] == [(1, 0, 0, 0.0, 0, 0)]
+    same = [(1, "a b c", "s")] * 5 + [(None, "a", "t"), (None, None, None), (2, "w " * 300_000, "s")]
+    got = _run(spark, same)
+    assert len(got) == 8 and all(r["taken"] <= 3 * r["size"] for r in got)
+    docs = docs_table(spark, [(1, "a b", "s"), (2, "a", "t")])
+    sized = docs.select("doc_id", F.array("source").alias("sources"), M.word_count(F.col("text")).alias("size"),
+                        F.lit("x").alias("taken"), F.lit(1).alias("n chars"))
+    assert M.mix_sources(sized, "sources", "size").columns == ["doc_id", "sources", "size", "n chars", "source_size", "target", "copies", "taken"]
+
+
+def test_flow_is_cheapest():
+    """Against all flows of a small network with overlapping sources."""
+    r = random.Random(2)
+    for _ in range(60):
+        supply = {"p": r.randint(0, 3), "q": r.randint(0, 3), "pq": r.randint(0, 3)}
+        members = {"p": ["A"], "q": ["B"], "pq": ["A", "B"]}
+        quota = {"A": r.randint(0, 6), "B": r.randint(0, 6)}
+        cost = lambda given: sum(c * c * min(max(given[k] - c * supply[k], 0), supply[k]) for k in supply for c in range(3))
+        best = None
+        for p, q, a, b in product(range(10), repeat=4):
+            if p > 3 * supply["p"] or q > 3 * supply["q"] or a + b > 3 * supply["pq"] or p + a > quota["A"] or q + b > quota["B"]:
+                continue
+            key = (-(p + q + a + b), cost({"p": p, "q": q, "pq": a + b}))
+            best = min(best, key) if best else key
+        given = M.min_cost_flow(supply, members, quota, 3)
+        assert (-sum(given.values()), cost(given)) == best
+
+
+def test_overlapping_sources(spark):
+    rows = [(k, ["a"] if k % 3 else ["a", "b"], 10) for k in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, sources array<string>, size long")
+    out = M.mix_sources(df, "sources", "size").collect()
+    assert len(out) == 90 and all(0 <= r["copies"] <= 3 for r in out)
