@@ -6,8 +6,8 @@ another. Strings do not cross texts and are judged on the input.
 1. Every string of ``SIZE`` bytes has an anchor: the gram of ``GRAM`` bytes in it with the least hash (the first of
    equal ones). It depends on the string alone, so equal strings have equal anchors at the same place. A run of
    neighbouring strings with one anchor is a context: its first and last start, and the bytes they span.
-2. Contexts whose anchor occurs once hold no repeated string. The others are counted by anchor and content; of
-   contexts with equal content one goes on, with its number.
+2. Contexts whose anchor occurs once hold no repeated string. The others are counted by anchor and content, first
+   within each piece of texts; of contexts with equal content one goes on, with its number.
 3. The different contexts of an anchor meet in a task. There a suffix array of their starts is built in two
    stages: suffixes that are smaller than their successors are sorted directly (by their first ``SIZE`` bytes), and the
    others are induced by one scan over the buckets of first bytes. Neighbours in the array whose common prefix
@@ -32,13 +32,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (used as pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import _packed as P
 from . import _words as W
 from ._catalog import register
 from ._cluster import new_folder, read_table
@@ -97,14 +96,26 @@ def contexts(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, gram: int
     return hashes[at], content, text, at - base, first - base, last - base
 
 
+MEMBERS = pa.struct([("key", pa.int64()), ("place", pa.int64())])
+
+
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> contexts by anchor and content, once per piece of texts with their members: (key of the text, first start
+    and number of further starts)."""
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         for first, data, offsets in W.texts(batch, "text"):
             anchor, content, text, _, start, last = contexts(data, offsets)
+            order = np.lexsort((content, anchor))
+            anchor, content = anchor[order], content[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+            at = np.append(np.flatnonzero(new), len(order))
+            members = pa.StructArray.from_arrays([pa.array(keys[first + text][order]), pa.array(((start << np.int64(8)) | (last - start))[order])],
+                                                 fields=list(MEMBERS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(keys[first + text]),
-                 pa.array((start << np.int64(8)) | (last - start))], ["anchor", "content", "key", "place"])
+                [pa.array(anchor[new].view(np.int64)), pa.array(content[new].view(np.int64)), pa.array(np.diff(at)),
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), members)], ["anchor", "content", "n", "members"])
 
 
 # 3. suffix arrays --------------------------------------------------------------------------------------------
@@ -212,52 +223,68 @@ def repeated(text: np.ndarray, bounds: np.ndarray, starts: np.ndarray, group: np
     return out
 
 
-def _ranges(flags: np.ndarray) -> np.ndarray:
-    """(first, length) of the runs of True."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return np.stack([edges[::2], edges[1::2] - edges[::2]], axis=1)
-
-
-def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Different contexts, sorted by anchor -> runs of repeated starts of each, as packed pairs."""
-    def array(held: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(held, ignore_index=True)
-        bounds = np.concatenate([[0], np.cumsum(rows["bytes"].map(len))]).astype(np.int64)
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different contexts, sorted by anchor and content -> runs of repeated starts of each, as packed (first, length)."""
+    def array(table: pa.Table) -> pa.RecordBatch:
+        anchor, content, copies = (table.column(n).to_numpy() for n in ("anchor", "content", "copies"))
+        once = np.ones(len(anchor), bool)  # equal rows of the table share a key and give their contexts each
+        once[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+        anchor, content, copies = anchor[once], content[once], copies[once]
+        data = pa.concat_arrays(table.column("bytes").filter(pa.array(once)).chunks)
+        bounds = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1].astype(np.int64)
+        text = np.frombuffer(data.buffers()[2], np.uint8)[bounds[0]:bounds[-1]]
+        bounds -= bounds[0]
         starts = np.diff(bounds) - (SIZE - 1)
-        flags = repeated(np.frombuffer(b"".join(rows["bytes"]), np.uint8), bounds, starts, rows["anchor"].to_numpy())
-        copies = rows["copies"].to_numpy() > 1
-        found = [_ranges(np.ones(m, bool) if c else flags[a:a + m]) for a, m, c in zip(bounds, starts, copies)]
-        rows = rows[["anchor", "content"]].assign(runs=[r.astype(np.int32).tobytes() for r in found])
-        return rows[rows["runs"].map(len) > 0]
-
-    held, size = [], 0
-    for _, rows in P.groups(frames, "anchor"):
-        rows = rows.drop_duplicates("content")  # equal rows of the table share a key and give it each
-        held.append(rows)
-        size += int(rows["bytes"].map(len).sum())
+        flags = repeated(text, bounds, starts, anchor)
+        often = np.zeros(len(text) + 1, np.int32)
+        np.add.at(often, bounds[:-1][copies > 1], 1)
+        np.add.at(often, (bounds[:-1] + starts)[copies > 1], -1)
+        flags |= np.cumsum(often[:-1]) > 0
+        # a context's last SIZE - 1 positions are no starts, so no run goes on into the next
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+        first, length = edges[::2], edges[1::2] - edges[::2]
+        at = np.searchsorted(first, bounds)
+        runs = np.stack([first - np.repeat(bounds[:-1], np.diff(at)), length], axis=1).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(anchor), [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(runs.tobytes())])
+        some = pa.array(np.diff(at) > 0)
+        return pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), packed], ["anchor", "content", "runs"]).filter(some)
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.column(3).nbytes
         if size >= ARRAY_BYTES:
-            yield array(held)
-            held, size = [], 0
+            table = pa.Table.from_batches(held)
+            anchor = table.column("anchor").to_numpy()
+            whole = int(np.searchsorted(anchor, anchor[-1]))  # rows before the last anchor, which may go on
+            if whole:
+                yield array(table.slice(0, whole))
+                held = table.slice(whole).to_batches()
+                size = sum(b.column(3).nbytes for b in held)
     if held:
-        yield array(held)
+        yield array(pa.Table.from_batches(held))
 
 
 # 4. documents ------------------------------------------------------------------------------------------------
 
-def _cut_contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with the contexts that they give -> the contexts' bytes."""
-    for frame in frames:
-        for a in range(0, len(frame), 128):
-            out = {"anchor": [], "content": [], "copies": [], "bytes": []}
-            for text, wanted in zip(frame["text"][a:a + 128], frame["wanted"][a:a + 128]):
-                data = text.encode()
-                for w in wanted:
-                    start, more = w["place"] >> 8, w["place"] & 255
-                    out["anchor"].append(w["anchor"])
-                    out["content"].append(w["content"])
-                    out["copies"].append(w["copies"])
-                    out["bytes"].append(data[start:start + more + SIZE])
-            yield pd.DataFrame(out)
+    for batch in batches:
+        column = batch.schema.get_field_index("wanted")
+        for first, data, offsets in W.texts(batch, "text"):
+            lists = batch.column(column).slice(first, len(offsets) - 1)
+            wanted = lists.flatten()
+            anchor, content, copies, place = (wanted.field(n).to_numpy() for n in ("anchor", "content", "copies", "place"))
+            at = np.repeat(offsets[:-1], pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)) + (place >> 8)
+            lens = (place & 255) + SIZE
+            bounds = np.concatenate([[0], np.cumsum(lens)])
+            picked = data[np.repeat(at - bounds[:-1], lens) + np.arange(bounds[-1])]
+            packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(picked.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), pa.array(copies), packed],
+                                             ["anchor", "content", "copies", "bytes"])
 
 
 def _removal(batches: Iterator[pa.RecordBatch], names: list[str], as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -295,18 +322,20 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     own = [c for c in docs.columns if c.lower() not in ("spans", "kept", "key", "wanted", "places", "runs")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in own],
                         F.xxhash64(*[F.col(f"`{c}`") for c in own if not docs.schema[c].dataType.simpleString().startswith("map")]).alias("key"))
-    found = keyed.select("key", "text").mapInArrow(_find, "anchor long, content long, key long, place long")
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    found = keyed.select("key", "text").mapInArrow(_find, "anchor long, content long, n long, members array<struct<key:long,place:long>>")
+    again = found.select("anchor", "n").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
     folder = new_folder(spark, "contexts")
     found.join(again, "anchor", "left_semi").write.parquet(folder)
     members = spark.read.parquet(folder)
-    different = members.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "place")).alias("one"))
+    different = (members.groupBy("anchor", "content").agg(F.sum("n").alias("copies"), F.min(F.col("members")[0]).alias("one")))
     wanted = (different.select(F.col("one.key").alias("key"), F.struct("anchor", "content", "copies", F.col("one.place").alias("place")).alias("w"))
               .groupBy("key").agg(F.collect_list("w").alias("wanted")))
-    cut = (keyed.join(wanted, "key").mapInPandas(_cut_contexts, "anchor long, content long, copies long, bytes binary"))
-    judged = cut.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_judge, "anchor long, content long, runs binary")
-    spans = (members.join(judged, ["anchor", "content"])
-             .groupBy("key").agg(F.collect_list(F.struct("place", "runs")).alias("r"))
+    cut = keyed.join(wanted, "key").mapInArrow(_cut_contexts, "anchor long, content long, copies long, bytes binary")
+    judged = (cut.repartition("anchor").sortWithinPartitions("anchor", "content")
+              .mapInArrow(_judge, "anchor long, content long, runs binary"))
+    spans = (members.select("anchor", "content", "members").join(judged, ["anchor", "content"])
+             .select("runs", F.explode("members").alias("m"))
+             .groupBy("m.key").agg(F.collect_list(F.struct("m.place", "runs")).alias("r"))
              .select("key", F.col("r.place").alias("places"), F.col("r.runs").alias("runs")))
     kinds = {f.name: f for f in docs.schema.fields}
     out = T.StructType([*(kinds[c] for c in own),
