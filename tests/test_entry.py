@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.columns == ["paper_id", "tex_path", "pos", "image_ref", "caption"]
+    assert df.columns == ["archive", "paper_id", "tex_path", "pos", "image_ref", "caption"]
     assert df.count() > 0
 
 

@@ -13,7 +13,7 @@ def docs(spark, *contents):
 
 
 def figs(spark, *contents):
-    return FG.figure_fields(FG.extract_figures(docs(spark, *contents))).orderBy("tex_path", "pos").collect()
+    return FG.extract_figures(docs(spark, *contents)).orderBy("tex_path", "pos").collect()
 
 
 def test_nested_caption_and_label(spark):
@@ -29,19 +29,44 @@ def test_long_caption_no_stack_overflow(spark):
     assert f.caption == cap
 
 
-def test_too_deep_caption_goes_to_errors(spark):
-    tex = r"\begin{figure}\includegraphics{x.png}\caption{a{b{c{d{e}}}}}\end{figure}"
-    rows = FG.figure_fields(FG.extract_figures(docs(spark, tex)))
-    assert FG.caption_errors(rows).count() == 1
-    assert rows.first().caption == ""
+def test_captions_nest_to_any_depth(spark):
+    for depth in (4, 6, 40, 2000):
+        cap = "x" + "{a" * depth + "}" * depth + r" \} \{ y"
+        (f,) = figs(spark, r"\begin{figure}\includegraphics{x.png}\caption[s]{" + cap + r"}\label{l}\end{figure}")
+        assert f.caption == cap and f.label == "l"
 
 
-def test_strip_comments_option(spark):
-    tex = "% \\begin{figure}\\includegraphics{c.png}\\end{figure}\n50\\% \\begin{figure}\\includegraphics{k.png}\\end{figure}"
+def test_unclosed_caption_goes_to_errors(spark):
+    tex = r"\begin{figure}\includegraphics{x.png}\caption{a{b}\end{figure}"
+    rows = FG.extract_figures(docs(spark, tex))
+    assert [r.message for r in FG.caption_errors(rows).collect()] == ["the caption's braces do not close"]
+    assert rows.first().caption == "" and not rows.first().has_caption
+
+
+def test_comments_are_no_part_of_a_document(spark):
+    tex = ("% \\begin{figure}\\includegraphics{c.png}\\end{figure}\n50\\% \\begin{figure}\n% \\includegraphics{old.png}\n"
+           "\\includegraphics{k.png}\\\\% \\caption{no}\n\\caption{yes 5\\%}\\end{figure}")
     d = docs(spark, tex)
-    assert FG.extract_figures(d).count() == 2
-    kept = FG.figure_fields(FG.extract_figures(d, strip_comments=True)).collect()
-    assert [r.image_ref for r in kept] == ["k.png"]
+    assert [(r.image_ref, r.caption) for r in FG.extract_figures(d).collect()] == [("k.png", "yes 5\\%")]
+    assert FG.extract_figures(d, strip_comments=False).count() == 2
+
+
+def test_arguments_are_stripped(spark):
+    tex = (r"\section{A {bold {one}}}\section[short]{long}\includegraphics{ s.png }\includegraphics{{ a b.png }}"
+           "\\begin{figure}\\includegraphics[width=1]{ {t.png}}\\end{figure}end\\")
+    d = docs(spark, tex)
+    rows = [(r.kind, r.token) for r in TK.token_rows(d).orderBy("pos").collect()]
+    assert "".join(t for _, t in rows) == tex  # tokens tile the text, the lone backslash included
+    items = TK.item_rows(TK.interleave(d)).orderBy("pos").collect()
+    assert [(r.kind, r.image_ref) for r in items if r.kind != "text"] == [("image", "s.png"), ("image", "a b.png"), ("figure", "t.png")]
+    assert items[0].text.startswith("A {bold {one}} long")
+
+
+def test_paths_are_normalised(spark):
+    from texloom.functions.text import normalize_path
+    paths = {"./figs/a.png": "figs/a.png", " a//b/../c.png\n": "a/c.png", "../x": "x", "a/./b": "a/b", "/abs/p": "abs/p", "": ""}
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select("p", normalize_path("p").alias("n"))
+    assert {r.p: r.n for r in df.collect()} == paths
 
 
 def test_figure_star_and_missing_parts(spark):
@@ -52,7 +77,7 @@ def test_figure_star_and_missing_parts(spark):
     rows = figs(spark, tex)
     assert [(r.pos, r.image_ref, r.caption, r.has_caption) for r in rows] == [
         (0, "", "no image", True), (1, "only.png", "", False), (2, "p.pdf", "long one", True)]
-    assert FG.require_caption(FG.require_image(FG.figure_fields(FG.extract_figures(docs(spark, tex))))).count() == 1
+    assert FG.require_caption(FG.require_image(FG.extract_figures(docs(spark, tex)))).count() == 1
 
 
 def test_all_images_distinct_first_occurrence(spark):
@@ -105,7 +130,7 @@ def test_split_and_zip_two_figures(spark):
     tex = "t0 \\begin{figure}\\includegraphics{a.png}\\end{figure} t1 \\begin{figure}\\includegraphics{b.png}\\end{figure} t2"
     d = docs(spark, tex)
     segs = TK.split_on_figures(d)
-    f = FG.figure_fields(FG.extract_figures(d)).select("paper_id", "tex_path", "pos", "image_ref")
+    f = FG.extract_figures(d).select("paper_id", "tex_path", "pos", "image_ref")
     rows = TK.zip_segments(segs, f).orderBy("seg").collect()
     assert [(r.seg, r.text, r.image_ref) for r in rows] == [(0, "t0", "a.png"), (1, "t1", "b.png"), (2, "t2", None)]
 

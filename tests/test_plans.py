@@ -43,13 +43,17 @@ def test_no_static_broadcast_of_unbounded_sides(spark):
     assert "BroadcastHashJoin" not in phys   # decided by AQE on measured sizes, not by estimates
 
 
-def test_read_balanced_spreads_only_small_layouts(spark, scratch):
-    from texloom.sources.tables import read_balanced
-    small = read_balanced(spark, SF_SMALL + "/documents.parquet", key="doc_id")
-    assert "Exchange hashpartitioning(doc_id" in small._jdf.queryExecution().executedPlan().toString()
-    cores = spark.sparkContext.defaultParallelism
-    many = scratch + "/many"
-    spark.read.parquet(SF_SMALL + "/documents.parquet").repartition(cores * 5).write.parquet(many)
-    big = read_balanced(spark, many, key="doc_id")
-    assert "Exchange" not in big._jdf.queryExecution().executedPlan().toString()
-    assert big.count() == small.count()
+def test_documents_are_read_as_scanned(spark):
+    from texloom.plans import fixtures as fx
+    plan = fx.documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan" in plan
+
+
+def test_whole_texts_reach_the_view(spark):
+    """Every character of every document is in its LaTeX file."""
+    from texloom.plans import fixtures as fx
+    from pyspark.sql import functions as F
+    tex = fx.tex_docs(spark, SF_SMALL).join(fx.documents(spark, SF_SMALL), "doc_id")
+    half = F.floor(F.length("text") / 2).cast("int")
+    whole = (F.contains("content", F.col("text").substr(F.lit(1), half)) & F.contains("content", F.col("text").substr(half + 1, F.length("text"))))
+    assert tex.where(~whole).count() == 0

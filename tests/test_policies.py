@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -86,11 +87,19 @@ def test_json_dataset_roundtrip_and_relink(spark, scratch):
                 ' {"image_filename": "a.PDF", "caption": "u"}]')
     recs = SD.read_json_dataset(spark, src, SD.FIGURE_RECORD)
     assert [r.item for r in recs.orderBy("item").collect()] == [0, 1, 2]
-    out = scratch + "/json_relinked"
-    SD.rewrite_json_dataset(spark, src, out, SD.FIGURE_RECORD)
-    text = "".join(r.value for r in spark.read.text(out).collect())
-    assert '"image_filename":"x.png.d/y.png"' in text and '"image_filename":"a.PDF"' in text
-    assert '"caption":"no image"' in text
+    with open(f"{src}/empty.json", "w") as f:
+        f.write("[]")
+    with open(f"{src}/broken.json", "w") as f:
+        f.write('[{"image_filename": "a.pdf"')
+    with open(f"{src}/more.json", "w") as f:
+        f.write('[{"label": "a.pdf", "n": {"k": [1]}, "image_filename": "a.pdf", "caption": "q\\"a.pdf"}]')
+    out = SD.rewrite_json_dataset(spark, src, scratch + "/json_relinked", SD.FIGURE_RECORD)
+    got = {r.source.rsplit("/", 1)[-1]: (json.loads(r.records) if r.records else None, r.error) for r in out.collect()}
+    assert got == {
+        "2301_00001_imagesonly.json": ([{"image_filename": "x.png.d/y.png", "caption": "c"}, {"caption": "no image"},
+                                        {"image_filename": "a.PDF", "caption": "u"}], None),
+        "empty.json": ([], None), "broken.json": (None, "not a JSON list"),
+        "more.json": ([{"label": "a.pdf", "n": {"k": [1]}, "image_filename": "a.png", "caption": 'q"a.pdf'}], None)}
 
 
 def test_collect_and_write_json(spark, scratch):

@@ -19,15 +19,15 @@ def test_second_run_sees_only_new_files(spark, scratch):
     def process(batch):
         seen.append(batch.count())
         return V.figure_caption_records(V.expand_members(batch, checkpoint=False)).select(
-            "paper_id", "tex_path", "pos", "image_filename")
+            "archive", "paper_id", "tex_path", "pos", "image_filename")
 
-    AF.write_archive_files(packed.where(F.col("path").endswith("v1.tar.gz")), src)
+    AF.write_archive_files(packed.where(F.col("path").contains("v1")), src)
     assert ingest_incremental(spark, src, out, ckpt, process) == 1
     first = spark.read.parquet(out).count()
     assert ingest_incremental(spark, src, out, ckpt, process) == 0  # nothing new
-    AF.write_archive_files(packed.where(F.col("path").endswith("v2.tar.gz")), src)
+    AF.write_archive_files(packed.where(F.col("path").contains("v2")), src)
     assert ingest_incremental(spark, src, out, ckpt, process) == 1
     total = spark.read.parquet(out)
     assert seen == [100, 100]
     assert total.count() > first
-    assert total.count() == total.dropDuplicates(["paper_id", "tex_path", "pos"]).count()
+    assert total.count() == total.dropDuplicates(["archive", "tex_path", "pos"]).count()

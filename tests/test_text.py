@@ -100,3 +100,35 @@ def test_strip_is_unicode(spark):
     df = spark.createDataFrame([("\u00a0 x \t\n",)], "s string")
     assert df.select(T.strip_ws("s").alias("s")).first().s == "x"
     assert df.select(F.trim("s").alias("s")).first().s != "x"
+
+
+def test_long_tokens_are_read_once(spark):
+    """Doubling an unbroken token does not take four times as long."""
+    import time
+
+    def seconds(text):
+        df = spark.createDataFrame([(text,)], "t string").select(T.clean_text("t", "full").alias("c"))
+        df.collect()
+        t0 = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - t0
+
+    for token in ("a./" * 60_000, "1." * 90_000, "{" * 150_000, "x" + " " * 150_000 + "y"):
+        one, two = seconds(token), seconds(token * 2)
+        assert two < 3 * one + 0.5, (token[:5], one, two)
+
+
+def test_run_start_guards_change_nothing(spark):
+    """The guarded rules against the plain ones, on random strings of the characters that matter."""
+    import random
+    import re
+    r = random.Random(3)
+    texts = ["".join(r.choice("1.2pt inem/a_.pdf.PNG{}é٣") for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    plain = [(p, repl) for p, repl in T.CLEAN_RULES_FULL if T._from_run_start(p) != p or p == T.BRACE_GROUP]
+    assert len(plain) == 5
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select("t", *[F.coalesce(T._drop_brace_groups(F.col("t")) if p == T.BRACE_GROUP else
+                                      F.regexp_replace("t", T._FLAGS + T._from_run_start(p), "")).alias(f"c{k}") for k, (p, _) in enumerate(plain)])
+    for row in out.collect():
+        for k, (p, _) in enumerate(plain):
+            assert row[f"c{k}"] == re.sub(p, "", row.t), (p, row.t)

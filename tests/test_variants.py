@@ -2,61 +2,173 @@
 
 from __future__ import annotations
 
+import io
 import json
+import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from texloom.plans import archive_fixture as AF
 from texloom.plans import variants as V
 from texloom.plans.queries_archives import archive_figure_pairs
 
-from .conftest import SF_SMALL
+from .conftest import SF_SMALL, local_path
+
+
+def _tar(members) -> bytes:
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+        for name, body in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            tar.addfile(info, io.BytesIO(body))
+    return buf.getvalue()
+
+
+def _put(folder, files):
+    import os
+    folder = local_path(folder)
+    os.makedirs(folder, exist_ok=True)
+    for name, data in files.items():
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+
+
+def _figure(path, caption="a caption"):
+    return f"\\begin{{figure}}\n\\includegraphics{{{path}}}\n\\caption{{{caption}}}\n\\end{{figure}}\n"
+
+
+def _rows(spark, out, table, *cols, fmt="parquet"):
+    df = V.read_output(spark, out, table, fmt)
+    return [] if df is None else sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
 def test_variant_runs_and_resume(spark, scratch):
     root = scratch + "/raw"
-    packed = AF.packed_archives(spark, SF_SMALL)
-    AF.write_archive_files(packed, root)
-
-    V.run_figure_captions(spark, root, scratch + "/A", match="path", n_buckets=4)
-    a = spark.read.parquet(scratch + "/A/figures")
-    expected = archive_figure_pairs(spark, SF_SMALL).count()
-    assert a.count() == expected > 0
-    assets = spark.read.parquet(scratch + "/A/assets")
-    assert assets.select("out_name").distinct().count() == a.select("image_filename").distinct().count()
-    errors = spark.read.parquet(scratch + "/A/errors")
-    assert set(r.stage for r in errors.collect()) <= {"expand", "decode"} and errors.count() > 0
-    V.run_figure_captions(spark, root, scratch + "/A", match="path", n_buckets=4)   # rerun: nothing new
-    assert spark.read.parquet(scratch + "/A/figures").count() == expected
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL), root)
+
+    for _ in range(2):  # the second run finds nothing new
+        V.run_figure_captions(spark, root, scratch + "/A", match="path", n_buckets=4)
+        a = V.read_output(spark, scratch + "/A", "figures")
+        expected = archive_figure_pairs(spark, SF_SMALL).count()
+        assert a.count() == expected > 0
+        assets = V.read_output(spark, scratch + "/A", "assets")
+        assert assets.select("archive", "out_name").distinct().count() == a.select("archive", "image_filename").distinct().count()
+        errors = V.read_output(spark, scratch + "/A", "errors")
+        assert {r.stage for r in errors.collect()} == {"expand", "decode", "caption"}
+        n_errors = errors.count()
+    assert V.read_output(spark, scratch + "/A", "errors").count() == n_errors
 
     V.run_labeled_figures(spark, root, scratch + "/E", n_buckets=4)
-    e = spark.read.parquet(scratch + "/E/papers")
+    e = V.read_output(spark, scratch + "/E", "papers")
     assert e.count() > 0 and e.where(F.exists("records", lambda r: r["image_filename"].isNull())).count() > 0
+    assert V.read_output(spark, scratch + "/E", "assets").count() > 0
 
-    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")
-    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")   # rerun: nothing new
-    b = spark.read.json(scratch + "/B/papers").collect()
-    assert len(b) == len({(r.paper_id, r.part) for r in b})
+    for _ in range(2):
+        V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=4, fmt="json")
+        b = V.read_output(spark, scratch + "/B", "papers", "json").collect()
+        assert len(b) == len({(r.paper_id, r.part) for r in b}) > 0
     for r in b:
         assert len(r.texts) == len(r.images)
         assert len(r.captions) == sum(x is not None for x in r.images)
+    frames = V.read_output(spark, scratch + "/B", "frames")
+    assert frames.count() == sum(len(r.captions) for r in b) == frames.select("paper_id", "frame").distinct().count()
+    assert {r.stage for r in V.read_output(spark, scratch + "/B", "errors").collect()} == {"expand", "decode", "caption", "file"}
 
     V.run_interleaved_lists(spark, root, scratch + "/C", glob="*.tar.gz", n_buckets=4)
-    c = spark.read.parquet(scratch + "/C/documents").collect()
+    c = V.read_output(spark, scratch + "/C", "documents").collect()
     assert c and all(isinstance(json.loads(r.record), list) for r in c)
+    assert "file" in {r.stage for r in V.read_output(spark, scratch + "/C", "errors").collect()}
 
     V.run_interleaved_full(spark, root, scratch + "/D", n_buckets=4)
-    d = spark.read.parquet(scratch + "/D/full").collect()
+    d = V.read_output(spark, scratch + "/D", "full").collect()
     first = json.loads(d[0].full)
     assert "text" in first[0] and all(set(x) in ({"text"}, {"image", "label", "caption"}) for x in first)
-    assert spark.read.parquet(scratch + "/D/image_caption").count() > 0
+    assert V.read_output(spark, scratch + "/D", "image_caption").count() > 0
+    assert V.read_output(spark, scratch + "/D", "assets").count() > 0
+
+
+def test_ordinary_archive_shapes(spark, scratch):
+    """``./`` members, versions with equal paths, a commented image, spaces in arguments, a member stored twice."""
+    _put(scratch + "/raw", {
+        "2301.00001.tar.gz": _tar([("./main.tex", _figure("figs/a.png").encode()), ("./figs/a.png", b"A")]),
+        "2301.00002v1.tar.gz": _tar([("main.tex", _figure("figs/m.png").encode())]),
+        "2301.00002v2.tar.gz": _tar([("main.tex", _figure("figs/m.png").encode()), ("figs/m.png", b"M")]),
+        "2301.00003.tar.gz": _tar([("m.tex", b"old"), ("m.tex", ("% " + _figure("old.png", "no")).replace("\n", "\n% ").encode()
+                                    + b"\n" + _figure(" r.png ").encode()), ("r.png", b"R1"), ("r.png", b"R2")]),
+        "2301.00004.tar.gz": _tar([("m.tex", _figure("r.png", "x\\textbf{a{b{c{d{e{f}}}}}}").encode()), ("sub/r.png", b"R")]),
+        "2301.00005.tar.gz": b"no archive",
+    })
+    V.run_figure_captions(spark, scratch + "/raw", scratch + "/A", match="path", n_buckets=2)
+    assert _rows(spark, scratch + "/A", "figures", "paper_id", "image_filename") == [
+        ("2301.00001", "2301_00001_a.png"), ("2301.00002", "2301_00002_m.png"), ("2301.00003", "2301_00003_r.png")]
+    assert [(n, bytes(c)) for n, c in _rows(spark, scratch + "/A", "assets", "out_name", "content")] == [
+        ("2301_00001_a.png", b"A"), ("2301_00002_m.png", b"M"), ("2301_00003_r.png", b"R2")]
+    assert [r[0] for r in _rows(spark, scratch + "/A", "errors", "stage")] == ["expand"]
+    V.run_labeled_figures(spark, scratch + "/raw", scratch + "/E", n_buckets=2)
+    captions = {p: [x.caption for x in r] for p, r in _rows(spark, scratch + "/E", "papers", "paper_id", "records")}
+    assert captions["2301.00004"] == ["x\\textbf{a{b{c{d{e{f}}}}}}"] and len(captions["2301.00002"]) == 2
+
+
+def test_default_match_has_its_assets(spark, scratch):
+    _put(scratch + "/raw", {"2301.00003.tar.gz": _tar([("main.tex", _figure("figs/r.png").encode()), ("r.png", b"R")])})
+    V.run_figure_captions(spark, scratch + "/raw", scratch + "/A", n_buckets=2)
+    assert _rows(spark, scratch + "/A", "figures", "image_filename") == _rows(spark, scratch + "/A", "assets", "out_name") == [("2301_00003_r.png",)]
+
+
+def test_a_run_that_stops_between_outputs(spark, scratch, monkeypatch):
+    root = scratch + "/raw"
+    _put(root, {f"2301.0000{k}.tar.gz": _tar([("m.tex", _figure("r.png").encode()), ("r.png", b"R")]) for k in range(4)}
+         | {"2301.00009.tar.gz": b"broken"})
+    write = V.SD.write_assets
+    monkeypatch.setattr(V.SD, "write_assets", lambda *a, **k: (_ for _ in ()).throw(OSError("storage")))
+    with pytest.raises(OSError):
+        V.run_figure_captions(spark, root, scratch + "/A", n_buckets=2)
+    assert V.read_output(spark, scratch + "/A", "figures") is None
+    monkeypatch.setattr(V.SD, "write_assets", write)
+    V.run_figure_captions(spark, root, scratch + "/A", n_buckets=2)
+    V.run_figure_captions(spark, root, scratch + "/clean", n_buckets=2)
+    for table, cols in (("figures", ("image_filename", "caption")), ("assets", ("out_name",)), ("errors", ("stage", "path"))):
+        assert _rows(spark, scratch + "/A", table, *cols) == _rows(spark, scratch + "/clean", table, *cols) != []
+
+
+def test_arrays_of_a_paper_are_appended(spark, scratch):
+    root = scratch + "/raw"
+    one = _tar([("m.tex", b"first " + _figure("r.png").encode()), ("r.png", b"R")])
+    _put(root, {"2301.00001v1.tar.gz": one})
+    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=2)
+    _put(root, {"2301.00001v2.tar.gz": _tar([("m.tex", b"second " + _figure("r.png").encode()), ("r.png", b"R")])})
+    V.run_interleaved_arrays(spark, root, scratch + "/B", n_buckets=2)
+    assert [(part, texts[0]) for part, texts in _rows(spark, scratch + "/B", "papers", "part", "texts")] == [(0, "first"), (1, "second")]
+
+
+def test_outer_tars(spark, scratch):
+    inner = [_tar([("m.tex", _figure("r.png", f"c{k}").encode()), ("r.png", b"R")]) for k in range(3)]
+
+    def plain(members):
+        buf = io.BytesIO()
+        with tarfile.open(fileobj=buf, mode="w") as tar:
+            for name, body in members:
+                info = tarfile.TarInfo(name)
+                info.size = len(body)
+                tar.addfile(info, io.BytesIO(body))
+        return buf.getvalue()
+
+    _put(scratch + "/outer", {"a.tar": plain([("x/2301.00001.gz", inner[0]), ("note.txt", b"-"), ("y/2301.00002.gz", inner[1])]),
+                              "b.tar": plain([("z/2301.00002.gz", inner[2])]), "c.tar": b"not a tar"})
+    from texloom.__main__ import main
+    main(["figures", scratch + "/outer", scratch + "/A", "--outer", "*.tar", "--buckets", "2"])
+    assert _rows(spark, scratch + "/A", "figures", "paper_id", "caption") == [("2301.00001", "c0"), ("2301.00002", "c2")]
+    broken = V.unpack_outer_tars(spark, scratch + "/outer", scratch + "/again")
+    assert [r.path.rsplit("/", 1)[-1] for r in broken.collect()] == ["c.tar"]
 
 
 def test_command_line_entry(spark, scratch):
     from texloom.__main__ import main
     root = scratch + "/raw"
-    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL).where(F.col("path").endswith("v1.tar.gz")), root)
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL).where(F.col("path").contains("v1")), root)
     main(["lists", root, scratch + "/C", "--format", "json", "--buckets", "2", "--glob", "*.tar.gz"])
-    rows = spark.read.json(scratch + "/C/documents").collect()
+    rows = V.read_output(spark, scratch + "/C", "documents", "json").collect()
     assert rows and all(json.loads(r.record) for r in rows)
     assert {r.bucket for r in rows} <= {0, 1}

@@ -2,7 +2,8 @@
 
 Variants: ``figures`` (figure + caption records and assets), ``labeled`` (per-paper figure
 lists with labels), ``arrays`` (per-paper texts/images/captions), ``lists`` (per-file
-interleaved lists), ``full`` (per-paper segments + figures). Reruns skip finished papers.
+interleaved lists), ``full`` (per-paper segments + figures). Reruns skip finished archives.
+With ``--outer`` the root holds large tars of papers' archives; these are unpacked to ``<out>/inner`` first.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from texloom.plans import variants as V  # noqa: E402
-from texloom.session import ensure_checkpoint_dir  # noqa: E402
+from texloom.session import BROADCAST_CONF, require_shared_folder  # noqa: E402
 
 RUNNERS = {
     "figures": V.run_figure_captions,
@@ -36,15 +37,23 @@ def main(argv=None) -> None:
     p.add_argument("--buckets", type=int, default=64)
     p.add_argument("--format", default="parquet", choices=["parquet", "json"],
                    help="record format of the per-paper / per-file outputs (not used by 'figures')")
+    p.add_argument("--outer", default=None, metavar="GLOB", help="the root holds outer tars of this name pattern")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"texloom-{a.variant}").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    require_shared_folder(spark)
+    for key, value in BROADCAST_CONF.items():
+        spark.conf.set(key, value)
+    root = a.root
+    if a.outer:
+        root = f"{a.out.rstrip('/')}/inner"
+        for broken in V.unpack_outer_tars(spark, a.root, root, a.outer).toLocalIterator():
+            print(f"cannot read {broken.path}: {broken.error}", file=sys.stderr)
     kwargs = {"n_buckets": a.buckets}
     if a.glob:
         kwargs["glob"] = a.glob
     if a.variant != "figures":
         kwargs["fmt"] = a.format
-    RUNNERS[a.variant](spark, a.root, a.out, **kwargs)
+    RUNNERS[a.variant](spark, root, a.out, **kwargs)
 
 
 if __name__ == "__main__":

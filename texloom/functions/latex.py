@@ -2,7 +2,8 @@
 
 A regex stands in for a syntax tree. Every pattern avoids repeated capture groups
 that Java matches recursively (a long caption would otherwise overflow the JVM
-stack): nested braces use possessive quantifiers, which Java runs in a loop.
+stack): nested braces use possessive quantifiers, which Java runs in a loop, or are
+counted (captions).
 
 ``*_RE2`` strings are the same languages in the RE2 dialect (no possessive
 quantifiers); the DuckDB oracle uses them.
@@ -14,17 +15,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._util import col, lit_re
+from .text import strip_braces, strip_ws
 
 # ---------------------------------------------------------------- patterns
 FIGURE = r"(?s)\\begin\{figure\}(.*?)\\end\{figure\}"
 FIGURE_RE2 = r"\\begin\{figure\}(.*?)\\end\{figure\}"  # with option 's'
 
 _OPT = r"(?:\[[^\]]*\])?"
-INCLUDEGRAPHICS = r"\\includegraphics\*?" + _OPT + r"\{([^{}]*)\}"
-EPSFIG = r"\\epsfig" + _OPT + r"\{([^{}]*)\}"
-EPSFBOX = r"\\epsfbox" + _OPT + r"\{([^{}]*)\}"
+# A path argument may stand in one more pair of braces.
+_PATH = r"\{([^{}]*(?:\{[^{}]*\}[^{}]*)?)\}"
+INCLUDEGRAPHICS = r"\\includegraphics\*?" + _OPT + _PATH
+EPSFIG = r"\\epsfig" + _OPT + _PATH
+EPSFBOX = r"\\epsfbox" + _OPT + _PATH
 LABEL = r"\\label\{([^{}]*)\}"
-SECTION = r"\\section\{([^{}]*)\}"
 
 
 def _balanced_possessive(depth: int) -> str:
@@ -43,33 +46,44 @@ def _balanced_unrolled(depth: int) -> str:
     return inner
 
 
-CAPTION_DEPTH = 3
-CAPTION = r"\\caption" + _OPT + r"\{(" + _balanced_possessive(CAPTION_DEPTH) + r")\}"
-CAPTION_RE2 = r"\\caption" + _OPT + r"\{(" + _balanced_unrolled(CAPTION_DEPTH) + r")\}"
+# Titles are read by the tokenizer's one pattern, so to a fixed depth of braces; a deeper one stays in the text.
+TITLE_DEPTH = 6
+SECTION = r"\\section\*?" + _OPT + r"\{(" + _balanced_possessive(TITLE_DEPTH) + r")\}"
+SECTION_RE2 = r"\\section\*?" + _OPT + r"\{(" + _balanced_unrolled(TITLE_DEPTH) + r")\}"
+
+# Captions are read by brace balance, to any depth: what follows the opening brace (group 1).
+CAPTION_REST = r"(?s)\\caption" + _OPT + r"\{(.*)"
 CAPTION_CMD = r"\\caption(?![a-zA-Z])"
+ESCAPED = r"(?s)\\."  # an escaped character is no brace
+
+
+def _struct_alts(balanced: str) -> list[str]:
+    path = _PATH.replace("(", "", 1)[::-1].replace(")", "", 1)[::-1]
+    return [
+        r"\\begin\{figure\}.*?\\end\{figure\}",
+        r"\\section\*?" + _OPT + r"\{" + balanced + r"\}",
+        r"\\includegraphics\*?" + _OPT + path,
+        r"\\eps(?:fig|fbox)" + _OPT + path,
+    ]
+
 
 # One alternation that tiles a document into tokens: figure environments,
-# section titles, image commands, then plain text runs and leftover commands.
-# No repeated group, so matching is iterative.
-STRUCT_ALTS = [
-    r"\\begin\{figure\}.*?\\end\{figure\}",
-    r"\\section\{[^{}]*\}",
-    r"\\includegraphics\*?" + _OPT + r"\{[^{}]*\}",
-    r"\\eps(?:fig|fbox)" + _OPT + r"\{[^{}]*\}",
-]
-TEXT_ALTS = [r"[^\\]+", r"\\(?:[a-zA-Z]+|.)"]
-TOKEN_RE2 = "|".join(STRUCT_ALTS + TEXT_ALTS)  # with option 's'
-TOKEN = "(?s)" + TOKEN_RE2
+# section titles, image commands, then plain text runs and leftover commands
+# (a lone backslash at the end included). Repeated groups are possessive, so
+# matching is iterative.
+TEXT_ALTS = [r"[^\\]+", r"\\(?:[a-zA-Z]+|.)?"]
+TOKEN_RE2 = "|".join(_struct_alts(_balanced_unrolled(TITLE_DEPTH)) + TEXT_ALTS)  # with option 's'
+TOKEN = "(?s)" + "|".join(_struct_alts(_balanced_possessive(TITLE_DEPTH)) + TEXT_ALTS)
 
 
 # ---------------------------------------------------------------- columns
-COMMENT = r"(?m)(?<!\\)%.*$"
+COMMENT = r"(?d)((?<!\\)(?:\\\\)*)%.*"
+COMMENT_RE2 = r"(^|[^\\])((?:\\\\)*)%[^\n]*"  # keeps groups 1 and 2
 
 
 def strip_comments(content) -> Column:
-    """Drop ``%`` comments (an escaped ``\\%`` stays), so a commented-out figure is
-    not extracted. Optional: the reference's parser behaviour here is not pinned down."""
-    return F.regexp_replace(col(content), COMMENT, "")
+    r"""Drop ``%`` comments; an escaped ``\%`` stays, and ``\\%`` is a line break and a comment."""
+    return F.regexp_replace(col(content), COMMENT, "$1")
 
 
 def figure_bodies(content) -> Column:
@@ -77,31 +91,70 @@ def figure_bodies(content) -> Column:
     return F.regexp_extract_all(col(content), lit_re(FIGURE), F.lit(1))
 
 
+def _path(c: Column) -> Column:
+    """An image argument as a path: outer whitespace and one pair of braces go."""
+    return strip_ws(strip_braces(c))
+
+
 def first_image(body) -> Column:
-    """Path of the first ``\\includegraphics``; ``''`` when there is none."""
-    return F.regexp_extract(col(body), INCLUDEGRAPHICS, 1)
+    r"""Path of the first ``\includegraphics``; ``''`` when there is none."""
+    return _path(F.regexp_extract(col(body), INCLUDEGRAPHICS, 1))
 
 
 def all_images(body) -> Column:
     """Every ``includegraphics``, then ``epsfig``, then ``epsfbox`` path, first occurrence kept."""
     b = col(body)
     parts = [F.regexp_extract_all(b, lit_re(p), F.lit(1)) for p in (INCLUDEGRAPHICS, EPSFIG, EPSFBOX)]
-    return F.array_distinct(F.filter(F.concat(*parts), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.concat(*parts), _path), lambda x: x != ""))
+
+
+def image_refs(content) -> Column:
+    """Every image path of a text, inside and outside figures, repeats included."""
+    parts = [F.regexp_extract_all(col(content), lit_re("(?s)" + p), F.lit(1)) for p in (INCLUDEGRAPHICS, EPSFIG, EPSFBOX)]
+    return F.transform(F.concat(*parts), _path)
+
+
+def _balanced_prefix(rest: Column) -> Column:
+    """Text up to the brace that closes the one before ``rest``; NULL when none does.
+
+    Cut at closing braces, the argument ends with the first piece ``k`` (from 0) up to which there are
+    ``k`` opening braces. One pass over the pieces."""
+    def of(s: Column) -> Column:
+        masked = F.regexp_replace(s, ESCAPED, "xx")
+        pieces = F.slice(F.split(masked, r"\}", -1), 1, F.size(F.split(masked, r"\}", -1)) - 1)
+        start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("opens"), F.lit(0).alias("length"), F.lit(-1).alias("found"))
+
+        def step(acc, p):
+            opens = acc["opens"] + F.length(p) - F.length(F.replace(p, F.lit("{"), F.lit("")))
+            length = acc["length"] + F.length(p)
+            return F.when(acc["found"] >= 0, acc).otherwise(F.struct(
+                (acc["k"] + 1).alias("k"), opens.alias("opens"), (length + 1).alias("length"),
+                F.when(opens == acc["k"], length).otherwise(F.lit(-1)).alias("found")))
+
+        found = F.aggregate(pieces, start, step, lambda acc: acc["found"])
+        return F.when(found >= 0, s.substr(F.lit(1), found))
+
+    return F.element_at(F.transform(F.array(rest), of), 1)
+
+
+def caption_or_null(body) -> Column:
+    """Raw text of the first caption, braces kept to any depth; NULL when absent or not closed."""
+    b = col(body)
+    return F.when(b.rlike(CAPTION_REST), _balanced_prefix(F.regexp_extract(b, CAPTION_REST, 1)))
 
 
 def caption(body) -> Column:
-    """Raw caption text (braces to depth 3 kept); ``''`` when absent."""
-    return F.regexp_extract(col(body), CAPTION, 1)
+    """The first caption; ``''`` when absent or not closed."""
+    return F.coalesce(caption_or_null(body), F.lit(""))
 
 
 def has_caption(body) -> Column:
-    return col(body).rlike(CAPTION)
+    return caption_or_null(body).isNotNull()
 
 
 def caption_unparsed(body) -> Column:
-    """A caption command is present but its argument could not be read (too deep)."""
-    b = col(body)
-    return b.rlike(CAPTION_CMD) & ~b.rlike(CAPTION)
+    """A caption command is present but it has no argument that closes."""
+    return col(body).rlike(CAPTION_CMD) & caption_or_null(body).isNull()
 
 
 def label(body) -> Column:
@@ -122,21 +175,24 @@ def tokens(content) -> Column:
 
 
 def token_kind(t: Column) -> Column:
-    """Kind of a token from ``tokens``: figure, section, image or text.
+    r"""Kind of a token from ``tokens``: figure, section, image or text.
 
     A structural token always ends with ``}``; a text token that merely starts
-    like a command name (``\\section`` without a brace) never does.
+    like a command name (``\section`` without a brace) never does.
     """
     closed = t.endswith("}")
     return (
         F.when(t.startswith("\\begin{figure}"), F.lit("figure"))
-        .when(t.startswith("\\section{") & closed, F.lit("section"))
+        .when(t.startswith("\\section") & closed, F.lit("section"))
         .when((t.startswith("\\includegraphics") | t.startswith("\\epsfig") | t.startswith("\\epsfbox")) & closed,
               F.lit("image"))
         .otherwise(F.lit("text"))
     )
 
 
+IMAGE_TOKEN = r"^\\[a-z]+\*?" + _OPT + r"\{(?s:(.*))\}$"
+
+
 def image_token_path(t) -> Column:
     """Path argument of a stand-alone image command token."""
-    return F.regexp_extract(col(t), r"\{([^{}]*)\}$", 1)
+    return _path(F.regexp_extract(col(t), IMAGE_TOKEN, 1))

@@ -40,6 +40,29 @@ CLEAN_RULES_SHORT: list[tuple[str, str]] = CLEAN_RULES_FULL[:9] + [("SQUEEZE", "
 
 _FLAGS = "(?Ud)"
 
+# Rules that open with a run of characters may start at the run's start only. A rule that
+# matches from inside a run also matches from its start, so the removed spans are the same;
+# but a long run is read once, not once from each of its characters.
+RUN_START = {r"[\d.]+": r"(?<![\d.])", r"[\w./]+": r"(?<![\w./])"}
+BRACE_GROUP = r"\{[^}]*\}"
+
+
+def _from_run_start(pattern: str) -> str:
+    flags, body = ("(?i)", pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
+    for run, guard in RUN_START.items():
+        if body.startswith(run):
+            return flags + guard + body
+    return pattern
+
+
+def _drop_brace_groups(c: Column) -> Column:
+    """Rule 3 on the text up to its last closing brace: an opening brace after that can close nowhere, and
+    would be searched to the end of the text for nothing."""
+    upto = F.length(c) - F.instr(F.reverse(c), "}") + 1
+    kept = F.when(F.instr(c, "}") > 0, upto).otherwise(F.lit(0))
+    return F.concat(F.regexp_replace(c.substr(F.lit(1), kept), _FLAGS + BRACE_GROUP, ""),
+                    c.substr(kept + 1, F.length(c)))
+
 
 def squeeze_ws(c: Column) -> Column:
     """Collapse whitespace runs to one space and strip both ends.
@@ -49,9 +72,17 @@ def squeeze_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, _FLAGS + r"\s+", " "))
 
 
-def strip_ws(c: Column) -> Column:
+def strip_ws(c) -> Column:
     """Trim all (Unicode) whitespace, like Python's ``str.strip()``."""
-    return F.regexp_replace(c, _FLAGS + r"^\s+|\s+$", "")
+    return F.regexp_replace(col(c), _FLAGS + r"^\s+|(?<!\s)\s+$", "")
+
+
+def strip_left(c) -> Column:
+    return F.regexp_replace(col(c), _FLAGS + r"^\s+", "")
+
+
+def strip_right(c) -> Column:
+    return F.regexp_replace(col(c), _FLAGS + r"(?<!\s)\s+$", "")
 
 
 def clean_text(c, chain: str = "full") -> Column:
@@ -59,7 +90,12 @@ def clean_text(c, chain: str = "full") -> Column:
     rules = CLEAN_RULES_FULL if chain == "full" else CLEAN_RULES_SHORT
     out = col(c)
     for pattern, repl in rules:
-        out = squeeze_ws(out) if pattern == "SQUEEZE" else F.regexp_replace(out, _FLAGS + pattern, repl)
+        if pattern == "SQUEEZE":
+            out = squeeze_ws(out)
+        elif pattern == BRACE_GROUP:
+            out = F.element_at(F.transform(F.array(out), _drop_brace_groups), 1)  # evaluates its input once
+        else:
+            out = F.regexp_replace(out, _FLAGS + _from_run_start(pattern), repl)
     return out
 
 
@@ -123,6 +159,16 @@ def paper_id_normalize(c) -> Column:
     return F.replace(col(c), F.lit("."), F.lit("_"))
 
 
+def normalize_path(p) -> Column:
+    """A relative path without outer whitespace, ``.`` and empty segments, and with ``a/..`` resolved, as a file
+    system resolves it below the archive's root (``./figs//a.png`` and ``x/../figs/a.png`` are ``figs/a.png``)."""
+    parts = F.filter(F.split(strip_ws(col(p)), "/"), lambda x: (x != "") & (x != "."))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(
+        (x == "..") & (F.size(acc) > 0), F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == "..", acc).otherwise(F.array_append(acc, x)))
+    return F.array_join(kept, "/")
+
+
 def strip_braces(c) -> Column:
     """Strip whitespace, then drop one pair of enclosing braces."""
     return F.regexp_replace(strip_ws(col(c)), r"(?s)^\{(.*)\}$", "$1")

@@ -1,10 +1,11 @@
 """Figure files: resolution against archive members, output names, manifests.
 
-Resolution is an equi-join on ``(paper_id, path)``; both sides carry only keys
-and short strings (never file bytes), so the shuffle is small. With AQE the
-join becomes a broadcast only after the member side has been measured under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, else it stays sort-merge;
-AQE also splits skewed partitions of the figure side.
+Resolution is an equi-join on ``(archive, path)`` (on the paper where a table has no
+archives): a reference means a file of its own archive. Paths are normalised on
+both sides. Both sides carry only keys and short strings (never file bytes), so the
+shuffle is small. With AQE the join becomes a broadcast only after the member side has
+been measured under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else it stays
+sort-merge; AQE also splits skewed partitions of the figure side.
 """
 
 from __future__ import annotations
@@ -12,42 +13,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import paper_id_normalize, path_basename, path_stem
+from ..functions.text import normalize_path, paper_id_normalize, path_basename, path_stem
 from . import ordered
 
 
-def _member_keys(members: DataFrame, match: str) -> DataFrame:
-    m = members.select(F.col("paper_id").alias("_m_paper"), F.col("member_path").alias("_m_path"))
+def _unit(*frames: DataFrame) -> str:
+    """The column that says which archive a row is from; the paper where archives are not known."""
+    return "archive" if all("archive" in f.columns for f in frames) else "paper_id"
+
+
+def file_keys(df: DataFrame) -> list[str]:
+    """The columns that name a file: versions of a paper may hold the same path."""
+    return [c for c in ("archive", "paper_id", "tex_path") if c in df.columns]
+
+
+def _member_keys(members: DataFrame, unit: str, match: str) -> DataFrame:
+    m = members.select(F.col(unit).alias("_m_unit"), normalize_path("member_path").alias("_m_path"))
     if match == "root_basename":
         # Lookup of the base name at the archive root only.
         m = m.where(~F.col("_m_path").contains("/"))
-    return m.distinct()
+    return m
 
 
-def _ref_key(ref: str, match: str) -> Column:
-    return path_basename(ref) if match == "root_basename" else F.col(ref)
+def ref_key(ref: str, match: str) -> Column:
+    """The member path that a reference is looked up as."""
+    return path_basename(normalize_path(ref)) if match == "root_basename" else normalize_path(ref)
 
 
 def resolve_assets(figs: DataFrame, members: DataFrame, policy: str = "drop", ref: str = "image_ref",
-                   match: str = "path", doc_keys: tuple[str, ...] = ("paper_id", "tex_path"),
+                   match: str = "path", doc_keys: tuple[str, ...] | None = None,
                    out: str = "resolved") -> DataFrame:
-    """Check that each referenced file exists in the paper's archive.
+    """Check that each referenced file exists in its archive.
 
     ``policy``: ``"drop"`` keeps resolved rows only; ``"keep"`` keeps every row and
     adds a boolean ``out``; ``"all_or_nothing"`` drops every row of a document
-    that has any unresolved reference. ``match``: ``"path"`` (relative path as
-    written) or ``"root_basename"`` (base name looked up at the archive root).
+    that has any unresolved reference. ``match``: ``"path"`` (relative path, normalised)
+    or ``"root_basename"`` (base name looked up at the archive root).
     """
-    m = _member_keys(members, match)
-    on = (F.col("paper_id") == F.col("_m_paper")) & (_ref_key(ref, match) == F.col("_m_path"))
+    unit = _unit(figs, members)
+    m = _member_keys(members, unit, match)
+    on = (F.col(unit) == F.col("_m_unit")) & (ref_key(ref, match) == F.col("_m_path"))
     if policy == "drop":
         return figs.join(m, on, "left_semi")
     if policy == "keep":
-        return (figs.join(m, on, "left").withColumn(out, F.col("_m_path").isNotNull())
-                .drop("_m_paper", "_m_path"))
+        return (figs.join(m.distinct(), on, "left").withColumn(out, F.col("_m_path").isNotNull())
+                .drop("_m_unit", "_m_path"))
     if policy == "all_or_nothing":
-        missing = figs.join(m, on, "left_anti").select(*doc_keys).distinct()
-        return figs.join(missing, list(doc_keys), "left_anti")
+        keys = list(doc_keys or file_keys(figs))
+        missing = figs.join(m, on, "left_anti").select(*keys).distinct()
+        return figs.join(missing, keys, "left_anti")
     raise ValueError(f"unknown policy {policy!r}")
 
 
@@ -83,17 +97,25 @@ def dedupe_output_images(df: DataFrame, keys: tuple[str, ...] = ("paper_id", "te
     return firsts.select(*keys, name, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def figure_ordinal(figs: DataFrame, out: str = "fig_index", keys: tuple[str, ...] = ("paper_id",),
-                   order: tuple[str, ...] = ("tex_path", "pos")) -> DataFrame:
-    """0-based ordinal of each figure in its paper (documents in path order)."""
-    return (ordered.row_number(figs, list(keys), list(order), "_rn")
-            .withColumn(out, F.col("_rn") - 1).drop("_rn"))
+def figure_ordinal(figs: DataFrame, out: str = "fig_index", key: str = "paper_id", pos: str = "pos") -> DataFrame:
+    """0-based ordinal of each figure in its paper, files in the order of archive and path.
+
+    ``figs`` holds all figures of each file, numbered from 0 in ``pos``. One running sum over a row per
+    file (its number of figures) gives the offset of the file; no figure text is sorted or stored.
+    """
+    files = file_keys(figs)
+    order = [c for c in files if c != key]
+    counts = figs.groupBy(*files).agg((F.max(pos) + 1).alias("_n"))
+    offs = ordered.running_sum(counts, [key], order, "_n", "_before", inclusive=False).drop("_n")
+    return figs.join(offs, files).withColumn(out, F.col("_before") + F.col(pos)).drop("_before")
 
 
 def frame_manifest(images: DataFrame, keys: tuple[str, ...] = ("paper_id",),
-                   order: tuple[str, ...] = ("tex_path", "pos", "img_pos"), out: str = "frame") -> DataFrame:
+                   order: tuple[str, ...] | None = None, out: str = "frame") -> DataFrame:
     """Frame index of each image in its paper's stack, in reading order."""
-    return figure_ordinal(images, out=out, keys=keys, order=order)
+    order = list(order or [c for c in file_keys(images) if c not in keys] + ["pos", "img_pos"])
+    return (ordered.row_number(images, list(keys), order, "_rn")
+            .withColumn(out, F.col("_rn") - 1).drop("_rn"))
 
 
 def decode_base64_assets(records: DataFrame, field: str = "image", out: str = "image_bytes") -> DataFrame:

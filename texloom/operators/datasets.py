@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .assets import file_keys
+from .tokens import file_ranks
+
 
 def resume_anti(new: DataFrame, done: DataFrame, keys=("paper_id",)) -> DataFrame:
     """Rows of ``new`` whose key is not in ``done`` (exact key match, not a prefix)."""
@@ -18,7 +21,14 @@ def append_union(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def append_arrays(old: DataFrame, new: DataFrame, key: str = "paper_id",
                   fields=("texts", "images", "captions")) -> DataFrame:
-    """Per key, old arrays followed by new arrays (a key on one side only keeps its arrays)."""
+    """A key's old arrays, then its new ones.
+
+    Without ``part`` one row per key (for keys known to be small). With ``part`` (bounded rows, in order) the new parts
+    are numbered on from the key's last old part, so no row grows and none is joined with another."""
+    if "part" in old.columns and "part" in new.columns:
+        last = old.groupBy(key).agg((F.max("part") + 1).alias("_next"))
+        moved = new.join(last, key, "left").withColumn("part", F.col("part") + F.coalesce("_next", F.lit(0))).drop("_next")
+        return old.select(key, "part", *fields).unionByName(moved.select(key, "part", *fields))
     o = old.select(key, *[F.col(f).alias(f"_o_{f}") for f in fields])
     n = new.select(key, *[F.col(f).alias(f"_n_{f}") for f in fields])
     j = o.join(n, key, "full_outer")
@@ -27,6 +37,18 @@ def append_arrays(old: DataFrame, new: DataFrame, key: str = "paper_id",
                            for f in fields])
 
 
+def array_parts(per_file: DataFrame, part_size: int, fields=("texts", "images", "captions")) -> DataFrame:
+    """``(paper_id, part, fields...)``: the arrays of a paper's files one after another, in parts of ``part_size`` files
+    (ranks over names only); no row holds more."""
+    ranked = per_file.join(file_ranks(per_file), file_keys(per_file)).withColumn("part", F.floor(F.col("rank") / part_size).cast("long"))
+    rows = F.sort_array(F.collect_list(F.struct("rank", *fields)))
+
+    def field(name):
+        return lambda p: p[name]
+
+    return ranked.groupBy("paper_id", "part").agg(*[F.flatten(F.transform(rows, field(f))).alias(f) for f in fields])
+
+
 # Most items one output row (part) of a per-paper list holds: no group grows with the data.
 PART_SIZE = 256
 

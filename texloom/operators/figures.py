@@ -10,47 +10,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import latex as L
-from .rows import explode_pos
+from .assets import asset_name_prefixed, file_keys
+from .rows import explode_pos, first_per_key, let
 
 
 FIELDS = ("image_ref", "has_image", "caption", "has_caption", "caption_unparsed", "label", "has_label")
 
 
-def _fields(b) -> list:
+def _fields(b, cap) -> list:
+    """The figure fields of a body and its caption (NULL if there is none that closes)."""
     return [
         L.first_image(b).alias("image_ref"),
         b.rlike(L.INCLUDEGRAPHICS).alias("has_image"),
-        L.caption(b).alias("caption"),
-        L.has_caption(b).alias("has_caption"),
-        L.caption_unparsed(b).alias("caption_unparsed"),
+        F.coalesce(cap, F.lit("")).alias("caption"),
+        cap.isNotNull().alias("has_caption"),
+        (cap.isNull() & b.rlike(L.CAPTION_CMD)).alias("caption_unparsed"),
         L.label(b).alias("label"),
         L.has_label(b).alias("has_label"),
     ]
 
 
-def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] = ("paper_id", "tex_path"),
-                    pos: str = "pos", body: str = "body", strip_comments: bool = False) -> DataFrame:
+def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str, ...] | None = None,
+                    pos: str = "pos", body: str = "body", strip_comments: bool = True) -> DataFrame:
     """``(keep..., pos, body, <fields>)``: every figure environment, ``pos`` 0-based in document
     order, with its fields (``image_ref`` = first includegraphics or '', ``has_image``,
     ``caption``, ``has_caption``, ``caption_unparsed``, ``label``, ``has_label``).
+    ``keep``: the columns that name a file.
 
     The fields are computed inside the array, before the rows are generated: a later
     filter on them (``require_*``) then cannot be pushed below the generator and
-    re-run the regexes. ``strip_comments`` removes ``%`` comments first (off by default).
+    re-run the regexes. ``%`` comments are no part of a document; they are removed first.
     """
+    keep = keep or file_keys(docs)
     text = L.strip_comments(content) if strip_comments else F.col(content)
-    arr = F.transform(L.figure_bodies(text),
-                      lambda bd, i: F.struct(i.cast("long").alias(pos), bd.alias(body), *_fields(bd)))
+    arr = F.transform(L.figure_bodies(text), lambda bd, i: let(L.caption_or_null(bd), lambda cap: F.struct(
+        i.cast("long").alias(pos), bd.alias(body), *_fields(bd, cap))))
     rows = explode_pos(docs, keep, arr, "_i", "_f")
     return rows.select(*keep, *[F.col("_f")[c].alias(c) for c in (pos, body, *FIELDS)])
 
 
-def figure_fields(figs: DataFrame, body: str = "body") -> DataFrame:
-    """Add the figure fields to rows holding a figure ``body`` (already present after
-    ``extract_figures``)."""
-    if all(c in figs.columns for c in FIELDS):
-        return figs
-    return figs.select("*", *_fields(F.col(body)))
+def document_images(docs: DataFrame, content: str = "content", keep=None) -> DataFrame:
+    """``(keep..., pos, img_pos, image_ref, out_name, caption, has_caption)``: every image command of every figure,
+    distinct in its figure, the first per output name in its document. All inside the document's row."""
+    keep = keep or file_keys(docs)
+
+    def images(bd, i):
+        return let(L.caption_or_null(bd), lambda cap: F.transform(L.all_images(bd), lambda img, j: F.struct(
+            i.cast("long").alias("pos"), j.cast("long").alias("img_pos"), img.alias("image_ref"),
+            asset_name_prefixed("paper_id", img, jpeg=True).alias("out_name"), F.coalesce(cap, F.lit("")).alias("caption"),
+            cap.isNotNull().alias("has_caption"))))
+
+    every = F.flatten(F.transform(L.figure_bodies(L.strip_comments(content)), images))
+    firsts = let(every, lambda items: first_per_key(items, lambda x, i: x["out_name"]))
+    rows = explode_pos(docs, keep, firsts, "_i", "_f")
+    return rows.select(*keep, "_f.pos", "_f.img_pos", "_f.image_ref", "_f.out_name", "_f.caption", "_f.has_caption")
 
 
 def figure_all_images(figs: DataFrame, body: str = "body", out: str = "image_refs") -> DataFrame:
@@ -69,8 +82,8 @@ def require_caption(figs: DataFrame, non_empty: bool = True) -> DataFrame:
     return figs.where(cond)
 
 
-def caption_errors(figs: DataFrame, keys: tuple[str, ...] = ("paper_id", "tex_path", "pos")) -> DataFrame:
-    """Figures whose caption nests deeper than the pattern reads: a row each for the errors table."""
+def caption_errors(figs: DataFrame) -> DataFrame:
+    """Figures whose caption has no argument that closes: a row each for the errors table."""
     return (figs.where("caption_unparsed")
-            .select(*keys, F.lit("caption").alias("stage"),
-                    F.lit("caption nests braces deeper than %d levels" % L.CAPTION_DEPTH).alias("message")))
+            .select(*file_keys(figs), "pos", F.lit("caption").alias("stage"),
+                    F.lit("the caption's braces do not close").alias("message")))

@@ -35,3 +35,22 @@ def where_computed(df: DataFrame, keep, value: Column, name: str, cond) -> DataF
     produced by a generator, which the filter cannot pass.
     """
     return explode_pos(df, keep, F.filter(F.array(value), cond), "_keep", name).drop("_keep")
+
+
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` (a one-element ``transform``).
+
+    Catalyst inlines a column defined by ``withColumn`` at every place it is
+    used; used inside a lambda it would be recomputed per element. A lambda
+    variable is evaluated once, so each stage below binds its input this way.
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def first_per_key(items: Column, key) -> Column:
+    """The first element of an array per ``key(element, index)``, in order. Sorts (key, index) pairs, so long arrays
+    are not searched once per element. ``items`` should be a lambda variable (see ``let``)."""
+    pairs = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x, i).alias("k"), i.alias("i"))))
+    firsts = let(pairs, lambda s: F.filter(s, lambda p, n: (n == 0) | ~p["k"].eqNullSafe(
+        F.element_at(s, F.greatest(n, F.lit(1)))["k"])))
+    return let(F.sort_array(F.transform(firsts, lambda p: p["i"])), lambda at: F.transform(at, lambda i: F.element_at(items, i + 1)))

@@ -18,36 +18,43 @@ from pyspark.sql import functions as F
 from ..functions import latex as L
 from ..functions import text as T
 from . import ordered
-from .assets import asset_name_prefixed
-from .rows import explode_pos
+from .assets import asset_name_prefixed, file_keys
+from .rows import explode_pos, first_per_key, let
 
 NUL = "\x00"
 ITEM_FIELDS = ("kind", "text", "image_ref", "name", "caption", "label")
 
 
 # ----------------------------------------------------------------- token rows
-def token_rows(docs: DataFrame, content: str = "content", keep=("paper_id", "tex_path")) -> DataFrame:
-    """``(keep..., pos, token, kind)``: the document body tiled into tokens."""
-    body = T.document_body(content)
-    return explode_pos(docs, keep, L.tokens(body), "pos", "token").withColumn("kind", L.token_kind(F.col("token")))
+def _body(content: str) -> Column:
+    return T.document_body(L.strip_comments(content))
 
 
-def concat_tex(docs: DataFrame, keys=("paper_id",), path: str = "tex_path", content: str = "content",
-               part_size: int = 256) -> DataFrame:
-    """A paper's files joined in path order, no separator, in bounded parts.
+def token_rows(docs: DataFrame, content: str = "content", keep=None) -> DataFrame:
+    """``(keep..., pos, token, kind)``: the document body, without comments, tiled into tokens."""
+    return explode_pos(docs, keep or file_keys(docs), L.tokens(_body(content)), "pos", "token").withColumn(
+        "kind", L.token_kind(F.col("token")))
 
-    Each file gets its 0-based rank in the paper (skew-safe, over keys only) and
-    files go to parts of ``part_size`` consecutive files: one row per
-    ``(paper, part)`` with ``n_files``, ``first_file`` (rank of its first file) and
+
+def file_ranks(docs: DataFrame, key: str = "paper_id") -> DataFrame:
+    """The file keys with ``rank``: 0-based place of a file in its paper (skew-safe, names only)."""
+    files = file_keys(docs)
+    ranks = ordered.row_number(docs.select(*files), [key], [c for c in files if c != key], "rank")
+    return ranks.withColumn("rank", F.col("rank") - 1)
+
+
+def concat_tex(docs: DataFrame, key: str = "paper_id", content: str = "content", part_size: int = 256) -> DataFrame:
+    """A paper's files joined in the order of archive and path, no separator, in bounded parts.
+
+    Each file gets its 0-based rank in the paper and files go to parts of ``part_size`` consecutive
+    files: one row per ``(paper, part)`` with ``n_files``, ``first_file`` (rank of its first file) and
     the joined ``content``. The paper's text is its parts in ``part`` order; no row
     or task ever holds a whole large paper.
     """
-    ranks = ordered.row_number(docs.select(*keys, path), list(keys), [path], "_rank")
-    ranked = docs.join(ranks, [*keys, path]).withColumn("_rank", F.col("_rank") - 1)
-    ranked = ranked.withColumn("part", F.floor(F.col("_rank") / part_size).cast("long"))
-    files = F.sort_array(F.collect_list(F.struct(F.col("_rank"), F.col(content))))
-    return (ranked.groupBy(*keys, "part")
-            .agg(F.count(F.lit(1)).alias("n_files"), F.min("_rank").alias("first_file"),
+    ranked = docs.join(file_ranks(docs, key), file_keys(docs)).withColumn("part", F.floor(F.col("rank") / part_size).cast("long"))
+    files = F.sort_array(F.collect_list(F.struct(F.col("rank"), F.col(content))))
+    return (ranked.groupBy(key, "part")
+            .agg(F.count(F.lit(1)).alias("n_files"), F.min("rank").alias("first_file"),
                  F.array_join(F.transform(files, lambda x: x[content]), "").alias(content)))
 
 
@@ -57,16 +64,6 @@ def _item(kind, text=None, image_ref=None, name=None, caption=None, label=None)
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v).cast("string")).alias(k) for k, v in vals.items()])
 
 
-def let(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and hand it to ``fn`` (a one-element ``transform``).
-
-    Catalyst inlines a column defined by ``withColumn`` at every place it is
-    used; used inside a lambda it would be recomputed per element. A lambda
-    variable is evaluated once, so each stage below binds its input this way.
-    """
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def _raw_parts(body: Column) -> Column:
     """Alternating raw text runs (even index) and structural tokens (odd index)."""
     return let(L.tokens(body), lambda toks: F.split(F.array_join(F.transform(
@@ -83,7 +80,7 @@ def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: b
     kind = L.token_kind(p)
     text_run = F.array(_item(F.lit("text"), text=T.clean_text(p, clean)))
     section = F.array(_item(F.lit("text"), text=L.section_title(p)))
-    cap = F.when(L.has_caption(p), L.caption(p))
+    cap = L.caption_or_null(p)
     lab = F.when(L.has_label(p), L.label(p))
     first = L.first_image(p)
     if figures == "figure":
@@ -93,7 +90,7 @@ def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: b
                                      name=asset_name_prefixed(paper_id, first), caption=cap, label=lab)),
                        lambda x: x["image_ref"] != "")
     elif figures == "images":
-        clean_cap = F.when(L.has_caption(p), T.clean_text(L.caption(p), "full"))
+        clean_cap = T.clean_text(L.caption_or_null(p), "full")
         fig = let(clean_cap, lambda cc: F.transform(L.all_images(p), lambda img: _item(
             F.lit("image"), image_ref=img, name=asset_name_prefixed(paper_id, img, jpeg=True), caption=cc)))
     else:
@@ -130,8 +127,8 @@ def _drop_empty_text(items: Column) -> Column:
 
 def _first_per_name(items: Column) -> Column:
     """Keep the first image item per output name."""
-    return let(F.transform(items, lambda x: x["name"]), lambda names: F.filter(
-        items, lambda x, i: (x["kind"] != "image") | (F.array_position(names, x["name"]) == i + 1)))
+    return first_per_key(items, lambda x, i: F.when(x["kind"] == "image", F.concat(F.lit("n"), x["name"]))
+                         .otherwise(F.concat(F.lit("i"), i.cast("string"))))
 
 
 def _drop_adjacent_duplicates(items: Column) -> Column:
@@ -158,7 +155,7 @@ def interleave(docs: DataFrame, content: str = "content", paper_id: str = "paper
 
     Each document is processed inside its own row: no shuffle.
     """
-    body = F.regexp_replace(T.document_body(content), NUL, "")
+    body = F.regexp_replace(_body(content), NUL, "")
     pid = F.col(paper_id)
     raw = F.flatten(F.transform(_raw_parts(body), lambda p, i: _items_of_part(p, i, clean, figures, standalone, pid)))
     stages = [_drop_empty_text]
@@ -174,8 +171,9 @@ def interleave(docs: DataFrame, content: str = "content", paper_id: str = "paper
     return docs.withColumn(out, run(raw, stages))
 
 
-def item_rows(df: DataFrame, keep=("paper_id", "tex_path"), items: str = "items") -> DataFrame:
+def item_rows(df: DataFrame, keep=None, items: str = "items") -> DataFrame:
     """One row per item with its 0-based position."""
+    keep = keep or file_keys(df)
     rows = explode_pos(df, keep, F.col(items), "pos", "_it")
     return rows.select(*keep, "pos", *[F.col("_it")[f].alias(f) for f in ITEM_FIELDS])
 
@@ -184,46 +182,53 @@ def item_rows(df: DataFrame, keep=("paper_id", "tex_path"), items: str = "items"
 FIGURE_SPAN = r"(?s)\\begin\{figure\}.*?\\end\{figure\}"
 
 
-def split_on_figures(docs: DataFrame, content: str = "content", keep=("paper_id", "tex_path")) -> DataFrame:
-    """Text between figures, outer whitespace stripped: ``(keep..., seg, text)``; n figures give n+1 segments."""
-    segs = explode_pos(docs, keep, F.split(F.col(content), FIGURE_SPAN, -1), "seg", "text")
+def split_on_figures(docs: DataFrame, content: str = "content", keep=None) -> DataFrame:
+    """Text between figures, comments dropped and outer whitespace stripped: ``(keep..., seg, text)``; n figures give
+    n+1 segments."""
+    keep = keep or file_keys(docs)
+    segs = explode_pos(docs, keep, F.split(L.strip_comments(content), FIGURE_SPAN, -1), "seg", "text")
     return segs.select(*keep, "seg", T.strip_ws("text").alias("text"))
 
 
-def raw_segments(docs: DataFrame, content: str = "content", keep=("paper_id", "tex_path")) -> DataFrame:
-    """``(keep..., seg, text, closes)``: segments as cut (not stripped); ``closes`` is true when a
-    figure environment follows the segment in its file (every segment but the last)."""
-    arr = let(F.split(F.regexp_replace(F.col(content), NUL, ""), FIGURE_SPAN, -1), lambda a: F.transform(
-        a, lambda s, i: F.struct(i.cast("long").alias("seg"), s.alias("text"), (i < F.size(a) - 1).alias("closes"),
-                                 F.size(a).cast("long").alias("n_segs"))))
+def raw_segments(docs: DataFrame, content: str = "content", keep=None) -> DataFrame:
+    """``(keep..., seg, text, n_segs)``: segments as cut (comments dropped, not stripped) with their number in the file."""
+    keep = keep or file_keys(docs)
+    arr = let(F.split(L.strip_comments(content), FIGURE_SPAN, -1), lambda a: F.transform(
+        a, lambda s, i: F.struct(i.cast("long").alias("seg"), s.alias("text"), F.size(a).cast("long").alias("n_segs"))))
     rows = explode_pos(docs, keep, arr, "_i", "_s")
-    return rows.select(*keep, "_s.seg", "_s.text", "_s.closes", "_s.n_segs")
+    return rows.select(*keep, "_s.seg", "_s.text", "_s.n_segs")
 
 
-def paper_segments(segs: DataFrame) -> DataFrame:
-    """``(paper_id, seg, text)``: the segments of each paper's concatenated files, without
-    gathering a paper in one task.
+def paper_segments(segs: DataFrame, piece_size: int = 256) -> DataFrame:
+    """``(paper_id, seg, piece, text)``: the segments of each paper's concatenated files, in bounded pieces.
 
-    Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper
-    (a skew-safe running sum over one row per file). Segments inside a file are
-    complete as they are; only a file's first and last segments can join with
-    neighbouring files, so only those are grouped, on ``(paper_id, seg)``.
+    Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper: one running
+    sum over a row per file. A file's first and last segments run on into its neighbours, and
+    through files without a figure; so a segment is written in pieces of at most ``piece_size`` files, keyed
+    by the files' rank. Only what a piece's files have in one segment is put together. Outer
+    whitespace of a segment is stripped at its first and last piece; the other ends stay as they are.
     """
-    files = segs.where(F.col("seg") == 0).select("paper_id", "tex_path", (F.col("n_segs") - 1).alias("n_figs"))
-    offs = ordered.running_sum(files, ["paper_id"], ["tex_path"], "n_figs", "off", inclusive=False)
-    s = (segs.join(offs.select("paper_id", "tex_path", "off"), ["paper_id", "tex_path"])
-         .withColumn("g", F.col("off") + F.col("seg")))
-    edge = (F.col("seg") == 0) | (F.col("seg") == F.col("n_segs") - 1)
-    inner = s.where(~edge).select("paper_id", F.col("g").alias("seg"), "text")
-    joined = (s.where(edge).groupBy("paper_id", "g")
-              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tex_path", "seg", "text"))),
+    keys = file_keys(segs)
+    order = [c for c in keys if c != "paper_id"]
+    files = segs.where(F.col("seg") == 0).select(*keys, (F.col("n_segs") - 1).alias("n_figs"))
+    offs = (ordered.running_sum(files.withColumn("_one", F.lit(1)), ["paper_id"], order, "n_figs", "off", inclusive=False)
+            .drop("n_figs"))
+    offs = offs.join(file_ranks(files), keys).drop("_one")
+    s = (segs.join(offs, keys).withColumn("g", F.col("off") + F.col("seg"))
+         .withColumn("piece", F.floor(F.col("rank") / piece_size).cast("long")))
+    joined = (s.groupBy("paper_id", "g", "piece")
+              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "text"))),
                                             lambda x: x["text"]), "").alias("text")))
-    return inner.unionByName(joined.select("paper_id", F.col("g").alias("seg"), "text")) \
-        .withColumn("text", T.strip_ws("text"))
+    ends = joined.groupBy("paper_id", "g").agg(F.min("piece").alias("_lo"), F.max("piece").alias("_hi"))
+    text = F.when(F.col("piece") == F.col("_lo"), T.strip_left("text")).otherwise(F.col("text"))
+    out = joined.join(ends, ["paper_id", "g"]).withColumn("text", text)
+    return out.select("paper_id", F.col("g").alias("seg"), "piece",
+                      F.when(F.col("piece") == F.col("_hi"), T.strip_right("text")).otherwise(F.col("text")).alias("text"))
 
 
-def zip_segments(segments: DataFrame, figures: DataFrame, keys=("paper_id", "tex_path")) -> DataFrame:
+def zip_segments(segments: DataFrame, figures: DataFrame, keys=None) -> DataFrame:
     """Segment ``i`` followed by figure ``i`` (when that figure survived its filters)."""
+    keys = list(keys or file_keys(segments))
     f = figures.withColumnRenamed("pos", "seg")
     return segments.join(f, [*keys, "seg"], "left")
 

@@ -1,7 +1,7 @@
 """Paper archives packed from the LaTeX view, for the archive queries and tests.
 
-One ``.tar.gz`` per document, holding its ``.tex`` file and the figure files
-that exist for it (bytes ``IMG:<path>``). Two rules make broken inputs:
+One ``.tar.gz`` per document, holding its ``.tex`` file (in some archives two of that name) and the figure
+files that exist for it (bytes ``IMG:<path>``). Two rules make broken inputs:
 ``doc_id % 50 = 7`` is a plain gzip of the ``.tex`` (no tar: cannot be
 expanded) and ``doc_id % 50 = 13`` has a byte ``E9`` appended to the ``.tex``
 (not valid UTF-8). Packing is a narrow ``mapInPandas`` over document rows.
@@ -26,9 +26,8 @@ from . import fixtures as fx
 
 BROKEN_TAR = "doc_id % 50 = 7"
 BAD_UTF8 = "doc_id % 50 = 13"
-# Two archives per paper, like two versions of a submission: v1 holds main.tex, v2 the section file.
-ARCHIVE_PATH = "'archives/' || paper_id || 'v' || cast(doc_id % 2 + 1 AS string) || '.tar.gz'"
-# Files that exist for one document (the per-paper member view is their union).
+# The .tex file of these archives is stored twice; extraction keeps the last one.
+TWICE = "doc_id % 9 = 4"
 DOC_FILES = fx.MEMBER_CANDIDATES[1:]
 
 
@@ -42,7 +41,8 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 buf = io.BytesIO()
                 with tarfile.open(fileobj=buf, mode="w:gz", format=tarfile.PAX_FORMAT, compresslevel=6) as tar:
-                    for name, body in [(r.tex_path, tex)] + [(f, b"IMG:" + f.encode()) for f in r.files]:
+                    first = [(r.member, b"an older file")] if r.twice else []
+                    for name, body in first + [(r.member, tex)] + [(f, b"IMG:" + f.encode()) for f in r.files]:
                         info = tarfile.TarInfo(name)
                         info.size = len(body)
                         tar.addfile(info, io.BytesIO(body))
@@ -55,8 +55,8 @@ def packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The LaTeX view as archives, in the ``binaryFile`` schema."""
     files = F.filter(F.array(*[F.expr(f"CASE WHEN {c} THEN {p} END") for c, p in DOC_FILES]), lambda x: x.isNotNull())
     docs = fx.tex_docs(spark, sf_dir).select(
-        F.expr(ARCHIVE_PATH).alias("path"), "tex_path", "content", files.alias("files"),
-        F.expr(BROKEN_TAR).alias("broken"), F.expr(BAD_UTF8).alias("bad_utf8"))
+        F.col("archive").alias("path"), F.expr(fx.MEMBER_CANDIDATES[0][1]).alias("member"), "content", files.alias("files"),
+        F.expr(TWICE).alias("twice"), F.expr(BROKEN_TAR).alias("broken"), F.expr(BAD_UTF8).alias("bad_utf8"))
     return docs.mapInPandas(_pack, BINARY_FILE_SCHEMA)
 
 

@@ -3,7 +3,7 @@
 The driver's tables hold prose, not LaTeX. These views wrap each document in a
 small LaTeX file whose structure (figures, captions, labels, sections, images,
 missing files) is a function of ``doc_id``. The expression text below is shared
-verbatim by the Spark side (``selectExpr``) and the DuckDB oracle, so both
+as it is by the Spark side (``selectExpr``) and the DuckDB oracle, so both
 engines see byte-equal documents. It writes no literal backslash: ``chr(92)``.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_balanced
+from ..functions.latex import COMMENT_RE2
 
 BS = "chr(92)"
 NL = "chr(10)"
@@ -23,32 +23,47 @@ def _cmd(text: str) -> str:
     return f"{BS} || '{text}'"
 
 
-PNUM = "cast(floor(doc_id / 2) AS bigint)"
+# A third of all documents are files of one paper; the others go two by two.
+HOT = "doc_id % 3 = 1"
+PNUM = f"cast(CASE WHEN {HOT} THEN 0 ELSE floor(doc_id / 2) + 1 END AS bigint)"
 PAPER_ID = "'23' || lpad(cast(pnum % 12 + 1 AS string), 2, '0') || '.' || lpad(cast(pnum AS string), 5, '0')"
-TEX_PATH = "CASE WHEN doc_id % 2 = 0 THEN 'main.tex' ELSE 'sections/s1.tex' END"
+# One archive per document: two versions of a paper, and the many parts of the large one.
+ARCHIVE = ("'archives/' || paper_id || 'v' || cast(doc_id % 2 + 1 AS string) || "
+           f"CASE WHEN {HOT} THEN '-' || lpad(cast(doc_id AS string), 9, '0') ELSE '' END || '.tar.gz'")
+# Versions may hold the same path.
+TEX_PATH = (f"CASE WHEN {HOT} THEN 's/' || lpad(cast(doc_id AS string), 9, '0') || '.tex' "
+            "WHEN doc_id % 2 = 0 OR doc_id % 10 = 3 THEN 'main.tex' ELSE 'sections/s1.tex' END")
 DID = "cast(doc_id AS string)"
+HALF = "cast(floor(length(text) / 2) AS int)"
 
+# The whole text of a document, in two halves around its figures; its first line is the caption.
 CONTENT = " || ".join([
     _cmd("documentclass{article}"), NL,
     f"CASE WHEN doc_id % 11 = 0 THEN '' ELSE {_cmd('begin{document}')} || {NL} END",
-    _cmd("section{Section "), DID, "'}'", NL,
-    "substr(text, 1, 300)", NL,
+    f"CASE WHEN doc_id % 6 = 2 THEN {_cmd('section[Short]{')} WHEN doc_id % 6 = 4 THEN {_cmd('section{A {bold {one}} of ')} "
+    f"ELSE {_cmd('section{Section ')} END", DID, "'}'", NL,
+    f"CASE WHEN doc_id % 5 = 2 THEN {_cmd('section{Same}Same')} || {_cmd('section{Same}')} ELSE '' END",
+    f"substr(text, 1, {HALF})", NL,
     "CASE WHEN doc_id % 4 = 3 THEN '' ELSE "
     + " || ".join([
         _cmd("begin{figure}[h]"), NL,
-        _cmd("includegraphics[width=0.5]{figs/f"), "cast(doc_id % 7 AS string)", "'.pdf}'", NL,
+        f"CASE WHEN doc_id % 4 = 1 THEN '% ' || {_cmd('includegraphics{old.png}')} || {NL} ELSE '' END",
+        _cmd("includegraphics[width=0.5]{"), "CASE WHEN doc_id % 7 = 3 THEN ' ' WHEN doc_id % 7 = 5 THEN '{' ELSE '' END",
+        "'figs/f'", "cast(doc_id % 7 AS string)", "'.pdf'",
+        "CASE WHEN doc_id % 7 = 3 THEN ' ' WHEN doc_id % 7 = 5 THEN '}' ELSE '' END", "'}'", NL,
         f"CASE WHEN doc_id % 6 = 0 THEN {_cmd('epsfig{figs/e.eps}')} || {NL} ELSE '' END",
-        "CASE WHEN doc_id % 5 = 0 THEN '' ELSE "
-        + " || ".join([_cmd("caption{Plot "), _cmd("emph{of {x}} "), "substr(text, 1, 40)", "'}'", NL])
-        + " END",
+        f"CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 17 = 4 THEN {_cmd('caption{never closed')} "
+        f"WHEN doc_id % 13 = 2 THEN {_cmd('caption{a{b{c{d{e{f}}}}} g ')} || {_cmd('} h}')} ELSE "
+        + " || ".join([_cmd("caption{Plot "), _cmd("emph{of {x}} "), "split_part(text, chr(10), 1)", "'}'"])
+        + f" END || {NL}",
         f"CASE WHEN doc_id % 3 = 0 THEN '' ELSE {_cmd('label{fig:')} || {DID} || '}}' || {NL} END",
         _cmd("end{figure}"), NL,
     ])
     + " END",
-    "substr(text, 301, 200)", "' $a+b$ 12pt 50'", _cmd("% % note"), NL,
+    f"substr(text, {HALF} + 1)", "' $a+b$ 12pt 50'", _cmd("% % note"), NL,
     f"CASE WHEN doc_id % 8 = 0 THEN {_cmd('includegraphics{plots/p.png}')} || {NL} ELSE '' END",
     "CASE WHEN doc_id % 2 = 0 THEN "
-    + " || ".join([_cmd("begin{figure}"), _cmd("includegraphics{figs/g"), "cast(doc_id % 3 AS string)", "'.png}'",
+    + " || ".join([_cmd("begin{figure}"), _cmd("includegraphics{./figs//g"), "cast(doc_id % 3 AS string)", "'.png}'",
                    _cmd("caption{Second}"), _cmd("end{figure}"), NL])
     + " ELSE '' END",
     "CASE WHEN doc_id % 9 = 0 THEN "
@@ -57,14 +72,17 @@ CONTENT = " || ".join([
     _cmd("end{document}"),
 ])
 
-# Member files that exist in each paper's archive: the two .tex files and the
-# figure files named by the rules in FIXTURES.md (the rest are missing on purpose).
+# Member files that exist in each document's archive: its .tex file and the figure files
+# named by the rules in FIXTURES.md (the rest are missing on purpose). Some archives were
+# made from the folder itself, so their names start with "./".
+DOT = "CASE WHEN doc_id % 5 = 0 THEN './' ELSE '' END"
 MEMBER_CANDIDATES = [
-    ("true", "tex_path"),
-    ("doc_id % 4 <> 3 AND doc_id % 7 <> 0", "'figs/f' || cast(doc_id % 7 AS string) || '.pdf'"),
-    ("doc_id % 2 = 0 AND doc_id % 3 <> 0", "'figs/g' || cast(doc_id % 3 AS string) || '.png'"),
-    ("doc_id % 6 = 0", "'figs/e.eps'"),
-    ("doc_id % 16 = 0", "'plots/p.png'"),
+    ("true", f"{DOT} || tex_path"),
+    ("doc_id % 4 <> 3 AND doc_id % 7 <> 0", f"{DOT} || 'figs/f' || cast(doc_id % 7 AS string) || '.pdf'"),
+    ("doc_id % 2 = 0 AND doc_id % 3 <> 0", f"{DOT} || 'figs/g' || cast(doc_id % 3 AS string) || '.png'"),
+    ("doc_id % 6 = 0", f"{DOT} || 'figs/e.eps'"),
+    ("doc_id % 16 = 0", f"{DOT} || 'plots/p.png'"),
+    ("doc_id % 9 = 0", f"{DOT} || 'figs/../wide.png'"),
 ]
 DONE_RULE = "pnum % 3 = 0"
 
@@ -73,25 +91,31 @@ def _base_cols() -> list[str]:
     return ["doc_id", "text", f"{PNUM} AS pnum"]
 
 
+#: Parts that a measurement spreads the documents over (bench.py); none in the queries.
+SPREAD: int | None = None
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_balanced(spark, f"{sf_dir}/documents.parquet", key="doc_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.repartition(SPREAD, "doc_id") if SPREAD else docs
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (documents(spark, sf_dir).select("doc_id", "text").selectExpr(*_base_cols())
-            .selectExpr(f"{PAPER_ID} AS paper_id", f"{TEX_PATH} AS tex_path", "doc_id", "text", "pnum"))
+            .selectExpr(f"{PAPER_ID} AS paper_id", f"{TEX_PATH} AS tex_path", "doc_id", "text", "pnum")
+            .selectExpr(f"{ARCHIVE} AS archive", "*"))
 
 
 def tex_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``tex_docs(paper_id, tex_path, doc_id, content)``: one LaTeX file per document."""
-    return _base(spark, sf_dir).selectExpr("paper_id", "tex_path", "doc_id", f"{CONTENT} AS content")
+    """``tex_docs(archive, paper_id, tex_path, doc_id, content)``: one LaTeX file per document."""
+    return _base(spark, sf_dir).selectExpr("archive", "paper_id", "tex_path", "doc_id", f"{CONTENT} AS content")
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``members(paper_id, member_path)``: distinct files present in each paper's archive."""
+    """``members(archive, paper_id, member_path)``: files present in each archive, names as stored."""
     cands = F.array(*[F.expr(f"CASE WHEN {cond} THEN {path} END") for cond, path in MEMBER_CANDIDATES])
-    return (_base(spark, sf_dir).select("paper_id", F.explode(cands).alias("member_path"))
-            .where(F.col("member_path").isNotNull()).distinct())
+    return (_base(spark, sf_dir).select("archive", "paper_id", F.explode(cands).alias("member_path"))
+            .where(F.col("member_path").isNotNull()))
 
 
 def done(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,17 +124,23 @@ def done(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ SQL (oracle)
-BASE_SQL = (f"SELECT {PAPER_ID} AS paper_id, {TEX_PATH} AS tex_path, doc_id, text, pnum "
-            f"FROM (SELECT doc_id, text, {PNUM} AS pnum FROM documents) d")
-TEX_DOCS_SQL = f"SELECT paper_id, tex_path, doc_id, {CONTENT} AS content FROM ({BASE_SQL}) b"
-MEMBERS_SQL = "SELECT DISTINCT paper_id, member_path FROM (" + " UNION ALL ".join(
-    f"SELECT paper_id, {path} AS member_path FROM ({BASE_SQL}) b WHERE {cond}" for cond, path in MEMBER_CANDIDATES
-) + ") m"
+BASE_SQL = (f"SELECT {ARCHIVE} AS archive, * FROM (SELECT {PAPER_ID} AS paper_id, {TEX_PATH} AS tex_path, doc_id, text, pnum "
+            f"FROM (SELECT doc_id, text, {PNUM} AS pnum FROM documents) d) e")
+TEX_DOCS_SQL = f"SELECT archive, paper_id, tex_path, doc_id, {CONTENT} AS content FROM ({BASE_SQL}) b"
+MEMBERS_SQL = " UNION ALL ".join(
+    f"SELECT archive, paper_id, {path} AS member_path FROM ({BASE_SQL}) b WHERE {cond}" for cond, path in MEMBER_CANDIDATES)
+# The view's files under their normal names, and its texts without comments.
+FILES_SQL = ("SELECT archive, paper_id, replace(replace(regexp_replace(member_path, '^[.]/', ''), 'figs/../', ''), '//', '/') "
+             "AS member_path FROM members")
+CLEAN_DOCS_SQL = (f"SELECT archive, paper_id, tex_path, doc_id, regexp_replace(content, '{COMMENT_RE2}', '\\1\\2', 'g') AS content "
+                  "FROM tex_docs")
 DONE_SQL = f"SELECT DISTINCT paper_id FROM ({BASE_SQL}) b WHERE {DONE_RULE}"
 
 
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with CTEs for the named derived views."""
     defs = {"tex_docs": TEX_DOCS_SQL, "members": MEMBERS_SQL, "done": DONE_SQL}
-    ctes = ", ".join(f"{n} AS ({defs[n]})" for n in names)
+    after = {"tex_docs": ("clean_docs", CLEAN_DOCS_SQL), "members": ("files", FILES_SQL)}
+    ctes = ", ".join(f"{n} AS ({sql})" for name in names
+                     for n, sql in ((name, defs[name]), *((after[name],) if name in after else ())))
     return f"WITH {ctes} {sql}" if ctes else sql

@@ -11,10 +11,10 @@ from . import archive_fixture as AF
 from . import fixtures as fx
 from . import variants as V
 from .catalog import register
-from .queries_figures import FIELDS_SQL, FIGS_SQL
+from .queries_figures import FIELDS_SQL, FIGS_SQL, exists_sql
+from .sqlkit import file_sql
 
-ARCH_SQL = AF.ARCHIVE_PATH
-DOCS_SQL = f"SELECT *, {ARCH_SQL} AS archive FROM ({fx.TEX_DOCS_SQL}) t"
+DOCS_SQL = fx.TEX_DOCS_SQL
 
 
 def _members(spark, sf_dir):
@@ -24,7 +24,7 @@ def _members(spark, sf_dir):
 @register("archive_members", (
     f"WITH d AS ({DOCS_SQL}), f AS (SELECT archive, doc_id, tex_path AS member_path, strlen(content) + "
     f"CASE WHEN {AF.BAD_UTF8} THEN 1 ELSE 0 END AS length FROM d "
-    + "".join(f"UNION ALL SELECT archive, doc_id, {p}, 4 + strlen({p}) FROM d WHERE {c} " for c, p in AF.DOC_FILES)
+    + "".join(f"UNION ALL SELECT archive, doc_id, {file_sql(p)}, 4 + strlen({p}) FROM d WHERE {c} " for c, p in AF.DOC_FILES)
     + f") SELECT archive, member_path, length FROM f WHERE NOT ({AF.BROKEN_TAR})"))
 def archive_members(spark, sf_dir):
     """Every archive expanded into its member files (path and size)."""
@@ -58,11 +58,10 @@ def archive_tex(spark, sf_dir):
 
 PAIRS_FROM_ARCHIVES_SQL = (
     f"WITH tex_docs AS (SELECT * FROM ({fx.TEX_DOCS_SQL}) t WHERE NOT ({AF.BROKEN_TAR}) AND NOT ({AF.BAD_UTF8})), "
-    f"members AS ({fx.MEMBERS_SQL}), figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}) "
+    f"clean_docs AS ({fx.CLEAN_DOCS_SQL}), members AS ({fx.MEMBERS_SQL}), files AS ({fx.FILES_SQL}), figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}) "
     "SELECT f.paper_id, f.tex_path, f.pos, replace(f.paper_id, '.', '_') || '_' || "
     "regexp_extract(f.image_ref, '([^/]*)$', 1) AS image_filename, f.caption FROM ff f "
-    "WHERE f.image_ref <> '' AND f.has_caption AND length(f.caption) > 0 "
-    "AND EXISTS (SELECT 1 FROM members m WHERE m.paper_id = f.paper_id AND m.member_path = f.image_ref)")
+    f"WHERE f.image_ref <> '' AND f.has_caption AND length(f.caption) > 0 AND {exists_sql('f')}")
 
 
 @register("archive_figure_pairs", PAIRS_FROM_ARCHIVES_SQL)
@@ -81,22 +80,29 @@ def ingest_incremental_query(spark, sf_dir):
     packed = AF.packed_archives(spark, sf_dir)
 
     def process(batch):
-        members = V.expand_members(batch, checkpoint=False)
-        return V.figure_caption_records(members).select("paper_id", "tex_path", "pos", "image_filename", "caption")
+        members = V.expand_members(batch, keep_content=(".tex",))
+        figs = V.document_figures(members)
+        return {"figures": V.figure_caption_records(members).select("paper_id", "tex_path", "pos", "image_filename", "caption"),
+                "errors": V.errors_table(members, figs)}
 
     for version in ("v1", "v2"):
-        AF.write_archive_files(packed.where(F.col("path").endswith(f"{version}.tar.gz")), src)
+        AF.write_archive_files(packed.where(F.col("path").contains(version)), src)
         ingest_incremental(spark, src, out, ckpt, process)
-    return spark.read.parquet(out).drop("batch")
+    return spark.read.parquet(f"{out}/figures").drop("batch")
+
+
+def _listing(spark, sf_dir):
+    """Names of the view's archives; no content."""
+    return fx._base(spark, sf_dir).select(F.col("archive").alias("path"))
 
 
 @register("count_inputs", "SELECT count(*) AS n_inputs FROM documents")
 def count_inputs(spark, sf_dir):
     """Number of listed input archives."""
-    return AF.packed_archives(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_inputs"))
+    return _listing(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_inputs"))
 
 
-@register("limit_inputs", f"WITH d AS ({DOCS_SQL}) SELECT archive AS path FROM d ORDER BY path LIMIT 500")
+@register("limit_inputs", f"SELECT archive AS path FROM ({fx.BASE_SQL}) d ORDER BY path LIMIT 500")
 def limit_inputs(spark, sf_dir):
     """The first 500 input archives by path (the reference's listing cap, made deterministic)."""
-    return S.limit_inputs(AF.packed_archives(spark, sf_dir).select("path"), 500)
+    return S.limit_inputs(_listing(spark, sf_dir), 500)

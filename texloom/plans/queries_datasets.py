@@ -6,26 +6,23 @@ from pyspark.sql import functions as F
 
 from ..operators import assets as A
 from ..operators import datasets as D
-from ..operators import tokens as TK
-from ..operators.rows import explode_values, where_computed
-from ..session import materialize
 from . import fixtures as fx
 from .catalog import register
-from .queries_figures import _with, figure_caption_pairs, figure_records_d
-from .queries_interleave import B_POLICY, _items_query
+from .queries_figures import KEYS, ORDINAL_SQL, _with, exists_sql, figure_caption_pairs, figure_records_d
+from .queries_interleave import B_POLICY, _items_query, checked_arrays
 
 
 @register("resume_pending", fx.with_views(
-    "SELECT paper_id, tex_path, doc_id FROM tex_docs t WHERE NOT EXISTS "
+    "SELECT archive, paper_id, tex_path, doc_id FROM tex_docs t WHERE NOT EXISTS "
     "(SELECT 1 FROM done d WHERE d.paper_id = t.paper_id)", "tex_docs", "done"))
 def resume_pending(spark, sf_dir):
     """Documents of papers not yet in the output (exact id match)."""
-    docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "doc_id")
+    docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "doc_id")
     return D.resume_anti(docs, fx.done(spark, sf_dir))
 
 
 @register("append_union", _with(
-    "SELECT paper_id, tex_path, pos, image_ref, caption, CASE WHEN paper_id IN (SELECT paper_id FROM done) "
+    "SELECT archive, paper_id, tex_path, pos, image_ref, caption, CASE WHEN paper_id IN (SELECT paper_id FROM done) "
     "THEN 'existing' ELSE 'new' END AS batch FROM ff WHERE image_ref <> '' AND has_caption AND length(caption) > 0",
     "done"))
 def append_union(spark, sf_dir):
@@ -38,44 +35,37 @@ def append_union(spark, sf_dir):
 
 
 def _doc_arrays_sql() -> str:
-    return ("doc_arrays AS (SELECT paper_id, tex_path, list(text ORDER BY pos) AS texts, "
+    return ("doc_arrays AS (SELECT archive, paper_id, tex_path, list(text ORDER BY pos) AS texts, "
             "list(CASE WHEN kind = 'image' THEN name END ORDER BY pos) AS images, "
             "list(caption ORDER BY pos) FILTER (WHERE kind = 'image') AS captions FROM final f "
-            "GROUP BY paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
-            "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.paper_id = f.paper_id AND x.tex_path = f.tex_path "
-            "AND x.kind = 'image' AND NOT EXISTS (SELECT 1 FROM members m WHERE m.paper_id = x.paper_id "
-            "AND m.member_path = x.image_ref)))")
+            "GROUP BY archive, paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
+            "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.archive = f.archive AND x.tex_path = f.tex_path "
+            f"AND x.kind = 'image' AND NOT {exists_sql('x')}))")
+
+
+PART = 256
 
 
 @register("append_arrays", _items_query(
-    ", " + _doc_arrays_sql() + " SELECT coalesce(o.paper_id, n.paper_id) AS paper_id, cast(to_json(struct_pack("
-    "texts := list_concat(coalesce(o.texts, []::VARCHAR[]), coalesce(n.texts, []::VARCHAR[])), "
-    "images := list_concat(coalesce(o.images, []::VARCHAR[]), coalesce(n.images, []::VARCHAR[])), "
-    "captions := list_concat(coalesce(o.captions, []::VARCHAR[]), coalesce(n.captions, []::VARCHAR[])))) AS VARCHAR) "
-    "AS record "
-    "FROM (SELECT * FROM doc_arrays WHERE tex_path = 'main.tex') o FULL OUTER JOIN "
-    "(SELECT * FROM doc_arrays WHERE tex_path <> 'main.tex') n ON o.paper_id = n.paper_id",
+    ", " + _doc_arrays_sql() + f", ranked AS (SELECT *, archive LIKE '%v1%' AS old, cast(floor((row_number() OVER "
+    f"(PARTITION BY paper_id, archive LIKE '%v1%' ORDER BY archive, tex_path) - 1) / {PART}) AS BIGINT) AS part FROM doc_arrays), "
+    "parts AS (SELECT paper_id, old, part, flatten(list(texts ORDER BY archive, tex_path)) AS texts, "
+    "flatten(list(images ORDER BY archive, tex_path)) AS images, flatten(list(captions ORDER BY archive, tex_path)) AS captions "
+    "FROM ranked GROUP BY ALL), nexts AS (SELECT paper_id, max(part) + 1 AS n FROM parts WHERE old GROUP BY ALL) "
+    "SELECT p.paper_id, p.part + CASE WHEN old THEN 0 ELSE coalesce(n.n, 0) END AS part, cast(to_json(struct_pack(texts := texts, "
+    "images := images, captions := captions)) AS VARCHAR) AS record FROM parts p LEFT JOIN nexts n USING (paper_id)",
     extra_views=("members",), **B_POLICY).replace("FROM final , doc_arrays", "FROM final, doc_arrays")
     .replace(" , doc_arrays AS", ", doc_arrays AS"))
 def append_arrays(spark, sf_dir):
-    """Variant B's append: a paper's arrays from its first file, extended by its second file."""
-    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
-    # The items feed both the file check and the output: computed once, lineage cut.
-    docs = materialize(where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items",
-                                      lambda it: F.exists(it, lambda x: x["kind"] == "image")))
-    refs = explode_values(docs, ["paper_id", "tex_path"], F.filter("items", lambda x: x["kind"] == "image"), "it")
-    refs = refs.select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
-    bad = (A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep").where(~F.col("resolved"))
-           .select("paper_id", "tex_path").distinct())
-    docs = docs.join(bad, ["paper_id", "tex_path"], "left_anti").select(
-        "paper_id", "tex_path",
-        F.transform("items", lambda x: x["text"]).alias("texts"),
-        F.transform("items", lambda x: x["name"]).alias("images"),
-        F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["caption"]).alias("captions"))
-    old = docs.where(F.col("tex_path") == "main.tex")
-    new = docs.where(F.col("tex_path") != "main.tex")
-    both = D.append_arrays(old, new)
-    return both.select("paper_id", F.to_json(F.struct("texts", "images", "captions")).alias("record"))
+    """Variant B's append: a paper's arrays from its first version, in parts of at most 256 files, extended by the parts
+    of its second version."""
+    docs = checked_arrays(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"), fx.members(spark, sf_dir))
+    docs = docs.select(*KEYS, F.transform("items", lambda x: x["text"]).alias("texts"),
+                       F.transform("items", lambda x: x["name"]).alias("images"),
+                       F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["caption"]).alias("captions"))
+    first = F.col("archive").contains("v1")
+    both = D.append_arrays(*(D.array_parts(docs.where(c), PART) for c in (first, ~first)))
+    return both.select("paper_id", "part", F.to_json(F.struct("texts", "images", "captions")).alias("record"))
 
 
 @register("collect_records", _with(
@@ -84,9 +74,7 @@ def append_arrays(spark, sf_dir):
     "caption := caption) ORDER BY fig_index)) AS VARCHAR) AS record FROM (SELECT o.paper_id, o.fig_index, "
     "replace(o.paper_id, '.', '_') || '_' || cast(o.fig_index AS string) || '.png' AS image, "
     "CASE WHEN o.has_label THEN o.label ELSE '' END AS label, CASE WHEN o.has_caption THEN o.caption ELSE '' END "
-    "AS caption FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index "
-    "FROM ff) o WHERE o.image_ref <> '' AND EXISTS (SELECT 1 FROM members m WHERE m.paper_id = o.paper_id "
-    "AND m.member_path = o.image_ref)) r GROUP BY paper_id, part", "members"))
+    "AS caption FROM (" + ORDINAL_SQL + ") o WHERE o.image_ref <> '' AND " + exists_sql("o") + ") r GROUP BY paper_id, part", "members"))
 def collect_records(spark, sf_dir):
     """Variant D's image_caption list per paper, in figure order, as JSON parts of at most 256 records."""
     recs = figure_records_d(spark, sf_dir)
@@ -96,9 +84,9 @@ def collect_records(spark, sf_dir):
 
 # Records with an ``image`` field holding base64 bytes, none, or a path (not base64).
 B64_SPARK = ("CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 10 = 5 THEN 'figs/f1.png' "
-             "ELSE regexp_replace(base64(encode(substr(text, 1, 64), 'UTF-8')), '[\\r\\n]', '') END")
+             "ELSE regexp_replace(base64(encode(text, 'UTF-8')), '[\\r\\n]', '') END")
 B64_DUCK = ("CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 10 = 5 THEN 'figs/f1.png' "
-            "ELSE to_base64(encode(substr(text, 1, 64))) END")
+            "ELSE to_base64(encode(text)) END")
 
 
 @register("base64_roundtrip", (

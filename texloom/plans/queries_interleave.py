@@ -14,9 +14,9 @@ from ..operators.rows import explode_values, where_computed
 from ..session import materialize
 from . import fixtures as fx
 from .catalog import register
-from .queries_figures import FIELDS_SQL, FIGS_SQL
-from .queries_text import TOKENS_SQL
-from .sqlkit import clean_sql, q
+from .queries_figures import FIELDS_SQL, FIGS_SQL, KEYS, ORDINAL_SQL, exists_sql
+from .queries_text import TOKENS_SQL, image_token_sql
+from .sqlkit import caption_sql, clean_sql, path_sql, q
 
 PID_NORM = "replace(paper_id, '.', '_')"
 BASENAME = "regexp_extract({x}, '([^/]*)$', 1)"
@@ -28,7 +28,7 @@ def _name_sql(x: str, jpeg: bool) -> str:
 
 
 def _cap(x: str) -> str:
-    return f"CASE WHEN regexp_matches({x}, {q(L.CAPTION_RE2)}) THEN regexp_extract({x}, {q(L.CAPTION_RE2)}, 1) END"
+    return caption_sql(x)
 
 
 def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = True, dedupe_names: bool = False,
@@ -36,14 +36,14 @@ def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = T
     """DuckDB CTEs ending in ``final(paper_id, tex_path, pos, kind, text, image_ref, name, caption, label)``:
     the same items as ``operators.tokens.interleave``, built with windows over token rows."""
     rules = T.CLEAN_RULES_FULL if clean == "full" else T.CLEAN_RULES_SHORT
-    cols = "paper_id, tex_path, c, sub"
+    cols = "archive, paper_id, tex_path, c, sub"
     parts = [
         f"SELECT {cols}, 0 AS k, 'text' AS kind, {clean_sql('raw', rules)} AS text, NULL AS image_ref, "
         "NULL AS name, NULL AS caption, NULL AS label FROM raw WHERE rkind = 'run'",
-        f"SELECT {cols}, 0, 'text', regexp_extract(raw, {q(L.SECTION)}, 1), NULL, NULL, NULL, NULL "
+        f"SELECT {cols}, 0, 'text', regexp_extract(raw, {q(L.SECTION_RE2)}, 1), NULL, NULL, NULL, NULL "
         "FROM raw WHERE rkind = 'section'",
     ]
-    img = f"regexp_extract(raw, {q(L.INCLUDEGRAPHICS)}, 1)"
+    img = path_sql(f"regexp_extract(raw, {q(L.INCLUDEGRAPHICS)}, 1)")
     lab = f"CASE WHEN regexp_matches(raw, {q(L.LABEL)}) THEN regexp_extract(raw, {q(L.LABEL)}, 1) END"
     if figures == "figure":
         parts.append(f"SELECT {cols}, 0, 'figure', NULL, nullif({img}, ''), NULL, {_cap('raw')}, {lab} "
@@ -54,45 +54,46 @@ def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = T
     elif figures == "images":
         cat = "list_concat(" + ", ".join(f"regexp_extract_all(raw, {q(p)}, 1)"
                                          for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX)) + ")"
+        cat = f"list_transform({cat}, lambda r: {path_sql('r')})"
         imgs = f"list_filter({cat}, lambda x, i: x <> '' AND NOT list_contains({cat}[1:i-1], x))"
-        cap = f"CASE WHEN regexp_matches(raw, {q(L.CAPTION_RE2)}) THEN {clean_sql(_cap('raw'), T.CLEAN_RULES_FULL)} END"
+        cap = clean_sql(_cap('raw'), T.CLEAN_RULES_FULL)
         parts.append(
             f"SELECT {cols}, k, 'image', NULL, image_ref, {_name_sql('image_ref', True)}, cap, NULL FROM "
             f"(SELECT {cols}, unnest({imgs}) AS image_ref, unnest(range(len({imgs}))) AS k, {cap} AS cap "
             "FROM raw WHERE rkind = 'figure') fi")
     if standalone:
-        sp = "regexp_extract(raw, '\\{([^{}]*)\\}$', 1)"
+        sp = image_token_sql("raw")
         parts.append(f"SELECT {cols}, 0, 'image', NULL, {sp}, {_name_sql(sp, figures == 'images')}, NULL, NULL "
                      "FROM raw WHERE rkind = 'image'")
     ctes = [
         "g AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER "
-        "(PARTITION BY paper_id, tex_path ORDER BY pos ROWS UNBOUNDED PRECEDING) AS c FROM ktoks)",
-        "raw AS (SELECT paper_id, tex_path, c, 1 AS sub, 'run' AS rkind, string_agg(token, '' ORDER BY pos) AS raw "
-        "FROM g WHERE kind = 'text' GROUP BY paper_id, tex_path, c "
-        "UNION ALL SELECT paper_id, tex_path, c, 0, kind, token FROM g WHERE kind <> 'text')",
+        "(PARTITION BY archive, tex_path ORDER BY pos ROWS UNBOUNDED PRECEDING) AS c FROM ktoks)",
+        "raw AS (SELECT archive, paper_id, tex_path, c, 1 AS sub, 'run' AS rkind, string_agg(token, '' ORDER BY pos) AS raw "
+        "FROM g WHERE kind = 'text' GROUP BY archive, paper_id, tex_path, c "
+        "UNION ALL SELECT archive, paper_id, tex_path, c, 0, kind, token FROM g WHERE kind <> 'text')",
         "it0 AS (" + " UNION ALL ".join(parts) + ")",
-        "it1 AS (SELECT *, row_number() OVER (PARTITION BY paper_id, tex_path ORDER BY c, sub, k) AS ipos FROM it0 "
+        "it1 AS (SELECT *, row_number() OVER (PARTITION BY archive, tex_path ORDER BY c, sub, k) AS ipos FROM it0 "
         "WHERE NOT (kind = 'text' AND (text IS NULL OR text = '')))",
     ]
     cur = "it1"
     if dedupe_names:
-        ctes.append(f"it2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, tex_path, "
+        ctes.append(f"it2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY archive, tex_path, "
                     f"CASE WHEN kind = 'image' THEN name END ORDER BY ipos) AS rn FROM {cur}) "
                     "WHERE kind <> 'image' OR rn = 1)")
         cur = "it2"
     if dedupe_adjacent:
         ctes.append(f"it3 AS (SELECT * FROM (SELECT *, lag(kind) OVER w AS pk, lag(text) OVER w AS pt FROM {cur} "
-                    "WINDOW w AS (PARTITION BY paper_id, tex_path ORDER BY ipos)) "
+                    "WINDOW w AS (PARTITION BY archive, tex_path ORDER BY ipos)) "
                     "WHERE NOT (kind = 'text' AND pk IS NOT NULL AND pk = 'text' AND pt = text))")
         cur = "it3"
     ctes += [
-        f"mm AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER (PARTITION BY paper_id, tex_path "
+        f"mm AS (SELECT *, sum(CASE WHEN kind <> 'text' THEN 1 ELSE 0 END) OVER (PARTITION BY archive, tex_path "
         f"ORDER BY ipos ROWS UNBOUNDED PRECEDING) AS m FROM {cur})",
-        "merged AS (SELECT paper_id, tex_path, m, 1 AS sub2, 'text' AS kind, string_agg(text, ' ' ORDER BY ipos) AS text, "
+        "merged AS (SELECT archive, paper_id, tex_path, m, 1 AS sub2, 'text' AS kind, string_agg(text, ' ' ORDER BY ipos) AS text, "
         "NULL AS image_ref, NULL AS name, NULL AS caption, NULL AS label FROM mm WHERE kind = 'text' "
-        "GROUP BY paper_id, tex_path, m UNION ALL SELECT paper_id, tex_path, m, 0, kind, text, image_ref, name, "
+        "GROUP BY archive, paper_id, tex_path, m UNION ALL SELECT archive, paper_id, tex_path, m, 0, kind, text, image_ref, name, "
         "caption, label FROM mm WHERE kind <> 'text')",
-        "final AS (SELECT paper_id, tex_path, row_number() OVER (PARTITION BY paper_id, tex_path ORDER BY m, sub2) - 1 "
+        "final AS (SELECT archive, paper_id, tex_path, row_number() OVER (PARTITION BY archive, tex_path ORDER BY m, sub2) - 1 "
         "AS pos, kind, text, image_ref, name, caption, label FROM merged)",
     ]
     return ", ".join(ctes)
@@ -105,12 +106,12 @@ def _items_query(select: str, extra_views=(), **policy) -> str:
 
 # ----------------------------------------------------------------- normal form
 @register("interleaved_items", _items_query(
-    "SELECT paper_id, tex_path, pos, kind, text, image_ref, caption, label FROM final"))
+    "SELECT archive, paper_id, tex_path, pos, kind, text, image_ref, caption, label FROM final"))
 def interleaved_items(spark, sf_dir):
     """Every document as reading-order items: merged cleaned text, figures (first
     image, raw caption, label) and stand-alone images."""
-    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"))
-    return TK.item_rows(docs).select("paper_id", "tex_path", "pos", "kind", "text", "image_ref", "caption", "label")
+    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"))
+    return TK.item_rows(docs).select(*KEYS, "pos", "kind", "text", "image_ref", "caption", "label")
 
 
 # ----------------------------------------------------------------- B: three arrays
@@ -126,26 +127,28 @@ def arrays_record(items) -> F.Column:
 
 
 @register("interleaved_arrays", _items_query(
-    "SELECT paper_id, tex_path, cast(to_json(struct_pack(texts := list(text ORDER BY pos), "
+    "SELECT archive, paper_id, tex_path, cast(to_json(struct_pack(texts := list(text ORDER BY pos), "
     "images := list(CASE WHEN kind = 'image' THEN name END ORDER BY pos), "
     "captions := list(caption ORDER BY pos) FILTER (WHERE kind = 'image'))) AS VARCHAR) AS record FROM final f "
-    "GROUP BY paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
-    "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.paper_id = f.paper_id AND x.tex_path = f.tex_path "
-    "AND x.kind = 'image' AND NOT EXISTS (SELECT 1 FROM members m WHERE m.paper_id = x.paper_id "
-    "AND m.member_path = x.image_ref))", extra_views=("members",), **B_POLICY))
+    "GROUP BY archive, paper_id, tex_path HAVING count(*) FILTER (WHERE kind = 'image') > 0 "
+    "AND NOT EXISTS (SELECT 1 FROM final x WHERE x.archive = f.archive AND x.tex_path = f.tex_path "
+    f"AND x.kind = 'image' AND NOT {exists_sql('x')})", extra_views=("members",), **B_POLICY))
 def interleaved_arrays(spark, sf_dir):
     """Variant B: per document, texts/images/captions arrays; documents without images are not
     written, and one missing image file drops the document."""
-    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **B_POLICY)
+    docs = checked_arrays(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"), fx.members(spark, sf_dir))
+    return docs.select(*KEYS, arrays_record(F.col("items")).alias("record"))
+
+
+def checked_arrays(docs, members):
+    """``(file keys, items)`` of the documents that have images, all of which are in their archive."""
     # The items feed both the file check and the output: computed once, lineage cut.
-    docs = materialize(where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items",
+    docs = materialize(where_computed(TK.interleave(docs, **B_POLICY), KEYS, F.col("items"), "items",
                                       lambda it: F.exists(it, lambda x: x["kind"] == "image")))
-    refs = explode_values(docs, ["paper_id", "tex_path"], F.filter("items", lambda x: x["kind"] == "image"), "it")
-    refs = refs.select("paper_id", "tex_path", F.col("it")["image_ref"].alias("image_ref"))
-    ok = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep")
-    bad = ok.where(~F.col("resolved")).select("paper_id", "tex_path").distinct()
-    docs = docs.join(bad, ["paper_id", "tex_path"], "left_anti")
-    return docs.select("paper_id", "tex_path", arrays_record(F.col("items")).alias("record"))
+    refs = explode_values(docs, KEYS, F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["image_ref"]), "image_ref")
+    bad = (A.resolve_assets(refs, members, policy="keep").where(~F.col("resolved"))
+           .select("archive", "tex_path").distinct())  # names only
+    return docs.join(bad, ["archive", "tex_path"], "left_anti")
 
 
 # ----------------------------------------------------------------- C: mixed JSON list
@@ -164,78 +167,86 @@ def mixed_list_json(items) -> F.Column:
 
 
 @register("interleaved_list", _items_query(
-    "SELECT paper_id, tex_path, '[' || string_agg(CASE WHEN kind = 'text' THEN to_json(text) "
+    "SELECT archive, paper_id, tex_path, '[' || string_agg(CASE WHEN kind = 'text' THEN to_json(text) "
     "ELSE to_json(['FIGURE:', name]) END, ',' ORDER BY pos) || ']' AS record FROM final "
-    "GROUP BY paper_id, tex_path", **C_POLICY))
+    "GROUP BY archive, paper_id, tex_path", **C_POLICY))
 def interleaved_list(spark, sf_dir):
     """Variant C: per document, a JSON list of texts (short chain, adjacent duplicates dropped,
     runs merged) and ``["FIGURE:", name]`` pairs; empty documents are not written."""
-    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content"), **C_POLICY)
-    return where_computed(docs, ["paper_id", "tex_path"], F.col("items"), "items", lambda it: F.size(it) > 0) \
-        .select("paper_id", "tex_path", mixed_list_json(F.col("items")).alias("record"))
+    docs = TK.interleave(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"), **C_POLICY)
+    return where_computed(docs, KEYS, F.col("items"), "items", lambda it: F.size(it) > 0) \
+        .select(*KEYS, mixed_list_json(F.col("items")).alias("record"))
 
 
 # ----------------------------------------------------------------- D: segments + figures
 @register("interleaved_segments", fx.with_views("", "tex_docs", "members").rstrip() + (
     f", figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}), "
-    "ord AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index FROM ff), "
-    "okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND EXISTS (SELECT 1 FROM members m "
-    "WHERE m.paper_id = o.paper_id AND m.member_path = o.image_ref)), "
-    "segs AS (SELECT paper_id, tex_path, unnest(s) AS text, unnest(range(len(s))) AS seg FROM "
-    "(SELECT paper_id, tex_path, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
-    "FROM tex_docs) x) "
-    "SELECT s.paper_id, s.tex_path, s.seg, regexp_replace(s.text, '^\\s+|\\s+$', '', 'g') AS text, "
+    f"ord AS ({ORDINAL_SQL}), okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND {exists_sql('o')}), "
+    "segs AS (SELECT archive, paper_id, tex_path, unnest(s) AS text, unnest(range(len(s))) AS seg FROM "
+    "(SELECT archive, paper_id, tex_path, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
+    "FROM clean_docs) x) "
+    "SELECT s.archive, s.paper_id, s.tex_path, s.seg, regexp_replace(s.text, '^\\s+|\\s+$', '', 'g') AS text, "
     "CASE WHEN f.fig_index IS NOT NULL THEN replace(s.paper_id, '.', '_') || '_' || cast(f.fig_index AS string) "
     "|| '.png' END AS image, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_label THEN f.label ELSE '' END "
     "AS label, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_caption THEN f.caption ELSE '' END AS caption "
-    "FROM segs s LEFT JOIN okf f ON f.paper_id = s.paper_id AND f.tex_path = s.tex_path AND f.pos = s.seg"))
+    "FROM segs s LEFT JOIN okf f ON f.archive = s.archive AND f.tex_path = s.tex_path AND f.pos = s.seg"))
 def interleaved_segments(spark, sf_dir):
     """Variant D's ``full`` list, per document: text segments between figures, each followed by
     its figure's image/label/caption when the figure has an image whose file exists."""
-    docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
+    docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
     segs = TK.split_on_figures(docs)
-    figs = _d_figures(docs, fx.members(spark, sf_dir))
-    return TK.zip_segments(segs, figs).select("paper_id", "tex_path", "seg", "text", "image", "label", "caption")
+    figs = d_figures(docs, fx.members(spark, sf_dir)).drop("image_ref")
+    return TK.zip_segments(segs, figs).select(*KEYS, "seg", "text", "image", "label", "caption")
 
 
-def _d_figures(docs, members):
+def d_figures(docs, members):
     """Variant D's figure records: first image required and present; paper-level ordinal names."""
-    figs = FG.figure_fields(FG.extract_figures(docs)).select(
-        "paper_id", "tex_path", "pos", "image_ref", "caption", "has_caption", "label", "has_label")
+    figs = FG.extract_figures(docs).select(
+        *KEYS, "pos", "image_ref", "caption", "has_caption", "label", "has_label")
     figs = A.figure_ordinal(figs)
     figs = A.resolve_assets(FG.require_image(figs), members, policy="drop")
-    return figs.select("paper_id", "tex_path", "pos", "fig_index",
+    return figs.select(*KEYS, "pos", "fig_index", "image_ref",
                        A.asset_name_indexed("paper_id", "fig_index").alias("image"),
                        F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
                        F.when(F.col("has_caption"), F.col("caption")).otherwise(F.lit("")).alias("caption"))
 
 
+PIECE = 256
 D_FULL_SQL = fx.with_views("", "tex_docs", "members").rstrip() + (
     f", figs AS ({FIGS_SQL}), ff AS ({FIELDS_SQL}), "
-    "ord AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY tex_path, pos) - 1 AS fig_index FROM ff), "
-    "okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND EXISTS (SELECT 1 FROM members m "
-    "WHERE m.paper_id = o.paper_id AND m.member_path = o.image_ref)), "
-    "pc AS (SELECT paper_id, string_agg(content, '' ORDER BY tex_path) AS content FROM tex_docs GROUP BY paper_id), "
-    "segs AS (SELECT paper_id, unnest(s) AS text, unnest(range(len(s))) AS seg FROM "
-    "(SELECT paper_id, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
-    "FROM pc) x) "
-    "SELECT s.paper_id, s.seg, regexp_replace(s.text, '^\\s+|\\s+$', '', 'g') AS text, "
+    f"ord AS ({ORDINAL_SQL}), okf AS (SELECT * FROM ord o WHERE image_ref <> '' AND {exists_sql('o')}), "
+    "cut AS (SELECT archive, paper_id, tex_path, string_split_regex(content, '\\\\begin\\{figure\\}.*?\\\\end\\{figure\\}', 's') AS s "
+    "FROM clean_docs), "
+    "ranked AS (SELECT *, row_number() OVER w - 1 AS r, coalesce(sum(len(s) - 1) OVER (PARTITION BY paper_id ORDER BY archive, tex_path "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM cut WINDOW w AS (PARTITION BY paper_id ORDER BY archive, tex_path)), "
+    "each AS (SELECT paper_id, r, off, unnest(s) AS text, unnest(range(len(s))) AS i FROM ranked), "
+    f"pieces AS (SELECT paper_id, cast(off + i AS BIGINT) AS seg, cast(floor(r / {PIECE}) AS BIGINT) AS piece, "
+    "string_agg(text, '' ORDER BY r) AS text FROM each GROUP BY ALL), "
+    "ends AS (SELECT *, min(piece) OVER (PARTITION BY paper_id, seg) AS lo, max(piece) OVER (PARTITION BY paper_id, seg) AS hi FROM pieces), "
+    "lefts AS (SELECT * REPLACE (CASE WHEN piece = lo THEN regexp_replace(text, '^\\s+', '') ELSE text END AS text) FROM ends), "
+    "segs AS (SELECT * REPLACE (CASE WHEN piece = hi THEN regexp_replace(text, '\\s+$', '') ELSE text END AS text) FROM lefts) "
+    "SELECT s.paper_id, s.seg, s.piece, s.text, "
     "CASE WHEN f.fig_index IS NOT NULL THEN replace(s.paper_id, '.', '_') || '_' || cast(f.fig_index AS string) "
     "|| '.png' END AS image, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_label THEN f.label ELSE '' END "
     "AS label, CASE WHEN f.fig_index IS NULL THEN NULL WHEN f.has_caption THEN f.caption ELSE '' END AS caption "
-    "FROM segs s LEFT JOIN okf f ON f.paper_id = s.paper_id AND f.fig_index = s.seg")
+    "FROM segs s LEFT JOIN okf f ON f.paper_id = s.paper_id AND f.fig_index = s.seg AND s.piece = s.hi")
 
 
 @register("interleaved_full", D_FULL_SQL)
 def interleaved_full(spark, sf_dir):
     """Variant D's ``full`` list over the concatenation of each paper's files: text segments
-    between figure environments (the last segment of a file runs on into the next file), each
-    followed by its figure's image/label/caption when that figure has an image whose file exists."""
-    docs = fx.tex_docs(spark, sf_dir).select("paper_id", "tex_path", "content")
-    segs = TK.paper_segments(TK.raw_segments(docs))
-    figs = _d_figures(docs, fx.members(spark, sf_dir)).select(
-        "paper_id", F.col("fig_index").alias("seg"), "image", "label", "caption")
-    return segs.join(figs, ["paper_id", "seg"], "left").select("paper_id", "seg", "text", "image", "label", "caption")
+    between figure environments (the last segment of a file runs on into the next file), in pieces of at most 256
+    files, the last piece followed by its figure's image/label/caption when that figure has an image whose file exists."""
+    docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
+    return D_full(docs, fx.members(spark, sf_dir))
+
+
+def D_full(docs, members):
+    segs = TK.paper_segments(TK.raw_segments(docs), PIECE)
+    figs = d_figures(docs, members).select("paper_id", F.col("fig_index").alias("seg"), "image", "label", "caption")
+    last = segs.groupBy("paper_id", "seg").agg(F.max("piece").alias("piece"))
+    figs = figs.join(last, ["paper_id", "seg"])
+    return segs.join(figs, ["paper_id", "seg", "piece"], "left").select("paper_id", "seg", "piece", "text", "image", "label", "caption")
 
 
 # ----------------------------------------------------------------- runs over conversation turns

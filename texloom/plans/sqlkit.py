@@ -24,3 +24,30 @@ def clean_sql(expr: str, rules: list[tuple[str, str]]) -> str:
         else:
             out = f"regexp_replace({out}, {q(pattern)}, {q(repl)}, 'g')"
     return out
+
+
+def ws_sql(x: str) -> str:
+    """Outer whitespace stripped."""
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def path_sql(x: str) -> str:
+    """An image argument as a path: outer whitespace and one pair of braces go."""
+    return ws_sql(f"regexp_replace({ws_sql(x)}, '^\\{{(.*)\\}}$', '\\1', 's')")
+
+
+def file_sql(x: str) -> str:
+    """The view's paths under their normal names."""
+    return f"replace(replace(regexp_replace({x}, '^[.]/', ''), 'figs/../', ''), '//', '/')"
+
+
+def caption_sql(x: str) -> str:
+    """First caption of ``x`` by brace balance, NULL when absent or not closed: with the text cut at closing braces, the
+    argument ends with the first piece up to which there are as many opening braces as pieces before it."""
+    rest = f"regexp_extract({x}, '\\\\caption(?:\\[[^\\]]*\\])?\\{{(.*)', 1, 's')"
+    upto = "p[1:k + 1]"
+    opens = f"length(array_to_string({upto}, '')) - length(replace(array_to_string({upto}, ''), '{{', ''))"
+    ends = (f"list_filter(list_transform(range(0, len(p) - 1), lambda k: CASE WHEN {opens} = k "
+            f"THEN length(array_to_string({upto}, '}}')) END), lambda v: v IS NOT NULL)[1]")
+    found = (f"list_transform([string_split(regexp_replace({rest}, '\\\\.', 'xx', 'gs'), '}}')], lambda p: {ends})[1]")
+    return f"CASE WHEN {found} IS NOT NULL THEN substr({rest}, 1, {found}) END"

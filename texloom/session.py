@@ -6,12 +6,18 @@ nothing here overrides settings the cluster already made.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+# Broadcast a join side only when its measured runtime size is under the bound: no
+# broadcast from planner estimates (file sizes are not a bound on decoded rows); AQE
+# converts a join after the small side's shuffle stage has been measured.
+BROADCAST_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+}
+
 # Settings for a local run. On a cluster size ``spark.sql.shuffle.partitions``
 # and ``spark.sql.files.maxPartitionBytes`` to the data; AQE coalesces small
 # shuffle partitions and splits skewed ones at runtime.
@@ -20,11 +26,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast a join side only when its measured runtime size is under the bound: no
-    # broadcast from planner estimates (file sizes are not a bound on decoded rows); AQE
-    # converts a join after the small side's shuffle stage has been measured.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    **BROADCAST_CONF,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -50,8 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is used as
     is. Only a local-mode session without one (tests, bench) gets a fresh
-    scratch folder; a cluster session without one gets ``None`` and callers
-    fall back to recomputation rather than a machine-local folder.
+    scratch folder; a cluster session without one gets ``None``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,22 +68,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def require_shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder; an error where a cluster session names none (there is nowhere to put intermediate rows
+    that all executors can read)."""
+    folder = ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
 
     Used after the expensive Python step (archive expansion) and wherever a
-    frame is read twice and must give the same rows both times. Without a
-    checkpoint folder the frame is persisted (memory, then disk) and counted
-    once: both readers see the same blocks, and a lost block is rebuilt from the
-    same shuffle output.
+    frame is read twice and must give the same rows both times.
     """
-    if ensure_checkpoint_dir(df.sparkSession) is None:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-        return kept
+    require_shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_dir(prefix: str = "texloom-") -> str:
-    """A new local scratch folder (tests and local runs only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

@@ -24,10 +24,11 @@ BINARY_FILE_STRUCT = T.StructType([
 
 
 def ingest_incremental(spark: SparkSession, source_dir: str, output_dir: str, checkpoint_dir: str,
-                       process: Callable[[DataFrame], DataFrame], glob: str = "*.gz",
+                       process: Callable[[DataFrame], DataFrame | dict[str, DataFrame]], glob: str = "*.gz",
                        max_files_per_batch: int = 10000, fmt: str = "parquet") -> int:
     """Run ``process`` over archives in ``source_dir`` that earlier runs did not take.
 
+    ``process`` returns one table, or several by name (figures, errors, ...), each under its own folder.
     Returns the number of micro-batches run.
     """
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_STRUCT)
@@ -37,7 +38,10 @@ def ingest_incremental(spark: SparkSession, source_dir: str, output_dir: str, ch
     batches: list[int] = []
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
-        process(df).write.mode("overwrite").format(fmt).save(f"{output_dir.rstrip('/')}/batch={batch_id}")
+        out = process(df)
+        for name, table in (out.items() if isinstance(out, dict) else [("", out)]):
+            folder = "/".join(x for x in (output_dir.rstrip("/"), name, f"batch={batch_id}") if x)
+            table.write.mode("overwrite").format(fmt).save(folder)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(run_batch)
