@@ -25,4 +25,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries_figures, queries_text, queries_interleave, queries_datasets, queries_archives  # noqa: F401
+    from . import (  # noqa: F401
+        queries_archives, queries_datasets, queries_figures, queries_interleave, queries_sinks, queries_text,
+    )
