@@ -45,6 +45,16 @@ def test_repeated_rows_ids_and_nulls(spark):
     assert _run(spark, rows) == sorted(jaccard_components(rows), key=repr)
 
 
+def test_equal_partitions(spark):
+    """Partitions that hold the same texts: each counts for itself."""
+    w = [f"w{k}" for k in range(200)]
+    texts = [" ".join(w[:100]), " ".join(w[:78] + w[100:122]), " ".join(w[:90] + w[150:160])]
+    rows = [(10 * p + k, t) for p in range(4) for k, t in enumerate(texts)]
+    parts = [docs_table(spark, rows[3 * p:3 * p + 3]).coalesce(1) for p in range(4)]
+    df = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    assert sorted(map(tuple, J.jaccard_join(df).collect())) == sorted(jaccard_components(rows))
+
+
 def test_threshold_is_exact(spark):
     base = [f"w{k}" for k in range(11)]  # 7 shingles
     rows = [(1, " ".join(base)), (2, " ".join(base[:10])), (3, " ".join(base[:9])), (4, " ".join(base[:10] + ["x"])), (5, " ".join(base + ["y", "z"]))]

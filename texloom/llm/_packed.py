@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ._words import mixed
+
 
 def parts_of(spark: SparkSession) -> int:
     """Number of parts of a packed shuffle: as many as a shuffle has partitions, to be sized with the data."""
@@ -24,6 +26,11 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def home(piece: int, parts: int) -> int:
+    """The part that a piece's own rows come back to."""
+    return int(mixed(np.array([piece], np.uint64))[0] % np.uint64(parts))
+
+
 def split_by(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """(stable order of elements by part, elements before each part and after the last)."""
     order = np.argsort(part, kind="stable")

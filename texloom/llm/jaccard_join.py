@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +92,10 @@ def _deal(parts: int):
     """Texts -> per piece and part: number of the document in the piece, low half of the shingle hash (kind 0);
     and per piece a head with the classes and set sizes of its documents (kind 1)."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
         for batch in batches:
             for _, data, offsets in W.texts(batch, "text"):
+                chunk, number = (TaskContext.get().partitionId() << 32) | number, number + 1
                 items, before = W.shingle_sets(*W.words(data, offsets), N_WORDS)
                 classes, sizes = W.set_hashes(items, before), np.diff(before)
                 _, once = np.unique(classes, return_index=True)  # equal sets of a piece count once
@@ -108,12 +111,10 @@ def _deal(parts: int):
                 if len(once) <= 1 << 16:
                     owner = owner.astype(np.uint16)
                 classes, sizes = classes[once], sizes[once]
-                chunk = int(W.set_hashes(W.mixed(classes ^ np.uint64(len(data))), np.array([0, len(classes)]))[0].view(np.int64))
                 order, at = P.split_by(P.part_of(items, parts), parts)
                 low, owner = items[order].astype(np.uint32), owner[order]
                 full = [k for k in range(parts) if at[k] < at[k + 1]]
-                home = chunk % parts
-                yield _batch([*full, home], [chunk] * (len(full) + 1), [0] * len(full) + [1],
+                yield _batch([*full, P.home(chunk, parts)], [chunk] * (len(full) + 1), [0] * len(full) + [1],
                              [*(owner[at[k]:at[k + 1]].tobytes() for k in full), b""],
                              [*(low[at[k]:at[k + 1]].tobytes() for k in full), classes.tobytes()],
                              [*([b""] * len(full)), sizes.astype(np.int64).tobytes()])
@@ -159,7 +160,7 @@ def _count(parts: int):
             s = slice(at[k], at[k + 1])
             keep = many[s] > 1
             if keep.any():
-                yield _batch([chunk % parts], [chunk], [0], [docs[keep].tobytes()], [token[s][keep].tobytes()], [b""])
+                yield _batch([P.home(chunk, parts)], [chunk], [0], [docs[keep].tobytes()], [token[s][keep].tobytes()], [b""])
 
     return count
 
