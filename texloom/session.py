@@ -62,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="texloom-ckpt-"))
         return sc.getCheckpointDir()
     return None
