@@ -32,9 +32,12 @@ def _run(spark, rows):
     return sorted(map(tuple, J.jaccard_join(docs_table(spark, rows)).collect()), key=repr)
 
 
-@pytest.mark.parametrize("block", [1 << 15, 64])
-def test_matches_all_pairs(spark, block, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", block)  # 64: every cluster in many blocks
+@pytest.mark.parametrize("block,often,piece", [(1 << 15, 8, 4 << 20), (64, 2, 3000), (300, 3, 900)])
+def test_matches_all_pairs(spark, block, often, piece, monkeypatch):
+    """Also with clusters in many blocks, most shared shingles frequent in their piece, and several pieces a task."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "OFTEN", often)
+    monkeypatch.setattr(W, "CHUNK_BYTES", piece)
     rows = _texts(3) + [(100, None), (101, ""), (102, " \n"), (103, None)]
     assert _run(spark, rows) == sorted(jaccard_components(rows), key=repr)
 

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from texloom.llm import _words as W
 from texloom.llm import suffix_dedup as X
 
 from .helpers import docs_table, repeats, written
@@ -82,7 +83,9 @@ def _run(spark, scratch, rows):
     return sorted(map(tuple, X.op5_suffix_dedup(spark, sf).collect()), key=repr)
 
 
-def test_matches_brute_force(spark, scratch):
+@pytest.mark.parametrize("piece", [4 << 20, 700])
+def test_matches_brute_force(spark, scratch, piece, monkeypatch):
+    monkeypatch.setattr(W, "CHUNK_BYTES", piece)
     r = random.Random(9)
     text = lambda n: "".join(r.choice("abcdeé \n") for _ in range(n))
     passage, license_ = text(300), text(210)

@@ -43,7 +43,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def texts(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def texts(batch: pa.RecordBatch, column: str, limit: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of pieces of a text column; null is empty; offsets start at 0."""
     arr = batch.column(batch.schema.get_field_index(column))
     if arr.null_count:
@@ -53,7 +53,7 @@ def texts(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Itera
         if len(arr) else np.zeros(1, np.int64)
     data = arr.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    first = 0
+    first, limit = 0, limit or CHUNK_BYTES
     while first < len(arr):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
         yield first, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]

@@ -4,11 +4,12 @@ A document's set holds its distinct 5-word shingles (as 64-bit hashes); two docu
 ``100 * |A and B| >= 75 * |A or B|``. The steps, all over all documents:
 
 1. Documents with equal sets form a class; from here on a class is one set, with its number of documents.
-2. Shingles are dealt by hash and counted. The global order of shingles is by how many sets hold them (in
+2. Shingles are dealt by hash and counted (those that many documents of a piece of the input hold, once per piece with
+   their count). The global order of shingles is by how many sets hold them (in
    powers of two), then by hash; shingles of one set come first and match nothing. A set links with another
    only if at least three quarters of its shingles are shared at all; others leave here.
 3. A linked pair shares a shingle among the first quarter (plus one) of each set in the global order. Sets that
-   meet there at fitting lengths are tied; the connected components are the clusters of possible links.
+   meet there in the same or neighbouring length ranges are tied; the connected components are the clusters of possible links.
 4. A cluster is cut into blocks of bounded size (by length range, then by hash), and every two blocks
    of fitting lengths make a task. A task stores one block's ordered sets in a trie with compressed edges and
    walks it with each set of the other block: the overlap with an edge is counted once for all sets below, and
@@ -88,9 +89,17 @@ def _batch(part, chunk, kind, docs, items, more) -> pa.RecordBatch:
          pa.array(items, pa.binary()), pa.array(more, pa.binary())], ["part", "chunk", "kind", "docs", "items", "more"])
 
 
+#: Rows of a packed shuffle: entries (document, low half of a shingle), the classes and sizes of a piece's documents, shingles
+#: that are frequent in a piece with their counts, and the documents that hold these.
+ENTRIES, HEAD, FREQUENT, HOLDERS = range(4)
+#: A shingle of so many documents of one piece travels once, with its count.
+OFTEN = 8
+
+
 def _deal(parts: int):
-    """Texts -> per piece and part: number of the document in the piece, low half of the shingle hash (kind 0);
-    and per piece a head with the classes and set sizes of its documents (kind 1)."""
+    """Texts -> per piece and part: the entries of its shingles, and its frequent shingles with their counts; and per
+    piece, to its home, the classes and set sizes of its documents and who holds the frequent shingles. So what a shingle
+    sends to its part is at most ``OFTEN`` entries a piece, however many documents hold it."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
@@ -104,20 +113,30 @@ def _deal(parts: int):
                     continue
                 held = np.zeros(len(classes), bool)
                 held[once] = True
-                number = np.cumsum(held) - 1
+                number_of = np.cumsum(held) - 1
                 owner = np.repeat(np.arange(len(classes)), sizes)
                 keep = held[owner]
-                items, owner = items[keep], number[owner[keep]].astype(np.uint32)
-                if len(once) <= 1 << 16:
-                    owner = owner.astype(np.uint16)
+                items, owner = items[keep], number_of[owner[keep]].astype(np.uint32 if len(once) > 1 << 16 else np.uint16)
                 classes, sizes = classes[once], sizes[once]
-                order, at = P.split_by(P.part_of(items, parts), parts)
-                low, owner = items[order].astype(np.uint32), owner[order]
-                full = [k for k in range(parts) if at[k] < at[k + 1]]
-                yield _batch([*full, P.home(chunk, parts)], [chunk] * (len(full) + 1), [0] * len(full) + [1],
-                             [*(owner[at[k]:at[k + 1]].tobytes() for k in full), b""],
-                             [*(low[at[k]:at[k + 1]].tobytes() for k in full), classes.tobytes()],
-                             [*([b""] * len(full)), sizes.astype(np.int64).tobytes()])
+                order = np.argsort(items, kind="stable")
+                items, owner = items[order], owner[order]
+                opens = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
+                runs = np.diff(np.append(opens, len(items)))
+                common = runs >= OFTEN
+                rare = np.repeat(~common, runs)
+                few, few_owner, many, counts = items[rare], owner[rare], items[opens[common]], runs[common].astype(np.uint32)
+                home, out = P.home(chunk, parts), []
+                # items ascend, and so do their parts
+                for kind, these in ((ENTRIES, few), (FREQUENT, many)):
+                    at = np.searchsorted(P.part_of(these, parts), np.arange(parts + 1))
+                    low = these.astype(np.uint32)
+                    out += [(k, chunk, kind, few_owner[a:b].tobytes() if kind == ENTRIES else b"", low[a:b].tobytes(),
+                             b"" if kind == ENTRIES else counts[a:b].tobytes())
+                            for k, (a, b) in enumerate(zip(at[:-1], at[1:])) if a < b]
+                out.append((home, chunk, HEAD, b"", classes.tobytes(), sizes.astype(np.int64).tobytes()))
+                if len(many):
+                    out.append((home, chunk, HOLDERS, owner[~rare].astype(np.uint32).tobytes(), b"", counts.tobytes()))
+                yield _batch(*zip(*out))
 
     return deal
 
@@ -130,37 +149,40 @@ def _count(parts: int):
     """One part's shingles -> those of two sets at least, back to their pieces. A shingle becomes a 64-bit number
     whose order is the global order: 6 bits of its count's magnitude, its part, its hash."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, lows = [], []
+        rows, lows, weights = [], [], []
         mine = None
         for batch in batches:
-            heads = [k for k, kind in enumerate(batch.column(2).to_pylist()) if kind == 1]
-            if heads:
-                yield batch.take(pa.array(heads))
-            for part, chunk, kind, docs, items, _ in zip(*(c.to_pylist() for c in batch.columns)):
-                if kind == 0:
+            passed = [k for k, kind in enumerate(batch.column(2).to_pylist()) if kind in (HEAD, HOLDERS)]
+            if passed:
+                yield batch.take(pa.array(passed))
+            for part, chunk, kind, docs, items, more in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind in (ENTRIES, FREQUENT):
                     mine = part
                     low = np.frombuffer(items, np.uint32)
-                    rows.append((chunk, _numbers(docs, len(low)).astype(np.uint32)))
+                    rows.append((chunk, kind, _numbers(docs, len(low)).astype(np.uint32) if kind == ENTRIES else None))
                     lows.append(low)
+                    weights.append(np.frombuffer(more, np.uint32) if kind == FREQUENT else np.ones(len(low), np.uint32))
         if not rows:
             return
         sizes = np.array([len(x) for x in lows])
-        low = np.concatenate(lows)
-        del lows
+        low, weight = np.concatenate(lows), np.concatenate(weights)
+        del lows, weights
         order = np.argsort(low, kind="stable")
         ranked = low[order]
         opens = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         runs = np.diff(np.append(opens, len(ranked)))
         many = np.empty(len(low), np.int64)
-        many[order] = np.repeat(runs, runs)
-        del order, ranked
+        many[order] = np.repeat(np.add.reduceat(weight[order].astype(np.int64), opens), runs)
+        del order, ranked, weight
         token = (np.floor(np.log2(many)).astype(np.uint64) << np.uint64(58)) | (np.uint64(mine) << np.uint64(32)) | low
         at = np.concatenate([[0], np.cumsum(sizes)])
-        for k, (chunk, docs) in enumerate(rows):
+        for k, (chunk, kind, docs) in enumerate(rows):
             s = slice(at[k], at[k + 1])
-            keep = many[s] > 1
-            if keep.any():
-                yield _batch([P.home(chunk, parts)], [chunk], [0], [docs[keep].tobytes()], [token[s][keep].tobytes()], [b""])
+            home = P.home(chunk, parts)
+            if kind == FREQUENT:
+                yield _batch([home], [chunk], [FREQUENT], [b""], [token[s].tobytes()], [int(mine).to_bytes(4, "little")])
+            elif (keep := many[s] > 1).any():
+                yield _batch([home], [chunk], [ENTRIES], [docs[keep].tobytes()], [token[s][keep].tobytes()], [b""])
 
     return count
 
@@ -169,12 +191,21 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pieces of one part -> sets that can have a link: class, size, ordered shared shingles."""
     heads: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    frequent: dict[int, dict[int, np.ndarray]] = {}
+    holders: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
         for _, chunk, kind, docs, items, more in zip(*(c.to_pylist() for c in batch.columns)):
-            if kind == 1:
+            if kind == HEAD:
                 heads[chunk] = np.frombuffer(items, np.uint64), np.frombuffer(more, np.int64)
-            else:
+            elif kind == ENTRIES:
                 found.setdefault(chunk, []).append((np.frombuffer(docs, np.uint32), np.frombuffer(items, np.uint64)))
+            elif kind == FREQUENT:
+                frequent.setdefault(chunk, {})[int.from_bytes(more, "little")] = np.frombuffer(items, np.uint64)
+            else:
+                holders[chunk] = np.frombuffer(docs, np.uint32), np.frombuffer(more, np.uint32)
+    for chunk, (docs, counts) in holders.items():
+        tokens = np.concatenate([t for _, t in sorted(frequent[chunk].items())])  # by part, as the counts are
+        found.setdefault(chunk, []).append((docs, np.repeat(tokens, counts)))
     for chunk, pieces in found.items():
         classes, sizes = heads[chunk]
         docs, tokens = (np.concatenate(x) for x in zip(*pieces))
@@ -220,43 +251,69 @@ class Ties:
             self.up[max(a, b)] = min(a, b)
 
 
+def length_range(n):
+    """Ranges of set sizes by the factor ``STEP``: linked sets lie in one range or in neighbours."""
+    return np.floor(np.log(n) / math.log(STEP) + 1e-7).astype(np.int32)
+
+
+TIES = "part int, tokens binary, classes binary, ranges binary"
+
+
 def _prefixes(parts: int):
-    """Sets -> the first shingles of each in the global order, dealt by shingle."""
+    """Sets -> the first shingles of each in the global order, dealt by shingle.
+
+    Sets of one batch that share such a shingle in one length range are tied here, and one of them goes on for all: a
+    shingle of very many sets sends a few rows a batch to its part. (A tie too many only makes a cluster larger.)
+    Ties are rows without shingles."""
     def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             tokens = [np.frombuffer(t, np.uint64) for t in frame["tokens"]]
-            n = frame["n"].to_numpy()
+            n, cls = frame["n"].to_numpy(), frame["class"].to_numpy()
+            if not len(n):
+                continue
             lens = np.array([len(t) for t in tokens])
             first = np.maximum(1, n - least_overlap(n) + 1 - (n - lens))
             token = np.concatenate([t[:k] for t, k in zip(tokens, first)])
             owner = np.repeat(np.arange(len(frame)), first)
+            ranges = length_range(n)[owner]
+            order = np.lexsort((ranges, token))
+            token, owner, ranges = token[order], owner[order], ranges[order]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (ranges[1:] != ranges[:-1])
+            lead = owner[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            pairs = np.unique(np.stack([owner, lead], axis=1)[owner != lead], axis=0)
+            token, owner, ranges = token[new], owner[new], ranges[new]
             order, at = P.split_by(P.part_of(W.mixed(token), parts), parts)
-            cls = frame["class"].to_numpy()
             rows = [(k, order[at[k]:at[k + 1]]) for k in range(parts) if at[k] < at[k + 1]]
-            yield pd.DataFrame({"part": [k for k, _ in rows], "tokens": [token[s].tobytes() for _, s in rows],
-                                "classes": [cls[owner[s]].tobytes() for _, s in rows],
-                                "sizes": [n[owner[s]].tobytes() for _, s in rows]})
+            out = [(k, token[s].tobytes(), cls[owner[s]].tobytes(), ranges[s].tobytes()) for k, s in rows]
+            if len(pairs):
+                out.append((P.home(int(pairs[0, 0]), parts), b"", cls[pairs].tobytes(), b""))
+            yield pd.DataFrame(out, columns=["part", "tokens", "classes", "ranges"])
 
     return prefixes
 
 
 def _tie(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One part's shingles -> ties of the sets that hold the same one. Sorted by length, neighbours of fitting
-    lengths are tied: any two sets of fitting lengths have only such neighbours between them."""
-    got = [np.concatenate([np.frombuffer(x, kind) for f in held for x in f[name]]) for held in [list(frames)] if held
-           for name, kind in (("tokens", np.uint64), ("classes", np.int64), ("sizes", np.int64))]
-    if not got:
-        return
-    tokens, classes, sizes = got
-    order = np.lexsort((sizes, tokens))
-    tokens, classes, sizes = tokens[order], classes[order], sizes[order]
-    names, number = np.unique(classes, return_inverse=True)
-    near = np.flatnonzero((tokens[1:] == tokens[:-1]) & (OF * sizes[:-1] >= NEED * sizes[1:]))
-    pairs = np.unique(np.stack([number[near], number[near + 1]], axis=1), axis=0)
+    """One part's shingles -> ties of the sets that hold the same one in the same or neighbouring length ranges."""
+    tokens, classes, ranges, ready = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty((0, 2), np.int64)]
+    for frame in frames:
+        for t, c, r in zip(frame["tokens"], frame["classes"], frame["ranges"]):
+            if len(t):
+                tokens.append(np.frombuffer(t, np.uint64))
+                classes.append(np.frombuffer(c, np.int64))
+                ranges.append(np.frombuffer(r, np.int32))
+            else:
+                ready.append(np.frombuffer(c, np.int64).reshape(-1, 2))
+    token, cls, length = np.concatenate(tokens), np.concatenate(classes), np.concatenate(ranges)
+    order = np.lexsort((length, token))
+    token, cls, length = token[order], cls[order], length[order]
+    near = np.flatnonzero((token[1:] == token[:-1]) & (length[1:] - length[:-1] <= 1))
+    pairs = np.unique(np.concatenate([np.stack([cls[near], cls[near + 1]], axis=1), *ready]), axis=0)
+    names, number = np.unique(pairs, return_inverse=True)
     ties = Ties(len(names))
-    for a, b in pairs.tolist():
+    for a, b in number.reshape(-1, 2).tolist():
         ties.tie(a, b)
-    roots = np.array([ties.root(k) for k in range(len(names))])
+    roots = np.array([ties.root(k) for k in range(len(names))], np.int64)
     some = np.flatnonzero(roots != np.arange(len(names)))
     yield pd.DataFrame({"a": names[some], "b": names[roots[some]]})
 
@@ -264,7 +321,7 @@ def _tie(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def clusters(sets: DataFrame) -> DataFrame:
     """(class, cluster) of the sets that share a shingle of their prefixes with another set of fitting length."""
     parts = P.parts_of(sets.sparkSession)
-    dealt = P.by_part(sets.mapInPandas(_prefixes(parts), "part int, tokens binary, classes binary, sizes binary"), parts)
+    dealt = P.by_part(sets.mapInPandas(_prefixes(parts), TIES), parts)
     ties = dealt.mapInPandas(_tie, "a long, b long")
     return components(ties).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
 
