@@ -83,9 +83,11 @@ def _run(spark, scratch, rows):
     return sorted(map(tuple, X.op5_suffix_dedup(spark, sf).collect()), key=repr)
 
 
-@pytest.mark.parametrize("piece", [4 << 20, 700])
-def test_matches_brute_force(spark, scratch, piece, monkeypatch):
+@pytest.mark.parametrize("piece,crowd", [(4 << 20, 1 << 14), (700, 1 << 14), (4 << 20, 1), (700, 3)])
+def test_matches_brute_force(spark, scratch, piece, crowd, monkeypatch):
+    """Also in small pieces, and with anchors that are too crowded for an array."""
     monkeypatch.setattr(W, "CHUNK_BYTES", piece)
+    monkeypatch.setattr(X, "CROWD", crowd)
     r = random.Random(9)
     text = lambda n: "".join(r.choice("abcdeé \n") for _ in range(n))
     passage, license_ = text(300), text(210)

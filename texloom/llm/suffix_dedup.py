@@ -17,7 +17,8 @@ another. Strings do not cross texts and are judged on the input.
 
 Contexts that occur many times are counted by partial aggregation and meet their result in a join that splits
 large partitions, so a passage of a third of all rows is not gathered. What meets in one task are the
-*different* contexts of one anchor.
+*different* contexts of one anchor. An anchor of more than ``CROWD`` of them (a short line that very many texts hold in
+different surroundings) has no array: its strings are counted by a 64-bit hash, in a partial aggregation and a join.
 
 A context whose tail has no suffix smaller than its successor (long runs of one byte) gives no start for the
 induction; the starts of its anchor are then all sorted directly.
@@ -45,6 +46,8 @@ from ._cluster import new_folder, read_table
 SIZE, GRAM = 200, 32
 #: Bytes of contexts in one suffix array, whole anchors.
 ARRAY_BYTES = 4 << 20
+#: An anchor of more different contexts is not gathered for one array.
+CROWD = 1 << 14
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -270,8 +273,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # 4. documents ------------------------------------------------------------------------------------------------
 
-def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the contexts that they give -> the contexts' bytes."""
+def _wanted(batches: Iterator[pa.RecordBatch], crowded: bool):
+    """Pieces of texts with the contexts that they give: (bytes, first place of each, number of bytes, anchor, content, copies)."""
     for batch in batches:
         column = batch.schema.get_field_index("wanted")
         for first, data, offsets in W.texts(batch, "text"):
@@ -279,12 +282,57 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             wanted = lists.flatten()
             anchor, content, copies, place = (wanted.field(n).to_numpy() for n in ("anchor", "content", "copies", "place"))
             at = np.repeat(offsets[:-1], pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)) + (place >> 8)
-            lens = (place & 255) + SIZE
-            bounds = np.concatenate([[0], np.cumsum(lens)])
-            picked = data[np.repeat(at - bounds[:-1], lens) + np.arange(bounds[-1])]
-            packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(picked.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), pa.array(copies), packed],
-                                             ["anchor", "content", "copies", "bytes"])
+            some = wanted.field("crowded").to_numpy(zero_copy_only=False).astype(bool) == crowded
+            if some.any():
+                yield data, at[some], (place[some] & 255) + SIZE, anchor[some], content[some], copies[some]
+
+
+def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the contexts that they give -> the contexts' bytes."""
+    for data, at, lens, anchor, content, copies in _wanted(batches, False):
+        bounds = np.concatenate([[0], np.cumsum(lens)])
+        picked = data[np.repeat(at - bounds[:-1], lens) + np.arange(bounds[-1])]
+        packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(picked.tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), pa.array(copies), packed],
+                                         ["anchor", "content", "copies", "bytes"])
+
+
+def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the contexts of crowded anchors -> the hashes of the strings of each context, in order."""
+    for data, at, lens, anchor, content, copies in _wanted(batches, True):
+        sums, inverse = gram_sums(data)
+        starts = lens - (SIZE - 1)
+        bounds = np.concatenate([[0], np.cumsum(starts)])
+        first = np.repeat(at - bounds[:-1], starts) + np.arange(bounds[-1])
+        strings = W.mixed((sums[first + SIZE] - sums[first]) * inverse[first])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(anchor), pa.array(content), pa.array(copies),
+             pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(strings.view(np.int64)))],
+            ["anchor", "content", "copies", "strings"])
+
+
+def _pack_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ascending places -> runs, packed as ``_judge`` gives them."""
+    for batch in batches:
+        runs = []
+        for places in batch.column(2).to_pylist():
+            at = np.array(places)
+            cuts = np.flatnonzero(np.diff(at) != 1) + 1
+            first = at[np.concatenate([[0], cuts])]
+            length = np.diff(np.concatenate([[0], cuts, [len(at)]]))
+            runs.append(np.stack([first, length], axis=1).astype(np.int32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.binary())], ["anchor", "content", "runs"])
+
+
+def _crowded_runs(contexts_: DataFrame) -> DataFrame:
+    """anchor, content, runs of the contexts of crowded anchors: their strings are counted by hash, partial counts first,
+    and meet the counts in a join; nothing of an anchor is gathered."""
+    each = (contexts_.dropDuplicates(["anchor", "content"])
+            .select("anchor", "content", "copies", F.posexplode("strings").alias("place", "string")))
+    again = each.groupBy("anchor", "string").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor", "string")
+    places = (each.join(again, ["anchor", "string"]).groupBy("anchor", "content")
+              .agg(F.array_sort(F.collect_list("place")).alias("places")))  # at most SIZE places
+    return places.mapInArrow(_pack_runs, "anchor long, content long, runs binary")
 
 
 def _removal(batches: Iterator[pa.RecordBatch], names: list[str], as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -328,11 +376,21 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     found.join(again, "anchor", "left_semi").write.parquet(folder)
     members = spark.read.parquet(folder)
     different = (members.groupBy("anchor", "content").agg(F.sum("n").alias("copies"), F.min(F.col("members")[0]).alias("one")))
-    wanted = (different.select(F.col("one.key").alias("key"), F.struct("anchor", "content", "copies", F.col("one.place").alias("place")).alias("w"))
+    crowd = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("anchor")
+    crowds = not crowd.isEmpty()
+    if crowds:
+        different = different.join(crowd.withColumn("crowded", F.lit(True)), "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    else:
+        different = different.withColumn("crowded", F.lit(False))
+    wanted = (different.select(F.col("one.key").alias("key"), F.struct("anchor", "content", "copies", F.col("one.place").alias("place"), "crowded").alias("w"))
               .groupBy("key").agg(F.collect_list("w").alias("wanted")))
-    cut = keyed.join(wanted, "key").mapInArrow(_cut_contexts, "anchor long, content long, copies long, bytes binary")
-    judged = (cut.repartition("anchor").sortWithinPartitions("anchor", "content")
+    giving = keyed.join(wanted, "key")
+    judged = (giving.mapInArrow(_cut_contexts, "anchor long, content long, copies long, bytes binary")
+              .repartition("anchor").sortWithinPartitions("anchor", "content")
               .mapInArrow(_judge, "anchor long, content long, runs binary"))
+    if crowds:
+        judged = judged.unionByName(_crowded_runs(giving.mapInArrow(
+            _cut_strings, "anchor long, content long, copies long, strings array<long>")))
     spans = (members.select("anchor", "content", "members").join(judged, ["anchor", "content"])
              .select("runs", F.explode("members").alias("m"))
              .groupBy("m.key").agg(F.collect_list(F.struct("m.place", "runs")).alias("r"))
