@@ -114,14 +114,23 @@ def fit(numbers: np.ndarray, owners: np.ndarray, extra: np.ndarray, y: np.ndarra
     column[kept] = np.arange(len(kept))
     use = hit & (column[numbers] >= 0)
     cols, local = column[numbers[use]], np.searchsorted(rows, owners[use])
+    if not len(cols):
+        kept, cols, local = kept[:0], np.empty(0, np.int64), np.empty(0, np.int64)
+    # the entries by row and by column; sums over runs are faster than counting into places
+    held, row_at = np.unique(local, return_index=True)
+    by_column = np.argsort(cols, kind="stable")
+    local_by_column, column_at = local[by_column], np.searchsorted(cols[by_column], np.arange(len(kept)))
     dense, target = extra[rows], y[rows]
     w = np.zeros(len(kept) + extra.shape[1] + 1)
     w[-1] = np.log(ones / (all_ - ones))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = np.bincount(local, w[cols], minlength=all_) + dense @ w[len(kept):-1] + w[-1]
+        z = dense @ w[len(kept):-1] + w[-1]
+        if len(cols):
+            z[held] += np.add.reduceat(w[cols], row_at)
         off = (_sigmoid(z) - target) / all_
-        g = np.concatenate([np.bincount(cols, off[local], minlength=len(kept)), dense.T @ off, [off.sum()]])
+        sums = np.add.reduceat(off[local_by_column], column_at) if len(cols) else np.empty(0)
+        g = np.concatenate([sums, dense.T @ off, [off.sum()]])
         g[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (1 - step / (STEPS + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
