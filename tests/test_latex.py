@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from texloom.operators import figures as FG
 from texloom.operators import tokens as TK

@@ -8,7 +8,6 @@ from ..functions import latex as L
 from ..functions.text import CLEAN_RULES_FULL, asset_kind, clean_text, rewrite_extension
 from ..operators import assets as A
 from ..operators import figures as FG
-from ..operators.rows import explode_pos
 from . import fixtures as fx
 from .catalog import register
 from .sqlkit import caption_sql, clean_sql, file_sql, path_sql, q
