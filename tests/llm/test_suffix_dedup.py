@@ -7,7 +7,6 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from texloom.llm import _words as W
 from texloom.llm import suffix_dedup as X
 
 from .helpers import docs_table, repeats, written
@@ -86,7 +85,7 @@ def _run(spark, scratch, rows):
 @pytest.mark.parametrize("piece,crowd", [(4 << 20, 1 << 14), (700, 1 << 14), (4 << 20, 1), (700, 3)])
 def test_matches_brute_force(spark, scratch, piece, crowd, monkeypatch):
     """Also in small pieces, and with anchors that are too crowded for an array."""
-    monkeypatch.setattr(W, "CHUNK_BYTES", piece)
+    monkeypatch.setattr(X, "PIECE_BYTES", piece)
     monkeypatch.setattr(X, "CROWD", crowd)
     r = random.Random(9)
     text = lambda n: "".join(r.choice("abcdeé \n") for _ in range(n))

@@ -23,6 +23,8 @@ different surroundings) has no array: its strings are counted by a 64-bit hash,
 A context whose tail has no suffix smaller than its successor (long runs of one byte) gives no start for the
 induction; the starts of its anchor are then all sorted directly.
 
+Rows are known by a 64-bit hash of all their columns, and contexts by one of their bytes.
+
 Defined results: a null text is empty and keeps nothing. Texts shorter than ``SIZE`` bytes are kept whole. Rows that
 repeat are texts of their own, so both go (if ``SIZE`` bytes long). Other columns stay, and those named like a column of
 the result are replaced. An empty table gives no rows.
@@ -45,7 +47,9 @@ from ._cluster import new_folder, read_table
 
 SIZE, GRAM = 200, 32
 #: Bytes of contexts in one suffix array, whole anchors.
-ARRAY_BYTES = 4 << 20
+ARRAY_BYTES = 2 << 20
+#: Bytes of texts worked on at once; a byte takes some 80 bytes of arrays.
+PIECE_BYTES = 2 << 20
 #: An anchor of more different contexts is not gathered for one array.
 CROWD = 1 << 14
 FACTOR = 0x9E3779B97F4A7C15
@@ -107,7 +111,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     and number of further starts)."""
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for first, data, offsets in W.texts(batch, "text"):
+        for first, data, offsets in W.texts(batch, "text", PIECE_BYTES):
             anchor, content, text, _, start, last = contexts(data, offsets)
             order = np.lexsort((content, anchor))
             anchor, content = anchor[order], content[order]
@@ -277,7 +281,7 @@ def _wanted(batches: Iterator[pa.RecordBatch], crowded: bool):
     """Pieces of texts with the contexts that they give: (bytes, first place of each, number of bytes, anchor, content, copies)."""
     for batch in batches:
         column = batch.schema.get_field_index("wanted")
-        for first, data, offsets in W.texts(batch, "text"):
+        for first, data, offsets in W.texts(batch, "text", PIECE_BYTES):
             lists = batch.column(column).slice(first, len(offsets) - 1)
             wanted = lists.flatten()
             anchor, content, copies, place = (wanted.field(n).to_numpy() for n in ("anchor", "content", "copies", "place"))
