@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_path, paper_id_normalize, path_basename, path_stem
+from ..session import materialize
 from . import ordered
 
 
@@ -97,17 +98,26 @@ def dedupe_output_images(df: DataFrame, keys: tuple[str, ...] = ("paper_id", "te
     return firsts.select(*keys, name, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def figure_ordinal(figs: DataFrame, out: str = "fig_index", key: str = "paper_id", pos: str = "pos") -> DataFrame:
+def file_offsets(counts: DataFrame, key: str = "paper_id") -> DataFrame:
+    """For a row per file with its number of figures ``n_figs``: ``off`` (figures in earlier files of its paper) and ``rank``
+    (0-based place of the file), files in the order of archive and path. Names and numbers only; one pass for both."""
+    files = file_keys(counts)
+    return materialize(ordered.running_sums(counts.select(*files, "n_figs"), [key], [c for c in files if c != key],
+                                            {"off": "n_figs", "rank": F.lit(1)}, inclusive=False))
+
+
+def figure_ordinal(figs: DataFrame, out: str = "fig_index", key: str = "paper_id", pos: str = "pos",
+                   offsets: DataFrame | None = None) -> DataFrame:
     """0-based ordinal of each figure in its paper, files in the order of archive and path.
 
-    ``figs`` holds all figures of each file, numbered from 0 in ``pos``. One running sum over a row per
-    file (its number of figures) gives the offset of the file; no figure text is sorted or stored.
+    ``figs`` holds all figures of each file, numbered from 0 in ``pos``. The offset of a file comes from a row per
+    file (``offsets``, else counted here); no figure text is sorted or stored.
     """
     files = file_keys(figs)
-    order = [c for c in files if c != key]
-    counts = figs.groupBy(*files).agg((F.max(pos) + 1).alias("_n"))
-    offs = ordered.running_sum(counts, [key], order, "_n", "_before", inclusive=False).drop("_n")
-    return figs.join(offs, files).withColumn(out, F.col("_before") + F.col(pos)).drop("_before")
+    if offsets is None:
+        offsets = file_offsets(figs.groupBy(*files).agg((F.max(pos) + 1).alias("n_figs")), key)
+    before = offsets.select(*files, F.col("off").alias("_before"))
+    return figs.join(before, files).withColumn(out, F.col("_before") + F.col(pos)).drop("_before")
 
 
 def frame_manifest(images: DataFrame, keys: tuple[str, ...] = ("paper_id",),

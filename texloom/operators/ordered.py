@@ -53,20 +53,28 @@ def _border_rows(s: DataFrame, keys: list[str]) -> DataFrame:
     return s.join(F.broadcast(_border_groups(s, keys)), keys, "left_semi")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | Column, out: str,
-                inclusive: bool = True, n: int | None = None) -> DataFrame:
-    """``out`` = sum of ``value`` over earlier rows of the group (and this row when ``inclusive``)."""
-    v = value if isinstance(value, Column) else F.col(value)
-    s = sliced(df.withColumn("_v", v.cast("long")), keys, order, n)
+def running_sums(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str | Column],
+                 inclusive: bool = True, n: int | None = None) -> DataFrame:
+    """Each ``out: value`` = sum of the value over earlier rows of the group (and this row when ``inclusive``); all in one
+    pass over the slices."""
+    held = {out: f"_v{k}" for k, out in enumerate(values)}
+    df = df.select("*", *[(v if isinstance(v, Column) else F.col(v)).cast("long").alias(held[out]) for out, v in values.items()])
+    s = sliced(df, keys, order, n)
     upto = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    local = s.withColumn("_local", F.coalesce(F.sum("_v").over(upto), F.lit(0)))
+    local = s.select("*", *[F.coalesce(F.sum(v).over(upto), F.lit(0)).alias(f"{v}_local") for v in held.values()])
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (_border_rows(s, keys).groupBy(*keys, SLICE).agg(F.sum("_v").alias("_tot"))
-               .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0))).drop("_tot"))
-    return (local.join(F.broadcast(offsets), [*keys, SLICE], "left")
-            .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
-            .drop("_v", "_local", "_off", SLICE))
+    totals = _border_rows(s, keys).groupBy(*keys, SLICE).agg(*[F.sum(v).alias(f"{v}_tot") for v in held.values()])
+    offsets = totals.select(*keys, SLICE, *[F.coalesce(F.sum(f"{v}_tot").over(before), F.lit(0)).alias(f"{v}_off") for v in held.values()])
+    joined = local.join(F.broadcast(offsets), [*keys, SLICE], "left")
+    kept = [c for c in df.columns if c not in held.values() and c not in values]
+    return joined.select(*kept, *[(F.col(f"{v}_local") + F.coalesce(F.col(f"{v}_off"), F.lit(0))).alias(out) for out, v in held.items()])
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | Column, out: str,
+                inclusive: bool = True, n: int | None = None) -> DataFrame:
+    """``out`` = sum of ``value`` over earlier rows of the group (and this row when ``inclusive``)."""
+    return running_sums(df, keys, order, {out: value}, inclusive, n)
 
 
 def row_number(df: DataFrame, keys: list[str], order: list[str], out: str, n: int | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import latex as L
 from ..functions import text as T
 from . import ordered
-from .assets import asset_name_prefixed, file_keys
+from .assets import asset_name_prefixed, file_keys, file_offsets
 from .rows import explode_pos, first_per_key, let
 
 NUL = "\x00"
@@ -199,22 +199,24 @@ def raw_segments(docs: DataFrame, content: str = "content", keep=None) -> DataFr
     return rows.select(*keep, "_s.seg", "_s.text", "_s.n_segs")
 
 
-def paper_segments(segs: DataFrame, piece_size: int = 256) -> DataFrame:
-    """``(paper_id, seg, piece, text)``: the segments of each paper's concatenated files, in bounded pieces.
+def figure_counts(docs: DataFrame, content: str = "content") -> DataFrame:
+    """The file keys and ``n_figs``, the number of figures."""
+    return docs.select(*file_keys(docs), F.size(L.figure_bodies(L.strip_comments(content))).cast("long").alias("n_figs"))
 
-    Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper: one running
-    sum over a row per file. A file's first and last segments run on into its neighbours, and
+
+def paper_segments(segs: DataFrame, piece_size: int = 256, offsets: DataFrame | None = None) -> DataFrame:
+    """``(paper_id, seg, piece, text, last)``: the segments of each paper's concatenated files, in bounded pieces.
+
+    Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper: one pass
+    over a row per file (``offsets``, else counted here). A file's first and last segments run on into its neighbours, and
     through files without a figure; so a segment is written in pieces of at most ``piece_size`` files, keyed
     by the files' rank. Only what a piece's files have in one segment is put together. Outer
     whitespace of a segment is stripped at its first and last piece; the other ends stay as they are.
     """
     keys = file_keys(segs)
-    order = [c for c in keys if c != "paper_id"]
-    files = segs.where(F.col("seg") == 0).select(*keys, (F.col("n_segs") - 1).alias("n_figs"))
-    offs = (ordered.running_sum(files.withColumn("_one", F.lit(1)), ["paper_id"], order, "n_figs", "off", inclusive=False)
-            .drop("n_figs"))
-    offs = offs.join(file_ranks(files), keys).drop("_one")
-    s = (segs.join(offs, keys).withColumn("g", F.col("off") + F.col("seg"))
+    if offsets is None:
+        offsets = file_offsets(segs.where(F.col("seg") == 0).select(*keys, (F.col("n_segs") - 1).alias("n_figs")))
+    s = (segs.join(offsets.select(*keys, "off", "rank"), keys).withColumn("g", F.col("off") + F.col("seg"))
          .withColumn("piece", F.floor(F.col("rank") / piece_size).cast("long")))
     joined = (s.groupBy("paper_id", "g", "piece")
               .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "text"))),
@@ -223,7 +225,8 @@ def paper_segments(segs: DataFrame, piece_size: int = 256) -> DataFrame:
     text = F.when(F.col("piece") == F.col("_lo"), T.strip_left("text")).otherwise(F.col("text"))
     out = joined.join(ends, ["paper_id", "g"]).withColumn("text", text)
     return out.select("paper_id", F.col("g").alias("seg"), "piece",
-                      F.when(F.col("piece") == F.col("_hi"), T.strip_right("text")).otherwise(F.col("text")).alias("text"))
+                      F.when(F.col("piece") == F.col("_hi"), T.strip_right("text")).otherwise(F.col("text")).alias("text"),
+                      (F.col("piece") == F.col("_hi")).alias("last"))
 
 
 def zip_segments(segments: DataFrame, figures: DataFrame, keys=None) -> DataFrame:

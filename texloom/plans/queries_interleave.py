@@ -199,12 +199,12 @@ def interleaved_segments(spark, sf_dir):
     return TK.zip_segments(segs, figs).select(*KEYS, "seg", "text", "image", "label", "caption")
 
 
-def d_figures(docs, members):
+def d_figures(docs, members, offsets=None):
     """Variant D's figure records: first image required and present; paper-level ordinal names."""
     figs = FG.extract_figures(docs).select(
         *KEYS, "pos", "image_ref", "caption", "has_caption", "label", "has_label")
-    figs = A.figure_ordinal(figs)
-    figs = A.resolve_assets(FG.require_image(figs), members, policy="drop")
+    figs = A.figure_ordinal(FG.require_image(figs), offsets=offsets if offsets is not None else A.file_offsets(TK.figure_counts(docs)))
+    figs = A.resolve_assets(figs, members, policy="drop")
     return figs.select(*KEYS, "pos", "fig_index", "image_ref",
                        A.asset_name_indexed("paper_id", "fig_index").alias("image"),
                        F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
@@ -242,11 +242,12 @@ def interleaved_full(spark, sf_dir):
 
 
 def D_full(docs, members):
-    segs = TK.paper_segments(TK.raw_segments(docs), PIECE)
-    figs = d_figures(docs, members).select("paper_id", F.col("fig_index").alias("seg"), "image", "label", "caption")
-    last = segs.groupBy("paper_id", "seg").agg(F.max("piece").alias("piece"))
-    figs = figs.join(last, ["paper_id", "seg"])
-    return segs.join(figs, ["paper_id", "seg", "piece"], "left").select("paper_id", "seg", "piece", "text", "image", "label", "caption")
+    offsets = A.file_offsets(TK.figure_counts(docs))
+    segs = TK.paper_segments(TK.raw_segments(docs), PIECE, offsets).withColumnRenamed("last", "_last")
+    figs = d_figures(docs, members, offsets).select("paper_id", F.col("fig_index").alias("seg"), F.lit(True).alias("_last"),
+                                                    "image", "label", "caption")
+    return (segs.join(figs, ["paper_id", "seg", "_last"], "left")
+            .select("paper_id", "seg", "piece", "text", "image", "label", "caption"))
 
 
 # ----------------------------------------------------------------- runs over conversation turns
