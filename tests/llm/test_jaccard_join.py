@@ -42,6 +42,22 @@ def test_matches_all_pairs(spark, block, often, piece, monkeypatch):
     assert _run(spark, rows) == sorted(jaccard_components(rows), key=repr)
 
 
+@pytest.mark.parametrize("block", [64, 700, 1500])
+def test_links_with_empty_blocks(spark, block, monkeypatch):
+    """Sets that are large against a block leave blocks of their range and of the next one empty; links still count once."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    r = random.Random(9)
+    rows = []
+    for c in range(4):
+        w = [f"c{c}w{k}" for k in range(1000)]
+        for k in range(3 + 3 * (c % 2)):
+            near = w[:r.choice([1000, 1000, 880, 800])]
+            for _ in range(r.randint(0, 6)):
+                near[r.randrange(len(near))] = f"x{r.random()}"
+            rows.append((len(rows), " ".join(near)))
+    assert _run(spark, rows) == sorted(jaccard_components(rows), key=repr)
+
+
 def test_repeated_rows_ids_and_nulls(spark):
     a, b = "one two three four five six seven eight nine ten", "a b"
     rows = [(5, a), (5, a), (3, a), (None, a), (9, b), (9, b), (None, b), (None, "only me here"), (9, None), (1, a.upper())]

@@ -408,7 +408,8 @@ class Trie:
 
 
 def _tasks(sets: DataFrame, clusters_: DataFrame) -> DataFrame:
-    """task, base, class, n, copies, tokens: a set goes to each pair of blocks of its cluster that it is in."""
+    """task, cross, base, class, n, copies, tokens: a set goes to each pair of blocks of its cluster that it is in. ``cross``:
+    the pair's blocks differ (either may be empty); else the task is a block with itself."""
     spark_sets = sets.join(clusters_, "class")
     sized = spark_sets.withColumn("rng", F.floor(F.log("n") / math.log(STEP) + 1e-7).cast("int"))
     volume = (sized.groupBy("cluster", "rng").agg(F.sum(F.octet_length("tokens") / 8).alias("v"))
@@ -423,16 +424,17 @@ def _tasks(sets: DataFrame, clusters_: DataFrame) -> DataFrame:
     name = lambda *x: F.xxhash64("cluster", *[F.lit(v) if isinstance(v, int) else v for v in x])
     # (range, block) pairs: (r, i) with (r, j), j >= i, and with every block of range r + 1
     same = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                       lambda j: F.struct(name("rng", F.least("own", j), "rng", F.greatest("own", j)).alias("task"), (F.col("own") <= j).alias("base")))
+                       lambda j: F.struct(name("rng", F.least("own", j), "rng", F.greatest("own", j)).alias("task"), (F.col("own") != j).alias("cross"),
+                                        (F.col("own") <= j).alias("base")))
     upper = F.when(F.col("above") > 0, F.transform(F.sequence(F.lit(0), F.col("above") - 1),
-                   lambda j: F.struct(name("rng", "own", F.col("rng") + 1, j).alias("task"), F.lit(True).alias("base"))))
+                   lambda j: F.struct(name("rng", "own", F.col("rng") + 1, j).alias("task"), F.lit(True).alias("cross"), F.lit(True).alias("base"))))
     lower = F.when(F.col("under") > 0, F.transform(F.sequence(F.lit(0), F.col("under") - 1),
-                   lambda j: F.struct(name(F.col("rng") - 1, j, "rng", "own").alias("task"), F.lit(False).alias("base"))))
-    none = F.array().cast("array<struct<task:bigint,base:boolean>>")
+                   lambda j: F.struct(name(F.col("rng") - 1, j, "rng", "own").alias("task"), F.lit(True).alias("cross"), F.lit(False).alias("base"))))
+    none = F.array().cast("array<struct<task:bigint,cross:boolean,base:boolean>>")
     many = F.concat(same, F.coalesce(upper, none), F.coalesce(lower, none))
-    single = F.array(F.struct(name(-1).alias("task"), F.lit(True).alias("base")))
+    single = F.array(F.struct(name(-1).alias("task"), F.lit(False).alias("cross"), F.lit(True).alias("base")))
     to = F.explode(F.when(F.col("whole") <= BLOCK, single).otherwise(many)).alias("to")
-    return placed.select("class", "n", "copies", "tokens", to).select("to.task", "to.base", "class", "n", "copies", "tokens")
+    return placed.select("class", "n", "copies", "tokens", to).select("to.task", "to.cross", "to.base", "class", "n", "copies", "tokens")
 
 
 def _by(col: str):
@@ -470,11 +472,10 @@ def _link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for _, rows in P.groups(frames, "task"):
         rows = rows.sort_values(["base", "class"], ascending=[False, True])
         sets = [(np.frombuffer(t, np.uint64), int(n), int(c)) for t, n, c in zip(rows["tokens"], rows["n"], rows["copies"])]
-        split = int(rows["base"].sum())
-        if len(sets) < 2 or not split:
+        cross, split = bool(rows["cross"].iloc[0]), int(rows["base"].sum())
+        if len(sets) < 2 or cross and split in (0, len(sets)):  # one of two blocks is empty: no pairs between them
             continue
-        # a task of one block has base rows only; of two blocks both kinds
-        links, ties = link_block(sets[:split], sets[split:] if split < len(sets) else None)
+        links, ties = link_block(sets[:split], sets[split:] if cross else None)
         cls = rows["class"].to_numpy()
         out = pd.DataFrame({"class": cls, "links": links, "tie": cls[ties]})
         yield out[out["links"] > 0]
