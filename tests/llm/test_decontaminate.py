@@ -49,6 +49,21 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert got[0].contaminated and not got[0].exact and not got[1].contaminated
 
 
+def test_runs_beside_conflicting_slots(spark):
+    """What is copied word for word, or exchanged alike, is a leak also where a slot of the same match conflicts."""
+    r = random.Random(6)
+    item = " ".join([_filler(r, 30), "at 45 and", _filler(r, 30), "at 45 then", _filler(r, 30), "at 45 or", _filler(r, 5)])
+    edited = "at 46 or".join(item.rsplit("at 45 or", 1))
+    swapped = edited.replace("45", "72")
+    torn = ITEM.replace("from Boston at 60", "from Denver at 60")
+    merged = ITEM.replace("45", "60")  # two values become one
+    renamed = ITEM.replace("Peter", "Ivan").replace("later from Boston", "later from Lima")
+    got = _found(spark, [edited, swapped, torn, merged, renamed], [(1, item), (2, ITEM)])
+    assert [got[k]["items"] for k in range(5)] == [[1], [1], [2], [2], [2]]
+    assert [got[k].exact for k in range(5)] == [True, False, True, False, False]
+    assert all(got[k].leaked_tokens >= D.COVER for k in range(5))
+
+
 def test_against_brute_force_windows(spark):
     """Exact passages: a document leaks an item just if it shares COVER consecutive words with it (or the whole of a shorter one)."""
     r = random.Random(3)

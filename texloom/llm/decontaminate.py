@@ -5,8 +5,9 @@ placeholders: numbers, units after a number, and names (capitalised inside a sen
 template tokens of the documents meet those of the benchmark items in a hash join on the tasks. Windows of
 one document and one item that lie on the same diagonal (the same shift between document and item) make
 a match; the slots below its placeholders must be consistent: the same value in the item is always the same value in
-the document, and the other way round. A match counts as a leak if it covers ``COVER`` tokens of the item, or the whole
-of a shorter one. It is reported as ``exact`` where all slot values are equal, else as re-parameterised.
+the document (two values may become one). A match counts as a leak if it covers ``COVER`` tokens of the item, or the whole
+of a shorter one. Where slots conflict, the match is cut there and its runs are judged (``judged``). A leak is reported
+as ``exact`` where all slot values are equal, else as re-parameterised.
 
 The benchmark is sent to the tasks in pieces of about ``PIECE_BYTES`` bytes of text, one Python step per piece, in one
 pass over the documents and without a shuffle; so what is broadcast at once is bounded for a benchmark of any size.
@@ -19,6 +20,7 @@ gives no leak.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,8 @@ from ._catalog import register
 from ._cluster import read_table
 
 WINDOW, COVER, LEAST = 8, 13, 5
+#: Tokens of a run with exchanged values that are a leak beside slots that conflict.
+TORN = 2 * COVER
 PIECE_BYTES = 4 << 20
 #: Units of measure, time, data and money that may follow a number.
 UNITS = ("mm cm m km in ft yd mi mile miles metre metres meter meters inch inches foot feet mg g kg t lb lbs oz gram grams "
@@ -160,17 +164,47 @@ class Benchmark:
             covered = np.unique((all_[3, a:b, None] + np.arange(int(all_[4, a]))[None]).ravel())
             if len(covered) < min(COVER, int(self.length[item])):
                 continue
-            to, fro, exact = {}, {}, True
-            for t in covered[self.slot[covered]]:
-                mine, own = self.value(int(t)), data[starts[t + shift]:ends[t + shift]].tobytes().lower()
-                if to.setdefault(mine, own) != own or fro.setdefault(own, mine) != mine:
-                    break
-                exact &= mine == own
-            else:
-                out.setdefault(text, []).append((self.ids[item], len(covered), exact))
+            slots = covered[self.slot[covered]]
+            pairs = [(self.value(int(t)), data[starts[t + shift]:ends[t + shift]].tobytes().lower()) for t in slots]
+            found = judged(covered, slots, pairs, min(COVER, int(self.length[item])))
+            if found:
+                out.setdefault(text, []).append((self.ids[item], *found))
         return out
 
 
+def judged(covered: np.ndarray, slots: np.ndarray, pairs: list[tuple[bytes, bytes]], need: int) -> tuple[int, bool] | None:
+    """(tokens, exact) of the leak in a match, or None. ``pairs``: per slot, its value in the item and in the document.
+
+    A match whose item values each have one value in the document is a leak as a whole. Else it is cut: into runs of
+    equal values, which are leaks by themselves, and into runs without the slots whose value differs from the one that
+    its item value mostly has. The latter are leaks if the match shows that values were exchanged on purpose (one that
+    occurs again is exchanged alike), or over ``TORN`` tokens."""
+    counts: dict[bytes, Counter] = {}
+    for mine, own in pairs:
+        counts.setdefault(mine, Counter())[own] += 1
+    if all(len(c) == 1 for c in counts.values()):
+        return len(covered), all(mine == own for mine, own in pairs)
+    usual = {}
+    for mine, c in counts.items():
+        (own, most), *others = c.most_common(2)
+        usual[mine] = own if not others or others[0][1] < most else None
+    shown = any(len(c) == 1 and mine not in c and sum(c.values()) > 1 for mine, c in counts.items())
+    equal = _longest(covered, slots[[mine != own for mine, own in pairs]])
+    alike = _longest(covered, slots[[usual[mine] != own for mine, own in pairs]])
+    if alike > equal and alike >= (need if shown else max(need, TORN)):
+        return alike, False
+    return (equal, True) if equal >= need else None
+
+
+def _longest(covered: np.ndarray, cuts: np.ndarray) -> int:
+    """Tokens of the longest run of neighbours among the covered tokens without the cuts."""
+    left = covered[~np.isin(covered, cuts)]
+    if not len(left):
+        return 0
+    at = np.concatenate([[0], np.flatnonzero(np.diff(left) != 1) + 1, [len(left)]])
+    return int(np.diff(at).max())
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep_only: bool = False) -> DataFrame:
     """Rows of ``docs`` with ``items`` (ids of the items that leak, ascending), ``leaked_tokens`` (most tokens of one
     item), ``exact`` (a leak with equal slot values) and ``contaminated``; or, with ``keep_only``, the rows without a
