@@ -64,6 +64,19 @@ def test_runs_beside_conflicting_slots(spark):
     assert all(got[k].leaked_tokens >= D.COVER for k in range(5))
 
 
+def test_capitals_and_runs_of_names(spark):
+    """A sentence's first word in mid-sentence, exchanged first names, and values of another number of words."""
+    short, first = "What is the capital of that old country", "Tom has 5 apples and eats two of them"
+    long = "the train from Boston to the coast leaves at 45 km from here and stops in Lima for very long"
+    more = long.replace("Boston", "New York").replace("45 km", "72").replace("Lima", "Santa Fe de Bogota")
+    got = _found(spark, ["we were asked, What is the capital of that old country", 'so they said "What is the capital of that old country" again',
+                         "look at this. Anna has 9 apples and eats two of them", "and then Mary Ann has 9 apples and eats two of them", more,
+                         "what is the capital of that old house", "Anna has 9 pears and eats two of them"],
+                 [(1, short), (2, first), (3, long)])
+    assert [got[k]["items"] for k in range(7)] == [[1], [1], [2], [2], [3], [], []]
+    assert [got[k].exact for k in range(5)] == [True, True, False, False, False]
+
+
 def test_against_brute_force_windows(spark):
     """Exact passages: a document leaks an item just if it shares COVER consecutive words with it (or the whole of a shorter one)."""
     r = random.Random(3)

@@ -9,6 +9,10 @@ the document (two values may become one). A match counts as a leak if it covers
 of a shorter one. Where slots conflict, the match is cut there and its runs are judged (``judged``). A leak is reported
 as ``exact`` where all slot values are equal, else as re-parameterised.
 
+All this is done with two templates, and what either finds counts. The plain one has a token per word and takes a capitalised word
+at the start of a sentence literally. In the merged one such a word is a name too, and a run of names, or a number with its unit, is
+one token ("Boston" -> "New York"). Lengths are counted in words of the item.
+
 The benchmark is sent to the tasks in pieces of about ``PIECE_BYTES`` bytes of text, one Python step per piece, in one
 pass over the documents and without a shuffle; so what is broadcast at once is bounded for a benchmark of any size.
 
@@ -33,7 +37,7 @@ from ._catalog import register
 from ._cluster import read_table
 
 WINDOW, COVER, LEAST = 8, 13, 5
-#: Tokens of a run with exchanged values that are a leak beside slots that conflict.
+#: Words of a run with exchanged values that are a leak beside slots that conflict.
 TORN = 2 * COVER
 PIECE_BYTES = 4 << 20
 #: Units of measure, time, data and money that may follow a number.
@@ -45,6 +49,10 @@ NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x6E756D62, 0x6E616D65, 0x756E6974)
 OUT = ("items", "leaked_tokens", "exact", "contaminated")
 
 
+#: Per byte: may stand inside a run of names.
+_JOINTS = np.isin(np.arange(256), [ord(c) for c in " \t-'"])
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Per byte: part of a token; ends a sentence."""
     part = np.zeros(256, bool)
@@ -55,10 +63,11 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return part, ends
 
 
-def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template hash of each token, starts, ends, is a slot, tokens before each text and after the last).
+def template(data: np.ndarray, offsets: np.ndarray, merged: bool = False) -> tuple[np.ndarray, ...]:
+    """(template hash of each token, starts, ends, is a slot, tokens before each text and after the last, words of each).
 
-    Tokens are runs of ASCII letters and digits and of other characters; a point or comma between two digits joins them,
+    ``merged``: capitalised tokens are names also where a sentence starts, and a run of names, or a number and its unit,
+    is one token. Tokens are runs of ASCII letters and digits and of other characters; a point or comma between two digits joins them,
     and a token ends between a digit and a letter."""
     part, stops = _tables()
     inside = part[data]
@@ -78,7 +87,7 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     before = np.searchsorted(starts, offsets)
     out = W.span_hashes(data, starts, ends)
     if not len(starts):
-        return out, starts, ends, np.zeros(0, bool), before
+        return out, starts, ends, np.zeros(0, bool), before, np.zeros(0, np.int64)
     number = digit[starts]
     units = np.sort(W.span_hashes(*_spans(UNITS)))
     after = np.zeros(len(starts), bool)
@@ -91,9 +100,17 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     fresh = np.ones(len(starts), bool)
     fresh[1:] = stop_at[starts[1:]] > stop_at[ends[:-1]]
     fresh[before[:-1][before[:-1] < len(starts)]] = True
-    name = capital & ~fresh
+    name = capital & ~unit if merged else capital & ~fresh
     out = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, out)))
-    return out, starts, ends, number | unit | name, before
+    slot = number | unit | name
+    if not merged:
+        return out, starts, ends, slot, before, np.ones(len(starts), np.int64)
+    apart_at = np.concatenate([[0], np.cumsum(~inside & ~_JOINTS[data])])
+    glued = unit.copy()
+    glued[1:] |= name[1:] & name[:-1] & ~fresh[1:] & (apart_at[starts[1:]] == apart_at[ends[:-1]])
+    first = np.flatnonzero(~glued)
+    last = np.append(first[1:], len(starts)) - 1
+    return out[first], starts[first], ends[last], slot[first], np.searchsorted(first, before), last - first + 1
 
 
 def _spans(words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,13 +129,30 @@ def windows(tokens: np.ndarray, size: int) -> np.ndarray:
 
 
 class Benchmark:
-    """Windows of one piece of the benchmark: of ``WINDOW`` tokens, and the whole of a shorter item."""
+    """One piece of the benchmark, by its plain and its merged templates."""
 
     def __init__(self, items: list[tuple[int, str]]):
+        self.views = [View(items, merged) for merged in (False, True)]
+
+    def leaks(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, bool]]]:
+        """text -> [(item id, covered words, exact)] of the leaks in pieces of texts."""
+        out: dict[int, list] = {}
+        for view in self.views:
+            for text, found in view.leaks(data, offsets).items():
+                out.setdefault(text, []).extend(found)
+        return out
+
+
+class View:
+    """Windows of one piece of the benchmark: of ``WINDOW`` tokens, and the whole of a shorter item."""
+
+    def __init__(self, items: list[tuple[int, str]], merged: bool):
+        self.merged = merged
         self.ids = [i for i, _ in items]
         self.texts = [(t or "").encode() for _, t in items]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in self.texts])]).astype(np.int64)
-        tokens, self.starts, self.ends, self.slot, self.before = template(np.frombuffer(b"".join(self.texts), np.uint8), offsets)
+        tokens, self.starts, self.ends, self.slot, self.before, self.words = template(
+            np.frombuffer(b"".join(self.texts), np.uint8), offsets, merged)
         self.offsets, self.length = offsets, np.diff(self.before)
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         sizes = np.where(self.length >= WINDOW, WINDOW, self.length)
@@ -134,14 +168,14 @@ class Benchmark:
             sieve[(found[at] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
             self.by_size[size] = found[at][order], at[order], sieve
         self.item_of = np.repeat(np.arange(len(items)), self.length)
+        self.need = np.minimum(COVER, np.bincount(self.item_of, self.words, len(items))).astype(np.int64)
 
     def value(self, token: int) -> bytes:
         k = int(self.item_of[token])
-        return self.texts[k][self.starts[token] - self.offsets[k]:self.ends[token] - self.offsets[k]].lower()
+        return _value(self.texts[k][self.starts[token] - self.offsets[k]:self.ends[token] - self.offsets[k]])
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, bool]]]:
-        """text -> [(item id, covered tokens, exact)] of the leaks in pieces of texts."""
-        tokens, starts, ends, slot, before = template(data, offsets)
+        tokens, starts, ends, _, before, _ = template(data, offsets, self.merged)
         hits = []
         for size, (hashes, at, sieve) in self.by_size.items():
             found = windows(tokens, size)
@@ -162,47 +196,52 @@ class Benchmark:
         for a, b in zip([0, *new], [*new, all_.shape[1]]):
             text, item, shift = (int(x) for x in all_[:3, a])
             covered = np.unique((all_[3, a:b, None] + np.arange(int(all_[4, a]))[None]).ravel())
-            if len(covered) < min(COVER, int(self.length[item])):
+            if self.words[covered].sum() < self.need[item]:
                 continue
             slots = covered[self.slot[covered]]
-            pairs = [(self.value(int(t)), data[starts[t + shift]:ends[t + shift]].tobytes().lower()) for t in slots]
-            found = judged(covered, slots, pairs, min(COVER, int(self.length[item])))
+            pairs = [(self.value(int(t)), _value(data[starts[t + shift]:ends[t + shift]].tobytes())) for t in slots]
+            found = judged(covered, self.words[covered], slots, pairs, int(self.need[item]))
             if found:
                 out.setdefault(text, []).append((self.ids[item], *found))
         return out
 
 
-def judged(covered: np.ndarray, slots: np.ndarray, pairs: list[tuple[bytes, bytes]], need: int) -> tuple[int, bool] | None:
-    """(tokens, exact) of the leak in a match, or None. ``pairs``: per slot, its value in the item and in the document.
+def _value(text: bytes) -> bytes:
+    return b" ".join(text.lower().split())
+
+
+def judged(covered: np.ndarray, words: np.ndarray, slots: np.ndarray, pairs: list[tuple[bytes, bytes]], need: int) -> tuple[int, bool] | None:
+    """(words, exact) of the leak in a match, or None. ``pairs``: per slot, its value in the item and in the document.
 
     A match whose item values each have one value in the document is a leak as a whole. Else it is cut: into runs of
     equal values, which are leaks by themselves, and into runs without the slots whose value differs from the one that
     its item value mostly has. The latter are leaks if the match shows that values were exchanged on purpose (one that
-    occurs again is exchanged alike), or over ``TORN`` tokens."""
+    occurs again is exchanged alike), or from ``TORN`` words on."""
     counts: dict[bytes, Counter] = {}
     for mine, own in pairs:
         counts.setdefault(mine, Counter())[own] += 1
     if all(len(c) == 1 for c in counts.values()):
-        return len(covered), all(mine == own for mine, own in pairs)
+        return int(words.sum()), all(mine == own for mine, own in pairs)
     usual = {}
     for mine, c in counts.items():
         (own, most), *others = c.most_common(2)
         usual[mine] = own if not others or others[0][1] < most else None
     shown = any(len(c) == 1 and mine not in c and sum(c.values()) > 1 for mine, c in counts.items())
-    equal = _longest(covered, slots[[mine != own for mine, own in pairs]])
-    alike = _longest(covered, slots[[usual[mine] != own for mine, own in pairs]])
+    equal = _longest(covered, words, slots[[mine != own for mine, own in pairs]])
+    alike = _longest(covered, words, slots[[usual[mine] != own for mine, own in pairs]])
     if alike > equal and alike >= (need if shown else max(need, TORN)):
         return alike, False
     return (equal, True) if equal >= need else None
 
 
-def _longest(covered: np.ndarray, cuts: np.ndarray) -> int:
-    """Tokens of the longest run of neighbours among the covered tokens without the cuts."""
-    left = covered[~np.isin(covered, cuts)]
+def _longest(covered: np.ndarray, words: np.ndarray, cuts: np.ndarray) -> int:
+    """Words of the longest run of neighbours among the covered tokens without the cuts."""
+    keep = ~np.isin(covered, cuts)
+    left = covered[keep]
     if not len(left):
         return 0
-    at = np.concatenate([[0], np.flatnonzero(np.diff(left) != 1) + 1, [len(left)]])
-    return int(np.diff(at).max())
+    at = np.concatenate([[0], np.flatnonzero(np.diff(left) != 1) + 1])
+    return int(np.add.reduceat(words[keep], at).max())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep_only: bool = False) -> DataFrame:
