@@ -17,7 +17,8 @@ A document's set holds its distinct 5-word shingles (as 64-bit hashes); two docu
 5. A task gives per set its number of links and one tie to the other sets that it found linked, not the pairs.
    Links are summed, and the ties' connected components are the result's classes.
 
-Shingles and sets are known by 64-bit hashes. Nothing is capped or sampled. The number of pairs within one cluster of different sets is not bounded by the
+Sets are known by 64-bit hashes; once dealt, a shingle is known by its part and the low 32 bits of its hash (figures in the
+README). Nothing is capped or sampled. The number of pairs within one cluster of different sets is not bounded by the
 input's size, and its tasks are as many as its pairs of blocks; equal sets never make pairs.
 
 Defined results: null or empty texts have no shingles, no link and their own id as component. Rows that repeat
