@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (  # noqa: F401  (each module registers its query)
+    centroid_clusters,
     chat_format,
     decontaminate,
     jaccard_join,
     lm_score,
     source_mix,
+    spelling_variants,
     suffix_dedup,
     topk_search,
     toxicity,
