@@ -73,11 +73,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans, A-Z as a-z."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte spans; ``value``: a number per byte (by default A-Z have those of a-z)."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    _, value, place = tables()
+    _, folded, place = tables()
+    value = folded if value is None else value
     lens = ends - starts
     at = np.cumsum(lens) - lens
     inner = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(at, lens)

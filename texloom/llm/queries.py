@@ -14,6 +14,7 @@ from . import (  # noqa: F401  (each module registers its query)
     lm_score,
     source_mix,
     spelling_variants,
+    substring_dedup,
     suffix_dedup,
     topk_search,
     toxicity,
