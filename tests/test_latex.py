@@ -152,3 +152,62 @@ def test_paper_segments_across_files(spark):
     got = sorted((r.seg, r.text) for r in TK.paper_segments(TK.raw_segments(d)).collect())
     # a.tex's tail runs into b.tex and c.tex; every figure environment splits, valid or not.
     assert got == [(0, "A0"), (1, "A1 B0 C0"), (2, "C1")]
+
+
+def test_arguments_after_blanks_and_a_newline(spark):
+    tex = ("\\begin{figure}\\includegraphics[width=1cm] {a.png}\\includegraphics[a={[b]}]\n  {p}\\caption {One {two}}"
+           "\\label\t\n{l:1}\\end{figure}\\section\n{Title}\\section\n\n{no title}\\includegraphics \n {s.png}")
+    d = docs(spark, tex)
+    (f,) = figs(spark, tex)
+    assert (f.image_ref, f.caption, f.label, f.caption_unparsed) == ("a.png", "One {two}", "l:1", False)
+    assert FG.figure_all_images(FG.extract_figures(d)).first().image_refs == ["a.png", "p"]
+    rows = TK.token_rows(d).orderBy("pos").collect()
+    assert "".join(r.token for r in rows) == tex
+    assert [r.kind for r in rows if r.kind != "text"] == ["figure", "section", "image"]
+    got = [(r.kind, r.text, r.image_ref) for r in TK.item_rows(TK.interleave(d)).orderBy("pos").collect()]
+    assert got == [("figure", None, "a.png"), ("text", "Title", None), ("image", None, "s.png")]
+
+
+def test_options_hold_brackets_in_braces(spark):
+    tex = r"\begin{figure}\includegraphics[alt={x ] y {[}}, w=1]{a.png}\caption[short {]}]{long [x] \} }\end{figure}".replace("\\\\", "\\")
+    (f,) = figs(spark, tex)
+    assert (f.image_ref, f.caption) == ("a.png", r"long [x] \} ")
+
+
+def test_titles_of_any_depth(spark):
+    for depth in (7, 20, 900):
+        title = "a" + "{b" * depth + "}" * depth + " c"
+        tex = "x\\section[s]{" + title + "}y } z"
+        assert [r.token for r in TK.token_rows(docs(spark, tex)).where("kind = 'section'").collect()] == ["\\section[s]{" + title + "}"]
+        assert items(spark, tex)[0][1].startswith(f"x {title} y")
+
+
+def test_unbalanced_braces_and_marks_in_the_text(spark):
+    tex = "} { a\x00b\x01c\x011;d \\section{T\x00\x01} \\{ \\section{open \\includegraphics{p.png}"
+    assert "".join(r.token for r in TK.token_rows(docs(spark, tex)).orderBy("pos").collect()) == tex
+    got = items(spark, tex)
+    assert ("image", None, "p.png", "2301_00001_p.png") in got
+    assert any("T\x00\x01" in (t or "") for _, t, _, _ in got) and any("a\x00b\x01c\x011;d" in (t or "") for _, t, _, _ in got)
+
+
+def test_levels_match_a_stack(spark):
+    import random
+    import re
+
+    from pyspark.sql import functions as F
+
+    from texloom.functions import latex as L
+    r = random.Random(3)
+    texts = ["".join(r.choice("{}{}ab\\\x01\x00\n[]") for _ in range(r.randint(0, 400))) for _ in range(60)] + ["", "{" * 5000 + "}" * 5000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", L.marked("t").alias("m"))
+    for row in df.select("t", "m", L.plain(F.col("m")).alias("back")).collect():
+        assert row.back == row.t
+        depth, want = 0, []
+        for tok in re.findall(r"(?s)\\.|[{}]", row.t):
+            if tok == "{":
+                depth += 1
+                want.append(depth)
+            elif tok == "}":
+                want.append(depth)
+                depth -= 1
+        assert [int(x) for x in re.findall(r"[{}]\x01(-?\d+);", re.sub(r"(?s)\\.", "", row.m))] == want

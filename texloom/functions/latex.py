@@ -1,12 +1,11 @@
 """LaTeX structure as column expressions: figures, images, captions, labels, tokens.
 
-A regex stands in for a syntax tree. Every pattern avoids repeated capture groups
-that Java matches recursively (a long caption would otherwise overflow the JVM
-stack): nested braces use possessive quantifiers, which Java runs in a loop, or are
-counted (captions).
+A regex stands in for a syntax tree. One pass gives every brace the level of its pair (``marked``); commands
+then take their options and arguments by back reference to the level: at any depth, after blanks and a newline, and with
+``]`` inside the braces of an option. Every pattern avoids repeated capture groups that Java matches recursively (a long
+caption would otherwise overflow the JVM stack): repeated groups are possessive, which Java runs in a loop.
 
-``*_RE2`` strings are the same languages in the RE2 dialect (no possessive
-quantifiers); the DuckDB oracle uses them.
+``*_RE2`` strings are the same languages in the RE2 dialect, to a fixed depth of braces; the DuckDB oracle uses them.
 """
 
 from __future__ import annotations
@@ -14,66 +13,115 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col, lit_re
+from ._util import col, let, lit_re, running_sums
 from .text import strip_braces, strip_ws
 
 # ---------------------------------------------------------------- patterns
 FIGURE = r"(?s)\\begin\{figure\}(.*?)\\end\{figure\}"
 FIGURE_RE2 = r"\\begin\{figure\}(.*?)\\end\{figure\}"  # with option 's'
 
-_OPT = r"(?:\[[^\]]*\])?"
-# A path argument may stand in one more pair of braces.
-_PATH = r"\{([^{}]*(?:\{[^{}]*\}[^{}]*)?)\}"
-INCLUDEGRAPHICS = r"\\includegraphics\*?" + _OPT + _PATH
-EPSFIG = r"\\epsfig" + _OPT + _PATH
-EPSFBOX = r"\\epsfbox" + _OPT + _PATH
-LABEL = r"\\label\{([^{}]*)\}"
+# Between a command and its argument: blanks and at most one newline (an empty line ends the paragraph).
+WS = r"[ \t]*(?:\n[ \t]*)?"
 
+# Marked text (``marked``): every brace that is not escaped is followed by MARK, its level and ";". A brace and the one
+# that closes it have one level, and no brace between them has it, so a back reference finds the end of an argument
+# at any depth.
+MARK = "\x01"
+_LEVEL = r"\x01(-?\d+);"
+_ANY_LEVEL = r"\x01-?\d+;"
 
-def _balanced_possessive(depth: int) -> str:
-    """Brace-balanced text up to ``depth`` levels, possessive (Java)."""
-    inner = r"[^{}]*+"
-    for _ in range(depth):
-        inner = r"(?:[^{}]++|\{" + inner + r"\})*+"
-    return inner
 
+def _opt(g: int) -> str:
+    """An option in brackets, braces and what they hold taken whole; group ``g``."""
+    return rf"(?:{WS}\[(?:[^\]{{}}\\]++|\\.|\{{{_LEVEL}.*?\}}\x01\{g};)*+\])?"
 
-def _balanced_unrolled(depth: int) -> str:
-    """The same language, unrolled for RE2."""
-    inner = r"[^{}]*"
-    for _ in range(depth):
-        inner = r"[^{}]*(?:\{" + inner + r"\}[^{}]*)*"
-    return inner
 
+def _arg(g: int) -> str:
+    """An argument in braces: its level is group ``g``, its text the next one."""
+    return rf"{WS}\{{{_LEVEL}(.*?)\}}\x01\{g};"
 
-# Titles are read by the tokenizer's one pattern, so to a fixed depth of braces; a deeper one stays in the text.
-TITLE_DEPTH = 6
-SECTION = r"\\section\*?" + _OPT + r"\{(" + _balanced_possessive(TITLE_DEPTH) + r")\}"
-SECTION_RE2 = r"\\section\*?" + _OPT + r"\{(" + _balanced_unrolled(TITLE_DEPTH) + r")\}"
-
-# Captions are read by brace balance, to any depth: what follows the opening brace (group 1).
-CAPTION_REST = r"(?s)\\caption" + _OPT + r"\{(.*)"
-CAPTION_CMD = r"\\caption(?![a-zA-Z])"
-ESCAPED = r"(?s)\\."  # an escaped character is no brace
 
+def _command(name: str, g: int = 1) -> str:
+    """A command with an option and an argument (group ``g + 2``)."""
+    return name + _opt(g) + _arg(g + 1)
 
-def _struct_alts(balanced: str) -> list[str]:
-    path = _PATH.replace("(", "", 1)[::-1].replace(")", "", 1)[::-1]
-    return [
-        r"\\begin\{figure\}.*?\\end\{figure\}",
-        r"\\section\*?" + _OPT + r"\{" + balanced + r"\}",
-        r"\\includegraphics\*?" + _OPT + path,
-        r"\\eps(?:fig|fbox)" + _OPT + path,
-    ]
 
+_GRAPHICS, _SECTION = r"\\includegraphics\*?", r"\\section\*?"
+INCLUDEGRAPHICS = "(?s)" + _command(_GRAPHICS)
+EPSFIG = "(?s)" + _command(r"\\epsfig")
+EPSFBOX = "(?s)" + _command(r"\\epsfbox")
+IMAGE = "(?s)" + _command(r"\\[a-z]+\*?")
+SECTION = "(?s)" + _command(_SECTION)
+ARG = 3
+LABEL = r"(?s)\\label" + _arg(1)
+LABEL_ARG = 2
+# The first caption, closed (group 4 holds its brace) or not.
+CAPTION = r"(?s)\\caption" + _opt(1) + rf"{WS}\{{{_LEVEL}(?:(.*?)(\}}\x01\2;)|.*)"
+CAPTION_CMD = r"\\caption(?![a-zA-Z])"
+_FIGURE_MARKED = r"\\begin\{" + _ANY_LEVEL + r"figure\}" + _ANY_LEVEL + r".*?\\end\{" + _ANY_LEVEL + r"figure\}" + _ANY_LEVEL
+_STRUCTURE = [_FIGURE_MARKED, _command(_SECTION, 1), _command(_GRAPHICS, 4), _command(r"\\eps(?:fig|fbox)", 7)]
+STRUCTURE = "(?s)" + "|".join(_STRUCTURE)
 
 # One alternation that tiles a document into tokens: figure environments,
 # section titles, image commands, then plain text runs and leftover commands
 # (a lone backslash at the end included). Repeated groups are possessive, so
 # matching is iterative.
-TEXT_ALTS = [r"[^\\]+", r"\\(?:[a-zA-Z]+|.)?"]
-TOKEN_RE2 = "|".join(_struct_alts(_balanced_unrolled(TITLE_DEPTH)) + TEXT_ALTS)  # with option 's'
-TOKEN = "(?s)" + "|".join(_struct_alts(_balanced_possessive(TITLE_DEPTH)) + TEXT_ALTS)
+TOKEN = STRUCTURE + r"|[^\\]+|\\(?:[a-zA-Z]+|\x01[~z]|.)?"
+
+
+# The same for RE2, which has no back references: braces to a fixed depth, more than the oracle's documents have.
+_BASE_RE2 = r"(?:[^{}\\]|\\.)*"
+_BALANCED_RE2 = _BASE_RE2
+for _ in range(24):
+    _BALANCED_RE2 = _BASE_RE2 + r"(?:\{" + _BALANCED_RE2 + r"\}" + _BASE_RE2 + ")*"
+OPT_RE2 = rf"(?:{WS}\[(?:[^\]{{}}\\]|\\.|\{{{_BALANCED_RE2}\}})*\])?"
+
+
+def _command_re2(name: str, capture: bool = True) -> str:
+    inner = f"({_BALANCED_RE2})" if capture else _BALANCED_RE2
+    return name + OPT_RE2 + WS + r"\{" + inner + r"\}"
+
+
+INCLUDEGRAPHICS_RE2 = "(?s)" + _command_re2(_GRAPHICS)
+EPSFIG_RE2, EPSFBOX_RE2 = "(?s)" + _command_re2(r"\\epsfig"), "(?s)" + _command_re2(r"\\epsfbox")
+SECTION_RE2 = "(?s)" + _command_re2(_SECTION)
+IMAGE_TOKEN_RE2 = "(?s)^" + _command_re2(r"\\[a-z]+\*?") + "$"
+LABEL_RE2 = r"(?s)\\label" + WS + r"\{(" + _BALANCED_RE2 + r")\}"
+CAPTION_REST_RE2 = r"(?s)\\caption" + OPT_RE2 + WS + r"\{(.*)"
+TOKEN_RE2 = "|".join([r"\\begin\{figure\}.*?\\end\{figure\}", _command_re2(_SECTION, False), _command_re2(_GRAPHICS, False),
+                      _command_re2(r"\\eps(?:fig|fbox)", False), r"[^\\]+", r"\\(?:[a-zA-Z]+|.)?"])  # with option 's'
+
+
+# ---------------------------------------------------------------- levels
+NUL = "\x00"
+# Up to and with a brace that is not escaped.
+_UP_TO_BRACE = r"(?s)(?:[^{}\\]++|\\.)*+[{}]"
+
+
+def marked(content) -> Column:
+    """The text with a level at every brace (see ``MARK``): one pass over the braces. A MARK or NUL of the text itself is
+    escaped, so NUL can part the text later. ``plain`` gives the text back."""
+    text = col(content)
+    odd = (F.instr(text, MARK) > 0) | (F.instr(text, NUL) > 0)
+    safe = F.when(odd, F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "~")), F.lit(NUL), F.lit(MARK + "z"))).otherwise(text)
+    # A last brace ends the last piece; it goes again.
+    pieces = F.regexp_extract_all(F.concat(safe, F.lit(" }")), lit_re(_UP_TO_BRACE), F.lit(0))
+
+    def level(ps: Column) -> Column:
+        opens = F.transform(ps, lambda p: F.when(p.endswith("{"), F.lit(1)).otherwise(F.lit(-1)))
+        return let(opens, lambda o: let(running_sums(o), lambda depth: F.array_join(F.transform(ps, lambda p, i: F.when(
+            i == F.size(ps) - 1, F.substring(p, F.lit(1), F.length(p) - 2)).otherwise(F.concat(
+                p, F.lit(MARK), (F.element_at(depth, i + 1) + F.when(F.element_at(o, i + 1) > 0, F.lit(0)).otherwise(F.lit(1))).cast("string"),
+                F.lit(";")))), "")))
+
+    return let(pieces, level)
+
+
+def plain(m: Column) -> Column:
+    """Marked text, or a part of it, without its levels."""
+    bare = F.regexp_replace(m, _ANY_LEVEL, "")
+    back = F.replace(F.replace(bare, F.lit(MARK + "z"), F.lit(NUL)), F.lit(MARK + "~"), F.lit(MARK))
+    return F.when(F.instr(m, MARK) > 0, back).otherwise(m)
 
 
 # ---------------------------------------------------------------- columns
@@ -96,103 +144,69 @@ def _path(c: Column) -> Column:
     return strip_ws(strip_braces(c))
 
 
-def first_image(body) -> Column:
-    r"""Path of the first ``\includegraphics``; ``''`` when there is none."""
-    return _path(F.regexp_extract(col(body), INCLUDEGRAPHICS, 1))
-
-
-def all_images(body) -> Column:
-    """Every ``includegraphics``, then ``epsfig``, then ``epsfbox`` path, first occurrence kept."""
-    b = col(body)
-    parts = [F.regexp_extract_all(b, lit_re(p), F.lit(1)) for p in (INCLUDEGRAPHICS, EPSFIG, EPSFBOX)]
-    return F.array_distinct(F.filter(F.transform(F.concat(*parts), _path), lambda x: x != ""))
-
-
-def image_refs(content) -> Column:
-    """Every image path of a text, inside and outside figures, repeats included."""
-    parts = [F.regexp_extract_all(col(content), lit_re("(?s)" + p), F.lit(1)) for p in (INCLUDEGRAPHICS, EPSFIG, EPSFBOX)]
-    return F.transform(F.concat(*parts), _path)
+def first_image(m: Column) -> Column:
+    r"""Path of the first ``\includegraphics`` of marked text; ``''`` when there is none."""
+    return _path(plain(F.regexp_extract(m, INCLUDEGRAPHICS, ARG)))
 
 
-def _balanced_prefix(rest: Column) -> Column:
-    """Text up to the brace that closes the one before ``rest``; NULL when none does.
+def has_image(m: Column) -> Column:
+    return m.rlike(INCLUDEGRAPHICS)
 
-    Cut at closing braces, the argument ends with the first piece ``k`` (from 0) up to which there are
-    ``k`` opening braces. One pass over the pieces."""
-    def of(s: Column) -> Column:
-        masked = F.regexp_replace(s, ESCAPED, "xx")
-        pieces = F.slice(F.split(masked, r"\}", -1), 1, F.size(F.split(masked, r"\}", -1)) - 1)
-        start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("opens"), F.lit(0).alias("length"), F.lit(-1).alias("found"))
 
-        def step(acc, p):
-            opens = acc["opens"] + F.length(p) - F.length(F.replace(p, F.lit("{"), F.lit("")))
-            length = acc["length"] + F.length(p)
-            return F.when(acc["found"] >= 0, acc).otherwise(F.struct(
-                (acc["k"] + 1).alias("k"), opens.alias("opens"), (length + 1).alias("length"),
-                F.when(opens == acc["k"], length).otherwise(F.lit(-1)).alias("found")))
+def image_refs(m: Column) -> Column:
+    """Every image path of marked text, repeats included: ``includegraphics``, then ``epsfig``, then ``epsfbox``."""
+    parts = [F.regexp_extract_all(m, lit_re(p), F.lit(ARG)) for p in (INCLUDEGRAPHICS, EPSFIG, EPSFBOX)]
+    return F.transform(F.concat(*parts), lambda x: _path(plain(x)))
 
-        found = F.aggregate(pieces, start, step, lambda acc: acc["found"])
-        return F.when(found >= 0, s.substr(F.lit(1), found))
 
-    return F.element_at(F.transform(F.array(rest), of), 1)
+def all_images(m: Column) -> Column:
+    """The image paths of marked text, first occurrence kept."""
+    return F.array_distinct(F.filter(image_refs(m), lambda x: x != ""))
 
 
-def caption_or_null(body) -> Column:
-    """Raw text of the first caption, braces kept to any depth; NULL when absent or not closed."""
-    b = col(body)
-    return F.when(b.rlike(CAPTION_REST), _balanced_prefix(F.regexp_extract(b, CAPTION_REST, 1)))
+def caption_or_null(m: Column) -> Column:
+    """Raw text of the first caption of marked text, braces kept to any depth; NULL when absent or not closed."""
+    return F.when(F.regexp_extract(m, CAPTION, 4) != "", plain(F.regexp_extract(m, CAPTION, 3)))
 
 
-def caption(body) -> Column:
-    """The first caption; ``''`` when absent or not closed."""
-    return F.coalesce(caption_or_null(body), F.lit(""))
+def label(m: Column) -> Column:
+    return plain(F.regexp_extract(m, LABEL, LABEL_ARG))
 
 
-def has_caption(body) -> Column:
-    return caption_or_null(body).isNotNull()
+def has_label(m: Column) -> Column:
+    return m.rlike(LABEL)
 
 
-def caption_unparsed(body) -> Column:
-    """A caption command is present but it has no argument that closes."""
-    return col(body).rlike(CAPTION_CMD) & caption_or_null(body).isNull()
+def section_title(m: Column) -> Column:
+    return plain(F.regexp_extract(m, SECTION, ARG))
 
 
-def label(body) -> Column:
-    return F.regexp_extract(col(body), LABEL, 1)
+def image_path(m: Column) -> Column:
+    """Path argument of an image command (marked)."""
+    return _path(plain(F.regexp_extract(m, IMAGE, ARG)))
 
 
-def has_label(body) -> Column:
-    return col(body).rlike(LABEL)
-
-
-def section_title(token) -> Column:
-    return F.regexp_extract(col(token), SECTION, 1)
+def parts(m: Column) -> Column:
+    """Marked text cut into plain text runs (even index) and structural commands (odd index), both marked."""
+    return F.split(F.regexp_replace(m, STRUCTURE, NUL + "$0" + NUL), NUL, -1)
 
 
 def tokens(content) -> Column:
     """The document tiled into tokens (see ``TOKEN``)."""
-    return F.regexp_extract_all(col(content), lit_re(TOKEN), F.lit(0))
+    return F.transform(let(marked(content), lambda m: F.regexp_extract_all(m, lit_re(TOKEN), F.lit(0))), plain)
 
 
 def token_kind(t: Column) -> Column:
-    r"""Kind of a token from ``tokens``: figure, section, image or text.
+    r"""Kind of a token: figure, section, image or text.
 
-    A structural token always ends with ``}``; a text token that merely starts
+    A structural token always ends with ``}`` (in marked text with its level); a text token that merely starts
     like a command name (``\section`` without a brace) never does.
     """
-    closed = t.endswith("}")
+    closed = t.endswith("}") | t.endswith(";")
     return (
-        F.when(t.startswith("\\begin{figure}"), F.lit("figure"))
+        F.when(t.startswith("\\begin{figure}") | t.startswith("\\begin{" + MARK), F.lit("figure"))
         .when(t.startswith("\\section") & closed, F.lit("section"))
         .when((t.startswith("\\includegraphics") | t.startswith("\\epsfig") | t.startswith("\\epsfbox")) & closed,
               F.lit("image"))
         .otherwise(F.lit("text"))
     )
-
-
-IMAGE_TOKEN = r"^\\[a-z]+\*?" + _OPT + r"\{(?s:(.*))\}$"
-
-
-def image_token_path(t) -> Column:
-    """Path argument of a stand-alone image command token."""
-    return _path(F.regexp_extract(col(t), IMAGE_TOKEN, 1))

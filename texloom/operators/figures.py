@@ -17,16 +17,16 @@ from .rows import explode_pos, first_per_key, let
 FIELDS = ("image_ref", "has_image", "caption", "has_caption", "caption_unparsed", "label", "has_label")
 
 
-def _fields(b, cap) -> list:
-    """The figure fields of a body and its caption (NULL if there is none that closes)."""
+def _fields(m, cap) -> list:
+    """The figure fields of a marked body and its caption (NULL if there is none that closes)."""
     return [
-        L.first_image(b).alias("image_ref"),
-        b.rlike(L.INCLUDEGRAPHICS).alias("has_image"),
+        L.first_image(m).alias("image_ref"),
+        L.has_image(m).alias("has_image"),
         F.coalesce(cap, F.lit("")).alias("caption"),
         cap.isNotNull().alias("has_caption"),
-        (cap.isNull() & b.rlike(L.CAPTION_CMD)).alias("caption_unparsed"),
-        L.label(b).alias("label"),
-        L.has_label(b).alias("has_label"),
+        (cap.isNull() & m.rlike(L.CAPTION_CMD)).alias("caption_unparsed"),
+        L.label(m).alias("label"),
+        L.has_label(m).alias("has_label"),
     ]
 
 
@@ -43,8 +43,8 @@ def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str,
     """
     keep = keep or file_keys(docs)
     text = L.strip_comments(content) if strip_comments else F.col(content)
-    arr = F.transform(L.figure_bodies(text), lambda bd, i: let(L.caption_or_null(bd), lambda cap: F.struct(
-        i.cast("long").alias(pos), bd.alias(body), *_fields(bd, cap))))
+    arr = F.transform(L.figure_bodies(text), lambda bd, i: let(L.marked(bd), lambda m: let(L.caption_or_null(m), lambda cap: F.struct(
+        i.cast("long").alias(pos), bd.alias(body), *_fields(m, cap)))))
     rows = explode_pos(docs, keep, arr, "_i", "_f")
     return rows.select(*keep, *[F.col("_f")[c].alias(c) for c in (pos, body, *FIELDS)])
 
@@ -55,10 +55,10 @@ def document_images(docs: DataFrame, content: str = "content", keep=None) -> Dat
     keep = keep or file_keys(docs)
 
     def images(bd, i):
-        return let(L.caption_or_null(bd), lambda cap: F.transform(L.all_images(bd), lambda img, j: F.struct(
+        return let(L.marked(bd), lambda m: let(L.caption_or_null(m), lambda cap: F.transform(L.all_images(m), lambda img, j: F.struct(
             i.cast("long").alias("pos"), j.cast("long").alias("img_pos"), img.alias("image_ref"),
             asset_name_prefixed("paper_id", img, jpeg=True).alias("out_name"), F.coalesce(cap, F.lit("")).alias("caption"),
-            cap.isNotNull().alias("has_caption"))))
+            cap.isNotNull().alias("has_caption")))))
 
     every = F.flatten(F.transform(L.figure_bodies(L.strip_comments(content)), images))
     firsts = let(every, lambda items: first_per_key(items, lambda x, i: x["out_name"]))
@@ -68,7 +68,7 @@ def document_images(docs: DataFrame, content: str = "content", keep=None) -> Dat
 
 def figure_all_images(figs: DataFrame, body: str = "body", out: str = "image_refs") -> DataFrame:
     """Add every image path of the figure (includegraphics, epsfig, epsfbox), duplicates removed."""
-    return figs.withColumn(out, L.all_images(body))
+    return figs.withColumn(out, let(L.marked(body), L.all_images))
 
 
 def require_image(figs: DataFrame) -> DataFrame:

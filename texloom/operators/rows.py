@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions._util import let
+
 
 def explode_pos(df: DataFrame, keep, arr: Column, pos: str = "pos", value: str = "value") -> DataFrame:
     """``(keep..., pos bigint, value)``: one row per element with its 0-based position."""
@@ -37,16 +39,6 @@ def where_computed(df: DataFrame, keep, value: Column, name: str, cond) -> DataF
     return explode_pos(df, keep, F.filter(F.array(value), cond), "_keep", name).drop("_keep")
 
 
-def let(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and hand it to ``fn`` (a one-element ``transform``).
-
-    Catalyst inlines a column defined by ``withColumn`` at every place it is
-    used; used inside a lambda it would be recomputed per element. A lambda
-    variable is evaluated once, so each stage below binds its input this way.
-    """
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def first_per_key(items: Column, key) -> Column:
     """The first element of an array per ``key(element, index)``, in order. Sorts (key, index) pairs, so long arrays
     are not searched once per element. ``items`` should be a lambda variable (see ``let``)."""

@@ -21,7 +21,6 @@ from . import ordered
 from .assets import asset_name_prefixed, file_keys, file_offsets
 from .rows import explode_pos, first_per_key, let
 
-NUL = "\x00"
 ITEM_FIELDS = ("kind", "text", "image_ref", "name", "caption", "label")
 
 
@@ -64,21 +63,14 @@ def _item(kind, text=None, image_ref=None, name=None, caption=None, label=None)
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v).cast("string")).alias(k) for k, v in vals.items()])
 
 
-def _raw_parts(body: Column) -> Column:
-    """Alternating raw text runs (even index) and structural tokens (odd index)."""
-    return let(L.tokens(body), lambda toks: F.split(F.array_join(F.transform(
-        toks, lambda t: F.when(L.token_kind(t) == "text", t).otherwise(F.concat(F.lit(NUL), t, F.lit(NUL)))), ""),
-        NUL, -1))
-
-
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
 def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: bool, paper_id: Column) -> Column:
-    """Items (an array) produced by one raw part."""
+    """Items (an array) produced by one part of the marked text."""
     kind = L.token_kind(p)
-    text_run = F.array(_item(F.lit("text"), text=T.clean_text(p, clean)))
+    text_run = F.array(_item(F.lit("text"), text=T.clean_text(L.plain(p), clean)))
     section = F.array(_item(F.lit("text"), text=L.section_title(p)))
     cap = L.caption_or_null(p)
     lab = F.when(L.has_label(p), L.label(p))
@@ -95,7 +87,7 @@ def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: b
             F.lit("image"), image_ref=img, name=asset_name_prefixed(paper_id, img, jpeg=True), caption=cc)))
     else:
         raise ValueError(figures)
-    img_path = L.image_token_path(p)
+    img_path = L.image_path(p)
     if standalone:
         name = asset_name_prefixed(paper_id, img_path, jpeg=(figures == "images"))
         image = F.array(_item(F.lit("image"), image_ref=img_path, name=name))
@@ -110,15 +102,19 @@ def _items_of_part(p: Column, i: Column, clean: str, figures: str, standalone: b
 def merge_text_items(items: Column) -> Column:
     """Join each run of consecutive text items with one space; other items break runs.
 
-    Encodes the array as one string (texts inline, other items as their index
-    between NUL marks), splits it, and rebuilds the items: linear in the items.
+    Cuts the array at its other items and joins what lies between: linear in the items.
     ``items`` should be a lambda variable (see ``let``): it is read per element.
     """
-    enc = F.array_join(F.transform(items, lambda x, i: F.when(x["kind"] == "text", F.concat(F.lit(" "), x["text"]))
-                                   .otherwise(F.concat(F.lit(NUL), i.cast("string"), F.lit(NUL)))), "")
-    return F.flatten(F.transform(F.split(enc, NUL, -1), lambda p, j: F.when(
-        j % 2 == 0, F.filter(F.array(_item(F.lit("text"), text=F.substr(p, F.lit(2)))), lambda _: p != ""))
-        .otherwise(F.array(F.element_at(items, p.cast("int") + 1)))))
+    none = F.filter(F.array(_item(F.lit("text"))), lambda _: F.lit(False))
+    cuts = F.concat(F.array(F.lit(-1)), F.filter(F.transform(items, lambda x, i: F.when(x["kind"] != "text", i)), lambda i: i.isNotNull()))
+
+    def from_cut(c: Column, k: Column, at: Column) -> Column:
+        following = F.when(k + 1 < F.size(at), F.element_at(at, F.least(k + 2, F.size(at)))).otherwise(F.size(items))
+        texts = F.transform(F.slice(items, c + 2, following - c - 1), lambda x: x["text"])
+        own = F.when(c >= 0, F.array(F.element_at(items, F.greatest(c + 1, F.lit(1))))).otherwise(none)
+        return F.concat(own, let(texts, lambda t: F.when(F.size(t) > 0, F.array(_item(F.lit("text"), text=F.array_join(t, " ")))).otherwise(none)))
+
+    return F.when(F.size(items) > 0, let(cuts, lambda at: F.flatten(F.transform(at, lambda c, k: from_cut(c, k, at))))).otherwise(none)
 
 
 def _drop_empty_text(items: Column) -> Column:
@@ -155,9 +151,8 @@ def interleave(docs: DataFrame, content: str = "content", paper_id: str = "paper
 
     Each document is processed inside its own row: no shuffle.
     """
-    body = F.regexp_replace(_body(content), NUL, "")
     pid = F.col(paper_id)
-    raw = F.flatten(F.transform(_raw_parts(body), lambda p, i: _items_of_part(p, i, clean, figures, standalone, pid)))
+    raw = F.flatten(F.transform(let(L.marked(_body(content)), L.parts), lambda p, i: _items_of_part(p, i, clean, figures, standalone, pid)))
     stages = [_drop_empty_text]
     if dedupe_names:
         stages.append(_first_per_name)

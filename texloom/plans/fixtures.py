@@ -41,6 +41,8 @@ CONTENT = " || ".join([
     _cmd("documentclass{article}"), NL,
     f"CASE WHEN doc_id % 11 = 0 THEN '' ELSE {_cmd('begin{document}')} || {NL} END",
     f"CASE WHEN doc_id % 6 = 2 THEN {_cmd('section[Short]{')} WHEN doc_id % 6 = 4 THEN {_cmd('section{A {bold {one}} of ')} "
+    f""
+    f"WHEN doc_id % 6 = 5 THEN {_cmd('section [a {[b]} c] {Deep ')} || repeat('{{d', 20) || repeat('}}', 20) || ' ' "
     f"ELSE {_cmd('section{Section ')} END", DID, "'}'", NL,
     f"CASE WHEN doc_id % 5 = 2 THEN {_cmd('section{Same}Same')} || {_cmd('section{Same}')} ELSE '' END",
     f"substr(text, 1, {HALF})", NL,
@@ -48,15 +50,19 @@ CONTENT = " || ".join([
     + " || ".join([
         _cmd("begin{figure}[h]"), NL,
         f"CASE WHEN doc_id % 4 = 1 THEN '% ' || {_cmd('includegraphics{old.png}')} || {NL} ELSE '' END",
-        _cmd("includegraphics[width=0.5]{"), "CASE WHEN doc_id % 7 = 3 THEN ' ' WHEN doc_id % 7 = 5 THEN '{' ELSE '' END",
+        f"CASE WHEN doc_id % 10 = 4 THEN {_cmd('includegraphics[width=0.5,alt={a ]{b}}]')} || {NL} || '  {{' "
+        f"WHEN doc_id % 10 = 6 THEN {_cmd('includegraphics {')} ELSE {_cmd('includegraphics[width=0.5]{')} END",
+        "CASE WHEN doc_id % 7 = 3 THEN ' ' WHEN doc_id % 7 = 5 THEN '{' ELSE '' END",
         "'figs/f'", "cast(doc_id % 7 AS string)", "'.pdf'",
         "CASE WHEN doc_id % 7 = 3 THEN ' ' WHEN doc_id % 7 = 5 THEN '}' ELSE '' END", "'}'", NL,
         f"CASE WHEN doc_id % 6 = 0 THEN {_cmd('epsfig{figs/e.eps}')} || {NL} ELSE '' END",
         f"CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 17 = 4 THEN {_cmd('caption{never closed')} "
         f"WHEN doc_id % 13 = 2 THEN {_cmd('caption{a{b{c{d{e{f}}}}} g ')} || {_cmd('} h}')} ELSE "
-        + " || ".join([_cmd("caption{Plot "), _cmd("emph{of {x}} "), "split_part(text, chr(10), 1)", "'}'"])
+        + " || ".join([f"CASE WHEN doc_id % 4 = 2 THEN {_cmd('caption [s] ')} || {NL} || '{{' ELSE {_cmd('caption{')} END",
+                       "'Plot '", _cmd("emph{of {x}} "), "split_part(text, chr(10), 1)", "'}'"])
         + f" END || {NL}",
-        f"CASE WHEN doc_id % 3 = 0 THEN '' ELSE {_cmd('label{fig:')} || {DID} || '}}' || {NL} END",
+        f"CASE WHEN doc_id % 3 = 0 THEN '' ELSE "
+        f"CASE WHEN doc_id % 12 = 5 THEN {_cmd('label {fig:')} ELSE {_cmd('label{fig:')} END || {DID} || '}}' || {NL} END",
         _cmd("end{figure}"), NL,
     ])
     + " END",

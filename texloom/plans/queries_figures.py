@@ -8,6 +8,7 @@ from ..functions import latex as L
 from ..functions.text import CLEAN_RULES_FULL, asset_kind, clean_text, rewrite_extension
 from ..operators import assets as A
 from ..operators import figures as FG
+from ..operators.rows import let
 from . import fixtures as fx
 from .catalog import register
 from .sqlkit import caption_sql, clean_sql, file_sql, path_sql, q
@@ -17,10 +18,10 @@ KEYS = ["archive", "paper_id", "tex_path"]
 FIGS_SQL = ("SELECT archive, paper_id, tex_path, " + "unnest(f) AS body, unnest(range(len(f))) AS pos FROM "
             f"(SELECT archive, paper_id, tex_path, regexp_extract_all(content, {q(L.FIGURE_RE2)}, 1, 's') AS f FROM clean_docs) x")
 FIELDS_SQL = ("SELECT *, coalesce(cap, '') AS caption, cap IS NOT NULL AS has_caption FROM ("
-              f"SELECT archive, paper_id, tex_path, pos, body, {path_sql(f'regexp_extract(body, {q(L.INCLUDEGRAPHICS)}, 1)')} AS image_ref, "
-              f"regexp_matches(body, {q(L.INCLUDEGRAPHICS)}) AS has_image, {caption_sql('body')} AS cap, "
-              f"regexp_extract(body, {q(L.LABEL)}, 1) AS label, "
-              f"regexp_matches(body, {q(L.LABEL)}) AS has_label FROM figs) fc")
+              f"SELECT archive, paper_id, tex_path, pos, body, {path_sql(f'regexp_extract(body, {q(L.INCLUDEGRAPHICS_RE2)}, 1)')} AS image_ref, "
+              f"regexp_matches(body, {q(L.INCLUDEGRAPHICS_RE2)}) AS has_image, {caption_sql('body')} AS cap, "
+              f"regexp_extract(body, {q(L.LABEL_RE2)}, 1) AS label, "
+              f"regexp_matches(body, {q(L.LABEL_RE2)}) AS has_label FROM figs) fc")
 
 
 def exists_sql(row: str) -> str:
@@ -110,7 +111,7 @@ def figure_records_d(spark, sf_dir):
 
 # ----------------------------------------------------------------- B: all images of a figure
 def _all_images_select() -> str:
-    parts = " , ".join(f"regexp_extract_all(body, {q(p)}, 1)" for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX))
+    parts = " , ".join(f"regexp_extract_all(body, {q(p)}, 1)" for p in (L.INCLUDEGRAPHICS_RE2, L.EPSFIG_RE2, L.EPSFBOX_RE2))
     # first-occurrence distinct: keep element i when it does not occur in positions < i
     cat = f"list_transform(list_concat({parts}), lambda r: {path_sql('r')})"
     return (f"SELECT archive, paper_id, tex_path, pos, caption, has_caption, "
@@ -140,7 +141,7 @@ def figure_images_all(spark, sf_dir):
 
 # ----------------------------------------------------------------- B: all-or-nothing documents
 REFS_SQL = ("refs AS (SELECT archive, paper_id, tex_path, unnest(list_transform(list_concat("
-            + " , ".join(f"regexp_extract_all(content, {q(p)}, 1, 's')" for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX))
+            + " , ".join(f"regexp_extract_all(content, {q(p)}, 1, 's')" for p in (L.INCLUDEGRAPHICS_RE2, L.EPSFIG_RE2, L.EPSFBOX_RE2))
             + f"), lambda r: {path_sql('r')})) AS image_ref FROM clean_docs)")
 
 
@@ -153,7 +154,7 @@ def docs_all_assets_present(spark, sf_dir):
     """Variant B's all-or-nothing rule: documents whose every image reference resolves,
     with the number of references. One left join and one aggregation."""
     docs = fx.tex_docs(spark, sf_dir).withColumn("content", L.strip_comments("content"))
-    refs = docs.select(*KEYS, F.explode_outer(L.image_refs("content")).alias("image_ref"))
+    refs = docs.select(*KEYS, F.explode_outer(let(L.marked("content"), L.image_refs)).alias("image_ref"))
     found = A.resolve_assets(refs, fx.members(spark, sf_dir), policy="keep")
     return (found.groupBy(*KEYS)
             .agg(F.count("image_ref").alias("n_refs"), F.bool_and(F.col("image_ref").isNull() | F.col("resolved")).alias("whole"))

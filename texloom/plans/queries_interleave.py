@@ -43,8 +43,8 @@ def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = T
         f"SELECT {cols}, 0, 'text', regexp_extract(raw, {q(L.SECTION_RE2)}, 1), NULL, NULL, NULL, NULL "
         "FROM raw WHERE rkind = 'section'",
     ]
-    img = path_sql(f"regexp_extract(raw, {q(L.INCLUDEGRAPHICS)}, 1)")
-    lab = f"CASE WHEN regexp_matches(raw, {q(L.LABEL)}) THEN regexp_extract(raw, {q(L.LABEL)}, 1) END"
+    img = path_sql(f"regexp_extract(raw, {q(L.INCLUDEGRAPHICS_RE2)}, 1)")
+    lab = f"CASE WHEN regexp_matches(raw, {q(L.LABEL_RE2)}) THEN regexp_extract(raw, {q(L.LABEL_RE2)}, 1) END"
     if figures == "figure":
         parts.append(f"SELECT {cols}, 0, 'figure', NULL, nullif({img}, ''), NULL, {_cap('raw')}, {lab} "
                      "FROM raw WHERE rkind = 'figure'")
@@ -53,7 +53,7 @@ def items_sql(clean: str = "full", figures: str = "figure", standalone: bool = T
                      f"FROM raw WHERE rkind = 'figure' AND {img} <> ''")
     elif figures == "images":
         cat = "list_concat(" + ", ".join(f"regexp_extract_all(raw, {q(p)}, 1)"
-                                         for p in (L.INCLUDEGRAPHICS, L.EPSFIG, L.EPSFBOX)) + ")"
+                                         for p in (L.INCLUDEGRAPHICS_RE2, L.EPSFIG_RE2, L.EPSFBOX_RE2)) + ")"
         cat = f"list_transform({cat}, lambda r: {path_sql('r')})"
         imgs = f"list_filter({cat}, lambda x, i: x <> '' AND NOT list_contains({cat}[1:i-1], x))"
         cap = clean_sql(_cap('raw'), T.CLEAN_RULES_FULL)

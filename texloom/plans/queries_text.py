@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import latex as L
 from ..functions import text as T
 from ..operators import tokens as TK
-from ..operators.rows import explode_pos
+from ..operators.rows import explode_pos, let
 from . import fixtures as fx
 from .catalog import register
 from .queries_figures import KEYS
@@ -90,14 +90,17 @@ def page_keys(spark, sf_dir):
                     T.path_basename(F.regexp_replace("url", r"[?#].*$", "")).alias("basename"))
 
 
+IMAGE_OPTION = r"(?:\[[^\]]*\])?"
+
+
 @register("strip_braces", fx.with_views(
     "SELECT archive, paper_id, tex_path, unnest(a) AS arg, unnest(range(len(a))) AS pos, "
     "unnest(list_transform(a, lambda x: regexp_replace(trim(x), '^\\{(.*)\\}$', '\\1', 's'))) AS path FROM "
-    f"(SELECT archive, paper_id, tex_path, regexp_extract_all(content, {q(r'\\includegraphics' + L._OPT + r'(\{[^{}]*\})')}, 1) "
+    f"(SELECT archive, paper_id, tex_path, regexp_extract_all(content, {q(r'\\includegraphics' + IMAGE_OPTION + r'(\{[^{}]*\})')}, 1) "
     "AS a FROM tex_docs) x", "tex_docs"))
 def strip_braces(spark, sf_dir):
     """Image arguments as written (``{path}``) with the braces stripped."""
-    args = F.regexp_extract_all("content", F.lit(r"\\includegraphics" + L._OPT + r"(\{[^{}]*\})"), F.lit(1))
+    args = F.regexp_extract_all("content", F.lit(r"\\includegraphics" + IMAGE_OPTION + r"(\{[^{}]*\})"), F.lit(1))
     d = explode_pos(fx.tex_docs(spark, sf_dir), KEYS, args, "pos", "arg")
     return d.select(*KEYS, "arg", "pos",
                     T.strip_braces("arg").alias("path"))
@@ -114,7 +117,7 @@ TOKENS_SQL = (
 
 
 def image_token_sql(x: str) -> str:
-    return path_sql(f"regexp_extract({x}, {q(L.IMAGE_TOKEN)}, 1)")
+    return path_sql(f"regexp_extract({x}, {q(L.IMAGE_TOKEN_RE2)}, 1)")
 
 
 def _tok_sql(select: str) -> str:
@@ -133,7 +136,7 @@ def tokenize_tex(spark, sf_dir):
 def extract_sections(spark, sf_dir):
     """Section titles with their token position."""
     t = TK.token_rows(fx.tex_docs(spark, sf_dir)).where(F.col("kind") == "section")
-    return t.select(*KEYS, "pos", L.section_title("token").alias("title"))
+    return t.select(*KEYS, "pos", let(L.marked("token"), L.section_title).alias("title"))
 
 
 @register("standalone_images", _tok_sql(
@@ -142,7 +145,7 @@ def extract_sections(spark, sf_dir):
 def standalone_images(spark, sf_dir):
     """Image commands outside any figure environment."""
     t = TK.token_rows(fx.tex_docs(spark, sf_dir)).where(F.col("kind") == "image")
-    return t.select(*KEYS, "pos", L.image_token_path("token").alias("image_ref"))
+    return t.select(*KEYS, "pos", let(L.marked("token"), L.image_path).alias("image_ref"))
 
 
 # ----------------------------------------------------------------- concatenation

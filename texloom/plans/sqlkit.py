@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..functions.latex import CAPTION_REST_RE2
+
 
 def q(s: str) -> str:
     """A SQL string literal (DuckDB keeps backslashes literally)."""
@@ -44,7 +46,7 @@ def file_sql(x: str) -> str:
 def caption_sql(x: str) -> str:
     """First caption of ``x`` by brace balance, NULL when absent or not closed: with the text cut at closing braces, the
     argument ends with the first piece up to which there are as many opening braces as pieces before it."""
-    rest = f"regexp_extract({x}, '\\\\caption(?:\\[[^\\]]*\\])?\\{{(.*)', 1, 's')"
+    rest = f"regexp_extract({x}, {q(CAPTION_REST_RE2)}, 1)"
     upto = "p[1:k + 1]"
     opens = f"length(array_to_string({upto}, '')) - length(replace(array_to_string({upto}, ''), '{{', ''))"
     ends = (f"list_filter(list_transform(range(0, len(p) - 1), lambda k: CASE WHEN {opens} = k "
