@@ -101,11 +101,11 @@ _UP_TO_BRACE = r"(?s)(?:[^{}\\]++|\\.)*+[{}]"
 def marked(content) -> Column:
     """The text with a level at every brace (see ``MARK``): one pass over the braces. A MARK or NUL of the text itself is
     escaped, so NUL can part the text later. ``plain`` gives the text back."""
-    text = col(content)
-    odd = (F.instr(text, MARK) > 0) | (F.instr(text, NUL) > 0)
-    safe = F.when(odd, F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "~")), F.lit(NUL), F.lit(MARK + "z"))).otherwise(text)
-    # A last brace ends the last piece; it goes again.
-    pieces = F.regexp_extract_all(F.concat(safe, F.lit(" }")), lit_re(_UP_TO_BRACE), F.lit(0))
+    def pieces(text: Column) -> Column:
+        odd = (F.instr(text, MARK) > 0) | (F.instr(text, NUL) > 0)
+        safe = F.when(odd, F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "~")), F.lit(NUL), F.lit(MARK + "z"))).otherwise(text)
+        # A last brace ends the last piece; it goes again.
+        return F.regexp_extract_all(F.concat(safe, F.lit(" }")), lit_re(_UP_TO_BRACE), F.lit(0))
 
     def level(ps: Column) -> Column:
         opens = F.transform(ps, lambda p: F.when(p.endswith("{"), F.lit(1)).otherwise(F.lit(-1)))
@@ -114,14 +114,16 @@ def marked(content) -> Column:
                 p, F.lit(MARK), (F.element_at(depth, i + 1) + F.when(F.element_at(o, i + 1) > 0, F.lit(0)).otherwise(F.lit(1))).cast("string"),
                 F.lit(";")))), "")))
 
-    return let(pieces, level)
+    return let(let(col(content), pieces), level)
 
 
 def plain(m: Column) -> Column:
     """Marked text, or a part of it, without its levels."""
-    bare = F.regexp_replace(m, _ANY_LEVEL, "")
-    back = F.replace(F.replace(bare, F.lit(MARK + "z"), F.lit(NUL)), F.lit(MARK + "~"), F.lit(MARK))
-    return F.when(F.instr(m, MARK) > 0, back).otherwise(m)
+    def bare(x: Column) -> Column:
+        text = F.replace(F.replace(F.regexp_replace(x, _ANY_LEVEL, ""), F.lit(MARK + "z"), F.lit(NUL)), F.lit(MARK + "~"), F.lit(MARK))
+        return F.when(F.instr(x, MARK) > 0, text).otherwise(x)
+
+    return let(m, bare)
 
 
 # ---------------------------------------------------------------- columns

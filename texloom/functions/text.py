@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col
+from ._util import col, let
 
 # The LaTeX cleaning rules, in the order they apply. Each entry is
 # (pattern, replacement). The order is part of the contract: later rules see the
@@ -110,9 +110,10 @@ BEGIN_DOCUMENT = "\\begin{document}"
 
 def document_body(c) -> Column:
     """Text from the first ``\\begin{document}`` on; unchanged when it is absent."""
-    c = col(c)
-    at = F.instr(c, BEGIN_DOCUMENT)
-    return F.when(at > 0, c.substr(at, F.lit(2_147_483_647))).otherwise(c)
+    def of(text: Column) -> Column:
+        return let(F.instr(text, BEGIN_DOCUMENT), lambda at: F.when(at > 0, text.substr(at, F.lit(2_147_483_647))).otherwise(text))
+
+    return let(col(c), of)
 
 
 def path_basename(p) -> Column:
