@@ -172,3 +172,69 @@ def test_command_line_entry(spark, scratch):
     rows = V.read_output(spark, scratch + "/C", "documents", "json").collect()
     assert rows and all(json.loads(r.record) for r in rows)
     assert {r.bucket for r in rows} <= {0, 1}
+
+
+def _flaky(flag: str, name: str, after: int):
+    """``expand_archive`` whose storage fails while ``flag`` exists, at the opening with this number."""
+    def expand(archives, suffix=None, by_path=False, flatten=False, plain_gzip="error", keep_content=None):
+        def rows(it):
+            import os
+
+            from texloom.sources import archives as S
+            opened, seen = S.open_raw, []
+
+            def raw(path, offset=0):
+                if path.endswith(name) and os.path.exists(flag):
+                    seen.append(path)
+                    if len(seen) == after:
+                        raise TimeoutError("storage")
+                return opened(path, offset)
+
+            S.open_raw = raw
+            try:
+                yield from S._expand_batches(it, suffix, flatten, plain_gzip, keep_content, 1)
+            finally:
+                S.open_raw = opened
+
+        from texloom.sources.archives import MEMBER_SCHEMA
+        return archives.select("path").mapInPandas(rows, MEMBER_SCHEMA)
+    return expand
+
+
+@pytest.mark.parametrize("after", [1, 2])  # the first read (names) or the second (contents)
+def test_a_storage_failure_loses_nothing(spark, scratch, monkeypatch, after):
+    import os
+    root = scratch + "/raw"
+    _put(root, {f"2301.0000{k}.tar.gz": _tar([("m.tex", _figure("r.png").encode()), ("r.png", b"R")]) for k in range(3)}
+         | {"2301.00009.tar.gz": b"broken", "2301.00008.tar.gz": _tar([])})
+    flag = local_path(scratch) + "/failing"
+    open(flag, "w").close()
+    monkeypatch.setattr(V.S, "expand_archive", _flaky(flag, "00001.tar.gz", after))
+    out = scratch + "/A"
+    for attempts in (1, 2):
+        V.run_figure_captions(spark, root, out, n_buckets=2)
+        assert [r[0] for r in _rows(spark, out, "figures", "paper_id")] == ["2301.00000", "2301.00002"]
+        assert _rows(spark, out, "errors", "paper_id", "stage") == [("2301.00001", "storage"), ("2301.00009", "expand")]
+        ledger = {r.archive[-12:]: (r.status, r.attempts) for r in V.last_runs(spark.read.parquet(out + "/done")).collect()}
+        assert ledger == {"00000.tar.gz"[-12:]: ("done", 1), "00001.tar.gz"[-12:]: ("pending", attempts), "00002.tar.gz"[-12:]: ("done", 1),
+                          "00008.tar.gz"[-12:]: ("done", 1), "00009.tar.gz"[-12:]: ("damaged", 1)}
+    os.rename(flag, flag + "-over")
+    V.run_figure_captions(spark, root, out, n_buckets=2)
+    assert [r[0] for r in _rows(spark, out, "figures", "paper_id")] == ["2301.00000", "2301.00001", "2301.00002"]
+    assert _rows(spark, out, "errors", "paper_id", "stage") == [("2301.00009", "expand")]
+    before = spark.read.parquet(out + "/done").count()
+    V.run_figure_captions(spark, root, out, n_buckets=2)
+    assert spark.read.parquet(out + "/done").count() == before  # nothing left to do
+
+
+def test_a_replaced_archive_supersedes_its_rows(spark, scratch):
+    import os
+    root, out = scratch + "/raw", scratch + "/A"
+    _put(root, {"2301.00001.tar.gz": _tar([("m.tex", _figure("r.png", "old").encode()), ("r.png", b"R")]),
+                "2301.00002.tar.gz": _tar([("m.tex", _figure("r.png", "kept").encode()), ("r.png", b"R")])})
+    V.run_figure_captions(spark, root, out, n_buckets=2)
+    _put(root, {"2301.00001.tar.gz": _tar([("m.tex", _figure("q.png", "new").encode()), ("q.png", b"Q")])})
+    os.utime(local_path(root) + "/2301.00001.tar.gz", (2e9, 2e9))
+    V.run_figure_captions(spark, root, out, n_buckets=2)
+    assert [r[0] for r in _rows(spark, out, "figures", "caption")] == ["kept", "new"]
+    assert [bytes(r[0]) for r in _rows(spark, out, "assets", "content")] == [b"Q", b"R"]
