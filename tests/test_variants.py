@@ -183,12 +183,12 @@ def _flaky(flag: str, name: str, after: int):
             from texloom.sources import archives as S
             opened, seen = S.open_raw, []
 
-            def raw(path, offset=0):
+            def raw(path):
                 if path.endswith(name) and os.path.exists(flag):
                     seen.append(path)
                     if len(seen) == after:
                         raise TimeoutError("storage")
-                return opened(path, offset)
+                return opened(path)
 
             S.open_raw = raw
             try:
