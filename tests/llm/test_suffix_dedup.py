@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from texloom.llm import suffix_dedup as X
@@ -120,3 +121,26 @@ def test_text_is_cut_at_characters_and_columns_stay(spark):
     out = X.remove_repeats(docs, as_text=True)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans", "kept"]
     assert {r.doc_id: r.kept for r in out.collect()} == {1: "az", 2: "bü"}
+
+
+def test_many_equal_rows_match_brute_force(spark, scratch):
+    r = random.Random(7)
+    text = "".join(r.choice("abcd ") for _ in range(900))
+    rows = [(1, text)] * 50 + [(2, text[100:500] + "x")] * 3 + [(3, "y" * 250)] * 2 + [(4, "".join(r.choice("efg ") for _ in range(700)))]
+    assert _run(spark, scratch, rows) == _plain(rows)
+
+
+def test_equal_rows_are_members_once(spark):
+    """What goes to an anchor and comes back does not grow with the number of equal rows."""
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefgh ") for _ in range(3000)).encode()
+    sizes = []
+    for n in (10, 1000):
+        batch = pa.RecordBatch.from_arrays([pa.array([5] * n), pa.array([text.decode()] * n)], ["key", "text"])
+        (found,) = X._find(iter([batch]))
+        assert set(found.column(2).to_pylist()) == {n}
+        sizes.append((found.num_rows, len(found.column(3).values)))
+        wanted = pa.array([[{"anchor": 1, "content": 2, "copies": 3, "place": 4 << 8, "crowded": False}]] * n)
+        given = list(X._cut_contexts(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), wanted], ["key", "text", "wanted"])])))
+        assert sum(b.num_rows for b in given) == 1
+    assert sizes[0] == sizes[1]

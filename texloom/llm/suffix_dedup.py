@@ -23,7 +23,8 @@ different surroundings) has no array: its strings are counted by a 64-bit hash,
 A context whose tail has no suffix smaller than its successor (long runs of one byte) gives no start for the
 induction; the starts of its anchor are then all sorted directly.
 
-Rows are known by a 64-bit hash of all their columns, and contexts by one of their bytes.
+Rows are known by a 64-bit hash of all their columns, and contexts by one of their bytes. Equal rows share it: their contexts are
+counted per row, but are members once per piece of texts, go to their anchor once per task, and come back once.
 
 Defined results: a null text is empty and keeps nothing. Texts shorter than ``SIZE`` bytes are kept whole. Rows that
 repeat are texts of their own, so both go (if ``SIZE`` bytes long). Other columns stay, and those named like a column of
@@ -113,16 +114,18 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         for first, data, offsets in W.texts(batch, "text", PIECE_BYTES):
             anchor, content, text, _, start, last = contexts(data, offsets)
-            order = np.lexsort((content, anchor))
-            anchor, content = anchor[order], content[order]
-            new = np.ones(len(order), bool)
+            key, place = keys[first + text], (start << np.int64(8)) | (last - start)
+            order = np.lexsort((place, key, content, anchor))
+            anchor, content, key, place = anchor[order], content[order], key[order], place[order]
+            new, once = np.ones(len(order), bool), np.ones(len(order), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+            once[1:] = new[1:] | (key[1:] != key[:-1]) | (place[1:] != place[:-1])  # equal rows count, but are one member
             at = np.append(np.flatnonzero(new), len(order))
-            members = pa.StructArray.from_arrays([pa.array(keys[first + text][order]), pa.array(((start << np.int64(8)) | (last - start))[order])],
-                                                 fields=list(MEMBERS))
+            members = pa.StructArray.from_arrays([pa.array(key[once]), pa.array(place[once])], fields=list(MEMBERS))
+            upto = np.append(0, np.cumsum(once))[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor[new].view(np.int64)), pa.array(content[new].view(np.int64)), pa.array(np.diff(at)),
-                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), members)], ["anchor", "content", "n", "members"])
+                 pa.ListArray.from_arrays(pa.array(upto, pa.int32()), members)], ["anchor", "content", "n", "members"])
 
 
 # 3. suffix arrays --------------------------------------------------------------------------------------------
@@ -278,8 +281,14 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # 4. documents ------------------------------------------------------------------------------------------------
 
 def _wanted(batches: Iterator[pa.RecordBatch], crowded: bool):
-    """Pieces of texts with the contexts that they give: (bytes, first place of each, number of bytes, anchor, content, copies)."""
+    """Pieces of texts with the contexts that they give: (bytes, first place of each, number of bytes, anchor, content, copies).
+    Of equal rows the first one that the task meets gives them."""
+    seen: set[int] = set()
     for batch in batches:
+        keys = batch.column(batch.schema.get_field_index("key")).to_pylist()
+        fresh = [not (k in seen or seen.add(k)) for k in keys]
+        if not all(fresh):
+            batch = batch.filter(pa.array(fresh))
         column = batch.schema.get_field_index("wanted")
         for first, data, offsets in W.texts(batch, "text", PIECE_BYTES):
             lists = batch.column(column).slice(first, len(offsets) - 1)
@@ -397,7 +406,7 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
             _cut_strings, "anchor long, content long, copies long, strings array<long>")))
     spans = (members.select("anchor", "content", "members").join(judged, ["anchor", "content"])
              .select("runs", F.explode("members").alias("m"))
-             .groupBy("m.key").agg(F.collect_list(F.struct("m.place", "runs")).alias("r"))
+             .groupBy("m.key").agg(F.collect_set(F.struct("m.place", "runs")).alias("r"))  # equal rows share a key
              .select("key", F.col("r.place").alias("places"), F.col("r.runs").alias("runs")))
     kinds = {f.name: f for f in docs.schema.fields}
     out = T.StructType([*(kinds[c] for c in own),
