@@ -45,24 +45,64 @@ def sink_json_records(spark, sf_dir):
     return SD.read_json_dataset(spark, out, schema, multiline=False).select(*schema.fieldNames())
 
 
-@register("sink_json_relinked", (
-    "SELECT doc_id, CAST(item AS INTEGER) AS item, CASE WHEN i LIKE '%.pdf' THEN replace(i, '.pdf', '.png') ELSE i END AS image_filename, c AS caption "
-    "FROM (SELECT doc_id, unnest([0, 1]) AS item, unnest(['figs/a.pdf.d/x' || doc_id || '.pdf', 'y.PDF']) AS i, unnest([text, NULL]) AS c FROM documents) d"))
-def sink_json_relinked(spark, sf_dir):
-    """Lists of records, one file per group of documents, relinked from ``.pdf`` to ``.png`` and read back: the records
-    keep their other fields."""
-    root = AF.shared_scratch(spark, "sink")
+# List files of 20 documents each (two records a document), some empty, some broken.
+LIST_FILE = "'list' || lpad(cast(cast(floor(doc_id / 20) AS bigint) AS string), 9, '0') || '.json'"
+EMPTY_LIST, BROKEN_LIST = "cast(floor(doc_id / 20) AS bigint) % 10 = 4", "cast(floor(doc_id / 20) AS bigint) % 10 = 7"
+LINKS_SQL = (f"SELECT doc_id, text, file, item, CASE WHEN i LIKE '%.pdf' THEN replace(i, '.pdf', '.png') ELSE i END AS image_filename, c AS caption FROM ("
+             f"SELECT doc_id, text, {LIST_FILE} AS file, unnest([0, 1]) AS item, unnest(['figs/a.pdf.d/x' || doc_id || '.pdf', 'y.PDF']) AS i, "
+             f"unnest([text, NULL]) AS c FROM documents WHERE NOT ({EMPTY_LIST}) AND NOT ({BROKEN_LIST})) d")
+
+
+def _list_files(spark, sf_dir, root):
     rec = lambda i, c: F.struct(F.col("doc_id"), i.alias("image_filename"), c.alias("caption"))
-    docs = fx.documents(spark, sf_dir).select("doc_id", F.to_json(F.array(
+    docs = fx.documents(spark, sf_dir).select(F.expr(LIST_FILE).alias("path"), F.expr(EMPTY_LIST).alias("empty"), F.expr(BROKEN_LIST).alias("broken"),
+                                              "doc_id", F.to_json(F.array(
         rec(F.concat(F.lit("figs/a.pdf.d/x"), F.col("doc_id").cast("string"), F.lit(".pdf")), F.col("text")),
-        rec(F.lit("y.PDF"), F.lit(None).cast("string")))).alias("value"))
-    # a JSON list per line; as the reader takes a file as one list, the lines are read as such lists
-    docs.select("value").write.text(f"{root}/in")
-    lists = spark.read.text(f"{root}/in").withColumn("source", F.col("value"))
-    recs = SD.list_records(lists, SD.FIGURE_RECORD)
-    fixed = SD.rewrite_links(recs).withColumn("doc_id", F.get_json_object("raw", "$.doc_id").cast("long"))
-    fixed.select("doc_id", "item", "image_filename", "caption").write.json(f"{root}/out")
-    return spark.read.schema("doc_id long, item int, image_filename string, caption string").json(f"{root}/out")
+        rec(F.lit("y.PDF"), F.lit(None).cast("string")))).alias("two"))
+    lists = docs.groupBy("path", "empty", "broken").agg(F.sort_array(F.collect_list(F.struct("doc_id", "two"))).alias("d"))  # 20 documents a file
+    body = F.array_join(F.transform("d", lambda x: F.regexp_replace(x["two"], r"^\[|\]$", "")), ",\n")
+    text = F.when(F.col("empty"), F.lit(" [ ]\n")).when(F.col("broken"), F.concat(F.lit("["), body)).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    AF.write_archive_files(lists.select("path", text.cast("binary").alias("content")), root)
+
+
+@register("sink_json_relinked", f"SELECT doc_id, item, image_filename, caption FROM ({LINKS_SQL}) l")
+def sink_json_relinked(spark, sf_dir):
+    """List files of several documents each, some empty and some broken, relinked from ``.pdf`` to ``.png``, written in parts of at most
+    16 records and read back: the records keep their other fields."""
+    root = AF.shared_scratch(spark, "sink")
+    _list_files(spark, sf_dir, f"{root}/in")
+    done = SD.rewrite_json_dataset(spark, f"{root}/in", f"{root}/out", part_size=16)
+    rows = done.where("error IS NULL").select(F.explode(F.from_json(
+        "records", "array<struct<doc_id:long,image_filename:string,caption:string>>")).alias("r")).select("r.*")
+    return rows.select("doc_id", F.when(F.col("image_filename") == "y.PDF", 1).otherwise(0).alias("item"), "image_filename", "caption")
+
+
+@register("json_list_files", (
+    "SELECT file, CASE WHEN empty OR broken THEN 0 ELSE cast(ceil(2 * n / 16.0) AS bigint) END AS n_parts, "
+    "CASE WHEN empty OR broken THEN 0 ELSE 2 * n END AS n_records, broken FROM ("
+    f"SELECT {LIST_FILE} AS file, {EMPTY_LIST} AS empty, {BROKEN_LIST} AS broken, count(*) AS n FROM documents GROUP BY ALL) f"))
+def json_list_files(spark, sf_dir):
+    """Each list file: parts and records of the rewritten list, and whether it was no list."""
+    root = AF.shared_scratch(spark, "sink")
+    _list_files(spark, sf_dir, f"{root}/in")
+    done = SD.rewrite_json_dataset(spark, f"{root}/in", f"{root}/out", part_size=16)
+    full = F.col("error").isNull() & (F.col("records") != "[]")
+    return done.groupBy(F.element_at(F.split("source", "/"), -1).alias("file")).agg(
+        F.count(F.when(full, 1)).alias("n_parts"), F.coalesce(F.sum(F.when(full, F.json_array_length("records"))), F.lit(0)).alias("n_records"),
+        F.bool_or(F.col("error").isNotNull()).alias("broken"))
+
+
+PAGE_KEY = "'p' || cast(page_id % 7 AS string) || '/' || cast(page_id AS string) || '.html'"
+
+
+@register("published_tree", f"SELECT {PAGE_KEY} AS key, octet_length(encode(coalesce(html, ''))) AS length, sha256(coalesce(html, '')) AS sha256 "
+          "FROM pages WHERE html IS NOT NULL AND html <> ''")
+def published_tree(spark, sf_dir):
+    """The pages' html as a tree of files, published to another folder with verified sizes and digests; the manifest, read back."""
+    root = AF.shared_scratch(spark, "publish")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("html IS NOT NULL AND html <> ''")
+    AF.write_archive_files(pages.select(F.expr(PAGE_KEY).alias("path"), F.col("html").cast("binary").alias("content")), f"{root}/tree")
+    return SD.publish_tree(spark, f"{root}/tree", f"{root}/public")
 
 
 ASSETS_SQL = PAIRS_FROM_ARCHIVES_SQL.split("SELECT f.paper_id, f.tex_path")[0] + (
