@@ -107,3 +107,14 @@ def test_random_groups_match_python(spark, data):
         run[g] = 1 if g not in last else run[g] + (last[g] != v)
         assert runs[(g, t)] == run[g]
         last[g] = v
+
+
+def test_a_long_run_is_many_bounded_pieces(spark):
+    """One run of 200,000 turns: its pieces hold all texts in order, and none is over the bound."""
+    n, bound = 200_000, 64_000
+    df = spark.range(n).selectExpr("1L AS g", "id AS t", "concat('t', id) AS text", "'a' AS v").repartition(16)
+    rows = sorted(TK.merge_adjacent_text(df, ["g"], "t", "text", "v", piece_bytes=bound).collect(), key=lambda r: r.piece)
+    assert {r.run for r in rows} == {1} and len(rows) > 20
+    assert max(len(r.text) for r in rows) <= bound + 10 and sum(r.n_items for r in rows) == n
+    assert " ".join(r.text for r in rows) == " ".join(f"t{k}" for k in range(n))
+    assert [r.first_t for r in rows] == sorted(r.first_t for r in rows)

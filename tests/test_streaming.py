@@ -31,3 +31,39 @@ def test_second_run_sees_only_new_files(spark, scratch):
     assert seen == [100, 100]
     assert total.count() > first
     assert total.count() == total.dropDuplicates(["archive", "tex_path", "pos"]).count()
+
+
+def test_stream_and_batch_share_a_ledger(spark, scratch):
+    """A replaced archive and a new one are taken, the others not; a batch run afterwards finds nothing to do."""
+    import os
+    import time
+
+    from texloom.streaming.ingest import ingest_archives
+
+    from .conftest import local_path
+    from .test_variants import _figure, _put, _rows, _tar
+    src, out, ckpt = scratch + "/in", scratch + "/out", scratch + "/ckpt"
+
+    def archive(caption):
+        return _tar([("m.tex", _figure("r.png", caption).encode()), ("r.png", b"R")])
+
+    def process(members):
+        figures = V.document_figures(members).drop("body")
+        return {"figures": V.figure_caption_records(members, figures=figures).select("archive", "paper_id", "tex_path", "pos", "image_filename", "caption"),
+                "errors": V.errors_table(members, figures)}
+
+    _put(src, {"2301.00001.tar.gz": archive("one"), "2301.00002.tar.gz": archive("two"), "2301.00009.tar.gz": b"broken"})
+    assert ingest_archives(spark, src, out, ckpt, process, n_buckets=2) == 3
+    assert ingest_archives(spark, src, out, ckpt, process, n_buckets=2) == 0
+    _put(src, {"2301.00001.tar.gz": archive("one again"), "2301.00003.tar.gz": archive("three")})
+    os.utime(local_path(src) + "/2301.00001.tar.gz", (time.time() + 60,) * 2)
+    assert ingest_archives(spark, src, out, ckpt, process, n_buckets=2) == 2
+    assert [r[0] for r in _rows(spark, out, "figures", "caption")] == ["one again", "three", "two"]
+    assert _rows(spark, out, "errors", "paper_id", "stage") == [("2301.00009", "expand")]
+    before = spark.read.parquet(out + "/done").count()
+    V.run_figure_captions(spark, src, out, n_buckets=2)
+    assert spark.read.parquet(out + "/done").count() == before
+    _put(src, {"2301.00004.tar.gz": archive("four")})
+    V.run_figure_captions(spark, src, out, n_buckets=2)
+    assert ingest_archives(spark, src, out, ckpt, process, n_buckets=2) == 0  # the stream finds it in the ledger
+    assert [r[0] for r in _rows(spark, out, "figures", "caption")] == ["four", "one again", "three", "two"]

@@ -97,28 +97,35 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def change_runs(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "run",
-                n: int | None = None) -> DataFrame:
-    """Run id (1-based) that grows each time ``value`` differs from the row before.
+                n: int | None = None, before: dict[str, Column] | None = None) -> DataFrame:
+    """Run id (1-based) that grows each time ``value`` differs from the row before. ``before``: sums over the group's earlier
+    rows, in the same pass.
 
     One slicing pass: per slice, a window gives the changes inside the slice; a
     table with one row per border group and slice (first value, last value,
     change count) gives the changes at slice borders and the offsets of earlier
     slices.
     """
-    s = sliced(df, keys, order, n)
+    before = before or {}
+    s = sliced(df.withColumns({f"_v_{k}": v.cast("long") for k, v in before.items()}), keys, order, n)
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     prev = F.lag(value, 1).over(w)
     local = (s.withColumn("_chg", F.coalesce((prev != F.col(value)).cast("long"), F.lit(0)))
              .withColumn("_lc", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     edges = (_border_rows(local, keys).groupBy(*keys, SLICE)
              .agg(F.min_by(F.col(value), F.struct(*order)).alias("_fv"),
                   F.max_by(F.col(value), F.struct(*order)).alias("_lv"),
-                  F.sum("_chg").alias("_n")))
+                  F.sum("_chg").alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in before]))
     ws = Window.partitionBy(*keys).orderBy(SLICE)
     edges = edges.withColumn("_fc", F.coalesce((F.lag("_lv", 1).over(ws) != F.col("_fv")).cast("long"), F.lit(0)))
     edges = edges.withColumn("_off", F.coalesce(
         F.sum(F.col("_n") + F.col("_fc")).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(F.broadcast(edges.select(*keys, SLICE, "_fc", "_off")), [*keys, SLICE], "left")
+    edges = edges.withColumns({f"_o_{k}": F.sum(f"_t_{k}").over(ws.rowsBetween(Window.unboundedPreceding, -1)) for k in before})
+    local = local.withColumns({k: F.coalesce(F.sum(f"_v_{k}").over(earlier), F.lit(0)) for k in before})
+    sums = {k: F.col(k) + F.coalesce(F.col(f"_o_{k}"), F.lit(0)) for k in before}
+    return (local.join(F.broadcast(edges.select(*keys, SLICE, "_fc", "_off", *[f"_o_{k}" for k in before])), [*keys, SLICE], "left")
+            .withColumns(sums).drop(*[f"_o_{k}" for k in before], *[f"_v_{k}" for k in before])
             .withColumn(out, F.lit(1) + F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_fc"), F.lit(0))
                         + F.col("_lc"))
             .drop("_chg", "_lc", "_fc", "_off", SLICE))
@@ -131,13 +138,17 @@ def run_ids(df: DataFrame, keys: list[str], order: list[str], breaks: Column, ou
 
 
 def concat_in_order(df: DataFrame, keys: list[str], order: str, text: str, sep: str, out: str,
-                    chunk: int = 4096, count_out: str | None = None) -> DataFrame:
-    """Join ``text`` of each group in ``order`` with ``sep``, pre-joined in chunks.
+                    chunk: int = 4096, count_out: str | None = None, whole: bool = False) -> DataFrame:
+    """Join ``text`` of each group in ``order`` with ``sep``, pre-joined in chunks (``whole``: not, the groups are small).
 
     The first aggregation joins chunks of ``chunk`` consecutive positions with a
     partial (map-side) pass, so the final shuffle moves one row per chunk, not
     one per item. ``order`` must be an integer position.
     """
+    if whole:
+        rows = F.sort_array(F.collect_list(F.struct(F.col(order), F.col(text))))
+        count = [F.count(F.lit(1)).alias(count_out)] if count_out else []
+        return df.groupBy(*keys).agg(F.min(order).alias(order), F.array_join(F.transform(rows, lambda x: x[text]), sep).alias(out), *count)
     part = (df.withColumn("_chunk", F.floor(F.col(order) / chunk))
             .groupBy(*keys, "_chunk")
             .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_cnt"),

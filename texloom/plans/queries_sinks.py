@@ -7,6 +7,7 @@ import tarfile
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import asset_kind
 from ..operators import datasets as D
@@ -15,8 +16,9 @@ from ..sources import datasets as SD
 from . import archive_fixture as AF
 from . import fixtures as fx
 from . import variants as V
-from .catalog import register
+from .catalog import ORACLE, register
 from .queries_archives import PAIRS_FROM_ARCHIVES_SQL
+from .queries_datasets import append_arrays
 from .queries_figures import _with, exists_sql, figure_caption_pairs
 from .sqlkit import file_sql
 
@@ -92,6 +94,38 @@ def json_list_files(spark, sf_dir):
         F.bool_or(F.col("error").isNotNull()).alias("broken"))
 
 
+@register("sink_arrays", ORACLE["append_arrays"])
+def sink_arrays(spark, sf_dir):
+    """Variant B's arrays in bounded parts, written with its sink as JSON and read back."""
+    out = AF.shared_scratch(spark, "arrays")
+    texts = "array<string>"
+    record = f"struct<texts:{texts},images:{texts},captions:{texts}>"
+    parts = append_arrays(spark, sf_dir).select("paper_id", "part", F.from_json("record", record).alias("r")).select("paper_id", "part", "r.*")
+    SD.write_interleaved_arrays(parts, out, 8)
+    back = spark.read.schema(f"paper_id string, part long, texts {texts}, images {texts}, captions {texts}").json(out)
+    return back.select("paper_id", "part", F.to_json(F.struct("texts", "images", "captions")).alias("record"))
+
+
+@register("merge_papers", _with(
+    "SELECT archive, paper_id, tex_path, pos, CASE WHEN paper_id IN (SELECT paper_id FROM done) THEN caption || '!' ELSE caption END AS caption, "
+    "CASE WHEN paper_id IN (SELECT paper_id FROM done) THEN length(caption) END AS n_chars "
+    "FROM ff WHERE image_ref <> '' AND has_caption AND length(caption) > 0", "done"))
+def merge_papers(spark, sf_dir):
+    """Per-paper files of two committed runs, the second with an added column and papers that were run again, and of one that was not
+    committed; reconciled and compacted into one table."""
+    out = AF.shared_scratch(spark, "papers")
+    pairs = figure_caption_pairs(spark, sf_dir).select("archive", "paper_id", "tex_path", "pos", "caption")
+    again = pairs.join(fx.done(spark, sf_dir), "paper_id", "left_semi").select(
+        "archive", "paper_id", "tex_path", "pos", F.concat("caption", F.lit("!")).alias("caption"), F.length("caption").alias("n_chars"))
+    for k, (run, rows) in enumerate((("r1", pairs), ("r0", again), ("r2", again.withColumn("caption", F.lit("not committed"))))):
+        SD.write_records(rows, f"{out}/figures/run={run}", 8)
+        if run != "r2":
+            at = (F.lit("2024-01-01").cast("timestamp") + F.expr(f"INTERVAL {k} DAYS")).alias("committed")
+            spark.range(1).select(F.lit("a").alias("archive"), at).write.parquet(f"{out}/done/run={run}")
+    schema = T.StructType([*pairs.schema.fields, T.StructField("n_chars", T.IntegerType())])
+    return SD.merge_papers(spark, out, "figures", schema, f"{out}/merged")
+
+
 PAGE_KEY = "'p' || cast(page_id % 7 AS string) || '/' || cast(page_id AS string) || '.html'"
 
 

@@ -6,6 +6,10 @@ were taken, so a rerun sees only files added since. Each micro-batch calls the
 batch plan and writes its own output folder ``batch=<id>`` in overwrite mode, so
 a retried batch replaces its partial output instead of duplicating it. No
 aggregation state is kept, so no watermark is needed.
+
+``ingest_archives`` is the form for archives of any size: its stream carries paths only (no bytes), the archives are opened by path, and
+its batches commit to the ledger that the batch runs use, keyed by path and modification time. What one of them has done the other
+does not do again, and an archive that was replaced, or whose storage failed, is taken once more.
 """
 
 from __future__ import annotations
@@ -13,8 +17,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.archives import list_tree
+
 BINARY_FILE_STRUCT = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modificationTime", T.TimestampType()),
@@ -49,3 +56,41 @@ def ingest_incremental(spark: SparkSession, source_dir: str, output_dir: str, ch
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(batches)
+
+
+def ingest_archives(spark: SparkSession, source_dir: str, output_dir: str, checkpoint_dir: str,
+                    process: Callable[[DataFrame], dict[str, DataFrame]], glob: str = "*.gz",
+                    max_files_per_batch: int = 10000, n_buckets: int = 64) -> int:
+    """Run ``process`` over the members of archives that no run has committed as they are now. Returns the archives taken.
+
+    ``process``: members -> tables by name, ``errors`` among them; read them with ``plans.variants.read_output``. Spark's file stream
+    knows a file by its path, so it brings the new ones; files that changed in place, and pending ones, come from a
+    comparison of the listing with the ledger, before the stream starts. A micro-batch that is repeated after its commit finds its archives in
+    the ledger and does nothing."""
+    from ..plans import variants as V
+    taken = [0]
+
+    def take(listing: DataFrame) -> None:
+        run = V.Run(spark, listing, output_dir, n_buckets)
+        n = run.todo.count()
+        if n:
+            tables = process(run.members)
+            for name, table in tables.items():
+                if name != "errors":
+                    run.write(table, name)
+            run.commit(tables["errors"])
+            taken[0] += n
+
+    ledger = V._read(spark, f"{output_dir.rstrip('/')}/done")
+    if ledger is not None:
+        known = ledger.select(F.col("archive").alias("path")).distinct()
+        take(list_tree(spark, source_dir, glob).join(known, "path", "left_semi"))
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_STRUCT)
+              .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files_per_batch)
+              .load(source_dir).select("path", "modificationTime", "length"))  # no content is read
+    q = (stream.writeStream.foreachBatch(lambda batch, _: take(batch))
+         .option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return taken[0]
