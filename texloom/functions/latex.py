@@ -98,14 +98,18 @@ NUL = "\x00"
 _UP_TO_BRACE = r"(?s)(?:[^{}\\]++|\\.)*+[{}]"
 
 
+def _escaped(text: Column) -> Column:
+    """The text with its own MARK and NUL characters escaped (``text`` should be a lambda variable)."""
+    odd = (F.instr(text, MARK) > 0) | (F.instr(text, NUL) > 0)
+    return F.when(odd, F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "~")), F.lit(NUL), F.lit(MARK + "z"))).otherwise(text)
+
+
 def marked(content) -> Column:
     """The text with a level at every brace (see ``MARK``): one pass over the braces. A MARK or NUL of the text itself is
     escaped, so NUL can part the text later. ``plain`` gives the text back."""
     def pieces(text: Column) -> Column:
-        odd = (F.instr(text, MARK) > 0) | (F.instr(text, NUL) > 0)
-        safe = F.when(odd, F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "~")), F.lit(NUL), F.lit(MARK + "z"))).otherwise(text)
         # A last brace ends the last piece; it goes again.
-        return F.regexp_extract_all(F.concat(safe, F.lit(" }")), lit_re(_UP_TO_BRACE), F.lit(0))
+        return F.regexp_extract_all(F.concat(_escaped(text), F.lit(" }")), lit_re(_UP_TO_BRACE), F.lit(0))
 
     def level(ps: Column) -> Column:
         opens = F.transform(ps, lambda p: F.when(p.endswith("{"), F.lit(1)).otherwise(F.lit(-1)))
@@ -137,8 +141,10 @@ def strip_comments(content) -> Column:
 
 
 def figure_bodies(content) -> Column:
-    """Bodies of all ``figure`` environments (not ``figure*``), in order."""
-    return F.regexp_extract_all(col(content), lit_re(FIGURE), F.lit(1))
+    """Bodies of all ``figure`` environments (not ``figure*``), in order: the text cut at the environments, every second
+    part."""
+    cut = let(col(content), lambda t: F.split(F.regexp_replace(_escaped(t), FIGURE, NUL + "$1" + NUL), NUL, -1))
+    return F.transform(F.filter(cut, lambda _, i: i % 2 == 1), plain)
 
 
 def _path(c: Column) -> Column:
