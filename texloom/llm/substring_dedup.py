@@ -47,7 +47,7 @@ from ._cluster import new_folder, read_table
 
 WINDOW = 13
 #: Bytes of texts worked on at once, and of texts in a piece (one text at least).
-CHUNK, PIECE = 4 << 20, 32 << 20
+CHUNK, PIECE = 2 << 20, 32 << 20
 SEPARATOR, WORD = re.compile(rb"[\x20\x09-\x0D]"), re.compile(rb"[^\x20\x09-\x0D]+")
 #: No word comes after (before), or not always the same.
 BRANCH = np.uint64(0)
