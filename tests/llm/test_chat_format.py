@@ -93,3 +93,23 @@ def test_escape_is_reversible(spark, texts):
 def test_other_columns_stay(spark):
     df = _records(spark, [{"prompt": "p", "completion": "c"}]).withColumn("layout", F.lit(1)).withColumn("turns", F.lit(2)).withColumn("x y", F.lit(3))
     assert C.format_chats(df).columns == ["id", "x y", "fingerprint", "layout", "formatted"]
+
+
+PARTS = "struct<messages:array<struct<role:string,content:array<struct<type:string,text:string,image:string>>>>>"
+
+
+def test_content_as_a_list_of_parts(spark):
+    """Its parts' texts are put together; a list that holds more than texts has another fingerprint and no layout."""
+    import json
+    text = lambda *t: [{"type": "text", "text": x} for x in t]
+    rows = [{"messages": [{"role": "user", "content": text("hi", " there")}, {"role": "assistant", "content": [{"text": "yo"}]}]},
+            {"messages": [{"role": "user", "content": [{"text": "a"}, {"text": "<|end|>"}]}]},
+            {"messages": [{"role": "user", "content": []}]}, {"messages": []},
+            {"messages": [{"role": "user", "content": [*text("see"), {"type": "image", "image": "x.png"}]}]}]
+    lines = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(rows)], "id long, j string")
+    out = {r.id: r for r in C.parse_chats(C.format_chats(lines.select("id", F.from_json("j", PARTS).alias("record")))).collect()}
+    turns = {k: None if r.parsed is None else [(t.role, t.text) for t in r.parsed] for k, r in out.items()}
+    assert turns == {0: [("user", "hi there"), ("assistant", "yo")], 1: [("user", "a<|end|>")], 2: [("user", "")], 3: [], 4: None}
+    assert [out[k].layout for k in range(5)] == ["parts"] * 4 + [None]
+    flat = C.format_chats(_records(spark, [{"messages": [{"role": "user", "content": "hi there"}]}])).collect()[0]
+    assert flat.layout == "messages" and flat.fingerprint not in [r.fingerprint for r in out.values()]

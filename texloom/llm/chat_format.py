@@ -12,14 +12,15 @@ a control string (of this template, or of the common templates listed in ``CONTR
 backslash. So no control string is left in a text, and ``unescape`` gives the text back exactly.
 
 Defined results: a null role or text is empty. A record without any field, or with a layout that has no
-mapping, has ``layout`` and ``formatted`` null and its fingerprint is reported. An empty array of turns gives
+mapping, has ``layout`` and ``formatted`` null and its fingerprint is reported. Of a list of parts, parts without a text are empty;
+parts with other fields than a text and its type (images) have another fingerprint and no layout. An empty array of turns gives
 an empty text. Repeated records give repeated rows. Other columns stay; those named like a column of the
 result are replaced. Turns of one conversation meet in one value, as the formatted text is one string.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,10 +34,12 @@ START, TEXT, LOSS, END = "<|start|>", "<|text|>", "<|loss|>", "<|end|>"
 #: Control strings of common chat templates: <s> </s> <<SYS>> <</SYS>> [INST] [/INST] and all that open with <|
 CONTROL = r"<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\])"
 
-#: Layouts by name. ``turns``: (array, role field, text field); ``fields``: (role, field) in order.
-#: ``optional`` fields may be absent, the others are the fingerprint.
+#: Layouts by name. ``turns``: (array, role field, text field); a text field (array, text) is a list of parts, whose
+#: texts are put together. ``fields``: (role, field) in order. ``optional`` fields (of a record, or of a part) may be absent, the
+#: others are the fingerprint.
 LAYOUTS = {
     "messages": {"turns": ("messages", "role", "content")},
+    "parts": {"turns": ("messages", "role", ("content", "text")), "optional": ("type",)},
     "sharegpt": {"turns": ("conversations", "from", "value"), "roles": {"human": "user", "gpt": "assistant"}},
     "completion": {"fields": (("user", "prompt"), ("assistant", "completion"))},
     "instruction": {"fields": (("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")),
@@ -54,34 +57,44 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _present(col: Column, kind: T.DataType, path: str) -> list[Column]:
-    """For each nested path of ``kind`` a column: the path where the record has it, else null."""
-    if isinstance(kind, T.StructType):
-        return [x for f in kind.fields for x in _present(col[f.name], f.dataType, f"{path}.{f.name}" if path else f.name)]
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-        def held(name: str) -> Column:
-            return F.coalesce(F.exists(col, lambda x: x[name].isNotNull()), F.lit(False))
+def _paths(kind: T.DataType, path: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    """The nested paths of a type, each with whether a value has it; into arrays of any depth."""
+    def present(x: Column) -> Column:
+        return x.isNotNull()
+
+    def field(name: str, has: Callable) -> Callable:
+        return lambda x: has(x[name])
 
-        return [F.when(col.isNotNull(), F.lit(f"{path}[]"))] + [
-            F.when(held(f.name), F.lit(f"{path}[].{f.name}")) for f in kind.elementType.fields]
-    return [F.when(col.isNotNull(), F.lit(path))]
+    def element(has: Callable) -> Callable:
+        return lambda x: F.coalesce(F.exists(x, lambda y: has(y)), F.lit(False))
+
+    if isinstance(kind, T.StructType):
+        return [(p, field(f.name, has)) for f in kind.fields for p, has in _paths(f.dataType, f"{path}.{f.name}" if path else f.name)]
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        return [(f"{path}[]", present)] + [(p, element(has)) for p, has in _paths(kind.elementType, f"{path}[]")]
+    return [(f"{path}[]" if isinstance(kind, T.ArrayType) else path, present)]
 
 
 def fingerprint(df: DataFrame, record: str) -> Column:
     """Hash of the sorted nested field paths that a record has."""
-    paths = _present(F.col(record), df.schema[record].dataType, "")
+    paths = [F.when(has(F.col(record)), F.lit(p)) for p, has in _paths(df.schema[record].dataType, "")]
     return F.xxhash64(F.array_join(F.array_sort(F.array_compact(F.array(*paths))), "\n"))
 
 
 def _variants(layout: dict) -> list[list[str]]:
-    """The sorted path lists that select a layout: with and without each optional field."""
+    """The path lists that select a layout: with and without each optional field."""
+    some = layout.get("optional", ())
+    subsets = reduce(lambda acc, f: acc + [s | {f} for s in acc], some, [frozenset()])
     if "turns" in layout:
         array, role, text = layout["turns"]
-        full = [f"{array}[]", f"{array}[].{role}", f"{array}[].{text}"]
-        return [full, full[:1]]  # an empty array has no fields in it
+        if isinstance(text, str):
+            full = [f"{array}[]", f"{array}[].{role}", f"{array}[].{text}"]
+            return [full, full[:1]]  # an empty array has no fields in it
+        list_, inner = text
+        base = [f"{array}[]", f"{array}[].{role}", f"{array}[].{list_}[]"]
+        at = f"{array}[].{list_}[]."
+        return [base, base[:1], *(base + [at + f for f in (inner, *s)] for s in subsets)]
     fields = [f for _, f in layout["fields"]]
-    some = layout.get("optional", ())
-    subsets = reduce(lambda acc, f: acc + [s | {f} for s in acc], some, [frozenset()])
     return [sorted(f for f in fields if f not in some or f in s) for s in subsets]
 
 
@@ -98,11 +111,21 @@ def _turns(df: DataFrame, record: str, layout: dict) -> Column | None:
         array, role, text = layout["turns"]
         if array not in names:
             return None
-        inner = {f.name for f in df.schema[record].dataType[array].dataType.elementType.fields}
-        if not {role, text} <= inner:
+        inner = {f.name: f.dataType for f in df.schema[record].dataType[array].dataType.elementType.fields}
+        field = text if isinstance(text, str) else text[0]
+        if not {role, field} <= inner.keys():
             return None
+        if isinstance(text, str):
+            if isinstance(inner[field], (T.ArrayType, T.StructType, T.MapType)):
+                return None  # no text: another layout's
+            said = lambda x: x[field].cast("string")
+        else:
+            parts = inner[field]
+            if not (isinstance(parts, T.ArrayType) and isinstance(parts.elementType, T.StructType) and text[1] in parts.elementType.names):
+                return None
+            said = lambda x: F.array_join(F.transform(x[field], lambda p: F.coalesce(p[text[1]].cast("string"), F.lit(""))), "")
         return F.transform(row[array], lambda x: F.struct(F.coalesce(renamed(x[role].cast("string")), F.lit("")).alias("role"),
-                                                          F.coalesce(x[text].cast("string"), F.lit("")).alias("text")))
+                                                          F.coalesce(said(x), F.lit("")).alias("text")))
     present = [(r, f) for r, f in layout["fields"] if f in names]
     if len(present) < len(layout["fields"]) - len(layout.get("optional", ())):
         return None
