@@ -75,3 +75,16 @@ def test_overlapping_sources(spark):
     df = spark.createDataFrame(rows, "doc_id long, sources array<string>, size long")
     out = M.mix_sources(df, "sources", "size").collect()
     assert len(out) == 90 and all(0 <= r["copies"] <= 3 for r in out)
+
+
+def test_documents_without_a_source(spark):
+    """A null and an empty list of sources: nothing is taken, and the others' mix is as without them."""
+    rows = [(k, ["a"] if k % 2 else ["b", None], 10) for k in range(40)]
+    schema = "doc_id long, sources array<string>, size long"
+    want = {r["doc_id"]: r["copies"] for r in M.mix_sources(spark.createDataFrame(rows, schema), "sources", "size").collect()}
+    odd = [(100, None, 10), (101, [], 10), (102, [], 0), (103, None, 0)]
+    got = {r["doc_id"]: r for r in M.mix_sources(spark.createDataFrame(rows + odd, schema), "sources", "size").collect()}
+    assert {k: r["copies"] for k, r in got.items() if k < 100} == want
+    assert all((got[k]["copies"], got[k]["taken"], got[k]["source_size"], got[k]["target"]) == (0, 0, None, None) for k in range(100, 104))
+    only = M.mix_sources(spark.createDataFrame(odd, schema), "sources", "size").collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in only) == [(k, 0) for k in range(100, 104)]

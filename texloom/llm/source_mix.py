@@ -15,7 +15,8 @@ range of a pattern that holds the end of its extra copy is put in order row by r
 of all documents is never gathered.
 
 Defined results: a null text has size 0, a document of size 0 takes 0 words, and a null source is a source
-of its own, the last one. Rows that repeat are documents of their own, and each is taken or left. An empty table gives no
+of its own, the last one. A document whose list of sources is null or empty belongs to none: nothing of it is taken, and its
+``source_size`` and ``target`` are null. Rows that repeat are documents of their own, and each is taken or left. An empty table gives no
 rows.
 """
 
@@ -37,6 +38,8 @@ BINS = 1 << 14
 #: Single documents per pattern that may get a copy more or less, to come closer to the target than whole steps of the
 #: seeded order do.
 ROUNDS = 6
+#: The pattern of documents without any source.
+NO_SOURCE = "[]"
 
 
 def word_count(text: Column) -> Column:
@@ -142,7 +145,7 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
     spark = docs.sparkSession
     drawn = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
     base = cut(docs.drop("copies", "taken", "source_size", "target")
-               .withColumn("_pattern", F.to_json(F.array_sort(F.array_distinct(F.col(sources)))))
+               .withColumn("_pattern", F.coalesce(F.to_json(F.array_sort(F.array_distinct(F.col(sources)))), F.lit(NO_SOURCE)))
                .withColumn("_draw", drawn)
                .withColumn("_bin", F.pmod(F.shiftright("_draw", 20), F.lit(BINS)).cast("int"))
                .withColumn("_row", F.monotonically_increasing_id()))
@@ -154,9 +157,9 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
     given, sizes, targets = mix_plan(words, max_repeat)
     plan = []
     for pattern, offered in words:
-        first = source_order(json.loads(pattern))[0]
         whole = min(given[pattern] // offered, max_repeat) if offered else 0
-        plan.append((pattern, whole, given[pattern] - whole * offered, sizes[first], float(targets[first])))
+        first = source_order(json.loads(pattern))[:1]
+        plan.append((pattern, whole, given[pattern] - whole * offered, *([sizes[first[0]], float(targets[first[0]])] if first else [None, None])))
     schema = T.StructType([T.StructField("_pattern", T.StringType()), T.StructField("_whole", T.LongType()),
                            T.StructField("_rest", T.LongType()), T.StructField("source_size", T.LongType()),
                            T.StructField("target", T.DoubleType())])
@@ -174,7 +177,7 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
     others = (placed.filter(F.col("_edge").isNull() | (F.col("_bin") != F.col("_edge")))
               .withColumn("_more", F.coalesce(F.col("_bin") < F.col("_edge"), F.lit(False)) & (F.col("_rest") > 0)))
     drawn_rows = cut(others.unionByName(at_edge)
-                     .withColumn("_copies", F.col("_whole") + F.col("_more").cast("long")))
+                     .withColumn("_copies", F.when(F.col("_pattern") == NO_SOURCE, 0).otherwise(F.col("_whole") + F.col("_more").cast("long"))))
     turned = _changes(spark, _closer(drawn_rows, size, {p: given[p] for p, _ in words}, max_repeat))
     mixed = (drawn_rows.join(F.broadcast(turned), "_row", "left")
              .withColumn("copies", F.col("_copies") + F.coalesce("_turn", F.lit(0))))
