@@ -79,3 +79,11 @@ def test_record_round_trip():
     assert got["url"] == "http://x/%0A\n" and got["payload"] == b"p\r\n\r\nq" and got["payload_bytes"] == 6
     again = X.parse_record(X.record_bytes(None, None, b"1234", "d" * 64, 3))
     assert (again["id"], again["refers_to"], again["payload"], again["payload_bytes"], again["record_type"]) == (None, 3, None, 4, "revisit")
+
+
+def test_reading_tasks_go_by_the_bytes_in_the_archives(spark):
+    index = spark.range(1000).select(F.lit("f").alias("file"), (F.col("id") * 1000).alias("offset"), F.lit(1000).cast("long").alias("length"))
+    assert X.read_tasks(index, most=10_000, task_bytes=5_000) == 200
+    few = X.read_tasks(index, most=500_000, task_bytes=1 << 30)
+    assert few == min(2, spark.sparkContext.defaultParallelism)
+    assert X.read_tasks(index.limit(0), most=10, task_bytes=10) == 1

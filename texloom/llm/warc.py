@@ -146,8 +146,14 @@ def _ranges(rows, most: int, gap: int) -> Iterator[list]:
         yield run
 
 
-def read_archives(selected: DataFrame, most: int = 8 << 20, gap: int = 64 << 10) -> DataFrame:
-    """The records of the selected index rows, read back from the archives."""
+def read_tasks(selected: DataFrame, most: int, task_bytes: int) -> int:
+    """Tasks that read the selected records: by the bytes in the archives, not by the size of the index rows."""
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    return max(1, -(-total // task_bytes), min(selected.sparkSession.sparkContext.defaultParallelism, -(-total // most)))
+
+
+def read_archives(selected: DataFrame, most: int = 8 << 20, gap: int = 64 << 10, task_bytes: int = 64 << 20) -> DataFrame:
+    """The records of the selected index rows, read back from the archives by tasks of some ``task_bytes`` each."""
     cut_at = (F.col("offset") / F.lit(most)).cast("long")
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,7 +170,7 @@ def read_archives(selected: DataFrame, most: int = 8 << 20, gap: int = 64 << 10)
                                                      else "Int64" if n != "payload_bytes" else "int64") for n in names})
 
     return (selected.select("file", "offset", "length")
-            .repartition("file", cut_at).sortWithinPartitions("file", "offset").mapInPandas(read, RECORD))
+            .repartition(read_tasks(selected, most, task_bytes), "file", cut_at).sortWithinPartitions("file", "offset").mapInPandas(read, RECORD))
 
 
 SQL = """
