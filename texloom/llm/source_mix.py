@@ -34,7 +34,8 @@ from pyspark.sql.window import Window
 from ._catalog import register
 from ._cluster import cut, read_table
 
-BINS = 1 << 14
+#: Hash ranges of a pattern, and how many wide ones they make: a running sum goes over one level at a time.
+BINS, STEPS = 1 << 14, 1 << 7
 #: Single documents per pattern that may get a copy more or less, to come closer to the target than whole steps of the
 #: seeded order do.
 ROUNDS = 6
@@ -164,11 +165,12 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
                            T.StructField("_rest", T.LongType()), T.StructField("source_size", T.LongType()),
                            T.StructField("target", T.DoubleType())])
     planned = spark.createDataFrame(plan, schema)  # a row per pattern: at most max_patterns
-    up_to = Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (sums.join(F.broadcast(planned), "_pattern")
-            .withColumn("_cum", F.sum("_words").over(up_to)).filter("_cum > _rest")
-            .groupBy("_pattern").agg(F.min_by(F.struct("_bin", (F.col("_cum") - F.col("_words")).alias("before")), "_bin").alias("_e"))
-            .select("_pattern", F.col("_e._bin").alias("_edge"), F.col("_e.before").alias("_before")))
+    # The range where the rest ends: first among STEPS wide ranges, then in the narrow ones of that wide range.
+    narrow = sums.withColumn("_wide", F.floor(F.col("_bin") / F.lit(BINS // STEPS)).cast("int"))
+    wide = _crossing(narrow.groupBy("_pattern", "_wide").agg(F.sum("_words").alias("_words"))
+                     .join(F.broadcast(planned.select("_pattern", "_rest")), "_pattern").withColumn("_before", F.lit(0)), "_wide")
+    edge = _crossing(narrow.join(F.broadcast(planned.select("_pattern", "_rest")), "_pattern")
+                     .join(F.broadcast(wide), ["_pattern", "_wide"]), "_bin").withColumnRenamed("_bin", "_edge")  # a row per pattern
     placed = (base.join(F.broadcast(planned), "_pattern")
               .join(F.broadcast(edge), "_pattern", "left"))  # a row per pattern again
     inside = Window.partitionBy("_pattern").orderBy("_draw", "_row").rowsBetween(Window.unboundedPreceding, 0)
@@ -186,6 +188,14 @@ def mix_sources(docs: DataFrame, sources: str, size: str, key: str = "doc_id", s
                     "source_size", "target", "copies", "taken"))
 
 
+def _crossing(sums: DataFrame, at: str) -> DataFrame:
+    """Per pattern, the first range ``at`` up to which ``_before`` and the words of the ranges exceed ``_rest``, with the words before it."""
+    up_to = Window.partitionBy("_pattern").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    return (sums.withColumn("_cum", F.col("_before") + F.sum("_words").over(up_to)).filter("_cum > _rest")
+            .groupBy("_pattern").agg(F.min_by(F.struct(at, (F.col("_cum") - F.col("_words")).alias("_before")), at).alias("_e"))
+            .select("_pattern", f"_e.{at}", "_e._before"))
+
+
 def _changes(spark: SparkSession, turns: Mapping[int, int]) -> DataFrame:
     """Copies more or less of single rows: ROUNDS rows per pattern at most."""
     return spark.createDataFrame(list(turns.items()), "_row long, _turn long")
