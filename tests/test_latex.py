@@ -154,6 +154,39 @@ def test_paper_segments_across_files(spark):
     assert got == [(0, "A0"), (1, "A1 B0 C0"), (2, "C1")]
 
 
+def _zip_files(spark):
+    fig = "\\begin{figure}\\includegraphics{%s}\\caption{%s}\\end{figure}"
+    d = spark.createDataFrame([("t1", "p", "a.tex", "A0 " + fig % ("x.png", "c0") + " A1 " + fig % ("gone.png", "c1") + " A2"),
+                               ("t1", "p", "b.tex", " B0 "),
+                               ("t1", "p", "c.tex", "C0" + fig % ("./x.png", "c2") + "C1 % " + fig % ("x.png", "no")),
+                               ("t2", "q", "a.tex", fig % ("x.png", "other archive")), ("t2", "q", "b.tex", ""), ("t2", "q", "c.tex", None)],
+                              "archive string, paper_id string, tex_path string, content string")
+    members = spark.createDataFrame([("t1", "p", "x.png"), ("t2", "q", "y.png")], "archive string, paper_id string, member_path string")
+    return d, members
+
+
+def test_figures_zipped_in_the_row(spark):
+    d, members = _zip_files(spark)
+    places = FG.figure_places(FG.figure_facts(d), members)
+    rows = TK.zipped_segments(d, places)
+    got = sorted((r.archive, r.tex_path, r.seg, r.text, r.figure and (r.figure.image, r.figure.caption)) for r in rows.collect())
+    assert got == [("t1", "a.tex", 0, "A0 ", ("p_0.png", "c0")), ("t1", "a.tex", 1, " A1 ", None), ("t1", "a.tex", 2, " A2", None),
+                   ("t1", "b.tex", 0, " B0 ", None), ("t1", "c.tex", 0, "C0", ("p_2.png", "c2")), ("t1", "c.tex", 1, "C1 ", None),
+                   ("t2", "a.tex", 0, "", None), ("t2", "a.tex", 1, "", None), ("t2", "b.tex", 0, "", None)]
+
+
+def test_papers_segments_carry_their_figures(spark):
+    """With pieces of one file: the figure comes with the last piece of its segment, once."""
+    from texloom.plans.queries_interleave import D_full
+    d, members = _zip_files(spark)
+    rows = TK.paper_segments(TK.zipped_segments(d, FG.figure_places(FG.figure_facts(d), members)), 1)
+    got = sorted((r.seg, r.piece, r.text, r.figure and r.figure.caption) for r in rows.where("paper_id = 'p'").collect())
+    assert got == [(0, 0, "A0", "c0"), (1, 0, "A1", None), (2, 0, "A2", None), (2, 1, " B0 ", None), (2, 2, "C0", "c2"), (3, 2, "C1", None)]
+    whole = D_full(d, FG.figure_facts(d), members).where("image is not null")
+    assert sorted((r.paper_id, r.seg, r.image, r.archive, r.image_ref) for r in whole.collect()) == [
+        ("p", 0, "p_0.png", "t1", "x.png"), ("p", 2, "p_2.png", "t1", "./x.png")]
+
+
 def test_arguments_after_blanks_and_a_newline(spark):
     tex = ("\\begin{figure}\\includegraphics[width=1cm] {a.png}\\includegraphics[a={[b]}]\n  {p}\\caption {One {two}}"
            "\\label\t\n{l:1}\\end{figure}\\section\n{Title}\\section\n\n{no title}\\includegraphics \n {s.png}")

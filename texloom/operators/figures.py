@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import latex as L
-from .assets import asset_name_prefixed, file_keys
+from .assets import asset_name_prefixed, file_keys, file_offsets, resolve_assets
 from .rows import explode_pos, first_per_key, let
 
 
@@ -49,6 +49,26 @@ def extract_figures(docs: DataFrame, content: str = "content", keep: tuple[str,
     return rows.select(*keep, *[F.col("_f")[c].alias(c) for c in (pos, body, *FIELDS)])
 
 
+def figure_facts(docs: DataFrame, content: str = "content") -> DataFrame:
+    """The file keys and ``facts``: per figure of the file, in order, ``image_ref`` (first image or '') and ``caption_unparsed``.
+    A row per file, without its text or captions."""
+    def fact(bd):
+        return let(L.marked(bd), lambda m: F.struct(L.first_image(m).alias("image_ref"), (
+            L.caption_or_null(m).isNull() & m.rlike(L.CAPTION_CMD)).alias("caption_unparsed")))
+    return docs.select(*file_keys(docs), F.transform(L.figure_bodies(L.strip_comments(content)), fact).alias("facts"))
+
+
+def figure_places(facts: DataFrame, members: DataFrame) -> DataFrame:
+    """Of each file ``off`` (figures in earlier files of its paper), ``rank`` (its place in the paper) and ``present``: the
+    positions of its figures whose first image is in the archive. From ``figure_facts``; names and numbers only."""
+    keys = file_keys(facts)
+    refs = require_image(fact_rows(facts)).select(*keys, "pos", "image_ref")
+    present = (resolve_assets(refs, members, policy="drop").groupBy(*keys)
+               .agg(F.collect_set("pos").alias("present")))
+    offsets = file_offsets(facts.select(*keys, F.size("facts").cast("long").alias("n_figs")))
+    return offsets.select(*keys, "off", "rank").join(present, keys, "left")
+
+
 def document_images(docs: DataFrame, content: str = "content", keep=None) -> DataFrame:
     """``(keep..., pos, img_pos, image_ref, out_name, caption, has_caption)``: every image command of every figure,
     distinct in its figure, the first per output name in its document. All inside the document's row."""
@@ -82,6 +102,12 @@ def require_caption(figs: DataFrame, non_empty: bool = True) -> DataFrame:
     return figs.where(cond)
 
 
+def fact_rows(facts: DataFrame) -> DataFrame:
+    """``figure_facts`` as ``(keys..., pos, image_ref, caption_unparsed)``."""
+    keys = file_keys(facts)
+    return explode_pos(facts, keys, F.col("facts"), "pos", "_f").select(*keys, "pos", "_f.image_ref", "_f.caption_unparsed")
+
+
 def caption_errors(figs: DataFrame) -> DataFrame:
     """Figures whose caption has no argument that closes: a row each for the errors table."""
     return (figs.where("caption_unparsed")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import latex as L
 from ..functions import text as T
 from . import ordered
-from .assets import asset_name_prefixed, file_keys, file_offsets
+from .assets import asset_name_indexed, asset_name_prefixed, file_keys, file_offsets
 from .rows import explode_pos, first_per_key, let
 
 ITEM_FIELDS = ("kind", "text", "image_ref", "name", "caption", "label")
@@ -194,34 +194,65 @@ def raw_segments(docs: DataFrame, content: str = "content", keep=None) -> DataFr
     return rows.select(*keep, "_s.seg", "_s.text", "_s.n_segs")
 
 
+def zipped_segments(docs: DataFrame, places: DataFrame, content: str = "content") -> DataFrame:
+    """``(keys..., off, rank, seg, text, n_segs, figure)``: each raw segment with the figure that follows it, zipped in the file's row.
+
+    ``figure`` is ``struct(image_ref, image, label, caption)``, NULL where the first image is not in the archive. ``places``
+    (``figures.figure_places``): a row per file, the one join; no segment or caption is matched across rows."""
+    keys = file_keys(docs)
+
+    def figure(body, pos):
+        return let(L.marked(body), lambda m: F.struct(
+            L.first_image(m).alias("image_ref"), asset_name_indexed("paper_id", F.col("off") + pos).alias("image"),
+            F.when(L.has_label(m), L.label(m)).otherwise(F.lit("")).alias("label"),
+            F.coalesce(L.caption_or_null(m), F.lit("")).alias("caption")))
+
+    def zipped(segs, bodies):
+        def one(s, i):
+            here = (i < F.size(bodies)) & F.coalesce(F.array_contains("present", i.cast("long")), F.lit(False))
+            return F.struct(i.cast("long").alias("seg"), s.alias("text"), F.size(segs).cast("long").alias("n_segs"),
+                            F.when(here, figure(F.get(bodies, i), i.cast("long"))).alias("figure"))
+        return F.transform(segs, one)
+
+    arr = let(L.strip_comments(content), lambda t: let(F.split(t, FIGURE_SPAN, -1), lambda segs: let(
+        L.figure_bodies(t), lambda bodies: zipped(segs, bodies))))
+    rows = explode_pos(docs.join(places, keys), [*keys, "off", "rank"], arr, "_i", "_s")
+    return rows.select(*keys, "off", "rank", "_s.seg", "_s.text", "_s.n_segs", "_s.figure")
+
+
 def figure_counts(docs: DataFrame, content: str = "content") -> DataFrame:
     """The file keys and ``n_figs``, the number of figures."""
     return docs.select(*file_keys(docs), F.size(L.figure_bodies(L.strip_comments(content))).cast("long").alias("n_figs"))
 
 
 def paper_segments(segs: DataFrame, piece_size: int = 256, offsets: DataFrame | None = None) -> DataFrame:
-    """``(paper_id, seg, piece, text, last)``: the segments of each paper's concatenated files, in bounded pieces.
+    """``(paper_id, seg, piece, text, last)``, and ``figure`` where ``segs`` has it: the segments of each paper's concatenated files, in bounded pieces.
 
     Segment ``i`` of a file is segment ``(figures in earlier files) + i`` of the paper: one pass
     over a row per file (``offsets``, else counted here). A file's first and last segments run on into its neighbours, and
     through files without a figure; so a segment is written in pieces of at most ``piece_size`` files, keyed
     by the files' rank. Only what a piece's files have in one segment is put together. Outer
-    whitespace of a segment is stripped at its first and last piece; the other ends stay as they are.
+    whitespace of a segment is stripped at its first and last piece; the other ends stay as they are. Segments of
+    ``zipped_segments`` have their offsets. A segment ends in the file of its figure, so one file at most gives it a figure,
+    and that in its last piece.
     """
     keys = file_keys(segs)
-    if offsets is None:
-        offsets = file_offsets(segs.where(F.col("seg") == 0).select(*keys, (F.col("n_segs") - 1).alias("n_figs")))
-    s = (segs.join(offsets.select(*keys, "off", "rank"), keys).withColumn("g", F.col("off") + F.col("seg"))
+    if "off" not in segs.columns:
+        if offsets is None:
+            offsets = file_offsets(segs.where(F.col("seg") == 0).select(*keys, (F.col("n_segs") - 1).alias("n_figs")))
+        segs = segs.join(offsets.select(*keys, "off", "rank"), keys)
+    carried = ["figure"] if "figure" in segs.columns else []
+    s = (segs.withColumn("g", F.col("off") + F.col("seg"))
          .withColumn("piece", F.floor(F.col("rank") / piece_size).cast("long")))
     joined = (s.groupBy("paper_id", "g", "piece")
               .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "text"))),
-                                            lambda x: x["text"]), "").alias("text")))
+                                            lambda x: x["text"]), "").alias("text"), *[F.max(c).alias(c) for c in carried]))
     ends = joined.groupBy("paper_id", "g").agg(F.min("piece").alias("_lo"), F.max("piece").alias("_hi"))
     text = F.when(F.col("piece") == F.col("_lo"), T.strip_left("text")).otherwise(F.col("text"))
     out = joined.join(ends, ["paper_id", "g"]).withColumn("text", text)
     return out.select("paper_id", F.col("g").alias("seg"), "piece",
                       F.when(F.col("piece") == F.col("_hi"), T.strip_right("text")).otherwise(F.col("text")).alias("text"),
-                      (F.col("piece") == F.col("_hi")).alias("last"))
+                      (F.col("piece") == F.col("_hi")).alias("last"), *carried)
 
 
 def zip_segments(segments: DataFrame, figures: DataFrame, keys=None) -> DataFrame:

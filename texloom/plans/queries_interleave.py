@@ -194,21 +194,9 @@ def interleaved_segments(spark, sf_dir):
     """Variant D's ``full`` list, per document: text segments between figures, each followed by
     its figure's image/label/caption when the figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
-    segs = TK.split_on_figures(docs)
-    figs = d_figures(docs, fx.members(spark, sf_dir)).drop("image_ref")
-    return TK.zip_segments(segs, figs).select(*KEYS, "seg", "text", "image", "label", "caption")
-
-
-def d_figures(docs, members, offsets=None):
-    """Variant D's figure records: first image required and present; paper-level ordinal names."""
-    figs = FG.extract_figures(docs).select(
-        *KEYS, "pos", "image_ref", "caption", "has_caption", "label", "has_label")
-    figs = A.figure_ordinal(FG.require_image(figs), offsets=offsets if offsets is not None else A.file_offsets(TK.figure_counts(docs)))
-    figs = A.resolve_assets(figs, members, policy="drop")
-    return figs.select(*KEYS, "pos", "fig_index", "image_ref",
-                       A.asset_name_indexed("paper_id", "fig_index").alias("image"),
-                       F.when(F.col("has_label"), F.col("label")).otherwise(F.lit("")).alias("label"),
-                       F.when(F.col("has_caption"), F.col("caption")).otherwise(F.lit("")).alias("caption"))
+    facts = materialize(FG.figure_facts(docs))
+    rows = TK.zipped_segments(docs, FG.figure_places(facts, fx.members(spark, sf_dir)))
+    return rows.select(*KEYS, "seg", T.strip_ws("text").alias("text"), "figure.image", "figure.label", "figure.caption")
 
 
 PIECE = 256
@@ -238,16 +226,17 @@ def interleaved_full(spark, sf_dir):
     between figure environments (the last segment of a file runs on into the next file), in pieces of at most 256
     files, the last piece followed by its figure's image/label/caption when that figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
-    return D_full(docs, fx.members(spark, sf_dir))
+    facts = materialize(FG.figure_facts(docs))
+    return D_full(docs, facts, fx.members(spark, sf_dir)).select("paper_id", "seg", "piece", "text", "image", "label", "caption")
 
 
-def D_full(docs, members):
-    offsets = A.file_offsets(TK.figure_counts(docs))
-    segs = TK.paper_segments(TK.raw_segments(docs), PIECE, offsets).withColumnRenamed("last", "_last")
-    figs = d_figures(docs, members, offsets).select("paper_id", F.col("fig_index").alias("seg"), F.lit(True).alias("_last"),
-                                                    "image", "label", "caption")
-    return (segs.join(figs, ["paper_id", "seg", "_last"], "left")
-            .select("paper_id", "seg", "piece", "text", "image", "label", "caption"))
+def D_full(docs, facts, members):
+    """``(paper_id, seg, piece, text, image, label, caption, archive, image_ref)``: segments with the figures that follow them;
+    ``facts``: ``figure_facts`` of ``docs``, materialized."""
+    zipped = TK.zipped_segments(docs, FG.figure_places(facts, members))
+    source = F.when(F.col("figure").isNotNull(), F.struct(F.col("archive"), "figure.*"))
+    segs = TK.paper_segments(zipped.withColumn("figure", source), PIECE)
+    return segs.select("paper_id", "seg", "piece", "text", "figure.image", "figure.label", "figure.caption", "figure.archive", "figure.image_ref")
 
 
 # ----------------------------------------------------------------- runs over conversation turns
