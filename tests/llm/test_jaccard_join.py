@@ -125,3 +125,35 @@ def test_shingle_sets_of_pieces():
             sizes += np.diff(before).tolist()
             rows += len(offsets) - 1
         assert sizes == [len(shingles(t)) for t in texts]
+
+
+def _windows(n, width, step=1):
+    """Excerpts of one long text: each shares shingles with its neighbours only, and all are tied."""
+    r = random.Random(4)
+    words = [f"w{r.randrange(5000)}x{k}" for k in range(n * step + width)]
+    return [" ".join(words[k * step:k * step + width]) for k in range(n)]
+
+
+@pytest.mark.parametrize("block", [16, 200])
+def test_chains(spark, block, monkeypatch):
+    """Chains with links (12 words: 7 of 9 shingles) and without (8 words), cut by their shingles."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    texts = _windows(150, 8) + [t.replace("w", "v") for t in _windows(150, 12)] + [t.replace("w", "u") for t in _windows(40, 40, 3)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    rows += [(1000 + k, t) for k, t in enumerate(texts[140:170])]
+    assert _run(spark, rows) == sorted(jaccard_components(rows), key=repr)
+
+
+def test_tasks_of_a_chain_grow_in_proportion(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(J, "BLOCK", 64)
+
+    def sent(n):
+        df = docs_table(spark, list(enumerate(_windows(n, 8))))
+        sets = J.cut(J.possible_sets(df).withColumn("copies", F.lit(1).cast("long")))
+        tied = J.cut(J.clusters(sets.select("class", "n", "tokens")))
+        assert tied.select("cluster").distinct().count() == 1
+        return J._tasks(sets, tied).count(), sets.count()
+
+    (few, _), (many, sets) = sent(500), sent(2000)
+    assert few * 3.5 < many < few * 4.5 and many <= 3 * sets

@@ -11,7 +11,9 @@ A document's set holds its distinct 5-word shingles (as 64-bit hashes); two docu
 3. A linked pair shares a shingle among the first quarter (plus one) of each set in the global order. Sets that
    meet there in the same or neighbouring length ranges are tied; the connected components are the clusters of possible links.
 4. A cluster is cut into blocks of bounded size (by length range, then by hash), and every two blocks
-   of fitting lengths make a task. A task stores one block's ordered sets in a trie with compressed edges and
+   of fitting lengths make a task. Where a cluster is a long chain of sets that have little to do with each other, the sets with
+   one shingle in their prefixes are cut into blocks instead (whatever sends the tasks less), and a link counts at the first
+   shingle of the two sets. A task stores one block's ordered sets in a trie with compressed edges and
    walks it with each set of the other block: the overlap with an edge is counted once for all sets below, and
    a subtree is left when the overlap so far plus what can still follow is under what its lengths need.
 5. A task gives per set its number of links and one tie to the other sets that it found linked, not the pairs.
@@ -37,6 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import _packed as P
 from . import _words as W
@@ -260,6 +263,11 @@ def length_range(n):
 TIES = "part int, tokens binary, classes binary, ranges binary"
 
 
+def prefix_sizes(n: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """How many of its ``lens`` shared shingles are among the first of a set of ``n`` of which a link must share one."""
+    return np.maximum(1, n - least_overlap(n) + 1 - (n - lens))
+
+
 def _prefixes(parts: int):
     """Sets -> the first shingles of each in the global order, dealt by shingle.
 
@@ -273,7 +281,7 @@ def _prefixes(parts: int):
             if not len(n):
                 continue
             lens = np.array([len(t) for t in tokens])
-            first = np.maximum(1, n - least_overlap(n) + 1 - (n - lens))
+            first = prefix_sizes(n, lens)
             token = np.concatenate([t[:k] for t, k in zip(tokens, first)])
             owner = np.repeat(np.arange(len(frame)), first)
             ranges = length_range(n)[owner]
@@ -408,49 +416,97 @@ class Trie:
         return found
 
 
+def _volumes(sets: DataFrame, group: list[str]) -> DataFrame:
+    """Per group and length range: ``v`` (shingles of its sets), ``blocks``, blocks of the range ``above`` and ``under``, and of the
+    whole group its shingles ``whole`` and ``members``. A group has a row per length range, some 70 at most."""
+    ranges = Window.partitionBy(*group)
+    along = ranges.orderBy("rng")
+
+    def beside(row, step):
+        return F.when(row("rng").over(along) == F.col("rng") + step, row("blocks").over(along)).otherwise(F.lit(0))
+
+    return (sets.groupBy(*group, "rng").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("_n"))
+            .withColumn("whole", F.sum("v").over(ranges)).withColumn("members", F.sum("_n").over(ranges)).drop("_n")
+            .withColumn("blocks", F.when(F.col("whole") <= BLOCK, F.lit(1)).otherwise(F.ceil(F.col("v") / BLOCK)).cast("int"))
+            .withColumn("above", beside(F.lead, 1)).withColumn("under", beside(F.lag, -1)))
+
+
+def _sent(volumes: DataFrame, name: str) -> DataFrame:
+    """Shingles that a cluster's tasks are sent."""
+    times = F.when(F.col("whole") <= BLOCK, F.lit(1)).otherwise(F.col("blocks") + F.col("above") + F.col("under"))
+    return volumes.groupBy("cluster").agg(F.sum(F.col("v") * times).alias(name))
+
+
+def _leads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sets -> a row per shingle of their prefixes."""
+    for frame in frames:
+        if len(frame):
+            tokens = [np.frombuffer(t, np.uint64) for t in frame["tokens"]]
+            first = prefix_sizes(frame["n"].to_numpy(), np.array([len(t) for t in tokens]))
+            out = {c: np.repeat(frame[c].to_numpy(), first) for c in ("cluster", "class", "rng", "v")}
+            yield pd.DataFrame({**out, "lead": np.concatenate([t[:k] for t, k in zip(tokens, first)]).view(np.int64)})
+
+
 def _tasks(sets: DataFrame, clusters_: DataFrame) -> DataFrame:
-    """task, cross, base, class, n, copies, tokens: a set goes to each pair of blocks of its cluster that it is in. ``cross``:
-    the pair's blocks differ (either may be empty); else the task is a block with itself."""
-    spark_sets = sets.join(clusters_, "class")
-    sized = spark_sets.withColumn("rng", F.floor(F.log("n") / math.log(STEP) + 1e-7).cast("int"))
-    volume = (sized.groupBy("cluster", "rng").agg(F.sum(F.octet_length("tokens") / 8).alias("v"))
-              .withColumn("whole", F.sum("v").over(_by("cluster")))
-              .withColumn("blocks", F.when(F.col("whole") <= BLOCK, F.lit(1)).otherwise(F.ceil(F.col("v") / BLOCK)).cast("int"))
-              )
-    up = volume.select("cluster", (F.col("rng") - 1).alias("rng"), F.col("blocks").alias("above"))
-    down = volume.select("cluster", (F.col("rng") + 1).alias("rng"), F.col("blocks").alias("under"))
-    volume = volume.join(up, ["cluster", "rng"], "left").join(down, ["cluster", "rng"], "left").fillna(0, ["above", "under"])
-    placed = (sized.join(volume, ["cluster", "rng"])
-              .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
-    name = lambda *x: F.xxhash64("cluster", *[F.lit(v) if isinstance(v, int) else v for v in x])
+    """task, cross, base, led, lead, class, n, copies, tokens: a set goes to each pair of blocks of its group that it is in. ``cross``:
+    the pair's blocks differ (either may be empty); else the task is a block with itself.
+
+    The groups are the clusters, or within a cluster the sets with one shingle in their prefixes (``lead``; ``led``): of the two, what sends
+    its tasks less. So a set never goes to more blocks than its own prefixes' postings have, however long a chain of sets is tied."""
+    sized = (sets.join(clusters_, "class").withColumn("rng", F.floor(F.log("n") / math.log(STEP) + 1e-7).cast("int"))
+             .withColumn("v", (F.octet_length("tokens") / 8).cast("long")))
+    whole = cut(_volumes(sized, ["cluster"]))
+    large = whole.filter(F.col("whole") > BLOCK)
+    leads = (sized.join(large.select("cluster").distinct(), "cluster", "left_semi")
+             .select("cluster", "class", "rng", "v", "n", "tokens").mapInPandas(_leads, "cluster long, class long, rng int, v long, lead long"))
+    postings = cut(_volumes(leads, ["cluster", "lead"]).filter("members > 1"))
+    led = (_sent(large, "by_cluster").join(_sent(postings, "by_lead"), "cluster").filter("by_lead < by_cluster").select("cluster"))
+    of_clusters = (sized.join(led, "cluster", "left_anti").join(whole, ["cluster", "rng"])
+                   .select("class", "n", "copies", "tokens", F.explode(_to(F.lit(False), F.lit(0).cast("long"))).alias("to")))
+    places = (leads.join(led, "cluster", "left_semi").join(postings.drop("v"), ["cluster", "lead", "rng"])
+              .select("class", F.explode(_to(F.lit(True), F.col("lead"))).alias("to")))
+    of_leads = places.join(sets, "class").select("class", "n", "copies", "tokens", "to")
+    return of_clusters.unionByName(of_leads).select("to.*", "class", "n", "copies", "tokens")
+
+
+def _to(led, lead):
+    """The tasks of a set in its group: an array of (task, cross, base, led, lead)."""
+    def name(*x):
+        return F.xxhash64("cluster", led, lead, *[F.lit(v) if isinstance(v, int) else v for v in x])
+
+    def to(task, cross, base):
+        return F.struct(task.alias("task"), cross.alias("cross"), base.alias("base"), led.alias("led"), lead.alias("lead"))
+
+    own, rng = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"), F.col("rng")
     # (range, block) pairs: (r, i) with (r, j), j >= i, and with every block of range r + 1
     same = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                       lambda j: F.struct(name("rng", F.least("own", j), "rng", F.greatest("own", j)).alias("task"), (F.col("own") != j).alias("cross"),
-                                        (F.col("own") <= j).alias("base")))
+                       lambda j: to(name(rng, F.least(own, j), rng, F.greatest(own, j)), own != j, own <= j))
     upper = F.when(F.col("above") > 0, F.transform(F.sequence(F.lit(0), F.col("above") - 1),
-                   lambda j: F.struct(name("rng", "own", F.col("rng") + 1, j).alias("task"), F.lit(True).alias("cross"), F.lit(True).alias("base"))))
+                   lambda j: to(name(rng, own, rng + 1, j), F.lit(True), F.lit(True))))
     lower = F.when(F.col("under") > 0, F.transform(F.sequence(F.lit(0), F.col("under") - 1),
-                   lambda j: F.struct(name(F.col("rng") - 1, j, "rng", "own").alias("task"), F.lit(True).alias("cross"), F.lit(False).alias("base"))))
-    none = F.array().cast("array<struct<task:bigint,cross:boolean,base:boolean>>")
+                   lambda j: to(name(rng - 1, j, rng, own), F.lit(True), F.lit(False))))
+    none = F.filter(F.array(to(name(-1), F.lit(False), F.lit(True))), lambda _: F.lit(False))
     many = F.concat(same, F.coalesce(upper, none), F.coalesce(lower, none))
-    single = F.array(F.struct(name(-1).alias("task"), F.lit(False).alias("cross"), F.lit(True).alias("base")))
-    to = F.explode(F.when(F.col("whole") <= BLOCK, single).otherwise(many)).alias("to")
-    return placed.select("class", "n", "copies", "tokens", to).select("to.task", "to.cross", "to.base", "class", "n", "copies", "tokens")
+    single = F.array(to(name(-1), F.lit(False), F.lit(True)))
+    return F.when(F.col("whole") <= BLOCK, single).otherwise(many)
 
 
-def _by(col: str):
-    from pyspark.sql.window import Window
-    return Window.partitionBy(col)
+def meets_before(a: np.ndarray, b: np.ndarray, item: int) -> bool:
+    """Two ascending arrays share something less than ``item``."""
+    a, b = a[:np.searchsorted(a, item)], b[:np.searchsorted(b, item)]
+    return bool(len(a) and len(b) and len(np.intersect1d(a, b, assume_unique=True)))
 
 
-def link_block(base: list[tuple], probes: list[tuple] | None) -> tuple[list[int], list[int]]:
-    """(links, ties) of the sets (tokens, size, copies) of a block with another, or with itself (None).
+def link_block(base: list[tuple], probes: list[tuple] | None, lead: np.uint64 | None = None) -> tuple[list[int], list[int]]:
+    """(links, ties) of the sets (tokens, size, copies) of a block with another, or with itself (None). With a ``lead`` a link
+    counts only where it is the first shingle that the two sets share: tasks of their other shingles leave it out.
 
     Links count documents: a link with a set counts its copies. Ties name the smallest tied position, over the
     base and then the probes."""
     every = base + (probes or [])
-    _, number = np.unique(np.concatenate([t for t, _, _ in every]), return_inverse=True)
+    known, number = np.unique(np.concatenate([t for t, _, _ in every]), return_inverse=True)
     number = number.astype(np.int32)
+    first = None if lead is None else int(np.searchsorted(known, lead))
     at = np.concatenate([[0], np.cumsum([len(t) for t, _, _ in every])])
     ids = [number[at[k]:at[k + 1]] for k in range(len(every))]
     present = np.zeros(int(number.max()) + 1, bool)
@@ -458,6 +514,8 @@ def link_block(base: list[tuple], probes: list[tuple] | None) -> tuple[list[int]
     links, ties = [0] * len(every), Ties(len(every))
     for k in range(len(base) if probes is not None else 0, len(every)):
         for other in trie.links(ids[k], every[k][1], present):
+            if first is not None and other != k and meets_before(ids[k], ids[other], first):
+                continue
             if probes is None:
                 if other != k:  # found again from the other side
                     links[k] += every[other][2]
@@ -476,7 +534,8 @@ def _link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cross, split = bool(rows["cross"].iloc[0]), int(rows["base"].sum())
         if len(sets) < 2 or cross and split in (0, len(sets)):  # one of two blocks is empty: no pairs between them
             continue
-        links, ties = link_block(sets[:split], sets[split:] if cross else None)
+        lead = rows["lead"].to_numpy()[:1].view(np.uint64)[0] if rows["led"].iloc[0] else None
+        links, ties = link_block(sets[:split], sets[split:] if cross else None, lead)
         cls = rows["class"].to_numpy()
         out = pd.DataFrame({"class": cls, "links": links, "tie": cls[ties]})
         yield out[out["links"] > 0]
