@@ -157,3 +157,38 @@ def test_tasks_of_a_chain_grow_in_proportion(spark, monkeypatch):
 
     (few, _), (many, sets) = sent(500), sent(2000)
     assert few * 3.5 < many < few * 4.5 and many <= 3 * sets
+
+
+def test_packed_hashes():
+    r = np.random.default_rng(5)
+    for n in (0, 1, 3, 1000):
+        for x in (r.integers(0, 1 << 64, n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64), r.integers(0, 1 << 20, n, np.uint64) << np.uint64(32)):
+            assert np.array_equal(J.unpacked(J.packed(np.sort(x))), np.sort(x))
+
+
+def test_shingles_of_equal_lower_halves(monkeypatch):
+    """Hashes that differ in their upper halves only are different shingles."""
+    import types
+    monkeypatch.setattr(J, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    real = W.shingle_sets
+
+    def lower_halves(*args):
+        items, before = real(*args)
+        return items & np.uint64(0xFFFFFFFF00000000), before
+    monkeypatch.setattr(W, "shingle_sets", lower_halves)
+    batches = [b for b in J._deal(3)(iter([_batch_of([" ".join(f"w{k}" for k in range(400))] * 2 + [" ".join(f"w{k}" for k in range(390))])]))]
+    dealt = {}
+    for b in batches:
+        for row in b.to_pylist():
+            dealt.setdefault(row["part"], []).append(row)
+    import pyarrow as pa
+    numbers = []
+    for rows in dealt.values():
+        for b in J._count(3)(iter([pa.RecordBatch.from_pylist(rows, batches[0].schema)])):
+            numbers += [np.frombuffer(r["items"], np.uint64) for r in b.to_pylist() if r["kind"] == J.ENTRIES]
+    assert len(np.unique(np.concatenate(numbers))) == 386
+
+
+def _batch_of(texts):
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])

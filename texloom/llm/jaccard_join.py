@@ -19,8 +19,7 @@ A document's set holds its distinct 5-word shingles (as 64-bit hashes); two docu
 5. A task gives per set its number of links and one tie to the other sets that it found linked, not the pairs.
    Links are summed, and the ties' connected components are the result's classes.
 
-Sets are known by 64-bit hashes; once dealt, a shingle is known by its part and the low 32 bits of its hash (figures in the
-README). Nothing is capped or sampled. The number of pairs within one cluster of different sets is not bounded by the
+Sets and shingles are known by 64-bit hashes. Nothing is capped or sampled. The number of pairs within one cluster of different sets is not bounded by the
 input's size, and its tasks are as many as its pairs of blocks; equal sets never make pairs.
 
 Defined results: null or empty texts have no shingles, no link and their own id as component. Rows that repeat
@@ -93,13 +92,26 @@ def _batch(part, chunk, kind, docs, items, more) -> pa.RecordBatch:
          pa.array(items, pa.binary()), pa.array(more, pa.binary())], ["part", "chunk", "kind", "docs", "items", "more"])
 
 
-#: Rows of a packed shuffle: entries (document, low half of a shingle), the classes and sizes of a piece's documents, shingles
+#: Rows of a packed shuffle: entries (document, shingle), the classes and sizes of a piece's documents, shingles
 #: that are frequent in a piece with their counts, and the documents that hold these.
 ENTRIES, HEAD, FREQUENT, HOLDERS = range(4)
 #: A shingle of so many documents of one piece travels once, with its count.
 OFTEN = 8
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Ascending 64-bit hashes as bytes: the lower halves, then the steps of the upper halves byte by byte, of which the
+    higher ones are mostly zero and compress."""
+    steps = np.diff(hashes >> np.uint64(32), prepend=np.uint64(0)).astype("<u4")
+    return hashes.astype("<u4").tobytes() + steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // 8
+    steps = np.frombuffer(data, np.uint8, offset=4 * n).reshape(4, n).T.copy().view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint64) << np.uint64(32) | np.frombuffer(data, "<u4", count=n)
+
+
 def _deal(parts: int):
     """Texts -> per piece and part: the entries of its shingles, and its frequent shingles with their counts; and per
     piece, to its home, the classes and set sizes of its documents and who holds the frequent shingles. So what a shingle
@@ -133,8 +145,7 @@ def _deal(parts: int):
                 # items ascend, and so do their parts
                 for kind, these in ((ENTRIES, few), (FREQUENT, many)):
                     at = np.searchsorted(P.part_of(these, parts), np.arange(parts + 1))
-                    low = these.astype(np.uint32)
-                    out += [(k, chunk, kind, few_owner[a:b].tobytes() if kind == ENTRIES else b"", low[a:b].tobytes(),
+                    out += [(k, chunk, kind, few_owner[a:b].tobytes() if kind == ENTRIES else b"", packed(these[a:b]),
                              b"" if kind == ENTRIES else counts[a:b].tobytes())
                             for k, (a, b) in enumerate(zip(at[:-1], at[1:])) if a < b]
                 out.append((home, chunk, HEAD, b"", classes.tobytes(), sizes.astype(np.int64).tobytes()))
@@ -151,9 +162,9 @@ def _numbers(docs: bytes, n: int) -> np.ndarray:
 
 def _count(parts: int):
     """One part's shingles -> those of two sets at least, back to their pieces. A shingle becomes a 64-bit number
-    whose order is the global order: 6 bits of its count's magnitude, its part, its hash."""
+    whose order is the global order: 6 bits of its count's magnitude, its part, its place among the part's hashes."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, lows, weights = [], [], []
+        rows, hashes, weights = [], [], []
         mine = None
         for batch in batches:
             passed = [k for k, kind in enumerate(batch.column(2).to_pylist()) if kind in (HEAD, HOLDERS)]
@@ -162,30 +173,34 @@ def _count(parts: int):
             for part, chunk, kind, docs, items, more in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind in (ENTRIES, FREQUENT):
                     mine = part
-                    low = np.frombuffer(items, np.uint32)
-                    rows.append((chunk, kind, _numbers(docs, len(low)).astype(np.uint32) if kind == ENTRIES else None))
-                    lows.append(low)
-                    weights.append(np.frombuffer(more, np.uint32) if kind == FREQUENT else np.ones(len(low), np.uint32))
+                    these = unpacked(items)
+                    rows.append((chunk, kind, _numbers(docs, len(these)).astype(np.uint32) if kind == ENTRIES else None))
+                    hashes.append(these)
+                    weights.append(np.frombuffer(more, np.uint32) if kind == FREQUENT else np.ones(len(these), np.uint32))
         if not rows:
             return
-        sizes = np.array([len(x) for x in lows])
-        low, weight = np.concatenate(lows), np.concatenate(weights)
-        del lows, weights
-        order = np.argsort(low, kind="stable")
-        ranked = low[order]
-        opens = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        runs = np.diff(np.append(opens, len(ranked)))
-        many = np.empty(len(low), np.int64)
-        many[order] = np.repeat(np.add.reduceat(weight[order].astype(np.int64), opens), runs)
-        del order, ranked, weight
-        token = (np.floor(np.log2(many)).astype(np.uint64) << np.uint64(58)) | (np.uint64(mine) << np.uint64(32)) | low
+        sizes = np.array([len(x) for x in hashes])
+        every, weight = np.concatenate(hashes), np.concatenate(weights)
+        del hashes, weights
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        opens = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        runs = np.diff(np.append(opens, len(every)))
+        del every
+        count_of = np.add.reduceat(weight[order].astype(np.int64), opens)
+        number = (np.floor(np.log2(count_of)).astype(np.uint64) << np.uint64(58)) | (np.uint64(mine) << np.uint64(32)) | np.arange(len(opens), dtype=np.uint64)
+        token = np.empty(len(weight), np.uint64)
+        token[order] = np.repeat(number, runs)
+        many = np.empty(len(weight), bool)
+        many[order] = np.repeat(count_of > 1, runs)
+        del order, weight
         at = np.concatenate([[0], np.cumsum(sizes)])
         for k, (chunk, kind, docs) in enumerate(rows):
             s = slice(at[k], at[k + 1])
             home = P.home(chunk, parts)
             if kind == FREQUENT:
                 yield _batch([home], [chunk], [FREQUENT], [b""], [token[s].tobytes()], [int(mine).to_bytes(4, "little")])
-            elif (keep := many[s] > 1).any():
+            elif (keep := many[s]).any():
                 yield _batch([home], [chunk], [ENTRIES], [docs[keep].tobytes()], [token[s][keep].tobytes()], [b""])
 
     return count
