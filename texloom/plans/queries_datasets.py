@@ -9,7 +9,7 @@ from ..operators import datasets as D
 from . import fixtures as fx
 from .catalog import register
 from .queries_figures import KEYS, ORDINAL_SQL, _with, exists_sql, figure_caption_pairs, figure_records_d
-from .queries_interleave import B_POLICY, _items_query, checked_arrays
+from .queries_interleave import B_POLICY, _items_query, checked_arrays, image_documents
 
 
 @register("resume_pending", fx.with_views(
@@ -59,7 +59,7 @@ PART = 256
 def append_arrays(spark, sf_dir):
     """Variant B's append: a paper's arrays from its first version, in parts of at most 256 files, extended by the parts
     of its second version."""
-    docs = checked_arrays(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"), fx.members(spark, sf_dir))
+    docs = checked_arrays(image_documents(fx.tex_docs(spark, sf_dir).select(*KEYS, "content")), fx.members(spark, sf_dir))
     docs = docs.select(*KEYS, F.transform("items", lambda x: x["text"]).alias("texts"),
                        F.transform("items", lambda x: x["name"]).alias("images"),
                        F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["caption"]).alias("captions"))

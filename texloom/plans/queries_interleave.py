@@ -136,17 +136,25 @@ def arrays_record(items) -> F.Column:
 def interleaved_arrays(spark, sf_dir):
     """Variant B: per document, texts/images/captions arrays; documents without images are not
     written, and one missing image file drops the document."""
-    docs = checked_arrays(fx.tex_docs(spark, sf_dir).select(*KEYS, "content"), fx.members(spark, sf_dir))
+    docs = checked_arrays(image_documents(fx.tex_docs(spark, sf_dir).select(*KEYS, "content")), fx.members(spark, sf_dir))
     return docs.select(*KEYS, arrays_record(F.col("items")).alias("record"))
 
 
-def checked_arrays(docs, members):
-    """``(file keys, items)`` of the documents that have images, all of which are in their archive."""
-    # The items feed both the file check and the output: computed once, lineage cut.
-    docs = materialize(where_computed(TK.interleave(docs, **B_POLICY), KEYS, F.col("items"), "items",
+def image_documents(docs):
+    """``(file keys, items)`` of the documents that have images. The items feed both the file check and the output: computed
+    once, lineage cut."""
+    return materialize(where_computed(TK.interleave(docs, **B_POLICY), KEYS, F.col("items"), "items",
                                       lambda it: F.exists(it, lambda x: x["kind"] == "image")))
-    refs = explode_values(docs, KEYS, F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["image_ref"]), "image_ref")
-    bad = (A.resolve_assets(refs, members, policy="keep").where(~F.col("resolved"))
+
+
+def image_refs(docs):
+    """``(file keys, image_ref)`` of the images of ``image_documents``."""
+    return explode_values(docs, KEYS, F.transform(F.filter("items", lambda x: x["kind"] == "image"), lambda x: x["image_ref"]), "image_ref")
+
+
+def checked_arrays(docs, members):
+    """Those of ``image_documents`` whose images are all in their archive."""
+    bad = (A.resolve_assets(image_refs(docs), members, policy="keep").where(~F.col("resolved"))
            .select("archive", "tex_path").distinct())  # names only
     return docs.join(bad, ["archive", "tex_path"], "left_anti")
 
