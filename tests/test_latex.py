@@ -167,8 +167,10 @@ def _zip_files(spark):
 
 def test_figures_zipped_in_the_row(spark):
     d, members = _zip_files(spark)
-    places = FG.figure_places(FG.figure_facts(d), members)
-    rows = TK.zipped_segments(d, places)
+    zipped = TK.zip_in_row(d)
+    facts = TK.zipped_facts(zipped)
+    assert sorted(map(str, facts.where("size(facts) > 0").collect())) == sorted(map(str, FG.figure_facts(d).where("size(facts) > 0").collect()))
+    rows = TK.zipped_segments(zipped, FG.figure_places(facts, members))
     got = sorted((r.archive, r.tex_path, r.seg, r.text, r.figure and (r.figure.image, r.figure.caption)) for r in rows.collect())
     assert got == [("t1", "a.tex", 0, "A0 ", ("p_0.png", "c0")), ("t1", "a.tex", 1, " A1 ", None), ("t1", "a.tex", 2, " A2", None),
                    ("t1", "b.tex", 0, " B0 ", None), ("t1", "c.tex", 0, "C0", ("p_2.png", "c2")), ("t1", "c.tex", 1, "C1 ", None),
@@ -179,10 +181,10 @@ def test_papers_segments_carry_their_figures(spark):
     """With pieces of one file: the figure comes with the last piece of its segment, once."""
     from texloom.plans.queries_interleave import D_full
     d, members = _zip_files(spark)
-    rows = TK.paper_segments(TK.zipped_segments(d, FG.figure_places(FG.figure_facts(d), members)), 1)
+    rows = TK.paper_segments(TK.zipped_segments(TK.zip_in_row(d), FG.figure_places(FG.figure_facts(d), members)), 1)
     got = sorted((r.seg, r.piece, r.text, r.figure and r.figure.caption) for r in rows.where("paper_id = 'p'").collect())
     assert got == [(0, 0, "A0", "c0"), (1, 0, "A1", None), (2, 0, "A2", None), (2, 1, " B0 ", None), (2, 2, "C0", "c2"), (3, 2, "C1", None)]
-    whole = D_full(d, FG.figure_facts(d), members).where("image is not null")
+    whole = D_full(TK.zip_in_row(d), members).where("image is not null")
     assert sorted((r.paper_id, r.seg, r.image, r.archive, r.image_ref) for r in whole.collect()) == [
         ("p", 0, "p_0.png", "t1", "x.png"), ("p", 2, "p_2.png", "t1", "./x.png")]
 

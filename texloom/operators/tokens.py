@@ -194,30 +194,42 @@ def raw_segments(docs: DataFrame, content: str = "content", keep=None) -> DataFr
     return rows.select(*keep, "_s.seg", "_s.text", "_s.n_segs")
 
 
-def zipped_segments(docs: DataFrame, places: DataFrame, content: str = "content") -> DataFrame:
-    """``(keys..., off, rank, seg, text, n_segs, figure)``: each raw segment with the figure that follows it, zipped in the file's row.
-
-    ``figure`` is ``struct(image_ref, image, label, caption)``, NULL where the first image is not in the archive. ``places``
-    (``figures.figure_places``): a row per file, the one join; no segment or caption is matched across rows."""
-    keys = file_keys(docs)
-
-    def figure(body, pos):
-        return let(L.marked(body), lambda m: F.struct(
-            L.first_image(m).alias("image_ref"), asset_name_indexed("paper_id", F.col("off") + pos).alias("image"),
-            F.when(L.has_label(m), L.label(m)).otherwise(F.lit("")).alias("label"),
-            F.coalesce(L.caption_or_null(m), F.lit("")).alias("caption")))
+def zip_in_row(docs: DataFrame, content: str = "content") -> DataFrame:
+    """The file keys and ``zipped``: the file's raw segments in order, ``struct(seg, text, n_segs, figure)``, each with the figure that
+    follows it, ``struct(image_ref, label, caption, caption_unparsed)``. One parse, inside the file's row."""
+    def figure(body):
+        return let(L.marked(body), lambda m: let(L.caption_or_null(m), lambda cap: F.struct(
+            L.first_image(m).alias("image_ref"), F.when(L.has_label(m), L.label(m)).otherwise(F.lit("")).alias("label"),
+            F.coalesce(cap, F.lit("")).alias("caption"), (cap.isNull() & m.rlike(L.CAPTION_CMD)).alias("caption_unparsed"))))
 
     def zipped(segs, bodies):
-        def one(s, i):
-            here = (i < F.size(bodies)) & F.coalesce(F.array_contains("present", i.cast("long")), F.lit(False))
-            return F.struct(i.cast("long").alias("seg"), s.alias("text"), F.size(segs).cast("long").alias("n_segs"),
-                            F.when(here, figure(F.get(bodies, i), i.cast("long"))).alias("figure"))
-        return F.transform(segs, one)
+        return F.transform(segs, lambda s, i: F.struct(
+            i.cast("long").alias("seg"), s.alias("text"), F.size(segs).cast("long").alias("n_segs"),
+            F.when(i < F.size(bodies), figure(F.get(bodies, i))).alias("figure")))
 
     arr = let(L.strip_comments(content), lambda t: let(F.split(t, FIGURE_SPAN, -1), lambda segs: let(
         L.figure_bodies(t), lambda bodies: zipped(segs, bodies))))
-    rows = explode_pos(docs.join(places, keys), [*keys, "off", "rank"], arr, "_i", "_s")
-    return rows.select(*keys, "off", "rank", "_s.seg", "_s.text", "_s.n_segs", "_s.figure")
+    return docs.select(*file_keys(docs), arr.alias("zipped"))
+
+
+def zipped_facts(zipped: DataFrame) -> DataFrame:
+    """``figures.figure_facts`` of ``zip_in_row``."""
+    figures = F.filter(F.transform("zipped", lambda s: s["figure"]), lambda f: f.isNotNull())
+    return zipped.select(*file_keys(zipped), F.transform(figures, lambda f: F.struct(
+        f["image_ref"].alias("image_ref"), f["caption_unparsed"].alias("caption_unparsed"))).alias("facts"))
+
+
+def zipped_segments(zipped: DataFrame, places: DataFrame) -> DataFrame:
+    """``(keys..., off, rank, seg, text, n_segs, figure)``: the rows of ``zip_in_row`` (materialized). ``figure`` is
+    ``struct(image_ref, image, label, caption)``, NULL where its file is not in the archive.
+
+    ``places`` (``figures.figure_places``): a row per file, the one join; no segment or caption is matched across rows."""
+    keys = file_keys(zipped)
+    rows = explode_pos(zipped.join(places, keys), [*keys, "off", "rank", "present"], F.col("zipped"), "_i", "_s")
+    here = F.coalesce(F.array_contains("present", F.col("_s.seg")), F.lit(False))
+    figure = F.struct("_s.figure.image_ref", asset_name_indexed("paper_id", F.col("off") + F.col("_s.seg")).alias("image"),
+                      "_s.figure.label", "_s.figure.caption")
+    return rows.select(*keys, "off", "rank", "_s.seg", "_s.text", "_s.n_segs", F.when(here, figure).alias("figure"))
 
 
 def figure_counts(docs: DataFrame, content: str = "content") -> DataFrame:

@@ -202,8 +202,8 @@ def interleaved_segments(spark, sf_dir):
     """Variant D's ``full`` list, per document: text segments between figures, each followed by
     its figure's image/label/caption when the figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
-    facts = materialize(FG.figure_facts(docs))
-    rows = TK.zipped_segments(docs, FG.figure_places(facts, fx.members(spark, sf_dir)))
+    zipped = materialize(TK.zip_in_row(docs))
+    rows = TK.zipped_segments(zipped, FG.figure_places(TK.zipped_facts(zipped), fx.members(spark, sf_dir)))
     return rows.select(*KEYS, "seg", T.strip_ws("text").alias("text"), "figure.image", "figure.label", "figure.caption")
 
 
@@ -234,16 +234,15 @@ def interleaved_full(spark, sf_dir):
     between figure environments (the last segment of a file runs on into the next file), in pieces of at most 256
     files, the last piece followed by its figure's image/label/caption when that figure has an image whose file exists."""
     docs = fx.tex_docs(spark, sf_dir).select(*KEYS, "content")
-    facts = materialize(FG.figure_facts(docs))
-    return D_full(docs, facts, fx.members(spark, sf_dir)).select("paper_id", "seg", "piece", "text", "image", "label", "caption")
+    return D_full(materialize(TK.zip_in_row(docs)), fx.members(spark, sf_dir)).select("paper_id", "seg", "piece", "text", "image", "label", "caption")
 
 
-def D_full(docs, facts, members):
+def D_full(zipped, members):
     """``(paper_id, seg, piece, text, image, label, caption, archive, image_ref)``: segments with the figures that follow them;
-    ``facts``: ``figure_facts`` of ``docs``, materialized."""
-    zipped = TK.zipped_segments(docs, FG.figure_places(facts, members))
+    ``zipped``: ``zip_in_row`` of the documents, materialized."""
+    rows = TK.zipped_segments(zipped, FG.figure_places(TK.zipped_facts(zipped), members))
     source = F.when(F.col("figure").isNotNull(), F.struct(F.col("archive"), "figure.*"))
-    segs = TK.paper_segments(zipped.withColumn("figure", source), PIECE)
+    segs = TK.paper_segments(rows.withColumn("figure", source), PIECE)
     return segs.select("paper_id", "seg", "piece", "text", "figure.image", "figure.label", "figure.caption", "figure.archive", "figure.image_ref")
 
 
