@@ -118,3 +118,15 @@ def test_a_long_run_is_many_bounded_pieces(spark):
     assert max(len(r.text) for r in rows) <= bound + 10 and sum(r.n_items for r in rows) == n
     assert " ".join(r.text for r in rows) == " ".join(f"t{k}" for k in range(n))
     assert [r.first_t for r in rows] == sorted(r.first_t for r in rows)
+
+
+def test_a_run_is_one_row_in_the_query(spark, scratch):
+    """Long runs stay whole, across chunks without texts as well; without any text a run's value is empty."""
+    from texloom.plans.queries_interleave import merge_adjacent_text
+    big = "x" * 5000
+    data = [(1, t, "user", big + str(t)) for t in range(4)] + [(1, 4, "assistant", None), (1, 5, "user", "a")]
+    data += [(2, t, "assistant", "w" if t in (0, 9000) else None) for t in range(0, 9001, 500)]
+    spark.createDataFrame(data, "conv_id long, turn long, role string, text string").write.parquet(f"{scratch}/conversations.parquet")
+    got = sorted(map(tuple, merge_adjacent_text(spark, scratch).collect()))
+    assert got == [(1, 1, "prompt", 0, 4, " ".join(big + str(t) for t in range(4))), (1, 2, "response", 4, 1, ""),
+                   (1, 3, "prompt", 5, 1, "a"), (2, 1, "response", 0, 19, "w w")]

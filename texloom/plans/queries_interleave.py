@@ -265,21 +265,14 @@ def adjacent_dedupe(spark, sf_dir):
     return TK.dedupe_adjacent_text(c, ["conv_id"], ["turn"], "side")
 
 
-RUN_PIECE = 4096
-
-
-@register("merge_adjacent_text", (
-    f"WITH s AS (SELECT *, {SIDE_SQL} AS side FROM conversations), "
-    "a AS (SELECT conv_id, turn, side, text, lag(side) OVER w AS prev, coalesce(sum(coalesce(strlen(text), 0) + 1) OVER (PARTITION BY conv_id "
-    "ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), "
-    "b AS (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> side THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn "
-    f"ROWS UNBOUNDED PRECEDING) AS run, cast(floor(before / {RUN_PIECE}) AS BIGINT) AS cell FROM a), "
-    "c AS (SELECT conv_id, run, side, cell, min(turn) AS first_turn, count(*) AS n_items, string_agg(text, ' ' ORDER BY turn) AS text "
-    "FROM b GROUP BY conv_id, run, side, cell) "
-    "SELECT conv_id, cast(run AS BIGINT) AS run, cell AS piece, side, first_turn, n_items, "
-    "coalesce(text, '') AS text FROM c"))
+@register("merge_adjacent_text",
+          "SELECT conv_id, cast(run AS BIGINT) AS run, side, min(turn) AS first_turn, count(*) AS n_items, "
+          "coalesce(string_agg(text, ' ' ORDER BY turn), '') AS text FROM (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> side "
+          "THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM "
+          "(SELECT conv_id, turn, side, text, lag(side) OVER (PARTITION BY conv_id ORDER BY turn) AS prev "
+          f"FROM (SELECT *, {SIDE_SQL} AS side FROM conversations) s) a) b GROUP BY conv_id, run, side")
 def merge_adjacent_text(spark, sf_dir):
-    """Consecutive turns of the same side merged into one text, in turn order (gaps and islands), in pieces of some 4 KB."""
+    """Consecutive turns of the same side merged into one text, in turn order (gaps and islands): a row per run."""
     c = _turns(spark, sf_dir, "text")
-    return TK.merge_adjacent_text(c, ["conv_id"], "turn", "text", "side", piece_bytes=RUN_PIECE).select(
-        "conv_id", "run", "piece", "side", "first_turn", "n_items", "text")
+    return TK.merge_adjacent_text(c, ["conv_id"], "turn", "text", "side", piece_bytes=None).select(
+        "conv_id", "run", "side", "first_turn", "n_items", "text")
