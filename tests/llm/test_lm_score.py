@@ -212,3 +212,45 @@ def test_documents_that_occur_twice_cost_less(spark, scratch):
     once = [got[k] for k, _ in prose[40:]]
     assert len(twice) > 60 and max(twice) < min(once)
     assert np.median(twice) < 0.3 * np.median(once)
+
+
+def _lengths_by_hand(model, classes):
+    """Logarithms of the classes of one text, a bit at a time: weights and map learn through the whole text."""
+    weights, refined, out = {}, {}, []
+    one, two = L.context_rows(classes, np.array([0, len(classes)]))
+    for c, a, b in zip(classes.tolist(), one.tolist(), two.tolist()):
+        node, total = 1, 0.0
+        for depth in range(L.CLASS_BITS):
+            at = [row * L.CLASSES + node for row in (0, a, b)]
+            s = [float(model.odds[x]) for x in at]
+            w = weights.setdefault((depth, int(model.seen[at[1]]), int(model.seen[at[2]])), list(L.WEIGHTS))
+            z = max(-12.0, min(12.0, sum(x * y for x, y in zip(w, s))))
+            p = 1 / (1 + math.exp(-z))
+            place = max(0, min(L.PLACES - 1, round(2 * z) + L.PLACES // 2))
+            q = refined.get((depth, place), 1 / (1 + math.exp(-(place - L.PLACES // 2) / 2)))
+            bit = c >> (L.CLASS_BITS - 1 - depth) & 1
+            mixed = max(1e-5, min(1 - 1e-5, (p + q) / 2))
+            total += math.log(mixed if bit else 1 - mixed)
+            for k in range(3):
+                w[k] += L.RATE * (bit - p) * s[k]
+            refined[depth, place] = q + (bit - q) * L.MAP_RATE
+            node = 2 * node + bit
+        out.append(total)
+    return out
+
+
+def test_weights_are_carried_through_a_long_text(monkeypatch):
+    """A token far into a text is coded with all that the text has taught: by hand, and cheaper than the first tokens."""
+    draw = np.random.default_rng(3)
+    cells = np.zeros(L.CELLS, np.int64)
+    cells[draw.integers(0, L.CELLS, 300_000)] += draw.integers(1, 30, 300_000)
+    model = L.Model(cells)
+    texts = [draw.integers(0, 40, n) for n in (900, 1, 300, 700)]
+    classes, at = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    got = L.token_lengths(model, classes, at)
+    for k, text in enumerate(texts):
+        assert np.allclose(got[at[k]:at[k + 1]], _lengths_by_hand(model, text), rtol=1e-3, atol=1e-2)
+    monkeypatch.setattr(L, "AHEAD", 5)
+    assert np.array_equal(got, L.token_lengths(model, classes, at))
+    same = L.token_lengths(model, np.full(600, 5), np.array([0, 600]))
+    assert same[256:300].mean() > same[200:250].mean() > same[:40].mean()
