@@ -67,3 +67,34 @@ def test_stream_and_batch_share_a_ledger(spark, scratch):
     V.run_figure_captions(spark, src, out, n_buckets=2)
     assert ingest_archives(spark, src, out, ckpt, process, n_buckets=2) == 0  # the stream finds it in the ledger
     assert [r[0] for r in _rows(spark, out, "figures", "caption")] == ["four", "one again", "three", "two"]
+
+
+def test_a_stream_lists_its_files_in_few_tasks(spark, scratch):
+    """A micro-batch is listed in some tasks per core instead of one per file; the session keeps its own setting."""
+    from texloom.streaming import ingest as I
+    before, seen = spark.conf.get(I.LISTING_TASKS), []
+
+    def process(batch):
+        seen.append(int(spark.conf.get(I.LISTING_TASKS)))  # the session whose setting the listing takes
+        return batch.select("path")
+
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL), scratch + "/in")
+    assert ingest_incremental(spark, scratch + "/in", scratch + "/out", scratch + "/ckpt", process) == 1
+    assert seen == [min(int(before), 4 * spark.sparkContext.defaultParallelism)] and seen[0] < 200
+    assert spark.conf.get(I.LISTING_TASKS) == before
+
+
+def test_a_run_deals_archives_to_tasks_by_number_and_bytes(spark, scratch, monkeypatch):
+    """Also after the join with a ledger, where the names alone would come in a partition or two."""
+    from texloom.sources import archives as S
+    monkeypatch.setattr(V, "TASK_ARCHIVES", 10)
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL, F.col("path").contains("v1")), scratch + "/in")
+    first = V.Run.over(spark, scratch + "/in", scratch + "/out", "*.gz", 2)
+    first.commit(V.errors_table(first.members))
+    AF.write_archive_files(AF.packed_archives(spark, SF_SMALL, F.col("path").contains("v2")), scratch + "/in")
+    run = V.Run.over(spark, scratch + "/in", scratch + "/out", "*.gz", 2)
+    assert run.todo.count() == 100 and run.members.rdd.getNumPartitions() == 10
+    assert run.members.select("archive").distinct().count() == 100
+    big = spark.createDataFrame([("a", 1 << 20), ("b", 5 * V.TASK_BYTES - (1 << 20))], "path string, length long")
+    assert V.spread_archives(big).rdd.getNumPartitions() == 5
+    assert S.list_tree(spark, scratch + "/in", "*.gz").count() == 200
