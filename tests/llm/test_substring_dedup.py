@@ -131,3 +131,12 @@ def test_texts_are_not_shuffled(spark):
     exchanged = [line for line in plan.splitlines() if "Exchange" in line]
     assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
     assert plan.count("texts") > 0 and not any("texts" in line for line in exchanged)
+
+
+def test_a_reply_meets_one_row(spark):
+    """A piece is one row: what comes back to it is not repeated beside other rows of texts."""
+    words = " ".join(f"p{k}" for k in range(200))
+    rows = [(k, f"own{k} {words} end{k}") for k in range(50)]
+    table = K.write_pieces(docs_table(spark, rows).coalesce(1), 4000).select("piece", F.size("ids").alias("n"), F.size("texts").alias("m")).collect()
+    assert len(table) > 10 and len({r.piece for r in table}) == len(table) and all(r.n == r.m for r in table) and sum(r.n for r in table) == 50
+    assert _rows(K.remove_repeated_words(docs_table(spark, rows).coalesce(1), 13, 1000, 4000)) == _plain(rows)

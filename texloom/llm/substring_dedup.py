@@ -3,8 +3,8 @@
 A window of ``WINDOW`` words is an edge of the graph; its first and its last ``WINDOW - 1`` words are the nodes that it
 joins. A word goes if a window over it also starts in a document with a smaller id.
 
-1. Texts are written once, packed into pieces (a row holds some whole texts), bucketed by piece. Each later step reads the
-   pieces and meets its small replies in a join on the piece, so texts are never shuffled.
+1. Texts are written once, packed into pieces (a piece is a row with some whole texts), bucketed by piece. Each later step reads the
+   pieces and meets its small replies in a join on the piece, so texts are never shuffled, and a reply meets one row only.
 2. Every piece sends the different edges of its texts to parts by hash, as 32-bit prints, and learns which of them another
    piece may have too (one bit each).
 3. Those edges go to parts again, now with 64-bit hashes and the words that come before and after them, if these are the
@@ -47,7 +47,7 @@ from ._cluster import new_folder, read_table
 
 WINDOW = 13
 #: Bytes of texts worked on at once, and of texts in a piece (one text at least).
-CHUNK, PIECE = 2 << 20, 32 << 20
+CHUNK = PIECE = 2 << 20
 SEPARATOR, WORD = re.compile(rb"[\x20\x09-\x0D]"), re.compile(rb"[^\x20\x09-\x0D]+")
 #: No word comes after (before), or not always the same.
 BRANCH = np.uint64(0)
@@ -57,13 +57,12 @@ REPEATED, ON, FROM = 1, 2, 4
 
 # 1. pieces ---------------------------------------------------------------------------------------------------
 
-PIECES = "piece long, place int, ids array<long>, texts array<string>"
+PIECES = "piece long, ids array<long>, texts array<string>"
 
 
-def _pieces(chunk: int, piece: int):
+def _pieces(piece: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        number, place, filled = 0, 0, 0
+        task, number = TaskContext.get().partitionId(), 0
         ids: list[pa.Array] = []
         texts: list[pa.Array] = []
         size = 0
@@ -72,22 +71,20 @@ def _pieces(chunk: int, piece: int):
             all_ids, all_texts = pa.concat_arrays(ids), pa.concat_arrays(texts)
             one = pa.array([0, len(all_ids)], pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 24) | number]), pa.array([place], pa.int32()), pa.ListArray.from_arrays(one, all_ids),
-                 pa.ListArray.from_arrays(one, all_texts)], ["piece", "place", "ids", "texts"])
+                [pa.array([(task << 32) | number]), pa.ListArray.from_arrays(one, all_ids), pa.ListArray.from_arrays(one, all_texts)],
+                ["piece", "ids", "texts"])
 
         for batch in batches:
             column = batch.column(1)
             if not pa.types.is_string(column.type):
                 column = column.cast(pa.string())
             first = 0
-            for at, _, offsets in W.texts(pa.RecordBatch.from_arrays([column], ["text"]), "text", chunk):
+            for at, _, offsets in W.texts(pa.RecordBatch.from_arrays([column], ["text"]), "text", piece):
                 n = len(offsets) - 1
-                if ids and size + int(offsets[-1]) > chunk:
+                if ids and size + int(offsets[-1]) > piece:
                     yield row()
-                    place, filled = place + 1, filled + size
+                    number += 1
                     ids, texts, size = [], [], 0
-                    if filled >= piece:
-                        number, place, filled = number + 1, 0, 0
                 ids.append(batch.column(0).slice(at, n))
                 texts.append(column.slice(at, n))
                 size += int(offsets[-1])
@@ -98,10 +95,10 @@ def _pieces(chunk: int, piece: int):
     return pack
 
 
-def write_pieces(docs: DataFrame, chunk: int = CHUNK, piece: int = PIECE) -> DataFrame:
+def write_pieces(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """doc_id, text of all rows as a table of pieces, bucketed by piece."""
     spark = docs.sparkSession
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(chunk, piece), PIECES)
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(piece), PIECES)
     name = f"texloom_pieces_{uuid.uuid4().hex}"
     (packed.write.option("path", new_folder(spark, "pieces")).option("compression", "zstd").format("parquet")
      .bucketBy(P.parts_of(spark), "piece").saveAsTable(name))
@@ -216,16 +213,16 @@ def _several(chunk: Chunk, order: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(docs, opens) != np.maximum.reduceat(docs, opens) if len(opens) else np.empty(0, bool)
 
 
-PRINTS = "part int, piece long, place int, chunk int, items binary"
+PRINTS = "part int, piece long, chunk int, items binary"
 
 
 def _rows(batches: Iterator[pa.RecordBatch]):
-    """(piece, place, ids, texts, other columns) of rows of pieces."""
+    """(piece, ids, texts, other columns) of rows of pieces."""
     for batch in batches:
         names = batch.schema.names
         for k in range(batch.num_rows):
-            ids, texts = batch.column(2)[k].values, batch.column(3)[k].values
-            yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), ids, texts, {n: batch.column(j)[k] for j, n in enumerate(names) if j > 3}
+            ids, texts = batch.column(1)[k].values, batch.column(2)[k].values
+            yield batch.column(0)[k].as_py(), ids, texts, {n: batch.column(j)[k] for j, n in enumerate(names) if j > 2}
 
 
 def _message(names: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -236,11 +233,11 @@ def _message(names: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _prints(parts: int, size: int, window: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, place, _, texts, _ in _rows(batches):
+        for piece, _, texts, _ in _rows(batches):
             for chunk in chunks(texts, size, window):
                 _, _, edges = distinct(chunk)
                 at = np.searchsorted(P.part_of(edges, parts), np.arange(parts + 1))  # edges ascend, and so do their parts
-                out = [(k, piece, place, chunk.number, edges[a:b].astype(np.uint32).tobytes()) for k, (a, b) in enumerate(zip(at[:-1], at[1:])) if a < b]
+                out = [(k, piece, chunk.number, edges[a:b].astype(np.uint32).tobytes()) for k, (a, b) in enumerate(zip(at[:-1], at[1:])) if a < b]
                 if out:
                     yield _message(PRINTS, out)
 
@@ -258,7 +255,7 @@ def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
-BITS = "piece long, place int, chunk int, part int, items binary"
+BITS = "piece long, chunk int, part int, items binary"
 
 
 def _seen_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,27 +267,26 @@ def _seen_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ranked = np.sort(low)
     twice = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
     del ranked
-    for k, (part, piece, place, chunk) in enumerate(zip(*(table.column(n).to_pylist() for n in ("part", "piece", "place", "chunk")))):
+    for k, (part, piece, chunk) in enumerate(zip(*(table.column(n).to_pylist() for n in ("part", "piece", "chunk")))):
         mine = low[at[k]:at[k + 1]]
         hit = np.searchsorted(twice, mine)
         bits = (twice[np.minimum(hit, len(twice) - 1)] == mine) if len(twice) else np.zeros(len(mine), bool)
-        yield _message(BITS, [(piece, place, chunk, part, np.packbits(bits).tobytes())])
+        yield _message(BITS, [(piece, chunk, part, np.packbits(bits).tobytes())])
 
 
 # 3. edges with their neighbours ------------------------------------------------------------------------------
 
 def _replies(rows: DataFrame) -> DataFrame:
     """One row per piece with all that comes back to it."""
-    return rows.groupBy("piece").agg(F.collect_list(F.struct("place", "chunk", "part", "items")).alias("replies"))
+    return rows.groupBy("piece").agg(F.collect_list(F.struct("chunk", "part", "items")).alias("replies"))
 
 
-def _reply(packed: pa.Scalar, place: int) -> dict[int, dict[int, bytes]]:
-    """The replies to a row of a piece: by chunk and part."""
+def _reply(packed: pa.Scalar) -> dict[int, dict[int, bytes]]:
+    """The replies to a piece: by chunk and part."""
     out: dict[int, dict[int, bytes]] = {}
     if packed.is_valid:
-        values = packed.values
-        for k in np.flatnonzero(values.field("place").to_numpy() == place):
-            out.setdefault(values.field("chunk")[k].as_py(), {})[values.field("part")[k].as_py()] = values.field("items")[k].as_py()
+        for chunk, part, items in zip(*(packed.values.field(n).to_pylist() for n in ("chunk", "part", "items"))):
+            out.setdefault(chunk, {})[part] = items
     return out
 
 
@@ -304,7 +300,7 @@ def _maybe(chunk: Chunk, got: dict[int, bytes], parts: int):
     return order, opens, edges, maybe
 
 
-EDGES = "part int, piece long, place int, chunk int, items binary, after binary, before binary, several binary"
+EDGES = "part int, piece long, chunk int, items binary, after binary, before binary, several binary"
 
 
 def _edges(parts: int, size: int, window: int):
@@ -314,8 +310,8 @@ def _edges(parts: int, size: int, window: int):
         return np.where(low == high, low, BRANCH)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, place, _, texts, more in _rows(batches):
-            replies = _reply(more["replies"], place)
+        for piece, _, texts, more in _rows(batches):
+            replies = _reply(more["replies"])
             for chunk in chunks(texts, size, window):
                 order, opens, edges, maybe = _maybe(chunk, replies.get(chunk.number, {}), parts)
                 if not maybe.any():
@@ -325,7 +321,7 @@ def _edges(parts: int, size: int, window: int):
                 edges = edges[maybe]
                 at = np.searchsorted(P.part_of(edges, parts), np.arange(parts + 1))
                 yield _message(EDGES, [
-                    (k, piece, place, chunk.number, edges[a:b].tobytes(), after[a:b].tobytes(), before[a:b].tobytes(), np.packbits(several[a:b]).tobytes())
+                    (k, piece, chunk.number, edges[a:b].tobytes(), after[a:b].tobytes(), before[a:b].tobytes(), np.packbits(several[a:b]).tobytes())
                     for k, (a, b) in enumerate(zip(at[:-1], at[1:])) if a < b])
 
     return send
@@ -349,8 +345,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind |= np.where((low == high) & (low != BRANCH), flag, 0).astype(np.uint8)
     flags = np.empty(len(edges), np.uint8)
     flags[order] = np.repeat(kind, runs)
-    for k, (part, piece, place, chunk) in enumerate(zip(*(table.column(n).to_pylist() for n in ("part", "piece", "place", "chunk")))):
-        yield _message(BITS, [(piece, place, chunk, part, flags[at[k]:at[k + 1]].tobytes())])
+    for k, (part, piece, chunk) in enumerate(zip(*(table.column(n).to_pylist() for n in ("part", "piece", "chunk")))):
+        yield _message(BITS, [(piece, chunk, part, flags[at[k]:at[k + 1]].tobytes())])
 
 
 # 4. paths ----------------------------------------------------------------------------------------------------
@@ -366,15 +362,15 @@ def paths(chunk: Chunk, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: ``where``: text of the row, first word and words of each occurrence, three numbers each.
-PATHS = "high long, low long, least long, piece long, place int, where binary"
+PATHS = "high long, low long, least long, piece long, where binary"
 
 
 def _paths(parts: int, size: int, window: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, place, ids, texts, more in _rows(batches):
+        for piece, ids, texts, more in _rows(batches):
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(NO_ID).to_numpy()
-            first_reply, second_reply = _reply(more["replies"], place), _reply(more["judged"], place)
+            first_reply, second_reply = _reply(more["replies"]), _reply(more["judged"])
             for chunk in chunks(texts, size, window):
                 got = second_reply.get(chunk.number)
                 if not got:
@@ -401,8 +397,8 @@ def _paths(parts: int, size: int, window: int):
                 n = len(new)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digests[new, 0]), pa.array(digests[new, 1]), pa.array(least), pa.array(np.full(n, piece)),
-                     pa.array(np.full(n, place, np.int32)), pa.array([where[a:b].tobytes() for a, b in zip(new, ends)], pa.binary())],
-                    ["high", "low", "least", "piece", "place", "where"])
+                     pa.array([where[a:b].tobytes() for a, b in zip(new, ends)], pa.binary())],
+                    ["high", "low", "least", "piece", "where"])
 
     return send
 
@@ -414,15 +410,14 @@ DONE = "doc_id long, n_words long, n_removed long, kept string"
 
 def _take_out(size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, place, ids, texts, more in _rows(batches):
+        for _, ids, texts, more in _rows(batches):
             owner = ids.fill_null(NO_ID).to_numpy()
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             spans = np.empty((0, 3), np.int64)
             if more["found"].is_valid:
                 found = more["found"].values
-                mine = np.flatnonzero(found.field("place").to_numpy() == place)
-                least = found.field("least").to_numpy()[mine]
-                lists = [np.frombuffer(found.field("where")[k].as_buffer(), np.int64).reshape(-1, 3) for k in mine]
+                least = found.field("least").to_numpy()
+                lists = [np.frombuffer(w.as_buffer(), np.int64).reshape(-1, 3) for w in found.field("where")]
                 if lists:
                     spans = np.concatenate(lists)
                     spans = spans[known[spans[:, 0]] & (np.repeat(least, [len(x) for x in lists]) < owner[spans[:, 0]])]
@@ -469,7 +464,7 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW, chunk: int = CH
     """doc_id, n_words, n_removed, kept (words joined by one space) of docs (doc_id, text)."""
     spark = docs.sparkSession
     parts = P.parts_of(spark)
-    table = write_pieces(docs, chunk, piece)
+    table = write_pieces(docs, piece)
 
     def stored(df: DataFrame, what: str) -> DataFrame:
         folder = new_folder(spark, what)
@@ -485,7 +480,7 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW, chunk: int = CH
     occurrences = stored(known.join(judged, "piece").mapInArrow(_paths(parts, chunk, window), PATHS), "paths")
     least = occurrences.groupBy("high", "low").agg(F.min("least").alias("source"))
     found = (occurrences.join(least, ["high", "low"]).filter(F.col("source") < NO_ID)
-             .groupBy("piece").agg(F.collect_list(F.struct("place", F.col("source").alias("least"), "where")).alias("found")))
+             .groupBy("piece").agg(F.collect_list(F.struct(F.col("source").alias("least"), "where")).alias("found")))
     return table.join(found, "piece", "left").mapInArrow(_take_out(chunk), DONE)
 
 
