@@ -97,3 +97,23 @@ def test_features_do_not_depend_on_pieces():
         found.append(rows)
     assert found[0] == found[1]
     assert found[0][1] == found[0][2] == set()
+
+
+def test_fitting_holds_a_feature_and_its_owner_in_4_bytes_each():
+    """The fit's arrays, one task's largest: memory per entry stays small and the models stay what wide arrays give."""
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    y = (np.arange(4000) % 5 == 0).astype(float)
+    packed = [np.unique(np.concatenate([r.integers(0, 1 << X.BITS, 300), [2, 4, 6][k % 3:] if y[k] else [8]])).astype(np.uint32).tobytes() for k in range(4000)]
+    tracemalloc.start()
+    numbers, owners = X.entries(packed), X.owners_of(packed)
+    assert numbers.itemsize == owners.itemsize == 4
+    X.fit(numbers, owners, np.zeros((4000, 0)), y, np.arange(4000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 * len(numbers)
+    labels = np.stack([y, 1 - y], axis=1)
+    a = X.fit_chain(numbers, owners, labels, np.arange(4000) % X.FOLDS)
+    b = X.fit_chain(numbers.astype(np.int64), owners.astype(np.int64), labels, np.arange(4000) % X.FOLDS)
+    assert all(np.array_equal(m[k], n[k]) for m, n in zip(a, b) for k in m)

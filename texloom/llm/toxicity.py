@@ -19,7 +19,7 @@ those named like a category or ``rejected`` are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -86,6 +86,16 @@ def _distinct(numbers: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.n
 
 # fitting -----------------------------------------------------------------------------------------------------
 
+def entries(packed: Iterable[bytes]) -> np.ndarray:
+    """The feature numbers of packed texts, text after text, in 4 bytes each: with their owners the largest arrays of the fitting task."""
+    return np.concatenate([np.frombuffer(b, np.uint32) for b in packed])
+
+
+def owners_of(packed: Iterable[bytes]) -> np.ndarray:
+    lens = [len(b) // 4 for b in packed]
+    return np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -99,7 +109,7 @@ def fit(numbers: np.ndarray, owners: np.ndarray, extra: np.ndarray, y: np.ndarra
     inside[rows] = True
     hit = inside[owners]
     many = np.bincount(numbers[hit], minlength=1 << BITS)
-    ofs = np.bincount(numbers[hit & (y[owners] > 0)], minlength=1 << BITS)
+    ofs = np.bincount(numbers[hit & (y > 0)[owners]], minlength=1 << BITS)
     ones, all_ = y[rows].sum(), len(rows)
     if not 0 < ones < all_:
         rate = (ones + 0.5) / (all_ + 1)
@@ -110,10 +120,11 @@ def fit(numbers: np.ndarray, owners: np.ndarray, extra: np.ndarray, y: np.ndarra
     score[many < 5] = 0
     kept = np.sort(np.argsort(-score, kind="stable")[:KEPT])
     kept = kept[score[kept] > 4]
-    column = np.full(1 << BITS, -1)
-    column[kept] = np.arange(len(kept))
-    use = hit & (column[numbers] >= 0)
+    column, chosen = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, bool)
+    column[kept], chosen[kept] = np.arange(len(kept)), True
+    use = hit & chosen[numbers]
     cols, local = column[numbers[use]], np.searchsorted(rows, owners[use])
+    del hit, use
     if not len(cols):
         kept, cols, local = kept[:0], np.empty(0, np.int64), np.empty(0, np.int64)
     # the entries by row and by column; sums over runs are faster than counting into places
@@ -190,9 +201,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Callable[
         rows = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["x", "y", "fold", "place"])], ignore_index=True)
         if not len(rows):
             return
-        x = [np.frombuffer(b, np.uint32).astype(np.int64) for b in rows["x"]]
-        owners = np.repeat(np.arange(len(x)), [len(v) for v in x])
-        chain = fit_chain(np.concatenate(x), owners, np.array(rows["y"].tolist()), rows["fold"].to_numpy())
+        numbers, owners, y, fold = entries(rows["x"]), owners_of(rows["x"]), np.array(rows["y"].tolist()), rows["fold"].to_numpy()
+        del rows
+        chain = fit_chain(numbers, owners, y, fold)
         yield pd.DataFrame({"step": range(len(chain)), "bias": [c["bias"] for c in chain], "index": [c["index"].tolist() for c in chain],
                             "weight": [c["weight"].tolist() for c in chain], "extra": [c["extra"].tolist() for c in chain]})
 
